@@ -107,34 +107,53 @@ def number_rows(
     )
 
 
-def number_in_group(
-    df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row", limit: int | None = None
+_RUNNING = {
+    "sum": (F.sum, lambda local, carry: local + F.coalesce(carry, F.lit(0))),
+    "min": (F.min, lambda local, carry: F.least(local, carry)),
+    "max": (F.max, lambda local, carry: F.greatest(local, carry)),
+}
+
+
+def running_in_group(
+    df: DataFrame, keys: list[str], order: list[str | Column], running: dict[str, tuple[str, Column]],
+    limit: int | None = None,
 ) -> DataFrame:
-    """1-based row number per key; ``order`` must be unique within a key.
+    """Running sum/min/max per key up to and including each row; ``order`` must be unique within a key.
 
-    Beyond one task's worth of rows a key is numbered in the pieces its range sort
-    gave it. Only the first key of a piece can reach in from the piece before, so
-    the table of carried counts has at most one row per piece.
+    ``running`` maps a new column to (``sum`` | ``min`` | ``max``, value). Beyond one
+    task's worth of rows a key is worked in the pieces its range sort gave it. Only
+    the first key of a piece can reach in from the piece before, so the table of
+    carried values has at most one row per piece.
     """
     if fits_one_task(df, limit):
-        return df.withColumn(name, F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("long"))
-    rows = range_sorted(df, *keys, *order)
-    pieces = rows.groupBy("_part", *keys).agg(F.min("_pos").alias("_first"), F.count(F.lit(1)).alias("_n"))
+        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+        return df.withColumns({n: _RUNNING[how][0](value).over(upto) for n, (how, value) in running.items()})
+    values = {f"_v_{n}": value for n, (_, value) in running.items()}
+    rows = range_sorted(df.withColumns(values), *keys, *order)
+    pieces = rows.groupBy("_part", *keys).agg(
+        F.min("_pos").alias("_first"), *[_RUNNING[how][0](f"_v_{n}").alias(f"_p_{n}") for n, (how, _) in running.items()]
+    )
     reaching = pieces.filter(F.col("_first") == 0).select(*keys).distinct()
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
         pieces.join(F.broadcast(reaching), keys, "left_semi")
-        .withColumn("_carry", F.coalesce(F.sum("_n").over(before), F.lit(0)))
+        .withColumns({f"_c_{n}": _RUNNING[how][0](f"_p_{n}").over(before) for n, (how, _) in running.items()})
         .filter(F.col("_first") == 0)
-        .select("_part", *keys, "_carry")
+        .select("_part", *keys, *[f"_c_{n}" for n in running])
     )
-    local = F.row_number().over(Window.partitionBy("_part", *keys).orderBy("_pos"))
-    return (
-        rows.withColumn("_local", local)
-        .join(F.broadcast(carried), ["_part", *keys], "left")
-        .withColumn(name, F.col("_local") + F.coalesce(F.col("_carry"), F.lit(0)))
-        .drop("_part", "_pos", "_local", "_carry")
+    upto = Window.partitionBy("_part", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
+    local = rows.withColumns({f"_l_{n}": _RUNNING[how][0](f"_v_{n}").over(upto) for n, (how, _) in running.items()})
+    joined = local.join(F.broadcast(carried), ["_part", *keys], "left").withColumns(
+        {n: _RUNNING[how][1](F.col(f"_l_{n}"), F.col(f"_c_{n}")) for n, (how, _) in running.items()}
     )
+    return joined.select(*df.columns, *running)
+
+
+def number_in_group(
+    df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row", limit: int | None = None
+) -> DataFrame:
+    """1-based row number per key; ``order`` must be unique within a key."""
+    return running_in_group(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, limit)
 
 
 def rank_in_group(
