@@ -1,2 +1,464 @@
+"""Queries for sources, joins, aggregates, rankings and table maintenance (A, D, E, F, G)."""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import functions as F
+
+from skyloom.functions import naming
+from skyloom.operators import aggregates, ranking, relational, tables
+from skyloom.operators.cluster import source_numbering
+from skyloom.session import scratch_root
+from skyloom.sources import ingest, schemas, sinks
+from workload import frames as W
+from workload.frames import VERSION, r6, sql
+
+c = F.col
 QUERIES: dict = {}
-ORACLE: dict = {}
+ORACLE: dict[str, str] = {}
+K4 = "field, ccdid, qid, fid"
+
+
+def add(name: str, fn, text: str | None = None, extra: dict[str, str] | None = None) -> None:
+    QUERIES[name] = fn
+    if text is not None:
+        ORACLE[name] = sql(text, extra)
+
+
+def _new_path(spark) -> str:
+    return f"{scratch_root(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
+
+
+# --- scans, sources, sinks ---------------------------------------------------------
+
+
+def _scan_table(spark, sf):
+    path = _new_path(spark)
+    want = schemas.table_schema("forcedphotometry")
+    W.photometry(spark, sf).select(*[c(f.name).cast(f.dataType).alias(f.name) for f in want]).write.parquet(path)
+    return ingest.scan_table(spark, path, "forcedphotometry").select("id", "source_id", "flags", *r6("flux", "zp", "obsjd"))
+
+
+add("scan_table", _scan_table, "SELECT id, source_id, flags, round(flux, 6) AS flux, round(zp, 6) AS zp, round(obsjd, 6) AS obsjd FROM v_phot")
+
+
+def _ingest(spark, sf):
+    img = W.images(spark, sf).withColumn("rcid", F.lit(0))
+    known = img.filter("nid < 2000 AND id % 5 <> 0")
+    return ingest.ingest_metadata_incremental(img.drop("basename"), known).select("id", "basename", "nid")
+
+
+add("ingest_metadata_incremental", _ingest,
+    """SELECT id, basename, nid FROM v_img WHERE ipac_gid > 0 AND NOT (nid < 2000 AND id % 5 <> 0)
+       AND nid >= (SELECT max(nid) FROM v_img WHERE nid < 2000 AND id % 5 <> 0)""")
+add("derive_masks", lambda s, d: ingest.derive_masks(W.images(s, d)).select("parent_image_id", "basename", *r6("ra", "dec1")),
+    "SELECT id AS parent_image_id, replace(basename, 'sciimg', 'mskimg') AS basename, round(ra, 6) AS ra, round(dec1, 6) AS dec1 FROM v_img")
+
+
+def _chunks(spark, sf):
+    span = W.images(spark, sf).agg(F.min("nid").alias("lo"), F.max("nid").alias("hi")).first()
+    return ingest.chunk_ranges(spark, span.lo, span.hi, 30)
+
+
+add("chunk_ranges", _chunks,
+    """SELECT CAST(lo + 30 * k AS DOUBLE) AS lo, CAST(lo + 30 * k + 30 AS DOUBLE) AS hi FROM
+       (SELECT lo, unnest(range((hi - lo) // 30 + 1)) AS k FROM (SELECT min(nid) AS lo, max(nid) AS hi FROM v_img) a) b""")
+
+
+def _csv(spark, sf):
+    path = _new_path(spark)
+    cols = "source_id image_id flux fluxerr flags ra dec zp filtercode obsjd".split()
+    sinks.write_csv(W.photometry(spark, sf).select(*cols), path)
+    return ingest.load_photometry_csv(spark, path).select("source_id", "image_id", "flags", "filtercode", *r6("flux", "fluxerr", "zp", "obsjd"))
+
+
+CSV_SQL = """SELECT source_id, image_id, flags, filtercode, round(flux, 6) AS flux, round(fluxerr, 6) AS fluxerr, round(zp, 6) AS zp,
+  round(obsjd, 6) AS obsjd FROM v_phot"""
+add("load_photometry_csv", _csv, CSV_SQL)
+
+
+def _csv_plan(spark, sf):
+    path = _new_path(spark)
+    plan = ranking.reference_plan(W.images(spark, sf), VERSION, 50, 14).select("basename", "id", "row")
+    sinks.write_csv(plan, path)
+    return spark.read.csv(path, schema="basename string, id long, row int", header=True)
+
+
+TOP50 = f"""SELECT *, row_number() OVER (PARTITION BY {K4} ORDER BY maglimit DESC, id) AS rn FROM v_img"""
+REFNAME = "printf('ref.%06d_c%02d_q%d_%s.v1.fits', field, ccdid, qid, filtercode)"
+add("write_csv", _csv_plan,
+    f"""SELECT {REFNAME} AS basename, id, rn AS row FROM (SELECT *, count(*) OVER (PARTITION BY {K4}) AS n FROM top WHERE rn <= 50) t WHERE n >= 14""",
+    {"top": TOP50})
+
+
+def _ids(spark, sf):
+    path = _new_path(spark)
+    rows = W.images(spark, sf).select("id", (c("id") + 500000).alias("mask_id"))
+    sinks.write_id_list(rows, ["id", "mask_id"], path)
+    return spark.read.option("basePath", path).text(f"{path}/part=*").select(c("value").alias("line"), c("part").cast("int"))
+
+
+add("write_id_list", _ids,
+    "SELECT CAST(id AS VARCHAR) AS line, 0 AS part FROM v_img UNION ALL SELECT CAST(id + 500000 AS VARCHAR), 1 FROM v_img")
+
+
+def _catalog(spark, sf):
+    cat = W.detections(spark, sf).withColumns({
+        "x_world": c("ra"), "y_world": c("dec"), "flux_aper": c("flux"), "fluxerr_aper": c("fluxerr"), "x_image": F.lit(1.0),
+        "y_image": F.lit(2.0), "elongation": c("a_image") / c("b_image"), "goodcut": (c("id") % 3 != 0).cast("int")})
+    det, rb = ingest.catalog_to_detections(cat, True, "m1")
+    return det.join(rb, c("id") == c("detection_id")).select("id", "image_id", "goodcut", "rb_version", *r6("ra", "elongation", "flux", "rb_score"))
+
+
+add("catalog_to_detections", _catalog,
+    """SELECT id, image_id, true AS goodcut, 'm1' AS rb_version, round(ra, 6) AS ra, round(a_image / b_image, 6) AS elongation,
+       round(flux, 6) AS flux, round(rb, 6) AS rb_score FROM v_det WHERE id % 3 <> 0""")
+add("region_text", lambda s, d: sinks.region_text(
+        W.detections(s, d).select(F.floor("ra").alias("r"), F.floor("dec").alias("d"), (c("id") % 3 != 0).alias("goodcut")), True, "r", "d"),
+    """SELECT CONCAT('point(', CAST(floor(ra) AS BIGINT), ',', CAST(floor(dec) AS BIGINT), ') # color=',
+       CASE WHEN id % 3 <> 0 THEN 'green' ELSE 'red' END) AS value FROM v_det""")
+
+
+def _sink(spark, sf):
+    rows = W.detections(spark, sf).select(
+        c("source_id").alias("objectId"), c("id").alias("candid"), F.when(c("id") % 5 == 0, "stack").otherwise("single").alias("alert_type"), "created_at")
+    path = _new_path(spark)
+    sinks.write_topics(sinks.alert_sink(rows, "sky", "news"), path)
+    return spark.read.schema("key string, value string, topic string").json(path).select("topic", "key", "value")
+
+
+add("alert_sink", _sink,
+    """SELECT CONCAT('sky_', strftime(created_at, '%Y%m%d'), '_programid2_news', CASE WHEN id % 5 = 0 THEN '_stack' ELSE '' END) AS topic,
+       source_id AS key, CONCAT('{"objectId":', CASE WHEN source_id IS NULL THEN 'null' ELSE CONCAT('"', source_id, '"') END, ',"candid":', id, '}') AS value FROM v_det""")
+
+# --- relational joins -----------------------------------------------------------------
+add("images_needing_reference", lambda s, d: relational.images_needing_reference(W.images(s, d), W.refs(s, d), VERSION).select("id"),
+    "SELECT id FROM v_img WHERE kidx % 2 <> 0")
+
+
+def copies(spark, sf):
+    img = W.images(spark, sf).filter("id % 5 <> 0")
+    path = F.concat(F.lit("/a/"), "basename")
+    one = img.select(c("id").alias("product_id"), path.alias("archive_path"))
+    return one.unionByName(img.filter("id % 7 = 0").select(c("id").alias("product_id"), F.concat(F.lit("/b/"), "basename").alias("archive_path")))
+
+
+def targets(rule: str):
+    return lambda spark, sf: W.images(spark, sf).filter(rule).select(c("id").alias("target_image_id"))
+
+
+def todo_args(s, d):
+    return (copies(s, d), W.refs(s, d), targets("id % 4 = 0")(s, d), targets("id % 37 = 0")(s, d), targets("id % 41 = 0")(s, d), VERSION)
+
+
+TODO = "id % 5 <> 0 AND kidx % 2 = 0 AND id % 4 <> 0 AND id % 37 <> 0 AND id % 41 <> 0"
+add("images_to_subtract", lambda s, d: relational.images_to_subtract(W.images(s, d), *todo_args(s, d)).select("id", "archive_path"),
+    f"SELECT id, CONCAT('/a/', basename) AS archive_path FROM v_img WHERE {TODO}")
+add("images_to_subtract_all_copies",
+    lambda s, d: relational.images_to_subtract(W.images(s, d), *todo_args(s, d), distinct=False).select("id", "archive_path"),
+    f"""SELECT id, CONCAT('/a/', basename) AS archive_path FROM v_img WHERE {TODO} UNION ALL
+        SELECT id, CONCAT('/b/', basename) FROM v_img WHERE {TODO} AND id % 7 = 0""")
+ALERTED = lambda s, d: W.detections(s, d).filter("id % 6 = 0").select(c("id").alias("detection_id"))
+add("detections_needing_alert", lambda s, d: relational.detections_needing_alert(W.detections(s, d), ALERTED(s, d)).selectExpr("id", "'ready' AS kind").unionByName(
+        relational.detections_needing_alert(W.detections(s, d), ALERTED(s, d), need_source=True).selectExpr("id", "'source' AS kind")),
+    """SELECT id, 'ready' AS kind FROM v_det WHERE coalesce(alert_ready, false) AND id % 6 <> 0
+       UNION ALL SELECT id, 'source' FROM v_det WHERE source_id IS NOT NULL AND id % 6 <> 0""")
+add("detections_needing_photometry", lambda s, d: relational.detections_needing_photometry(W.detections(s, d), ALERTED(s, d)).select("id"),
+    "SELECT id FROM v_det WHERE triggers_alert AND NOT coalesce(alert_ready, false) AND id % 6 <> 0")
+add("images_without_copy", lambda s, d: relational.images_without_copy(W.images(s, d), copies(s, d), [600, 602]).select("id"),
+    "SELECT id FROM v_img WHERE id % 5 = 0 AND field IN (600, 602)")
+
+
+def tape(spark, sf):
+    return W.images(spark, sf).filter("id % 3 = 0").select(
+        c("id").alias("product_id"), F.concat(F.lit("/tape/"), c("id") % 50).alias("archive_id"), c("basename").alias("member_name"))
+
+
+def http(spark, sf):
+    return W.images(spark, sf).filter("id % 2 = 0").select(c("id").alias("product_id"))
+
+
+add("tape_only_copies", lambda s, d: relational.tape_only_copies(W.images(s, d), tape(s, d), http(s, d)).select("id", "archive_id"),
+    "SELECT id, CONCAT('/tape/', id % 50) AS archive_id FROM v_img WHERE id % 3 = 0 AND id % 2 <> 0 AND fid <> 3")
+
+
+def binned(spark, sf):
+    return relational.interval_bins(W.images(spark, sf), until="2023-01-01")
+
+
+BIN = "CAST(ceil(date_diff('day', TIMESTAMP '2017-01-03', obsdate) / 7e0) AS BIGINT) - 1"
+BINS = f"""SELECT *, {BIN} AS bin, TIMESTAMP '2017-01-03' + to_days(CAST(7 * ({BIN}) AS INT)) AS binleft,
+  TIMESTAMP '2017-01-03' + to_days(CAST(7 * ({BIN}) + 7 AS INT)) AS binright FROM v_img"""
+WHOLE = "bin >= 0 AND binright <= TIMESTAMP '2023-01-01'"
+add("interval_join", lambda s, d: binned(s, d).select("id", "bin", "binleft", "binright"),
+    f"""SELECT i.id, g.k AS bin, TIMESTAMP '2017-01-03' + to_days(CAST(7 * g.k AS INT)) AS binleft,
+        TIMESTAMP '2017-01-03' + to_days(CAST(7 * g.k + 7 AS INT)) AS binright FROM v_img i JOIN (SELECT unnest(range(312)) AS k) g
+        ON i.obsdate > TIMESTAMP '2017-01-03' + to_days(CAST(7 * g.k AS INT)) AND i.obsdate <= TIMESTAMP '2017-01-03' + to_days(CAST(7 * g.k + 7 AS INT))""")
+
+
+def coadds(spark, sf):
+    """Bins of two thirds of the keys that exist already."""
+    return binned(spark, sf).filter("kidx % 3 <> 0 AND bin % 2 = 0").select("field", "ccdid", "qid", "fid", "binleft", "binright").distinct()
+
+
+def stack_plan(spark, sf):
+    return aggregates.stacks_to_build(W.images(spark, sf), W.subs(spark, sf), W.refs(spark, sf), coadds(spark, sf), VERSION, until="2023-01-01")
+
+
+MEMBERS = f"SELECT * FROM bins WHERE {WHOLE} AND id % 4 = 0 AND kidx % 2 = 0"
+PLAN = f"""SELECT {K4}, kidx, bin, binleft, binright, count(*) AS size, min(id) AS first_id, max(id) AS last_id FROM mem
+  GROUP BY {K4}, kidx, bin, binleft, binright HAVING count(*) >= 2"""
+BIN_CTES = {"bins": BINS, "mem": MEMBERS, "plan": PLAN}
+add("stacks_to_build", stack_plan,
+    f"SELECT {K4}, binleft, binright, size, first_id, last_id FROM plan WHERE NOT (kidx % 3 <> 0 AND bin % 2 = 0)", BIN_CTES)
+add("order_by_size", lambda s, d: ranking.order_by_size(stack_plan(s, d)).limit(100).select("field", "ccdid", "qid", "fid", "binleft", "size"),
+    f"""SELECT {K4}, binleft, size FROM plan WHERE NOT (kidx % 3 <> 0 AND bin % 2 = 0) ORDER BY size DESC, {K4}, binleft LIMIT 100""", BIN_CTES)
+
+
+def _targets(spark, sf):
+    rows = aggregates.stack_members(W.images(spark, sf), W.subs(spark, sf), W.refs(spark, sf), VERSION, until="2023-01-01")
+    packed = aggregates.stack_targets(rows)
+    return packed.select("field", "ccdid", "qid", "fid", "binleft", "part", F.array_join("target", ",").alias("target"))
+
+
+add("stack_targets", _targets,
+    f"""SELECT {K4}, binleft, 0 AS part, string_agg(id, ',' ORDER BY id) AS target FROM mem GROUP BY {K4}, binleft HAVING count(*) >= 2""", BIN_CTES)
+
+
+def _new_bins(spark, sf):
+    keys = ["field", "ccdid", "qid", "fid", "binleft", "binright"]
+    return relational.new_bins(binned(spark, sf).select(*keys).distinct(), coadds(spark, sf))
+
+
+add("new_bins", _new_bins, f"SELECT DISTINCT {K4}, binleft, binright FROM bins WHERE {WHOLE} AND NOT (kidx % 3 <> 0 AND bin % 2 = 0)", BIN_CTES)
+
+
+def half_subs(spark, sf):
+    """Differences of all inputs of even stacks and some of the others."""
+    return W.images(spark, sf).filter("stack_id % 2 = 0 OR id % 3 = 0").selectExpr(
+        "1000000 + id AS id", "id AS target_image_id", "9000000 + kidx AS reference_image_id")
+
+
+HALF = "SELECT stack_id AS coadd_id, 1000000 + id AS sub_id, 9000000 + kidx AS reference_image_id FROM v_img WHERE stack_id % 2 = 0 OR id % 3 = 0"
+COVER = """SELECT coadd_id, reference_image_id, count(*) AS n_subs, any_value(n) AS n_inputs FROM half
+  JOIN (SELECT stack_id AS coadd_id, count(*) AS n FROM v_img GROUP BY 1) t USING (coadd_id) GROUP BY 1, 2"""
+add("overlapping_subtractions", lambda s, d: relational.overlapping_subtractions(W.stack_bridge(s, d), half_subs(s, d)).select("coadd_id", "reference_image_id", "sub_id"),
+    "SELECT coadd_id, reference_image_id, sub_id FROM half JOIN cover USING (coadd_id, reference_image_id) WHERE n_subs = n_inputs", {"half": HALF, "cover": COVER})
+add("incomplete_stacks", lambda s, d: relational.incomplete_stacks(W.stack_bridge(s, d), half_subs(s, d)),
+    "SELECT * FROM cover WHERE n_subs <> n_inputs", {"half": HALF, "cover": COVER})
+add("reference_inputs", lambda s, d: relational.reference_inputs(W.refs(s, d), W.ref_bridge(s, d), W.images(s, d)).select("reference_id", "id"),
+    "SELECT 9000000 + kidx AS reference_id, id FROM v_img WHERE kidx % 2 = 0 AND id % 3 = 0")
+HIST1 = """SELECT d.source_id, d.id AS detection_id, i.obsjd - 2400000.5e0 AS mjd FROM v_pdet d JOIN v_sub s ON s.id = d.image_id
+  JOIN v_img i ON i.id = s.target_image_id"""
+HIST2 = """SELECT DISTINCT d.source_id, s.target_image_id AS stack_id, e.lo AS min_mjd, e.hi AS max_mjd FROM v_pdet d JOIN v_ssub s ON s.id = d.image_id
+  JOIN (SELECT stack_id, min(obsjd) - 2400000.5e0 AS lo, max(obsjd) - 2400000.5e0 AS hi FROM v_img GROUP BY 1) e ON e.stack_id = s.target_image_id"""
+
+
+def single_history(s, d):
+    return relational.history_single(W.placed_detections(s, d), W.subs(s, d), W.images(s, d))
+
+
+def stack_history(s, d):
+    return relational.history_stack(W.placed_detections(s, d), W.stack_subs(s, d), W.stack_bridge(s, d), W.images(s, d))
+
+
+add("history_single", lambda s, d: single_history(s, d).select("source_id", "detection_id", *r6("mjd")),
+    "SELECT source_id, detection_id, round(mjd, 6) AS mjd FROM h1", {"h1": HIST1})
+add("history_stack", lambda s, d: stack_history(s, d).select("source_id", "stack_id", *r6("min_mjd", "max_mjd")),
+    "SELECT source_id, stack_id, round(min_mjd, 6) AS min_mjd, round(max_mjd, 6) AS max_mjd FROM h2", {"h2": HIST2})
+
+
+def _before(spark, sf):
+    """History points strictly before, and light-curve points up to half a second after, a fixed epoch per source."""
+    hist = single_history(spark, sf)
+    epoch = hist.groupBy("source_id").agg(F.avg("mjd").alias("epoch"))
+    rows = hist.join(epoch, "source_id")
+    return rows.groupBy("source_id").agg(
+        F.count_if(relational.before_epoch(c("mjd"), c("epoch"))).alias("n_before"),
+        F.count_if(relational.before_epoch(c("mjd"), F.floor("mjd") + 0.0, 0.5)).alias("n_upto"))
+
+
+add("before_epoch", _before,
+    """SELECT source_id, count(*) FILTER (mjd < epoch) AS n_before, count(*) FILTER (mjd <= floor(mjd) + 0.5e0 / 86400e0) AS n_upto FROM
+       (SELECT *, avg(mjd) OVER (PARTITION BY source_id) AS epoch FROM h1) t GROUP BY 1""", {"h1": HIST1})
+add("navigate", lambda s, d: relational.navigate(W.sources(s, d).filter("user_id % 4 = 0"), W.detections(s, d), "id", "source_id").select("id", "source_id"),
+    "SELECT id, source_id FROM v_det WHERE source_id IN (SELECT id FROM v_src WHERE user_id % 4 = 0)")
+add("members", lambda s, d: relational.members(W.images(s, d), W.detections(s, d).select(c("image_id").alias("id")), "id").select("id"),
+    "SELECT id FROM v_img WHERE id IN (SELECT image_id FROM v_det)")
+
+# --- aggregates ------------------------------------------------------------------------
+add("source_score", lambda s, d: aggregates.source_score(W.detections(s, d), W.realbogus(s, d)).select("source_id", *r6("score")),
+    "SELECT source_id, round(sum(rb), 6) AS score FROM v_det WHERE source_id IS NOT NULL GROUP BY 1")
+add("reference_span", lambda s, d: aggregates.reference_span(W.ref_bridge(s, d), W.images(s, d)).select("coadd_id", "nframesref", *r6("jdstartref", "jdendref")),
+    """SELECT 9000000 + kidx AS coadd_id, count(*) AS nframesref, round(min(obsjd), 6) AS jdstartref, round(max(obsjd), 6) AS jdendref
+       FROM v_img WHERE id % 3 = 0 GROUP BY 1""")
+add("stack_span", lambda s, d: aggregates.stack_span(W.stack_bridge(s, d), W.images(s, d)).select("coadd_id", *r6("min_mjd", "max_mjd")),
+    "SELECT stack_id AS coadd_id, round(min(obsjd) - 2400000.5e0, 6) AS min_mjd, round(max(obsjd) - 2400000.5e0, 6) AS max_mjd FROM v_img GROUP BY 1")
+add("stack_median_mjd", lambda s, d: aggregates.stack_median_mjd(W.stack_bridge(s, d), W.images(s, d)).select("coadd_id", *r6("median_mjd")),
+    "SELECT stack_id AS coadd_id, round(quantile_cont(obsjd, 0.5) - 2400000.5e0, 6) AS median_mjd FROM v_img GROUP BY 1")
+add("stack_summary", lambda s, d: aggregates.stack_summary(W.stack_bridge(s, d), W.images(s, d)).select(
+        "coadd_id", "nframesstack", *r6("jdstartstack", "jdendstack", "jdmed", "exptime")),
+    """SELECT stack_id AS coadd_id, count(*) AS nframesstack, round(min(obsjd), 6) AS jdstartstack, round(max(obsjd), 6) AS jdendstack,
+       round(quantile_cont(obsjd, 0.5), 6) AS jdmed, round(sum(exptime), 6) AS exptime FROM v_img GROUP BY 1""")
+add("mad", lambda s, d: aggregates.mad(W.detections(s, d), ["user_id"], "flux", "id").select("user_id", *r6("median", "sigma")),
+    """SELECT user_id, round(m, 6) AS median, round(1.4826e0 * quantile_cont(abs(flux - m), 0.5), 6) AS sigma FROM
+       (SELECT user_id, flux, median(flux) OVER (PARTITION BY user_id) AS m FROM v_det) t GROUP BY user_id, m""")
+add("bit_or_flags", lambda s, d: aggregates.bit_or_flags(W.pixels(s, d), ["grp", "x", "y"]),
+    "SELECT grp, x, y, bit_or(mask) AS flags FROM v_pix GROUP BY 1, 2, 3")
+add("best_detection", lambda s, d: aggregates.best_detection(W.detections(s, d), "user_id", ["id", "flux", "fluxerr"]).select("user_id", "id", *r6("flux", "fluxerr")),
+    """SELECT user_id, id, round(flux, 6) AS flux, round(fluxerr, 6) AS fluxerr FROM
+       (SELECT *, row_number() OVER (PARTITION BY user_id ORDER BY flux / fluxerr DESC, id) AS k FROM v_det) t WHERE k = 1""")
+add("detection_counts", lambda s, d: aggregates.detection_counts(single_history(s, d), ["source_id"]).select("source_id", "ndethist", *r6("jdstarthist", "jdendhist")),
+    """SELECT source_id, count(*) AS ndethist, round(min(mjd) + 2400000.5e0, 6) AS jdstarthist, round(max(mjd) + 2400000.5e0, 6) AS jdendhist FROM h1 GROUP BY 1""",
+    {"h1": HIST1})
+add("distinct_names", lambda s, d: aggregates.distinct_names(W.catalog(s, d), "user_id", "name"),
+    "SELECT user_id, 0 AS part, string_agg(name, ',' ORDER BY name) AS names FROM (SELECT DISTINCT user_id, name FROM v_cat) t GROUP BY 1")
+
+
+def _mixed(spark, sf):
+    rows = W.images(spark, sf).withColumn("grp", F.expr("CASE WHEN id % 97 = 0 THEN 1 ELSE stack_id END"))
+    bad = aggregates.mixed_groups(rows, "grp")
+    return bad.unionByName(aggregates.assert_same_properties(W.images(spark, sf), "stack_id").groupBy(c("stack_id").alias("grp")).agg(F.count(F.lit(1)).alias("n")))
+
+
+add("same_properties", _mixed,
+    "SELECT 1 AS grp, count(*) AS n FROM v_img WHERE id % 97 = 0 UNION ALL SELECT stack_id, count(*) FROM v_img GROUP BY 1")
+add("high_water", lambda s, d: aggregates.high_water(W.images(s, d)).select("nid", *r6("obsjd")),
+    "SELECT max(nid) AS nid, round(max(obsjd), 6) AS obsjd FROM v_img")
+
+# --- rankings ---------------------------------------------------------------------------
+
+
+def _deepest(spark, sf):
+    masks = W.images(spark, sf).select((c("id") + 500000).alias("id"), c("id").alias("parent_image_id"))
+    return ranking.deepest_images(W.images(spark, sf), W.refs(spark, sf), masks, VERSION, 20).select("id", "mask_id", "rank")
+
+
+add("deepest_images", _deepest,
+    f"""SELECT id, id + 500000 AS mask_id, rk AS rank FROM (SELECT id, rank() OVER (PARTITION BY {K4} ORDER BY maglimit DESC) AS rk
+        FROM v_img WHERE kidx % 2 <> 0) t WHERE rk <= 20""")
+add("reference_plan", lambda s, d: ranking.reference_plan(W.images(s, d), VERSION, 50, 14).select("basename", "id", "row", "n_inputs"),
+    f"SELECT {REFNAME} AS basename, id, rn AS row, n AS n_inputs FROM (SELECT *, count(*) OVER (PARTITION BY {K4}) AS n FROM top WHERE rn <= 50) t WHERE n >= 14",
+    {"top": TOP50})
+add("update_source_position", lambda s, d: ranking.update_source_position(W.sources(s, d), W.detections(s, d)).select("id", *r6("ra", "dec")),
+    """SELECT s.id, round(coalesce(b.ra, s.ra), 6) AS ra, round(coalesce(b.dec, s.dec), 6) AS dec FROM v_src s LEFT JOIN
+       (SELECT *, row_number() OVER (PARTITION BY source_id ORDER BY flux / fluxerr DESC, id) AS k FROM v_det WHERE source_id IS NOT NULL) b
+       ON b.source_id = s.id AND b.k = 1""")
+TIMES = """SELECT d.id, d.source_id, i.obsjd - 2400000.5e0 AS mjd FROM v_pdet d JOIN v_sub s ON s.id = d.image_id JOIN v_img i ON i.id = s.target_image_id
+  UNION ALL SELECT d.id, d.source_id, date_diff('day', DATE '1970-01-01', CAST(k.binright AS DATE)) + 2440588 - 2400000.5e0 FROM v_pdet d
+  JOIN v_ssub s ON s.id = d.image_id JOIN v_stk k ON k.id = s.target_image_id"""
+
+
+def det_times(s, d):
+    return tables.detection_times(W.placed_detections(s, d), W.subs(s, d), W.images(s, d), W.stack_subs(s, d), W.stacks(s, d))
+
+
+add("detection_times", lambda s, d: det_times(s, d).select("id", "source_id", *r6("mjd")),
+    "SELECT id, source_id, round(mjd, 6) AS mjd FROM times", {"times": TIMES})
+add("last_mjd", lambda s, d: ranking.last_mjd(det_times(s, d)).select("source_id", *r6("last_mjd")),
+    "SELECT source_id, round(max(mjd), 6) AS last_mjd FROM times GROUP BY 1", {"times": TIMES})
+SPLIT = "CASE WHEN r < (t % {n}) * (t // {n} + 1) THEN r // (t // {n} + 1) ELSE t % {n} + (r - (t % {n}) * (t // {n} + 1)) // (t // {n}) END"
+add("work_plan", lambda s, d: ranking.work_plan(W.images(s, d).select("id", "basename"), 7, c("basename").desc(), "id").select("id", "chunk"),
+    f"SELECT id, {SPLIT.format(n=7)} AS chunk FROM (SELECT id, row_number() OVER (ORDER BY basename DESC, id) - 1 AS r, count(*) OVER () AS t FROM v_img) x")
+add("fixed_batches", lambda s, d: ranking.fixed_batches(W.images(s, d).select("id"), 50, "id"),
+    "SELECT id, (row_number() OVER (ORDER BY id) - 1) // 50 AS chunk FROM v_img")
+add("recursive_split", lambda s, d: ranking.recursive_split(W.images(s, d).select("id"), 7, "id"),
+    """SELECT id, CASE WHEN r < (7 - t % 7) * (t // 7) THEN r // (t // 7) ELSE 7 - t % 7 + (r - (7 - t % 7) * (t // 7)) // (t // 7 + 1) END AS chunk
+       FROM (SELECT id, row_number() OVER (ORDER BY id) - 1 AS r, count(*) OVER () AS t FROM v_img) x""")
+
+
+def archives(spark, sf):
+    return W.images(spark, sf).select((c("id") % 50).alias("a")).distinct().selectExpr(
+        "CONCAT('/tape/', a) AS path", "CONCAT('T', a % 3) AS tape", "CAST(a * 7 % 50 AS STRING) AS position")
+
+
+ARCH = """SELECT CONCAT('/tape/', a) AS path, CONCAT('T', a % 3) AS tape, CAST(a * 7 % 50 AS VARCHAR) AS position
+  FROM (SELECT DISTINCT id % 50 AS a FROM v_img) t"""
+add("round_robin_plan", lambda s, d: ranking.round_robin_plan(archives(s, d)),
+    "SELECT path, tape, position, row_number() OVER (ORDER BY tape, position, path) - 1 AS row, (row_number() OVER (ORDER BY tape, position, path) - 1) % 14 AS job FROM arch",
+    {"arch": ARCH})
+add("newest_first_limit", lambda s, d: ranking.newest_first_limit(W.images(s, d), 500).select("basename"),
+    "SELECT basename FROM v_img ORDER BY CAST(filefracday AS VARCHAR) DESC, basename DESC LIMIT 500")
+add("source_numbering", lambda s, d: source_numbering(W.detections(s, d).groupBy("user_id").agg(F.min("id").alias("cluster")), 100, prefix="N").select("user_id", "name"),
+    "SELECT user_id, CONCAT('N', lpad(CAST(99 + row_number() OVER (ORDER BY m) AS VARCHAR), 8, '0')) AS name FROM (SELECT user_id, min(id) AS m FROM v_det GROUP BY 1) t")
+
+# --- table maintenance --------------------------------------------------------------------
+
+
+def _remaining(spark, sf):
+    ids = W.images(spark, sf).select("id")
+    on_tape, on_disk = tape(spark, sf).select(c("product_id").alias("id")), http(spark, sf).select(c("product_id").alias("id"))
+    left = tables.remaining_ids(ids, on_tape, on_disk).withColumn("kind", F.lit("left"))
+    return left.unionByName(tables.locate(ids, on_tape, on_disk).withColumnRenamed("location", "kind"))
+
+
+add("remaining_ids", _remaining,
+    """SELECT id, 'left' AS kind FROM v_img WHERE id % 3 <> 0 AND id % 2 <> 0 UNION ALL
+       SELECT id, CASE WHEN id % 3 = 0 THEN 'tape' WHEN id % 2 = 0 THEN 'http' ELSE 'remote' END FROM v_img""")
+
+
+def _upsert(spark, sf):
+    day = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz")
+    base = W.images(spark, sf).filter("id % 3 <> 0").select("basename", "seeing", "maglimit", day.alias("modified"))
+    new = W.images(spark, sf).filter("id % 2 = 0").selectExpr("basename", "CASE WHEN id % 4 = 0 THEN seeing + 1 END AS seeing", "maglimit")
+    out = tables.upsert(base, new, "basename", F.lit("2021-01-01 00:00:00").cast("timestamp_ntz"))
+    return out.select("basename", "modified", *r6("seeing", "maglimit"))
+
+
+add("upsert", _upsert,
+    """SELECT basename, CASE WHEN id % 2 = 0 AND (id % 3 = 0 OR id % 4 = 0) THEN TIMESTAMP '2021-01-01' ELSE TIMESTAMP '2020-01-01' END AS modified,
+       round(CASE WHEN id % 4 = 0 THEN seeing + 1 WHEN id % 3 = 0 THEN NULL ELSE seeing END, 6) AS seeing, round(maglimit, 6) AS maglimit
+       FROM v_img WHERE id % 3 <> 0 OR id % 2 = 0""")
+
+
+def _merge(spark, sf):
+    phot = W.photometry(spark, sf)
+    known = W.detections(spark, sf).filter("id % 7 <> 0").select("id")
+    out = tables.merge_photometry(phot.filter("id % 2 = 0"), phot.filter("id % 2 = 1"), known, W.sources(spark, sf))
+    return out.select("id", "source_id", "image_id")
+
+
+add("merge_photometry", _merge,
+    """SELECT id, source_id, image_id FROM v_phot WHERE id % 2 = 0 UNION ALL SELECT id, source_id, image_id FROM v_phot
+       WHERE id % 2 = 1 AND id % 7 <> 0 AND source_id IN (SELECT id FROM v_src)""")
+add("update_from_join", lambda s, d: tables.update_from_join(
+        W.sources(s, d), W.detections(s, d).groupBy(c("source_id").alias("id")).agg(F.min("ra").alias("ra")), "id", ["ra"]).select("id", *r6("ra", "dec")),
+    """SELECT s.id, round(coalesce(b.ra, s.ra), 6) AS ra, round(s.dec, 6) AS dec FROM v_src s LEFT JOIN
+       (SELECT source_id, min(ra) AS ra FROM v_det GROUP BY 1) b ON b.source_id = s.id""")
+add("not_in", lambda s, d: tables.not_in(W.images(s, d), W.images(s, d).filter("id % 3 = 0").select("basename"), "basename").select("basename"),
+    "SELECT basename FROM v_img WHERE id % 3 <> 0")
+
+
+def _publish(spark, sf):
+    img = W.images(spark, sf)
+    known = img.filter("id % 4 = 0").select(F.concat(F.lit("https://example.org/data/"), naming.relname(*[c(k) for k in "field ccdid qid fid basename".split()])).alias("url"))
+    return tables.publish_copies(img, known, "/archive/data", "https://example.org/data")
+
+
+REL = "printf('%06d/c%02d/q%d/%s/%s', field, ccdid, qid, filtercode, basename)"
+add("publish_copies", _publish,
+    f"SELECT id AS product_id, CONCAT('/archive/data/', {REL}) AS archive_path, CONCAT('https://example.org/data/', {REL}) AS url FROM v_img WHERE id % 4 <> 0")
+
+
+def _failures(spark, sf):
+    failed = W.images(spark, sf).filter("id % 37 = 0").select(c("id").alias("image_id"), F.concat(F.lit("bad "), c("id")).alias("reason"))
+    return tables.record_failures(failed, W.refs(spark, sf), W.images(spark, sf), VERSION)
+
+
+add("record_failures", _failures,
+    "SELECT id AS target_image_id, CASE WHEN kidx % 2 = 0 THEN 9000000 + kidx END AS reference_image_id, CONCAT('bad ', id) AS reason FROM v_img WHERE id % 37 = 0")
+
+
+def _link(spark, sf):
+    src = W.sources(spark, sf).select("id", F.floor("ra").alias("ra"), F.floor("dec").alias("dec"))
+    linked = tables.link_new_sources(src).select("source_id", "type")
+    thumbs = W.detections(spark, sf).select(c("id").alias("detection_id"), F.lit(None).cast("string").alias("source_id"), F.lit("new").alias("type"))
+    best = aggregates.best_detection(W.detections(spark, sf), "source_id", ["id"]).select(c("id").alias("detection_id"), "source_id")
+    moved = tables.repoint_cutouts(thumbs, best).filter("source_id IS NOT NULL").select("source_id", "type")
+    return linked.unionByName(moved)
+
+
+add("link_new_sources", _link,
+    """SELECT id AS source_id, 'sdss' AS type FROM v_src UNION ALL SELECT id, 'dr8' FROM v_src
+       UNION ALL SELECT DISTINCT source_id, 'new' FROM v_det WHERE source_id IS NOT NULL""")
