@@ -1,2 +1,198 @@
+"""Queries for pixel tables and scoring."""
+
+from __future__ import annotations
+
+from math import pi
+
+import numpy as np
+from pyspark.sql import functions as F
+
+from skyloom.functions.geometry import circle_pixel_overlap
+from skyloom.operators import pixels as P
+from skyloom.operators.scoring import score_batches
+from workload import frames as W
+from workload.frames import r6, sql
+
+c = F.col
 QUERIES: dict = {}
-ORACLE: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def add(name: str, fn, text: str | None = None, extra: dict[str, str] | None = None) -> None:
+    QUERIES[name] = fn
+    if text is not None:
+        ORACLE[name] = sql(text, extra)
+
+
+XY = ("image_id", "x", "y")
+DEAD = "(mask & 198589) > 0 OR value >= 0.9e0 * 30e0"
+WEIGHTED = f"SELECT *, CASE WHEN {DEAD} THEN 0e0 ELSE 1e0 / (rms * rms) END AS weight FROM v_pix"
+
+
+def weighted(spark, sf):
+    return P.weight_map(W.pixels(spark, sf), 30.0)
+
+
+add("weight_map", lambda s, d: weighted(s, d).select(*XY, *r6("weight")), "SELECT image_id, x, y, round(weight, 6) AS weight FROM w", {"w": WEIGHTED})
+add("rms_map", lambda s, d: P.rms_map(weighted(s, d).drop("rms"), 30.0).select(*XY, *r6("rms")),
+    f"SELECT image_id, x, y, round(CASE WHEN {DEAD} THEN sqrt(50000e0) ELSE 1e0 / sqrt(weight) END, 6) AS rms FROM w", {"w": WEIGHTED})
+add("false_weight", lambda s, d: P.false_weight(W.pixels(s, d), 2).select(*XY, "false_weight"),
+    "SELECT image_id, x, y, CASE WHEN (mask & 198589) = 0 AND x BETWEEN 2 AND 5 AND y BETWEEN 2 AND 5 THEN 1 ELSE 0 END AS false_weight FROM v_pix")
+
+
+def science(spark, sf):
+    """All images but the first of each group, which serves as the group's reference."""
+    first = W.pixels(spark, sf).groupBy("grp").agg(F.min("image_id").alias("ref_id"))
+    rows = W.pixels(spark, sf).join(first, "grp")
+    return rows.filter("image_id <> ref_id"), rows.filter("image_id = ref_id").drop("ref_id")
+
+
+PAIR = """SELECT s.*, r.value AS rv, r.rms AS rr, r.mask AS rm FROM (SELECT *, min(image_id) OVER (PARTITION BY grp) AS ref_id FROM v_pix) s
+  JOIN v_pix r ON r.image_id = s.ref_id AND r.x = s.x AND r.y = s.y WHERE s.image_id <> s.ref_id"""
+
+
+def _union(spark, sf):
+    sci, ref = science(spark, sf)
+    out = P.mask_union(sci, ref, "ref_id")
+    return out.select(*XY, P.flag_bit(P.flag_bit(c("mask"), c("x") == 0, 16), c("y") == 0, 17).alias("mask"))
+
+
+add("mask_union", _union,
+    "SELECT image_id, x, y, (mask | rm) | CASE WHEN x = 0 THEN 65536 ELSE 0 END | CASE WHEN y = 0 THEN 131072 ELSE 0 END AS mask FROM p", {"p": PAIR})
+BKG = """SELECT image_id, m AS bkg, 1.4826e0 * quantile_cont(abs(value - m), 0.5) AS sigma FROM
+  (SELECT image_id, value, median(value) OVER (PARTITION BY image_id) AS m FROM v_pix WHERE mask = 0) t GROUP BY 1, 2"""
+add("background_stats", lambda s, d: P.background_stats(W.pixels(s, d)).select("image_id", *r6("bkg", "sigma", "low")),
+    "SELECT image_id, round(bkg, 6) AS bkg, round(sigma, 6) AS sigma, round(bkg - 10 * sigma, 6) AS low FROM b", {"b": BKG})
+CENTER = """SELECT *, median(value) OVER (PARTITION BY grp, x, y) AS m FROM w"""
+MODES = {
+    "mean": "avg(value)",
+    "weighted": "CASE WHEN sum(weight) > 0 THEN sum(value * weight) / sum(weight) END",
+    "median": "any_value(m)",
+    "clipped": """CASE WHEN sum(weight) FILTER (abs(value - m) <= 4 * rms + 0.3e0 * abs(m)) > 0 THEN
+      sum(value * weight) FILTER (abs(value - m) <= 4 * rms + 0.3e0 * abs(m)) / sum(weight) FILTER (abs(value - m) <= 4 * rms + 0.3e0 * abs(m))
+      ELSE any_value(m) END""",
+}
+for mode, value in MODES.items():
+    add(f"stack_combine_{mode}", lambda s, d, mode=mode: P.stack_combine(weighted(s, d), mode, background=150.0).select("grp", "x", "y", "n_frames", "mask", *r6("value", "weight")),
+        f"""SELECT grp, x, y, count(*) AS n_frames, bit_and(mask) | CASE WHEN sum(weight) = 0 THEN 65536 ELSE 0 END AS mask,
+            round({value} + 150e0, 6) AS value, round(sum(weight), 6) AS weight FROM m GROUP BY 1, 2, 3""", {"w": WEIGHTED, "m": CENTER})
+add("stack_combine_masks", lambda s, d: P.stack_combine(weighted(s, d), "mean", mask_mode="or").select("grp", "x", "y", "mask"),
+    "SELECT grp, x, y, bit_or(mask) | CASE WHEN sum(weight) = 0 THEN 65536 ELSE 0 END AS mask FROM w GROUP BY 1, 2, 3", {"w": WEIGHTED})
+
+
+def _difference(spark, sf):
+    sci, ref = science(spark, sf)
+    return P.difference_image(sci, ref, "ref_id").select(*XY, "mask", *r6("value", "rms"))
+
+
+add("difference_image", _difference,
+    """SELECT image_id, x, y, mask | rm | CASE WHEN value - rv = 1e-30 THEN 131072 ELSE 0 END AS mask, round(value - rv, 6) AS value,
+       round(sqrt(rms * rms + rr * rr), 6) AS rms FROM p""", {"p": PAIR})
+
+
+def spiked(spark, sf):
+    """Pixels with a few planted dips and spikes side by side."""
+    v = F.expr("CASE WHEN (image_id + 5 * x + y) % 23 = 0 THEN value + 900 WHEN (image_id + 3 * x + y) % 41 = 0 THEN value - 900 ELSE value END")
+    return W.pixels(spark, sf).withColumn("value", v)
+
+
+SPIKED = """SELECT image_id, x, y, CASE WHEN (image_id + 5 * x + y) % 23 = 0 THEN value + 900 WHEN (image_id + 3 * x + y) % 41 = 0 THEN value - 900
+  ELSE value END AS value FROM v_pix"""
+SIGMAS = """SELECT image_id, x, y, (value - m) / s AS z FROM (SELECT *, 1.48e0 * median(abs(value - m)) OVER (PARTITION BY image_id) AS s
+  FROM (SELECT *, median(value) OVER (PARTITION BY image_id) AS m FROM sp) a) b"""
+BADPIX = """SELECT DISTINCT l.image_id, l.x, l.y FROM z l JOIN z h ON l.image_id = h.image_id AND abs(l.x - h.x) <= 1 AND abs(l.y - h.y) <= 1
+  WHERE l.z < -5 AND h.z > 5"""
+
+
+def small_boxes(spark, sf):
+    return W.pixel_positions(spark, sf).select("id", "image_id", (c("x") + 1).alias("x_image"), (c("y") + 1).alias("y_image"))
+
+
+add("negative_pixel_cut", lambda s, d: P.negative_pixel_cut(small_boxes(s, d), spiked(s, d), 3).select("id"),
+    """SELECT id FROM v_pos p WHERE NOT EXISTS (SELECT 1 FROM bad b WHERE b.image_id = p.image_id
+       AND b.x BETWEEN round_even(p.x + 1, 0) - 2 AND round_even(p.x + 1, 0) AND b.y BETWEEN round_even(p.y + 1, 0) - 2 AND round_even(p.y + 1, 0))""",
+    {"sp": SPIKED, "z": SIGMAS, "bad": BADPIX})
+BOX = """q.x BETWEEN floor(p.x - 2.5e0) AND ceil(p.x + 3.5e0) - 1 AND q.y BETWEEN floor(p.y - 2.5e0) AND ceil(p.y + 3.5e0) - 1"""
+IN3 = "pow(q.x - p.x, 2) + pow(q.y - p.y, 2) < 9"
+add("aperture_photometry", lambda s, d: P.aperture_photometry(W.pixels(s, d), W.pixel_positions(s, d), 3.0, "center").select("id", "flags", *r6("flux", "fluxerr")),
+    f"""SELECT p.id, bit_or(q.mask) AS flags, round(sum(CASE WHEN {IN3} THEN q.value ELSE 0e0 END), 6) AS flux,
+        round(sqrt(sum(CASE WHEN {IN3} THEN q.rms * q.rms ELSE 0e0 END)), 6) AS fluxerr
+        FROM v_pos p JOIN v_pix q ON q.image_id = p.image_id AND {BOX} GROUP BY 1""")
+
+
+def _sub(offs: list[float]) -> str:
+    return "(" + " + ".join(f"CASE WHEN pow(q.x - p.x + ({u}), 2) + pow(q.y - p.y + ({v}), 2) < 9 THEN 1 ELSE 0 END" for u in offs for v in offs) + f") / {len(offs) ** 2}e0"
+
+
+add("aperture_photometry_subpixel", lambda s, d: P.aperture_photometry(W.pixels(s, d), W.pixel_positions(s, d), 3.0, "subpixel", subpixels=2).select("id", *r6("flux")),
+    f"SELECT p.id, round(sum(q.value * {_sub([-0.25, 0.25])}), 6) AS flux FROM v_pos p JOIN v_pix q ON q.image_id = p.image_id AND {BOX} GROUP BY 1")
+
+
+def _quad(x: str, y: str, r: float) -> str:
+    ax, ay = f"least(abs({x}), {r}e0)", f"least(abs({y}), {r}e0)"
+    root = f"sqrt(greatest(0e0, {r}e0 * {r}e0 - {{0}} * {{0}}))"
+    seg = f"(({{0}}) * {root} + {r}e0 * {r}e0 * asin(least(1e0, ({{0}}) / {r}e0))) / 2"
+    cross = root.format(f"({ay})")
+    return (f"sign({x}) * sign({y}) * CASE WHEN {ax} * {ax} + {ay} * {ay} <= {r}e0 * {r}e0 THEN {ax} * {ay} "
+            f"ELSE {ay} * {cross} + {seg.format(f'({ax})')} - {seg.format(f'({cross})')} END")
+
+
+def overlap_sql(dx: str, dy: str, r: float) -> str:
+    q = lambda a, b: _quad(f"({dx} {a})", f"({dy} {b})", r)
+    return f"greatest(0e0, {q('+ 0.5e0', '+ 0.5e0')} - {q('- 0.5e0', '+ 0.5e0')} - {q('+ 0.5e0', '- 0.5e0')} + {q('- 0.5e0', '- 0.5e0')})"
+
+
+add("aperture_photometry_exact", lambda s, d: P.aperture_photometry(W.pixels(s, d), W.pixel_positions(s, d), 3.0, "exact").select("id", "flags", *r6("flux", "fluxerr")),
+    f"""SELECT id, bit_or(mask) AS flags, round(sum(value * w), 6) AS flux, round(sqrt(sum(rms * rms * w)), 6) AS fluxerr FROM (SELECT p.id, q.mask,
+        q.value, q.rms, {overlap_sql('(q.x - p.x)', '(q.y - p.y)', 3)} AS w FROM v_pos p JOIN v_pix q ON q.image_id = p.image_id AND {BOX}) t GROUP BY 1""")
+BOX2 = """q.x BETWEEN floor(p.x - 1.5e0) AND ceil(p.x + 2.5e0) - 1 AND q.y BETWEEN floor(p.y - 1.5e0) AND ceil(p.y + 2.5e0) - 1"""
+add("aperture_mean_rms", lambda s, d: P.aperture_mean_rms(W.pixels(s, d), W.pixel_positions(s, d), 2.0).select("id", *r6("rmscut", "bpmcut")),
+    f"""SELECT id, round(sum(rms * w) / ({pi!r} * 4e0), 6) AS rmscut, round(sum(CASE WHEN (mask & 198589) > 0 THEN w ELSE 0e0 END), 6) AS bpmcut FROM (SELECT p.id,
+        q.mask, q.rms, {overlap_sql('(q.x - p.x)', '(q.y - p.y)', 2)} AS w FROM v_pos p JOIN v_pix q ON q.image_id = p.image_id AND {BOX2}) t GROUP BY 1""")
+add("circle_pixel_overlap", lambda s, d: W.pixel_positions(s, d).select("id", F.round(circle_pixel_overlap(c("x") - 3, c("y") - 3, 2.7), 6).alias("w")),
+    f"SELECT id, round({overlap_sql('(x - 3)', '(y - 3)', 2.7)}, 6) AS w FROM v_pos")
+
+
+def stamps(spark, sf, size=5):
+    """Three stamps per position: the image, its weight-like copy and its negative."""
+    pix, pos = W.pixels(spark, sf), W.pixel_positions(spark, sf)
+    out = None
+    for kind, scale in (("new", 1.0), ("ref", 0.5), ("sub", -1.0)):
+        part = P.cutout(pix.withColumn("value", c("value") * scale), pos, size).select("id", F.lit(kind).alias("type"), "stamp")
+        out = part if out is None else out.unionByName(part)
+    return P.triplets(out)
+
+
+SIDE = "SELECT p.id, k // 5 AS r, k % 5 AS col, coalesce(q.value, 0e0) AS v FROM (SELECT *, unnest(range(25)) AS k FROM v_pos) p LEFT JOIN v_pix q " \
+       "ON q.image_id = p.image_id AND q.x = floor(p.x + 0.5e0) - 2 + k % 5 AND q.y = floor(p.y + 0.5e0) - 2 + k // 5"
+
+
+def _cutout(spark, sf):
+    rows = P.cutout(W.pixels(spark, sf), W.pixel_positions(spark, sf), 5)
+    cells = rows.select("id", F.posexplode("stamp").alias("r", "line")).select("id", "r", F.posexplode("line").alias("col", "v"))
+    return cells.select("id", "r", "col", *r6("v"))
+
+
+add("cutout", _cutout, "SELECT id, r, col, round(v, 6) AS v FROM side", {"side": SIDE})
+
+
+def _triplet(spark, sf):
+    t = P.triplet_normalize(stamps(spark, sf))
+    at = lambda n: F.round(F.get(F.get(n, F.lit(2)), F.lit(2)), 6).alias(n)
+    return t.select("id", at("new"), at("ref"), at("sub"))
+
+
+add("triplet_normalize", _triplet,
+    """SELECT id, round(m / n, 6) AS new, round(m / n, 6) AS ref, round(-m / n, 6) AS sub FROM
+       (SELECT id, sqrt(sum(v * v)) AS n, max(CASE WHEN r = 2 AND col = 2 THEN v END) AS m FROM side GROUP BY 1) t""", {"side": SIDE})
+add("stamp_type", lambda s, d: W.images(s, d).select("id", P.stamp_type(F.expr("element_at(array('sesub', 'mesub', 'ref', 'sci'), CAST(id % 4 + 1 AS INT))")).alias("kind")),
+    "SELECT id, CASE id % 4 WHEN 0 THEN 'sub' WHEN 1 THEN 'sub' WHEN 2 THEN 'ref' ELSE 'new' END AS kind FROM v_img")
+
+
+def load_mean_model():
+    """Stand-in model: the mean of the new stamp minus the mean of the reference."""
+    return lambda batch: np.asarray(batch[..., 0].mean(axis=(1, 2)) - batch[..., 1].mean(axis=(1, 2)))
+
+
+add("score_batches", lambda s, d: score_batches(stamps(s, d), load_mean_model).select("id", *r6("rb")),
+    "SELECT id, round(avg(v) - avg(v * 0.5e0), 6) AS rb FROM side GROUP BY 1", {"side": SIDE})
