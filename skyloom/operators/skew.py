@@ -1,8 +1,9 @@
 """Building blocks that keep one hot key from landing in one task.
 
-Small inputs (by Catalyst's own size estimate) take the plain Spark form. Beyond
-that, joins salt the hot keys, and per-group numbering and exact quantiles work
-on a range sort of (key, order), where a hot key simply covers many partitions.
+Small inputs (by the size of the tables behind them) take the plain Spark form.
+Beyond that, joins salt the hot keys or leave them to the adaptive skew join, and
+per-group numbering and exact quantiles work on a range sort of (key, order),
+where a hot key simply covers many partitions.
 """
 
 from __future__ import annotations
@@ -19,8 +20,22 @@ _POS_MASK = (1 << 33) - 1
 
 
 def plan_bytes(df: DataFrame) -> int:
-    """Catalyst's size estimate of a frame; frames without statistics count as huge."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+    """Bytes behind a frame: the sizes of all tables it reads, as often as it reads them.
+
+    Frames without statistics count as huge.
+    """
+    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
+
+
+def is_plain_scan(df: DataFrame) -> bool:
+    """True when a frame only selects from one table, so that reading its keys twice is cheap."""
+    node = df._jdf.queryExecution().analyzed()
+    while node.children().size():
+        if node.children().size() > 1 or node.nodeName() not in ("Project", "Filter", "SubqueryAlias"):
+            return False
+        node = node.children().apply(0)
+    return True
 
 
 def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
@@ -50,12 +65,15 @@ def skew_join(
     facts: DataFrame, dims: DataFrame, keys: list[str], how: str = "inner",
     hot_rows: int | None = None, limit: int | None = None,
 ) -> DataFrame:
-    """Join many ``facts`` rows per key to ``dims`` rows, spreading hot fact keys.
+    """Join many ``facts`` rows per key to ``dims`` rows without one task per hot fact key.
 
-    ``how`` is inner, left, left_semi or left_anti. The salt is a hash of the fact
-    row, so a retried task sends each row to the same place.
+    ``how`` is inner, left, left_semi or left_anti. Large tables have their hot keys
+    counted and salted; the salt is a hash of the fact row, so a retried task sends
+    each row to the same place. Facts that come out of other joins are not computed
+    twice just to count them: there the adaptive skew join splits the hot partitions
+    by their real sizes.
     """
-    if fits_one_task(facts, limit):
+    if fits_one_task(facts, limit) or not is_plain_scan(facts):
         return facts.join(dims, keys, how)
     hot = F.broadcast(hot_keys(facts, keys, hot_rows))
     no_key = F.lit(False)

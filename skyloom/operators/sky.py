@@ -2,7 +2,8 @@
 
 A cone join is an equi-join on (declination zone, RA bucket): the left side has
 exactly one cell per row, the right side is copied to every cell its cap touches,
-so each pair meets once. Hot cells of the left side are salted.
+so each pair meets once. Hot cells of a large left table are salted; a left side
+that comes out of other joins is left to the adaptive skew join.
 """
 
 from __future__ import annotations
@@ -14,7 +15,7 @@ from skyloom import constants as K
 from skyloom.functions.geometry import (
     bucket_at, inside_polygon, sky_cell, sky_distance, zone_buckets, zone_of,
 )
-from skyloom.operators.skew import fits_one_task, hot_keys, rank_in_group
+from skyloom.operators.skew import fits_one_task, hot_keys, is_plain_scan, rank_in_group
 
 _CELL = ["_zone", "_bucket"]
 
@@ -62,7 +63,7 @@ def cone_join(
     left = a.withColumns({"_zone": cell["zone"], "_bucket": cell["bucket"]})
     right = _touched_cells(right, ra_b, dec_b, radius_deg, h)
     keys = list(_CELL)
-    if not fits_one_task(a, limit):
+    if not fits_one_task(a, limit) and is_plain_scan(a):
         hot = F.broadcast(hot_keys(left, _CELL, hot_rows))
         spread = F.xxhash64(*[c for c in left.columns if not dict(left.dtypes)[c].startswith(("map", "variant"))])
         left = left.join(hot, _CELL, "left").withColumn(

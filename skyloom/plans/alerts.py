@@ -86,7 +86,7 @@ def candidate_rows(
         F.col("id").alias("image_id"), F.col("basename").alias("pdiffimfilename"), "target_image_id", "reference_image_id",
         "field", "ccdid", "qid", "fid",
     )
-    rows = skew_join(det, on, ["image_id"])
+    rows = skew_join(det.drop(*[n for n in on.columns if n != "image_id"]), on, ["image_id"])
     if kind == "single":
         target = images.select(
             F.col("id").alias("target_image_id"), F.col("obsjd").alias("jd"), "nid", F.col("maglimit").alias("diffmaglim"),

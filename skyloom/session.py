@@ -35,6 +35,7 @@ def build_session(app: str = "skyloom", cores: int | str = "*", memory: str = "8
         .config("spark.driver.memory", memory)
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", os.environ.get("SKYLOOM_SHUFFLE", "8"))
     )
     for key, value in conf.items():
