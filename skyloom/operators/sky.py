@@ -63,7 +63,7 @@ def cone_join(
     left = a.withColumns({"_zone": cell["zone"], "_bucket": cell["bucket"]})
     right = _touched_cells(right, ra_b, dec_b, radius_deg, h)
     keys = list(_CELL)
-    if not fits_one_task(a, limit) and is_plain_scan(a):
+    if not a.isStreaming and not fits_one_task(a, limit) and is_plain_scan(a):
         hot = F.broadcast(hot_keys(left, _CELL, hot_rows))
         spread = F.xxhash64(*[c for c in left.columns if not dict(left.dtypes)[c].startswith(("map", "variant"))])
         left = left.join(hot, _CELL, "left").withColumn(

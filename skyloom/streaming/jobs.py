@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -28,8 +28,8 @@ def stream_filter(det: DataFrame) -> DataFrame:
 
 def stream_associate(det: DataFrame, sources: DataFrame, radius_deg: float = K.ASSOC_RADIUS_DEG) -> DataFrame:
     """S3: stream rows paired with every known source within the radius (stream-static join)."""
-    return cone_join(det, sources.select(F.col("id").alias("source_id"), "ra", "dec"), radius_deg, b_prefix="src_",
-                     limit=1 << 62).withColumnRenamed("src_source_id", "matched_source")
+    known = sources.select(F.col("id").alias("source_id"), "ra", "dec")
+    return cone_join(det, known, radius_deg, b_prefix="src_").withColumnRenamed("src_source_id", "matched_source")
 
 
 def run_associate(
@@ -86,7 +86,7 @@ def stream_alerts(alerts: DataFrame, out: str, checkpoint: str) -> StreamingQuer
     return alerts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _earlier(spark, out: str, number: int) -> DataFrame | None:
+def _earlier(spark: SparkSession, out: str, number: int) -> DataFrame | None:
     path = spark._jvm.org.apache.hadoop.fs.Path(out)
     fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(path) or not fs.listStatus(path):
@@ -104,6 +104,26 @@ def stream_sessions(det: DataFrame, event_time: str = "created_at", gap: str = "
     )
 
 
+def run_updates(state: DataFrame, out: str, checkpoint: str) -> None:
+    """Write the changed rows of an aggregated stream, each batch under its number.
+
+    A repeated batch replaces itself; ``latest_state`` reads the newest row per key.
+    """
+    def write(batch: DataFrame, number: int) -> None:
+        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+
+    state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
+        availableNow=True
+    ).start().awaitTermination()
+
+
+def latest_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
+    """The state after the last batch."""
+    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
+    values = [n for n in rows.columns if n not in (*keys, "batch")]
+    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_s")).select(*keys, "_s.*")
+
+
 def run_to_end(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:
     """Write all data that is there now to Parquet files and return when it is done."""
     stream.writeStream.outputMode(mode).format("parquet").option("checkpointLocation", checkpoint).option(

@@ -1,2 +1,137 @@
+"""Queries for the streaming jobs.
+
+The given tables are written as files in two steps, in time order; the stream is
+run to its end after each step with the same checkpoint, so the second run goes on
+from the state of the first.
+"""
+
+from __future__ import annotations
+
+import uuid
+
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from skyloom.plans.association import match_known
+from skyloom.session import scratch_root
+from skyloom.streaming import jobs as T
+from workload import frames as W
+from workload.frames import R2, hav, near, r6, sql
+
+c = F.col
 QUERIES: dict = {}
-ORACLE: dict = {}
+ORACLE: dict[str, str] = {}
+
+
+def add(name: str, fn, text: str | None = None, extra: dict[str, str] | None = None) -> None:
+    QUERIES[name] = fn
+    if text is not None:
+        ORACLE[name] = sql(text, extra)
+
+
+def in_two_steps(spark, rows: DataFrame, first: str, run) -> str:
+    """Write the rows that match ``first``, run, write the others, run again; returns the output folder."""
+    root = f"{scratch_root(spark).rstrip('/')}/stream-{uuid.uuid4().hex}"
+    for cond in (F.expr(first), ~F.expr(first)):
+        rows.filter(cond).write.mode("append").parquet(f"{root}/in")
+        stream = spark.readStream.schema(rows.schema).parquet(f"{root}/in")
+        run(stream, f"{root}/out", f"{root}/checkpoint")
+    return f"{root}/out"
+
+
+def appended(spark, rows: DataFrame, first: str, transform) -> DataFrame:
+    """All rows that the transformed stream appended."""
+    out = in_two_steps(spark, rows, first, lambda s, out, check: T.run_to_end(transform(s), out, check))
+    return spark.read.parquet(out)
+
+
+HALF = "created_at < TIMESTAMP_NTZ '2024-01-16 00:00:00'"
+
+
+def timed(spark, sf) -> DataFrame:
+    return W.detections(spark, sf).withColumn("created_at", c("created_at").cast("timestamp"))
+
+
+def _ingest(spark, sf):
+    rows = timed(spark, sf).select(F.concat(F.lit("img"), c("id") % 4000).alias("basename"), (c("id") % 3).alias("ipac_gid"), "created_at")
+    return appended(spark, rows, HALF, lambda s: T.stream_ingest(s, delay="60 days")).select("basename")
+
+
+add("stream_ingest", _ingest, "SELECT DISTINCT CONCAT('img', id % 4000) AS basename FROM v_det WHERE id % 3 > 0")
+add("stream_filter", lambda s, d: appended(s, timed(s, d), HALF, T.stream_filter).select("id"),
+    """SELECT id FROM v_det WHERE (imaflags_iso & 198589) = 0 AND flags <= 2 AND a_image / b_image <= 2 AND fwhm_image / seeing <= 2
+       AND fwhm_image >= seeing * 0.8e0 AND flux / fluxerr >= 5 AND rb >= CASE fid WHEN 3 THEN 0.6 ELSE 0.3 END""")
+add("stream_associate", lambda s, d: appended(
+        s, timed(s, d).select("id", "ra", "dec", "created_at"), HALF, lambda x: T.stream_associate(x, W.sources(s, d))).select("id", "matched_source", *r6("sep_deg")),
+    f"""SELECT d.id, s.id AS matched_source, round({hav('d.ra', 'd.dec', 's.ra', 's.dec')}, 6) AS sep_deg FROM v_det d JOIN v_src s ON {near('d', 's', R2)}""")
+
+
+def _associate_batches(spark, sf):
+    """Each micro-batch assigns its detections to the nearest known source, written under its number."""
+    known = W.sources(spark, sf)
+
+    def run(stream, out, check):
+        def step(batch: DataFrame, number: int) -> None:
+            match_known(batch, known).write.mode("overwrite").parquet(f"{out}/batch={number}")
+        T.run_associate(stream, step, check).awaitTermination()
+
+    out = in_two_steps(spark, timed(spark, sf).select("id", "ra", "dec", "created_at"), HALF, run)
+    return spark.read.parquet(f"{out}/batch=*").select("id", "source_id")
+
+
+add("stream_associate_batches", _associate_batches,
+    f"""SELECT id, source_id FROM (SELECT d.id, s.id AS source_id, row_number() OVER (PARTITION BY d.id ORDER BY {hav('d.ra', 'd.dec', 's.ra', 's.dec')}, s.id) AS k
+        FROM v_det d JOIN v_src s ON {near('d', 's', R2)}) t WHERE k = 1""")
+
+
+def _state(spark, sf):
+    rows = timed(spark, sf).withColumn("source_id", F.concat(F.lit("S"), "user_id")).select("id", "source_id", "rb", "ra", "dec", "mjd", "flux", "fluxerr", "created_at")
+
+    def run(stream, out, check):
+        T.run_updates(T.stream_source_state(stream), out, check)
+
+    out = in_two_steps(spark, rows, HALF, run)
+    return T.latest_state(spark, out, ["source_id"]).select("source_id", "n", *r6("sum_rb", "ra", "dec", "last_mjd"))
+
+
+add("stream_source_state", _state,
+    """SELECT CONCAT('S', user_id) AS source_id, count(*) AS n, round(sum(rb), 6) AS sum_rb, round(max_by(ra, (flux / fluxerr, -id)), 6) AS ra,
+       round(max_by(dec, (flux / fluxerr, -id)), 6) AS dec, round(max(mjd), 6) AS last_mjd FROM v_det GROUP BY user_id""")
+
+
+def _bins(spark, sf):
+    rows = W.images(spark, sf).select("id", "field", "ccdid", "qid", "fid", "obsdate")
+    out = appended(spark, rows, "obsdate < TIMESTAMP_NTZ '2020-06-01 00:00:00'", T.stream_stack_bins)
+    return out.withColumns({n: c(n).cast("timestamp_ntz") for n in ("binleft", "binright")})
+
+
+BINS = """SELECT field, ccdid, qid, fid, TIMESTAMP '2017-01-03' + to_days(CAST(7 * k AS INT)) AS binleft, TIMESTAMP '2017-01-03' + to_days(CAST(7 * k + 7 AS INT)) AS binright,
+  count(*) AS size FROM (SELECT *, CAST(ceil(date_diff('day', TIMESTAMP '2017-01-03', obsdate) / 7e0) AS BIGINT) - 1 AS k FROM v_img) t GROUP BY 1, 2, 3, 4, 5, 6"""
+add("stream_stack_bins", _bins,
+    "SELECT * FROM b WHERE binright <= (SELECT max(obsdate) - INTERVAL 1 MICROSECOND - INTERVAL 7 DAY FROM v_img)", {"b": BINS})
+
+
+def _alerts(spark, sf):
+    rows = timed(spark, sf).select((c("id") % 7000).alias("candid"), "created_at")
+
+    def run(stream, out, check):
+        T.stream_alerts(stream, out, check).awaitTermination()
+
+    out = in_two_steps(spark, rows, HALF, run)
+    return spark.read.parquet(f"{out}/batch=*").select("candid")
+
+
+add("stream_alerts", _alerts, "SELECT DISTINCT id % 7000 AS candid FROM v_det")
+
+
+def _sessions(spark, sf):
+    rows = timed(spark, sf).withColumn("source_id", F.concat(F.lit("S"), "user_id")).select("source_id", "flux", "created_at")
+    out = appended(spark, rows, HALF, lambda s: T.stream_sessions(s, gap="6 hours"))
+    return out.select("source_id", "n", F.round("max_flux", 6).alias("max_flux"), c("start").cast("timestamp_ntz").alias("start"), c("end").cast("timestamp_ntz").alias("end"))
+
+
+SESSIONS = """SELECT source_id, count(*) AS n, round(max(flux), 6) AS max_flux, min(t) AS start, max(t) + INTERVAL 6 HOUR AS "end" FROM
+  (SELECT *, sum(fresh) OVER (PARTITION BY source_id ORDER BY t) AS g FROM (SELECT CONCAT('S', user_id) AS source_id, flux, created_at AS t,
+   CASE WHEN created_at - lag(created_at) OVER (PARTITION BY user_id ORDER BY created_at) <= INTERVAL 6 HOUR THEN 0 ELSE 1 END AS fresh FROM v_det) a) b GROUP BY source_id, g"""
+add("stream_sessions", _sessions,
+    """SELECT * FROM s WHERE "end" <= (SELECT max(created_at) - INTERVAL 1 DAY FROM v_det)""", {"s": SESSIONS})
