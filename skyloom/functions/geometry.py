@@ -45,16 +45,27 @@ def sky_cell(ra: Column, dec: Column, h: float) -> Column:
     return F.struct(zone.alias("zone"), F.least(bucket_at(ra_norm, n), n - 1).alias("bucket"))
 
 
-def inside_polygon(ra: Column, dec: Column, corners: list[tuple[Column, Column]]) -> Column:
-    """Point inside a convex polygon with great-circle edges, either winding; edges count as inside."""
-    px, py, pz = unit_vector(ra, dec)
+def edge_normals(corners: list[tuple[Column, Column]]) -> list[tuple[Column, Column, Column]]:
+    """Normals of the great circles through neighbouring corners."""
     vs = [unit_vector(r, d) for r, d in corners]
-    sides = []
-    for (ax, ay, az), (bx, by, bz) in zip(vs, vs[1:] + vs[:1]):
-        sides.append((ay * bz - az * by) * px + (az * bx - ax * bz) * py + (ax * by - ay * bx) * pz)
+    return [
+        (ay * bz - az * by, az * bx - ax * bz, ax * by - ay * bx)
+        for (ax, ay, az), (bx, by, bz) in zip(vs, vs[1:] + vs[:1])
+    ]
+
+
+def inside_edges(ra: Column, dec: Column, normals: list[tuple[Column, Column, Column]]) -> Column:
+    """Point on one side of all great circles, either winding; edges count as inside."""
+    px, py, pz = unit_vector(ra, dec)
+    sides = [nx * px + ny * py + nz * pz for nx, ny, nz in normals]
     return (F.least(*sides) >= 0) | (F.greatest(*sides) <= 0)
 
 
+def inside_polygon(ra: Column, dec: Column, corners: list[tuple[Column, Column]]) -> Column:
+    """Point inside a convex polygon with great-circle edges."""
+    return inside_edges(ra, dec, edge_normals(corners))
+
+
 def pix2world(x: Column, y: Column, wcs: dict[str, Column]) -> Column:
     """C11: pixel (1-based) to sky through a linear tangent-plane solution without distortion."""
     dx, dy = x - wcs["crpix1"], y - wcs["crpix2"]

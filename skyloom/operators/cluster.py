@@ -60,14 +60,14 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     a lost executor costs at most one round. Only an emptiness test returns to the
     driver.
     """
-    pairs = store(_canonical(edges))
+    pairs = _canonical(edges)
     for _ in range(max_rounds):
-        if _is_empty(_not_stars(pairs)):
-            break
         # small graphs take two rounds per stored table: fewer, fuller jobs
         for _ in range(2 if fits_one_task(pairs) else 1):
             pairs = _star(_star(pairs, large=True), large=False)
         pairs = store(pairs)
+        if _is_empty(_not_stars(pairs)):
+            break
     else:
         raise RuntimeError(f"components did not settle in {max_rounds} rounds")
     leaves = pairs.select(F.col("src").alias("node"), F.col("dst").alias("root"))
@@ -101,18 +101,18 @@ def _with_low(pairs: DataFrame) -> DataFrame:
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
-    """One star step on canonical pairs.
+    """One star step on links from larger to smaller nodes.
 
     large: every node links its larger neighbours to the smallest of its neighbourhood.
-    small: every node links itself and its smaller neighbours to that smallest one.
+    small: every node links itself and its smaller neighbours to that smallest one;
+    repeated links go here.
     """
     if large:
         ends = F.explode(F.array(F.struct("src", "dst"), F.struct(F.col("dst").alias("src"), F.col("src").alias("dst"))))
         near = _with_low(pairs.select(ends.alias("e")).select("e.*")).filter("dst > src")
-        return _canonical(near.select(F.col("dst").alias("src"), F.least("low", "src").alias("dst")))
-    near = _with_low(pairs)
+        return near.select(F.col("dst").alias("src"), F.least("low", "src").alias("dst"))
     ends = F.explode(F.array("src", "dst"))
-    return _canonical(near.select(ends.alias("src"), F.col("low").alias("dst")))
+    return _canonical(_with_low(pairs).select(ends.alias("src"), F.col("low").alias("dst")))
 
 
 def _candidate_cells(cells: DataFrame) -> DataFrame:

@@ -18,6 +18,7 @@ from skyloom.operators.filters import is_bad
 from skyloom.operators.skew import exact_quantile, skew_join
 
 STRIP = 64
+APERTURE_STRIP = 16
 
 
 def bad_pixel(mask: Column) -> Column:
@@ -198,14 +199,16 @@ def strips(pixels: DataFrame, cols: list[str], width: int = STRIP) -> DataFrame:
     )
 
 
-def box_strips(pixels: DataFrame, boxes: DataFrame, cols: list[str], width: int = STRIP) -> DataFrame:
-    """Strips that cross each box ``(id, image_id, x0, x1, y0, y1)``, cut to it; absent pixels are absent."""
+def box_strips(pixels: DataFrame, boxes: DataFrame, cols: list[str], width: int = STRIP, how: str = "inner") -> DataFrame:
+    """Strips ``_run`` that cross each box ``(id, image_id, x0, x1, y0, y1)``, whole; one row per image row and tile.
+
+    With ``how="left"`` the tiles without pixels come too.
+    """
     rows = boxes.withColumn("y", F.explode(F.sequence("y0", "y1"))).withColumn(
         "_tile", F.explode(F.sequence(F.floor(F.col("x0") / width).cast("int"), F.floor(F.col("x1") / width).cast("int")))
     )
     wanted = pixels.select("image_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *cols)
-    joined = skew_join(rows, strips(wanted, cols, width), ["image_id", "y", "_tile"])
-    return joined.withColumn("_run", F.filter("_run", lambda p: p["x"].between(F.col("x0"), F.col("x1"))))
+    return skew_join(rows, strips(wanted, cols, width), ["image_id", "y", "_tile"], how)
 
 
 def _circle_box(positions: DataFrame, r: float) -> DataFrame:
@@ -244,9 +247,10 @@ def aperture_photometry(
     box. ``sums`` replaces the summed columns. Positions without any pixel are left out.
     """
     weight = _aperture_weight(r, method, subpixels, edge)
-    cells = box_strips(pixels, _circle_box(positions, r), ["value", "rms", "mask"]).select(
-        "id", "cx", "cy", "y", F.explode("_run").alias("_p")
-    ).select("id", "cx", "cy", "y", "_p.*").withColumn("w", weight)
+    boxes = box_strips(pixels, _circle_box(positions, r), ["value", "rms", "mask"], APERTURE_STRIP)
+    cells = boxes.select("id", "cx", "cy", "x0", "x1", "y", F.explode("_run").alias("_p"))
+    cells = cells.filter(F.col("_p.x").between(F.col("x0"), F.col("x1")))
+    cells = cells.select("id", "cx", "cy", "y", "_p.*").withColumn("w", weight)
     w = F.col("w")
     aggs = sums or {
         "flux": F.sum(F.col("value") * w),
@@ -275,25 +279,27 @@ def cutout(pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, f
         "id", "image_id", (x - half).alias("x0"), (x - half + size - 1).alias("x1"),
         (y - half).alias("y0"), (y - half + size - 1).alias("y1"),
     )
-    runs = box_strips(pixels, boxes, ["value"]).select(
-        "id", (F.col("y") - F.col("y0")).alias("dy"), "_tile",
-        F.transform("_run", lambda p: F.struct((p["x"] - F.col("x0")).alias("dx"), p["value"].cast("double").alias("v"))).alias("run"),
+    # each row of a box is one piece per tile, padded on its own, so that every piece is there
+    lo, hi = F.greatest("x0", F.col("_tile") * STRIP), F.least(F.col("x1"), F.col("_tile") * STRIP + (STRIP - 1))
+    cut = box_strips(pixels, boxes, ["value"], how="left").select(
+        "id", (F.col("y") - F.col("y0")).alias("dy"), "_tile", lo.alias("lo"), hi.alias("hi"),
+        F.filter("_run", lambda p: p["x"].between(F.col("x0"), F.col("x1"))).alias("_cut"),
+    )
+    padded = F.transform(
+        F.sequence("lo", "hi"),
+        lambda at: F.coalesce(F.get(F.filter("_cut", lambda p: p["x"] == at), F.lit(0))["value"].cast("double"), F.lit(fill)),
     )
-    rows = runs.groupBy("id").agg(F.sort_array(F.collect_list(F.struct("dy", "_tile", "run"))).alias("_rows"))
-
-    def line(dy: Column) -> Column:
-        cells = F.flatten(F.transform(F.filter("_rows", lambda s: s["dy"] == dy), lambda s: s["run"]))
-        filled = F.transform(
-            F.sequence(F.lit(0), F.lit(size - 1)),
-            lambda dx: F.coalesce(F.get(F.filter(cells, lambda c: c["dx"] == dx), F.lit(0))["v"], F.lit(fill)),
-        )
-        return F.when(F.size(cells) == size, F.transform(cells, lambda c: c["v"])).otherwise(filled)
-
-    stamp = F.transform(F.sequence(F.lit(0), F.lit(size - 1)), line)
-    blank = F.array_repeat(F.array_repeat(F.lit(fill), size), size)
-    return positions.select("id", "image_id").join(rows, "id", "left").select(
-        "id", "image_id", F.when(F.col("_rows").isNull(), blank).otherwise(stamp).alias("stamp")
+    length = F.col("hi") - F.col("lo") + 1
+    piece = (
+        F.when(F.col("_cut").isNull(), F.array_repeat(F.lit(fill), length))
+        .when(F.size("_cut") == length, F.transform("_cut", lambda p: p["value"].cast("double")))
+        .otherwise(padded)
     )
+    pieces = cut.select("id", F.struct("dy", "_tile", piece.alias("v")).alias("_piece"))
+    rows = pieces.groupBy("id", "_piece.dy").agg(F.sort_array(F.collect_list("_piece")).alias("_row"))
+    lines = rows.select("id", F.struct("dy", F.flatten(F.transform("_row", lambda p: p["v"])).alias("v")).alias("_line"))
+    stamps = lines.groupBy("id").agg(F.transform(F.sort_array(F.collect_list("_line")), lambda r: r["v"]).alias("stamp"))
+    return positions.select("id", "image_id").join(stamps, "id")
 
 
 def l2_normalized(stamp: Column) -> Column:

@@ -57,20 +57,20 @@ def last_mjd(times: DataFrame) -> DataFrame:
 
 
 def closest_three(
-    matches: DataFrame, key: str, cols: dict[str, str], by: str = "sep", unique: str = "objid",
+    matches: DataFrame, keys: list[str], cols: dict[str, str], by: str = "sep", unique: str = "objid",
     fill: float | None = None, n: int = 3,
 ) -> DataFrame:
     """the ``n`` nearest matches per key side by side: ``cols`` maps column to output stem."""
-    near = Window.partitionBy(key).orderBy(by, unique)
+    near = Window.partitionBy(*keys).orderBy(by, unique)
     top = matches.withColumn("_k", F.row_number().over(near)).filter(F.col("_k") <= n)
     # at most n rows per key are collected
-    rows = top.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_k", *cols))).alias("_rows"))
+    rows = top.groupBy(*keys).agg(F.sort_array(F.collect_list(F.struct("_k", *cols))).alias("_rows"))
     out = []
     for k in range(n):
         for col, stem in cols.items():
             value = F.get("_rows", F.lit(k))[col]
             out.append((F.coalesce(value, F.lit(fill)) if fill is not None else value).alias(f"{stem}{k + 1}"))
-    return rows.select(key, *out)
+    return rows.select(*keys, *out)
 
 
 def work_plan(df: DataFrame, n: int, *order: str | Column, name: str = "chunk", limit: int | None = None) -> DataFrame:

@@ -13,7 +13,7 @@ from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.functions.geometry import (
-    bucket_at, inside_polygon, sky_cell, sky_distance, zone_buckets, zone_of,
+    bucket_at, edge_normals, inside_edges, sky_cell, sky_distance, zone_buckets, zone_of,
 )
 from skyloom.operators.skew import fits_one_task, hot_keys, is_plain_scan, rank_in_group
 
@@ -113,9 +113,15 @@ def polygon_join(
 
     ``prefilter_deg`` must reach from a centre to its corners.
     """
-    near = cone_join(points, images, prefilter_deg, b_prefix=b_prefix, sep="_sep", cell_deg=2 * prefilter_deg, **cone)
-    corners = [(F.col(f"{b_prefix}ra{i}"), F.col(f"{b_prefix}dec{i}")) for i in (1, 2, 3, 4)]
-    return near.filter(inside_polygon(F.col("ra"), F.col("dec"), corners)).drop("_sep")
+    corners = [(F.col(f"ra{i}"), F.col(f"dec{i}")) for i in (1, 2, 3, 4)]
+    names = [[f"_n{i}{a}" for a in "xyz"] for i in range(4)]
+    # the edges are worked out once per footprint, not once per pair
+    edges = {n: value for row, normal in zip(names, edge_normals(corners)) for n, value in zip(row, normal)}
+    near = cone_join(
+        points, images.withColumns(edges), prefilter_deg, b_prefix=b_prefix, sep="_sep", cell_deg=2 * prefilter_deg, **cone
+    )
+    normals = [tuple(F.col(f"{b_prefix}{n}") for n in row) for row in names]
+    return near.filter(inside_edges(F.col("ra"), F.col("dec"), normals)).drop("_sep", *[f"{b_prefix}{n}" for n in edges])
 
 
 def polygon_contains_catalog(images: DataFrame, catalog: DataFrame, cols: list[str], **kwargs) -> DataFrame:

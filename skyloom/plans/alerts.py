@@ -12,6 +12,7 @@ from skyloom.functions.times import HALF_SECOND_DAYS, jd_to_mjd
 from skyloom.operators.aggregates import reference_span, stack_summary
 from skyloom.operators.relational import history_single, history_stack
 from skyloom.operators.skew import collect_parts, running_in_group, skew_join
+from skyloom.session import store
 from skyloom.sources.schemas import ALERT_VERSION, alert_schema
 
 POINTS_PER_PART = 10_000
@@ -107,7 +108,8 @@ def candidate_rows(
     span = reference_span(bridge, images).withColumnRenamed("coadd_id", "reference_image_id")
     rows = skew_join(rows, span, ["reference_image_id"], how="left")
     scores = realbogus.groupBy("detection_id").agg(F.min_by(F.struct("rb_score", "rb_version"), "id").alias("_rb"))
-    rows = rows.join(scores.withColumnRenamed("detection_id", "id"), "id", "left")
+    # read by the history, the light curves and the packets
+    rows = store(rows.join(scores.withColumnRenamed("detection_id", "id"), "id", "left"))
     past = history_before(
         rows.select("id", "source_id", "epoch"),
         history_single(all_det, single_subs, images), history_stack(all_det, stack_subs, bridge, images), limit,
@@ -148,7 +150,8 @@ def build_alerts(
         F.raise_error(F.concat(F.lit("no source for detection "), F.col("id").cast("string"))).cast("string"),
     )
     ready = det.withColumn("source_id", source)
-    rows = candidate_rows(ready, realbogus, images, single_subs, stack_subs, bridge, all_det, kind, limit)
+    rows = store(candidate_rows(ready, realbogus, images, single_subs, stack_subs, bridge, all_det, kind, limit))
+    matches = store(matches)
     points = light_curve_parts(phot, size, limit)
     cut = F.col("epoch") + HALF_SECOND_DAYS
     curves = skew_join(

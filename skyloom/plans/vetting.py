@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
@@ -10,7 +10,8 @@ from skyloom.functions.photometry import abmag
 from skyloom.operators.aggregates import distinct_names
 from skyloom.operators.ranking import closest_three
 from skyloom.operators.skew import skew_join
-from skyloom.operators.sky import cone_join, nearest_match
+from skyloom.operators.sky import cone_join
+from skyloom.session import store
 
 ARCSEC = 1.0 / 3600.0
 
@@ -25,40 +26,54 @@ MIN_REDSHIFT = 0.0001
 NO_SPEC_Z = -99.0
 
 
-def _close(sources: DataFrame, catalog: DataFrame) -> DataFrame:
-    """Catalog rows within two arcsec of a source; the widest rule needs no more."""
-    cols = ["objid", "ra", "dec", "type", "parallax", "fracmasked_g", "fracmasked_r", "fracmasked_z"]
-    pairs = cone_join(catalog.select(*cols), sources.select("id", "ra", "dec"), 2 * ARCSEC, b_prefix="s_")
-    return pairs.withColumn("sep", F.col("sep_deg") * 3600).drop("s_ra", "s_dec", "sep_deg")
+NEIGHBOR_COLUMNS = (
+    "objid", "ra", "dec", "type", "parallax", "fracmasked_g", "fracmasked_r", "fracmasked_z", "z_spec", "z_phot_median",
+)
 
 
-def _flat_rules(near: DataFrame, first: int) -> DataFrame:
+def neighbors(sources: DataFrame, north: DataFrame, south: DataFrame) -> DataFrame:
+    """Catalog rows within 30 arcsec of a source: ``sid``, ``sep``, ``half`` (0 north, 1 south), stored once.
+
+    Every rule and the redshift read this table, so each catalog half is read once.
+    """
+    both = north.withColumn("half", F.lit(0)).unionByName(south.withColumn("half", F.lit(1)))
+    pairs = cone_join(both, sources.select(F.col("id").alias("sid"), "ra", "dec"), K.NEIGHBOR_RADIUS_DEG, b_prefix="s_")
+    out = pairs.withColumn("sep", F.col("sep_deg") * 3600).withColumnRenamed("s_sid", "sid").drop("s_ra", "s_dec", "sep_deg")
+    return store(out)
+
+
+def _flat_rules(near: DataFrame) -> DataFrame:
     """Rules decided on the neighbour alone, as (sid, rule, reason)."""
     c = F.col
     masked = (c("fracmasked_g") > 0.2) | (c("fracmasked_r") > 0.2) | (c("fracmasked_z") > 0.2)
     rules = [
-        (first + 1, (c("parallax") > 0) & (c("sep") < 1.5), REASON_STAR),
-        (first + 2, masked & (c("sep") < 2), REASON_MASKED),
-        (first + 5, (c("type") == "PSF") & (c("sep") < 1), REASON_PSF),
+        (1, (c("parallax") > 0) & (c("sep") < 1.5), REASON_STAR),
+        (2, masked & (c("sep") < 2), REASON_MASKED),
+        (5, (c("type") == "PSF") & (c("sep") < 1), REASON_PSF),
     ]
     fired = F.array(*[
-        F.when(F.coalesce(cond, F.lit(False)), F.struct(F.lit(n).alias("rule"), F.lit(text).alias("reason"))) for n, cond, text in rules
+        F.when(F.coalesce(cond, F.lit(False)), F.struct((c("half") * 5 + n).alias("rule"), F.lit(text).alias("reason")))
+        for n, cond, text in rules
     ])
-    hits = near.select(c("s_id").alias("sid"), F.explode(F.filter(fired, lambda r: r.isNotNull())).alias("r"))
+    hits = near.select("sid", F.explode(F.filter(fired, lambda r: r.isNotNull())).alias("r"))
     return hits.select("sid", "r.*")
 
 
-def _list_rule(near: DataFrame, listed: DataFrame, rule: int, text: str) -> DataFrame:
+def _list_rules(near: DataFrame, lists: list[tuple[int, DataFrame, str]]) -> DataFrame:
     """A neighbour within 1.5 arcsec that lies within 1.5 arcsec of a listed object; smallest id in the reason."""
-    close = near.filter(F.col("sep") < 1.5).select(F.col("s_id").alias("sid"), "ra", "dec")
-    hits = cone_join(close, listed.select("id", "ra", "dec"), 1.5 * ARCSEC, b_prefix="l_")
-    named = hits.groupBy("sid").agg(F.min("l_id").alias("_id"))
-    return named.select("sid", F.lit(rule).alias("rule"), F.concat(F.lit(text), F.col("_id").cast("string")).alias("reason"))
+    listed = None
+    for number, table, text in lists:
+        part = table.select("id", "ra", "dec", F.lit(number).alias("number"), F.lit(text).alias("text"))
+        listed = part if listed is None else listed.unionByName(part)
+    close = near.filter(F.col("sep") < 1.5).select("sid", "half", "ra", "dec")
+    hits = cone_join(close, listed, 1.5 * ARCSEC, b_prefix="l_")
+    named = hits.groupBy("sid", (F.col("half") * 5 + F.col("l_number")).alias("rule"), "l_text").agg(F.min("l_id").alias("_id"))
+    return named.select("sid", "rule", F.concat("l_text", F.col("_id").cast("string")).alias("reason"))
 
 
 def veto_reasons(
     sources: DataFrame, north: DataFrame, south: DataFrame, hits: DataFrame, quasars: DataFrame,
-    redshifts: DataFrame | None = None,
+    redshifts: DataFrame | None = None, near: DataFrame | None = None,
 ) -> DataFrame:
     """(id, rule, reason) of the last rule that rejects each source.
 
@@ -66,16 +81,10 @@ def veto_reasons(
     variable, listed quasar, point source on top. Then the redshift rule. All rules
     fire at once and the highest number wins, combined before the shuffle.
     """
-    fired = None
-    for half, catalog in enumerate((north, south)):
-        near, first = _close(sources, catalog), 5 * half
-        part = (
-            _flat_rules(near, first)
-            .unionByName(_list_rule(near, hits, first + 3, REASON_HITS))
-            .unionByName(_list_rule(near, quasars, first + 4, REASON_QUASAR))
-        )
-        fired = part if fired is None else fired.unionByName(part)
-    z = redshifts if redshifts is not None else host_redshift(sources, north, south)
+    if near is None:
+        near = neighbors(sources, north.select(*NEIGHBOR_COLUMNS), south.select(*NEIGHBOR_COLUMNS))
+    fired = _flat_rules(near).unionByName(_list_rules(near, [(3, hits, REASON_HITS), (4, quasars, REASON_QUASAR)]))
+    z = redshifts if redshifts is not None else _nearest_redshift(near)
     no_host = sources.select("id").join(z.select("id", "redshift"), "id", "left").filter(
         F.col("redshift").isNull() | (F.col("redshift") <= MIN_REDSHIFT)
     )
@@ -106,24 +115,25 @@ def veto_sources(
     )
 
 
+def _nearest_redshift(near: DataFrame, *more: Column) -> DataFrame:
+    """(id, redshift, ...) of each source's nearest neighbour; a southern one goes before a northern one."""
+    z = F.when(F.col("z_spec") == NO_SPEC_Z, F.col("z_phot_median")).otherwise(F.col("z_spec"))
+    # smallest first: southern half, then distance, then id
+    order = F.struct(-F.col("half"), "sep", "objid")
+    best = near.groupBy(F.col("sid").alias("id")).agg(F.min_by(F.struct(z.alias("redshift"), *more), order).alias("h"))
+    return best.select("id", "h.*")
+
+
 def host_redshift(sources: DataFrame, north: DataFrame, south: DataFrame) -> DataFrame:
     """(id, redshift, neighbor_info) from the nearest neighbour within 30 arcsec.
 
     The spectroscopic value, or the photometric median where there is none; a
-    southern neighbour overrides a northern one.
+    southern neighbour overrides a northern one. ``neighbor_info`` is the whole
+    catalog row as JSON.
     """
-    found = None
-    for half, catalog in enumerate((north, south)):
-        cols = [c for c in catalog.columns if c != "sep_deg"]
-        best = nearest_match(sources.select("id", "ra", "dec"), catalog, K.NEIGHBOR_RADIUS_DEG, b_id="objid",
-                             b_prefix="n_", inclusive=True)
-        info = F.to_json(F.struct(*[F.col(f"n_{c}").alias(c) for c in cols], (F.col("sep_deg") * 3600).alias("sep")))
-        z = F.when(F.col("n_z_spec") == NO_SPEC_Z, F.col("n_z_phot_median")).otherwise(F.col("n_z_spec"))
-        part = best.select("id", F.lit(half).alias("half"), z.alias("redshift"), info.alias("neighbor_info"))
-        found = part if found is None else found.unionByName(part)
-    return found.groupBy("id").agg(
-        F.max_by(F.struct("redshift", "neighbor_info"), "half").alias("h")
-    ).select("id", "h.redshift", "h.neighbor_info")
+    near = neighbors(sources, north, south)
+    info = F.to_json(F.struct(*north.columns, "sep")).alias("neighbor_info")
+    return _nearest_redshift(near, info)
 
 
 # --- fixed values: catalog column to alert field stem --------------------------
@@ -148,25 +158,32 @@ def closest_ps1(det: DataFrame, ps1: DataFrame, scores: DataFrame) -> DataFrame:
     pairs = pairs.withColumn("sep", F.col("sep_deg") * 3600)
     pairs = skew_join(pairs, scores.select("objid", "ps_score"), ["objid"], how="left")
     pairs = pairs.withColumn("ps_score", F.coalesce("ps_score", F.lit(NO_SCORE)))
-    return closest_three(pairs, "d_id", PS1_FIELDS).withColumnRenamed("d_id", "id")
+    return closest_three(pairs, ["d_id"], PS1_FIELDS).withColumnRenamed("d_id", "id")
 
 
 def closest_legacy(sources: DataFrame, north: DataFrame, south: DataFrame) -> DataFrame:
     """The three nearest survey neighbours per source and catalog half (``half`` is north or south)."""
-    out = None
-    for half, catalog in (("north", north), ("south", south)):
-        mags = {b: abmag(F.col(f"flux_{b}")) for b in LEGACY_BANDS}
-        pairs = cone_join(catalog, sources.select("id", "ra", "dec"), K.NEIGHBOR_RADIUS_DEG, b_prefix="s_")
-        pairs = pairs.withColumns({"sep": F.col("sep_deg") * 3600, **mags})
-        near = closest_three(pairs, "s_id", LEGACY_FIELDS).withColumnRenamed("s_id", "source_id").withColumn("half", F.lit(half))
-        out = near if out is None else out.unionByName(near)
-    return out
+    both = north.withColumn("half", F.lit("north")).unionByName(south.withColumn("half", F.lit("south")))
+    pairs = cone_join(both, sources.select("id", "ra", "dec"), K.NEIGHBOR_RADIUS_DEG, b_prefix="s_")
+    mags = {b: abmag(F.col(f"flux_{b}")) for b in LEGACY_BANDS}
+    pairs = pairs.withColumns({"sep": F.col("sep_deg") * 3600, **mags})
+    return closest_three(pairs, ["s_id", "half"], LEGACY_FIELDS).withColumnRenamed("s_id", "source_id")
+
 
+def names_within(det: DataFrame, catalogs: dict[str, tuple[DataFrame, str]], size: int = 10_000) -> DataFrame:
+    """(id, part, one column per field): names of catalog objects within 1.5 arcsec of each detection.
 
-def names_within(det: DataFrame, catalog: DataFrame, name: str, out: str, size: int = 10_000) -> DataFrame:
-    """(id, part, names) of catalog objects within 1.5 arcsec of each detection."""
-    hits = cone_join(catalog.select(F.col(name).alias("name"), "ra", "dec"), det.select("id", "ra", "dec"), 1.5 * ARCSEC, b_prefix="d_")
-    return distinct_names(hits.select(F.col("d_id").alias("id"), "name"), "id", "name", size).withColumnRenamed("names", out)
+    ``catalogs`` maps a field to (catalog, name column); all are searched in one join.
+    """
+    everything = None
+    for field, (catalog, column) in catalogs.items():
+        part = catalog.select(F.col(column).alias("name"), "ra", "dec", F.lit(field).alias("field"))
+        everything = part if everything is None else everything.unionByName(part)
+    hits = cone_join(everything, det.select("id", "ra", "dec"), 1.5 * ARCSEC, b_prefix="d_")
+    lists = distinct_names(hits.select(F.struct(F.col("d_id").alias("id"), "field").alias("key"), "name"), "key", "name", size)
+    return lists.groupBy("key.id", "part").agg(
+        *[F.max(F.when(F.col("key.field") == field, F.col("names"))).alias(field) for field in catalogs]
+    )
 
 
 def crossmatch_candidate(
@@ -182,13 +199,6 @@ def crossmatch_candidate(
     base = det.select("id", "ra", "dec", "source_id", half.alias("half"))
     own = base.join(closest_ps1(det, ps1, scores), "id", "left")
     own = skew_join(own, closest_legacy(sources, north, south), ["source_id", "half"], how="left").drop("half", "ra", "dec", "source_id")
-    parts = base.select("id", F.lit(0).alias("part"))
-    lists = []
-    for field, (catalog, column) in names.items():
-        found = names_within(base, catalog, column, field, size)
-        lists.append((field, found))
-        parts = parts.unionByName(found.filter("part > 0").select("id", "part"))
-    parts = parts.distinct()
-    for field, found in lists:
-        parts = parts.join(found, ["id", "part"], "left").withColumn(field, F.coalesce(field, F.lit("")))
-    return parts.join(own, "id")
+    out = own.join(names_within(base, names, size), "id", "left")
+    # a detection without names has no list row; one whose list starts in a later part cannot exist
+    return out.withColumns({"part": F.coalesce("part", F.lit(0)), **{f: F.coalesce(f, F.lit("")) for f in names}})

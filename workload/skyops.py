@@ -102,7 +102,7 @@ def ranked(spark, sf):
 
 add("neighbors_ranked", lambda s, d: ranked(s, d).select("sid", "objid", "rank", *r6("sep")),
     "SELECT sid, objid, rank, round(sep, 6) AS sep FROM nb", {"nb": RANKED})
-add("closest_three", lambda s, d: ranking.closest_three(ranked(s, d), "sid", {"objid": "obj", "z_phot_median": "z"}, fill=-999).select(
+add("closest_three", lambda s, d: ranking.closest_three(ranked(s, d), ["sid"], {"objid": "obj", "z_phot_median": "z"}, fill=-999).select(
         "sid", *[F.round(f"obj{k}", 0).cast("long").alias(f"obj{k}") for k in (1, 2, 3)], *r6("z1", "z2", "z3")),
     "SELECT sid, " + ", ".join(f"coalesce(max(CASE WHEN rank = {k} THEN objid END), -999) AS obj{k}, "
                                f"round(coalesce(max(CASE WHEN rank = {k} THEN z_phot_median END), -999), 6) AS z{k}" for k in (1, 2, 3))
