@@ -95,22 +95,27 @@ def bit_or_flags(pixels: DataFrame, keys: list[str]) -> DataFrame:
     return pixels.groupBy(*keys).agg(F.bit_or("mask").alias("flags"))
 
 
+def _stack_inputs(images: DataFrame, subs: DataFrame, refs: DataFrame, version: str, until: str | None, days: int) -> DataFrame:
+    """Binned images that have a difference against a reference of ``version``."""
+    good = refs.filter(F.col("version") == version).select(F.col("id").alias("reference_image_id"))
+    done = subs.join(good, "reference_image_id", "left_semi").select(F.col("target_image_id").alias("id"))
+    keys = [*KEY, "binleft", "binright"]
+    return interval_bins(images.select("id", *KEY, "obsdate"), until, days=days).join(done, "id").select(*keys, "id")
+
+
 def stack_members(
     images: DataFrame, subs: DataFrame, refs: DataFrame, version: str, until: str | None = None,
     days: int = K.STACK_DAYS, min_size: int = 2,
 ) -> DataFrame:
     """One row per (stack, input image): the long form of a stack's target list.
 
-    Inputs are images that have a difference against a reference of ``version``.
     Expects the B3 cuts to be applied. A list column would hold a whole bin in one
     row; ``stack_targets`` packs it when the file format needs it.
     """
-    good = refs.filter(F.col("version") == version).select(F.col("id").alias("reference_image_id"))
-    done = subs.join(good, "reference_image_id", "left_semi").select(F.col("target_image_id").alias("id"))
-    binned = interval_bins(images, until, days=days).join(done, "id")
+    rows = _stack_inputs(images, subs, refs, version, until, days)
     keys = [*KEY, "binleft", "binright"]
-    sizes = binned.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= min_size)
-    return skew_join(binned.select(*keys, "id"), sizes, keys)
+    sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= min_size)
+    return skew_join(rows, sizes, keys)
 
 
 def stacks_to_build(
@@ -118,11 +123,10 @@ def stacks_to_build(
     until: str | None = None, days: int = K.STACK_DAYS, min_size: int = 2,
 ) -> DataFrame:
     """E9 with D9: new stacks with their size, first and last input."""
-    rows = stack_members(images, subs, refs, version, until, days, min_size)
-    keys = [*KEY, "binleft", "binright"]
-    plan = rows.groupBy(*keys).agg(
+    rows = _stack_inputs(images, subs, refs, version, until, days)
+    plan = rows.groupBy(*KEY, "binleft", "binright").agg(
         F.count(F.lit(1)).alias("size"), F.min("id").alias("first_id"), F.max("id").alias("last_id")
-    )
+    ).filter(F.col("size") >= min_size)
     return new_bins(plan, coadds)
 
 

@@ -236,11 +236,11 @@ add("new_bins", _new_bins, f"SELECT DISTINCT {K4}, binleft, binright FROM bins W
 
 def half_subs(spark, sf):
     """Differences of all inputs of even stacks and some of the others."""
-    return W.images(spark, sf).filter("stack_id % 2 = 0 OR id % 3 = 0").selectExpr(
+    return W.images(spark, sf).filter("stack_id % 2 = 0 OR CAST(floor(id / 192) AS BIGINT) % 3 = 0").selectExpr(
         "1000000 + id AS id", "id AS target_image_id", "9000000 + kidx AS reference_image_id")
 
 
-HALF = "SELECT stack_id AS coadd_id, 1000000 + id AS sub_id, 9000000 + kidx AS reference_image_id FROM v_img WHERE stack_id % 2 = 0 OR id % 3 = 0"
+HALF = "SELECT stack_id AS coadd_id, 1000000 + id AS sub_id, 9000000 + kidx AS reference_image_id FROM v_img WHERE stack_id % 2 = 0 OR CAST(floor(id / 192) AS BIGINT) % 3 = 0"
 COVER = """SELECT coadd_id, reference_image_id, count(*) AS n_subs, any_value(n) AS n_inputs FROM half
   JOIN (SELECT stack_id AS coadd_id, count(*) AS n FROM v_img GROUP BY 1) t USING (coadd_id) GROUP BY 1, 2"""
 add("overlapping_subtractions", lambda s, d: relational.overlapping_subtractions(W.stack_bridge(s, d), half_subs(s, d)).select("coadd_id", "reference_image_id", "sub_id"),
