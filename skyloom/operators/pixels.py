@@ -16,6 +16,7 @@ from skyloom.functions.geometry import circle_pixel_overlap
 from skyloom.operators.aggregates import mad
 from skyloom.operators.filters import is_bad
 from skyloom.operators.skew import exact_quantile, skew_join
+from skyloom.session import store
 
 STRIP = 64
 APERTURE_STRIP = 16
@@ -155,6 +156,8 @@ def suspicious_pixels(pixels: DataFrame, nsig: float = 5.0, limit: int | None =
     stats = mad(pixels.withColumn("_pixel", F.struct("x", "y")), ["image_id"], "value", "_pixel", 1.48, limit)
     level = skew_join(pixels.select("image_id", "x", "y", "value"), stats, ["image_id"], limit=limit)
     level = level.withColumn("_s", F.try_divide(F.col("value") - F.col("median"), F.col("sigma")))
+    # few pixels are that far out; both sides of the neighbour join read this small table
+    level = store(level.filter(F.abs("_s") > nsig).select("image_id", "x", "y", "_s"))
     low = level.filter(F.col("_s") < -nsig).select("image_id", "x", "y")
     steps = F.array(*[F.struct(F.lit(i).alias("dx"), F.lit(j).alias("dy")) for i in (-1, 0, 1) for j in (-1, 0, 1)])
     around = level.filter(F.col("_s") > nsig).withColumn("_d", F.explode(steps)).select(
@@ -296,21 +299,24 @@ def cutout(pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, f
         .otherwise(padded)
     )
     pieces = cut.select("id", F.struct("dy", "_tile", piece.alias("v")).alias("_piece"))
-    rows = pieces.groupBy("id", "_piece.dy").agg(F.sort_array(F.collect_list("_piece")).alias("_row"))
-    lines = rows.select("id", F.struct("dy", F.flatten(F.transform("_row", lambda p: p["v"])).alias("v")).alias("_line"))
-    stamps = lines.groupBy("id").agg(F.transform(F.sort_array(F.collect_list("_line")), lambda r: r["v"]).alias("stamp"))
+    rows = pieces.groupBy("id").agg(F.sort_array(F.collect_list("_piece")).alias("_rows"))
+    per_line = (F.size("_rows") / size).cast("int")
+    line = lambda dy: F.flatten(F.transform(F.slice("_rows", dy * per_line + 1, per_line), lambda p: p["v"]))
+    stamps = rows.select("id", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), line).alias("stamp"))
     return positions.select("id", "image_id").join(stamps, "id")
 
 
-def l2_normalized(stamp: Column) -> Column:
-    """A stamp over its L2 norm; NaN where the norm is zero."""
-    norm = F.sqrt(F.aggregate(F.flatten(stamp), F.lit(0.0), lambda acc, v: acc + v * v))
-    return F.transform(stamp, lambda row: F.transform(row, lambda v: F.when(norm > 0, v / norm).otherwise(float("nan"))))
+def triplet_normalize(stamps: DataFrame) -> DataFrame:
+    """``new``, ``ref`` and ``sub`` stamps over their L2 norm; NaN where the norm is zero."""
+    names = ("new", "ref", "sub")
+    # the norm is a column of its own: inside the lambda it would be summed up again for every value
+    norms = {f"_norm_{c}": F.sqrt(F.aggregate(F.flatten(c), F.lit(0.0), lambda acc, v: acc + v * v)) for c in names}
 
+    def scaled(c: str) -> Column:
+        norm = F.col(f"_norm_{c}")
+        return F.transform(c, lambda row: F.transform(row, lambda v: F.when(norm > 0, v / norm).otherwise(float("nan"))))
 
-def triplet_normalize(stamps: DataFrame) -> DataFrame:
-    """Normalized ``new``, ``ref`` and ``sub`` stamps of each detection."""
-    return stamps.withColumns({c: l2_normalized(F.col(c)) for c in ("new", "ref", "sub")})
+    return stamps.withColumns(norms).withColumns({c: scaled(c) for c in names}).drop(*norms)
 
 
 def stamp_type(image_type: Column) -> Column:

@@ -76,10 +76,9 @@ def closest_three(
 def work_plan(df: DataFrame, n: int, *order: str | Column, name: str = "chunk", limit: int | None = None) -> DataFrame:
     """``n`` contiguous, near-equal chunks (0-based); the first ``len % n`` get one row more.
 
-    ``order`` must end in a unique column. The row count is a scalar subquery.
+    ``order`` must end in a unique column.
     """
-    rows = number_rows(df, *order, name="_row", limit=limit)
-    rows = rows.withColumn("_total", rows.agg(F.count(F.lit(1))).scalar())
+    rows = number_rows(df, *order, name="_row", total="_total", limit=limit)
     small, extra = F.floor(F.col("_total") / n), F.col("_total") % n
     head = extra * (small + 1)
     chunk = F.when(F.col("_row") < head, F.floor(F.col("_row") / (small + 1))).otherwise(
@@ -100,8 +99,7 @@ def fixed_batches(df: DataFrame, size: int, *order: str | Column, name: str = "c
 
 def recursive_split(df: DataFrame, n: int, *order: str | Column, name: str = "chunk", limit: int | None = None) -> DataFrame:
     """``n`` chunks cut off one after the other as ``remaining // chunks left``; extras go last."""
-    rows = number_rows(df, *order, name="_row", limit=limit)
-    rows = rows.withColumn("_total", rows.agg(F.count(F.lit(1))).scalar())
+    rows = number_rows(df, *order, name="_row", total="_total", limit=limit)
     small, extra = F.floor(F.col("_total") / n), F.col("_total") % n
     plain = (F.lit(n) - extra) * small
     chunk = F.when(F.col("_row") < plain, F.floor(F.try_divide(F.col("_row"), small))).otherwise(

@@ -16,6 +16,9 @@ from skyloom.session import store
 
 ONE_TASK_BYTES = 256 << 20
 HOT_ROWS = 1_000_000
+PIECE_BYTES = 128 << 20
+MAX_PIECES = 100_000
+UNKNOWN_BYTES = 1 << 60
 _POS_MASK = (1 << 33) - 1
 
 
@@ -96,8 +99,12 @@ def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
     """Globally sorted and stored once, with ``_part`` and the position ``_pos`` in it.
 
     ``order`` must end in a unique column, so that equal leading keys can be split.
+    The number of pieces grows with the input: a piece has to fit one task.
     """
     parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    size = plan_bytes(df)
+    if size < UNKNOWN_BYTES:
+        parts = max(parts, min(size // PIECE_BYTES + 1, MAX_PIECES))
     return store(
         df.repartitionByRange(parts, *order)
         .sortWithinPartitions(*order)
@@ -107,16 +114,22 @@ def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, *order: str | Column, name: str = "row", start: int = 0, limit: int | None = None
+    df: DataFrame, *order: str | Column, name: str = "row", start: int = 0, total: str | None = None,
+    limit: int | None = None,
 ) -> DataFrame:
-    """Number all rows of a frame in ``order``; beyond one task's worth by a stored range sort."""
+    """Number all rows of a frame in ``order``; beyond one task's worth by a stored range sort.
+
+    ``total`` adds a column with the number of rows.
+    """
     if fits_one_task(df, limit):
-        return df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") + F.lit(start - 1))
+        out = df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") + F.lit(start - 1))
+        return out if total is None else out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy()))
     rows = range_sorted(df, *order)
     # one row per partition: bounded by the partition count
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     offsets = rows.groupBy("_part").agg((F.max("_pos") + 1).alias("_size")).select(
-        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset")
+        "_part", F.coalesce(F.sum("_size").over(before), F.lit(0)).alias("_offset"),
+        *([] if total is None else [F.sum("_size").over(Window.partitionBy()).alias(total)]),
     )
     return (
         rows.join(F.broadcast(offsets), "_part")

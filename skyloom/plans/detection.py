@@ -9,6 +9,7 @@ from skyloom import constants as K
 from skyloom.operators.filters import detection_cuts, is_bad, kill_flagged, rb_cut, too_many_detections
 from skyloom.operators.pixels import aperture_mean_rms, negative_pixel_cut
 from skyloom.operators.skew import exact_quantile, skew_join
+from skyloom.session import store
 
 
 def with_pixel_quality(catalog: DataFrame, pixels: DataFrame, limit: int | None = None) -> DataFrame:
@@ -23,11 +24,14 @@ def with_pixel_quality(catalog: DataFrame, pixels: DataFrame, limit: int | None
 def filter_detections(
     catalog: DataFrame, pixels: DataFrame, max_rows: int = K.MAX_DETECTIONS, limit: int | None = None
 ) -> tuple[DataFrame, DataFrame]:
-    """All quality cuts in order; returns kept detections and failed images.
+    """All quality cuts; returns kept detections and failed images.
 
-    ``catalog`` carries the real/bogus score ``rb`` of each object (see ``score_batches``).
+    A row is kept when it passes every cut, so the cuts that look at the row alone go
+    first and only what they leave is measured on the pixels. ``catalog`` carries the
+    real/bogus score ``rb`` of each object (see ``score_batches``); for the counts
+    after each cut in the documented order use ``with_pixel_quality`` and ``cut_funnel``.
     """
-    rows = with_pixel_quality(kill_flagged(catalog), pixels, limit)
-    good = detection_cuts(rows).filter("goodcut")
-    good = rb_cut(negative_pixel_cut(good, pixels, limit=limit))
-    return too_many_detections(good, max_rows)
+    good = rb_cut(detection_cuts(kill_flagged(catalog), with_pixels=False).filter("goodcut"))
+    good = detection_cuts(with_pixel_quality(good, pixels, limit)).filter("goodcut")
+    # read for the counts, the kept rows and the failures
+    return too_many_detections(store(negative_pixel_cut(good, pixels, limit=limit)), max_rows)

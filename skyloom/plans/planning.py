@@ -30,11 +30,10 @@ def plan_night(images: DataFrame, copies: DataFrame, refs: DataFrame, subs: Data
                jobs: DataFrame, version: str, size: int = K.JOB_SIZE, limit: int | None = None, **cuts) -> DataFrame:
     """P10: images to subtract over all fields, newest name first, in near-equal jobs of at most ``size``.
 
-    The number of jobs is ceil(rows / size), a scalar subquery; no row count reaches the driver.
+    The number of jobs is ceil(rows / size); no row count reaches the driver.
     """
     todo = images_to_subtract(science_candidates(images, **cuts), copies, refs, subs, failed, jobs, version)
-    rows = ranking.number_rows(todo, F.col("basename").desc(), "id", name="_row", limit=limit)
-    rows = rows.withColumn("_total", rows.agg(F.count(F.lit(1))).scalar())
+    rows = ranking.number_rows(todo, F.col("basename").desc(), "id", name="_row", total="_total", limit=limit)
     n = F.greatest(F.lit(1), F.ceil(F.col("_total") / size))
     small, extra = F.floor(F.col("_total") / n), F.pmod(F.col("_total"), n)
     head = extra * (small + 1)

@@ -193,7 +193,7 @@ def packets(spark, sf, kind: str):
     single, stack = W.subs(spark, sf), W.stack_subs(spark, sf)
     return alerts.build_alerts(
         det, W.realbogus(spark, sf), headed_images(spark, sf), single, stack, all_bridges(spark, sf), W.placed_detections(spark, sf),
-        W.photometry(spark, sf), matches(spark, sf, det), X.stamps(spark, sf, 3), kind, size=40)
+        W.photometry(spark, sf), matches(spark, sf, det), X.stamps(spark, sf, 3, det), kind, size=40)
 
 
 def flat_packets(kind: str, *own):

@@ -153,9 +153,11 @@ add("circle_pixel_overlap", lambda s, d: W.pixel_positions(s, d).select("id", F.
     f"SELECT id, round({overlap_sql('(x - 3)', '(y - 3)', 2.7)}, 6) AS w FROM v_pos")
 
 
-def stamps(spark, sf, size=5):
+def stamps(spark, sf, size=5, only=None):
     """Three stamps per position: the image, its weight-like copy and its negative."""
     pix, pos = W.pixels(spark, sf), W.pixel_positions(spark, sf)
+    if only is not None:
+        pos = pos.join(only.select("id"), "id", "left_semi")
     out = None
     for kind, scale in (("new", 1.0), ("ref", 0.5), ("sub", -1.0)):
         part = P.cutout(pix.withColumn("value", c("value") * scale), pos, size).select("id", F.lit(kind).alias("type"), "stamp")
