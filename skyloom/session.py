@@ -5,6 +5,8 @@ from __future__ import annotations
 import os
 import tempfile
 import uuid
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -45,6 +47,26 @@ def build_session(app: str = "skyloom", cores: int | str = "*", memory: str = "8
     return tune(spark)
 
 
+_SHIPPED: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Make this package importable in the Python workers, once per application.
+
+    Nothing is sent where the workers' ``PYTHONPATH`` already has the package.
+    """
+    root = Path(__file__).resolve().parents[1]
+    app = spark.sparkContext.applicationId
+    if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="skyloom-ship-")) / "skyloom_package.zip"
+    with zipfile.ZipFile(archive, "w") as out:
+        for file in sorted((root / "skyloom").rglob("*.py")):
+            out.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _SHIPPED.add(app)
+
+
 def scratch_root(spark: SparkSession) -> str:
     """The shared folder named by ``spark.checkpoint.dir``.
 
