@@ -30,7 +30,7 @@ BITS = 20
 TRAIN_ROWS = 20_000
 EPOCHS = 4
 ALPHA, BETA, L2 = 4.0, 1.0, 0.1
-L1_ROWS, L1_LEAST, L1_MOST = 2000, 2.0, 10.0  # the L1 term grows with the sample, within bounds
+L1_ROWS, L1_LEAST, L1_MOST = 1300, 4.0, 10.0  # the L1 term grows with the sample, within bounds
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
 _SHIFT = np.uint64(64 - BITS)
