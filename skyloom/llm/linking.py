@@ -155,7 +155,8 @@ def confirmed_links(docs: DataFrame, keyed: DataFrame, lower: bool = True) -> Da
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
-    found = texts.join(keyed, "node").select("node", "keys", "text").mapInArrow(sets, "node long, keys array<long>, shingles array<long>")
+    # the nodes grow with the documents: the same join at every size
+    found = texts.join(keyed.hint("merge"), "node").select("node", "keys", "text").mapInArrow(sets, "node long, keys array<long>, shingles array<long>")
     dealt = found.select(F.explode("keys").alias("key"), "node", "shingles").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(link, "src long, dst long")
 
