@@ -187,6 +187,9 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             ], names=["at", "text_key", "start", "count"])
 
 
+# the joins of texts are sort-merge joins at every size: their other sides grow with the documents
+
+
 def repeated_spans(docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(copies, spans): rows whose whole text has a smaller copy, and runs of removed windows of the others.
 
@@ -206,7 +209,7 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, Data
 
     def sent(hot: bool, schema: str) -> DataFrame:
         mine = wanted.filter(F.col("hot") == F.lit(hot)).drop("hot")
-        return texts.join(mine, _ROW).select(*_ROW, "text", "wanted").mapInArrow(_send(hot), schema)
+        return texts.join(mine.hint("merge"), _ROW).select(*_ROW, "text", "wanted").mapInArrow(_send(hot), schema)
 
     strings = sent(False, "at long, text_key long, start int, key long, words string")
     found = strings.repartition("key").sortWithinPartitions("key").mapInArrow(_count, "at long, text_key long, start int, count int")
@@ -249,7 +252,7 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         "at", "n_words", F.when(is_copy, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(is_copy, F.sha2(F.lit(""), 256)).otherwise(F.col("words_sha256")).alias("kept_sha256"),
     )
-    cut = _identified(docs).join(spans, _ROW).select("at", _without("text", "spans").alias("w"))
+    cut = _identified(docs).join(spans.hint("merge"), _ROW).select("at", _without("text", "spans").alias("w"))
     counted = cut.select("at", "w.n_removed", F.sha2("w.kept", 256).alias("kept_sha256"), F.size(F.split("w.kept", " ")).alias("left"), "w.kept")
     left = F.when(F.col("kept") == "", F.lit(0)).otherwise(F.col("left"))
     counted = counted.select("at", (F.col("n_removed") + left).alias("n_words"), "n_removed", "kept_sha256")
@@ -269,7 +272,7 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     state = state.withColumnsRenamed({"at": "_at", "text_key": "_text_key"})
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
     keyed = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_at"), F.xxhash64(F.col("text").cast("string")).alias("_text_key"))
-    joined = keyed.join(state, ["_at", "_text_key"], "left")
+    joined = keyed.join(state.hint("merge"), ["_at", "_text_key"], "left")
     cut = F.when(F.col("_spans").isNotNull(), F.col("_row.text").cast("string"))
     text: Column = F.when(F.col("_copy"), F.lit("")).when(F.col("_spans").isNotNull(), _without(cut, "_spans")["kept"])
     after = joined.select("_row", F.coalesce(text, F.col("_row.text")).alias("_new"), F.col("_copy").isNotNull().alias("_changed"))
