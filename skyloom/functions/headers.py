@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom.constants import BANDS
+
 # --- fixed values: typed image columns and the header keys that fill them ---
 HEADER_COLUMNS = {
     "obsjd": ("OBSJD", "double"), "infobits": ("INFOBITS", "int"), "pid": ("DBPID", "long"),
@@ -22,14 +24,31 @@ SOLVED_DROP = ("FLXSCALE", "MAGZEROP", "PHOTIRMS", "PHOTINST", "PHOTLINK", "COMM
 
 
 def header_extract(images: DataFrame, header: str = "header") -> DataFrame:
-    """Fill null typed columns from the header; the partition key is always taken from it."""
-    get = lambda key, kind: F.try_element_at(F.col(header), F.lit(key)).try_cast(kind)
+    """Fill null typed columns from the header; the partition key is always taken from it.
+
+    ``filtercode`` follows from the filter, ``imgtypecode`` and ``filefracday`` from ``FILENAME``. Reading raises for a
+    header without a key of the partition, and for one without ``FILENAME`` if a column needs it.
+    """
+    found = lambda key: F.try_element_at(F.col(header), F.lit(key))
+    get = lambda key, kind: found(key).try_cast(kind)
+
+    def needed(key: str, kind: str) -> Column:
+        error = F.raise_error(F.lit(f"the header has no usable {key}"))
+        return F.coalesce(get(key, kind), error.cast(kind))
+
+    def filled(name: str, value: Column) -> Column:
+        return F.coalesce(F.col(name), value) if name in images.columns else value
+
     out = {}
     for name, (key, kind) in HEADER_COLUMNS.items():
-        value = get(key, kind)
-        out[name] = F.coalesce(F.col(name), value) if name in images.columns else value
+        out[name] = filled(name, get(key, kind))
     for name, key in KEY_COLUMNS.items():
-        out[name] = get(key, "int")
+        out[name] = needed(key, "int")
+    bands = F.create_map(*[F.lit(v) for pair in BANDS.items() for v in pair])
+    file = needed("FILENAME", "string")
+    out["filtercode"] = filled("filtercode", F.try_element_at(bands, out["fid"]))
+    out["imgtypecode"] = filled("imgtypecode", F.substring(F.substring_index(file, ".", 1), -1, 1))
+    out["filefracday"] = filled("filefracday", F.get(F.split(file, "_"), F.lit(1)).try_cast("long"))
     return images.withColumns(out)
 
 

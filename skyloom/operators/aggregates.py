@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.functions.photometry import snr
 from skyloom.functions.times import jd_to_mjd
 from skyloom.operators.relational import KEY, interval_bins, new_bins
-from skyloom.operators.skew import collect_parts, exact_quantile, skew_join
+from skyloom.operators.skew import collect_parts, exact_quantile, null_safe_join
 from skyloom.operators.sky import nearest_match
 
 
@@ -21,7 +21,7 @@ def source_score(det: DataFrame, realbogus: DataFrame) -> DataFrame:
 
 def _epochs(bridge: DataFrame, images: DataFrame, *cols: str) -> DataFrame:
     rows = bridge.select("coadd_id", F.col("image_id").alias("id"))
-    return skew_join(rows, images.select("id", *cols), ["id"])
+    return rows.join(images.select("id", *cols), ["id"])
 
 
 def reference_span(bridge: DataFrame, images: DataFrame) -> DataFrame:
@@ -38,25 +38,25 @@ def stack_span(bridge: DataFrame, images: DataFrame) -> DataFrame:
     )
 
 
-def stack_median_mjd(bridge: DataFrame, images: DataFrame, limit: int | None = None) -> DataFrame:
-    """Interpolated median MJD of each stack."""
+def stack_median_mjd(bridge: DataFrame, images: DataFrame) -> DataFrame:
+    """Interpolated median MJD of each stack (a stack has at most some hundred frames)."""
     rows = _epochs(bridge, images, "obsjd").withColumn("mjd", jd_to_mjd(F.col("obsjd")))
-    return exact_quantile(rows, ["coadd_id"], "mjd", "id", 0.5, "median_mjd", limit)
+    return rows.groupBy("coadd_id").agg(F.percentile("mjd", F.lit(0.5)).alias("median_mjd"))
 
 
-def stack_summary(bridge: DataFrame, images: DataFrame, limit: int | None = None) -> DataFrame:
+def stack_summary(bridge: DataFrame, images: DataFrame) -> DataFrame:
     """E5: start, end, median JD, frame count and total exposure of each stack."""
     rows = _epochs(bridge, images, "obsjd", "exptime")
-    plain = rows.groupBy("coadd_id").agg(
+    return rows.groupBy("coadd_id").agg(
         F.min("obsjd").alias("jdstartstack"), F.max("obsjd").alias("jdendstack"),
         F.count("id").alias("nframesstack"), F.sum("exptime").alias("exptime"),
+        F.percentile("obsjd", F.lit(0.5)).alias("jdmed"),
     )
-    return plain.join(exact_quantile(rows, ["coadd_id"], "obsjd", "id", 0.5, "jdmed", limit), "coadd_id")
 
 
 def seeing_estimate(
     catalog: DataFrame, stars: DataFrame, fallback: DataFrame, max_deg: float = 1.0 / 3600.0,
-    strict: bool = True, limit: int | None = None,
+    strict: bool = True,
 ) -> DataFrame:
     """Median FWHM per image of objects matched to calibrator stars.
 
@@ -69,7 +69,7 @@ def seeing_estimate(
     for n, table in enumerate((stars, fallback)):
         pos = table.select("id", "ra", "dec")
         hits = nearest_match(rows, pos, max_deg).select("id", "image_id", "fwhm_image")
-        med = exact_quantile(hits, ["image_id"], "fwhm_image", "id", 0.5, f"seeing{n}", limit)
+        med = exact_quantile(hits, ["image_id"], "fwhm_image", 0.5, f"seeing{n}")
         found = med if found is None else found.join(med, "image_id", "full")
     images = catalog.select("image_id").distinct().join(found, "image_id", "left")
     seeing = F.coalesce("seeing0", "seeing1")
@@ -80,14 +80,14 @@ def seeing_estimate(
 
 
 def mad(
-    df: DataFrame, keys: list[str], value: str, unique: str, scale: float = 1.4826, limit: int | None = None
+    df: DataFrame, keys: list[str], value: str, scale: float = 1.4826
 ) -> DataFrame:
     """Median and scaled median absolute deviation per group."""
-    med = exact_quantile(df, keys, value, unique, 0.5, "median", limit)
-    dev = skew_join(df.select(*dict.fromkeys([*keys, value, unique])), med, keys, limit=limit)
+    med = exact_quantile(df, keys, value, 0.5, "median")
+    dev = null_safe_join(df.select(*dict.fromkeys([*keys, value])), med, keys)
     dev = dev.withColumn("_dev", F.abs(F.col(value) - F.col("median")))
-    spread = exact_quantile(dev, keys, "_dev", unique, 0.5, "_mad", limit)
-    return med.join(spread, keys).withColumn("sigma", F.col("_mad") * scale).drop("_mad")
+    spread = exact_quantile(dev, keys, "_dev", 0.5, "_mad")
+    return null_safe_join(med, spread, keys).withColumn("sigma", F.col("_mad") * scale).drop("_mad")
 
 
 def bit_or_flags(pixels: DataFrame, keys: list[str]) -> DataFrame:
@@ -115,7 +115,7 @@ def stack_members(
     rows = _stack_inputs(images, subs, refs, version, until, days)
     keys = [*KEY, "binleft", "binright"]
     sizes = rows.groupBy(*keys).agg(F.count(F.lit(1)).alias("size")).filter(F.col("size") >= min_size)
-    return skew_join(rows, sizes, keys)
+    return rows.join(sizes, keys)
 
 
 def stacks_to_build(
@@ -130,9 +130,9 @@ def stacks_to_build(
     return new_bins(plan, coadds)
 
 
-def stack_targets(members: DataFrame, size: int = 10_000, limit: int | None = None) -> DataFrame:
+def stack_targets(members: DataFrame, size: int = 10_000) -> DataFrame:
     """Input id arrays per stack, in parts of at most ``size`` ids."""
-    return collect_parts(members, [*KEY, "binleft", "binright"], ["id"], F.col("id"), size, "target", limit)
+    return collect_parts(members, [*KEY, "binleft", "binright"], ["id"], F.col("id"), size, "target")
 
 
 def best_detection(det: DataFrame, group: str = "source_id", cols: list[str] | None = None) -> DataFrame:
@@ -151,31 +151,32 @@ def detection_counts(history: DataFrame, keys: list[str]) -> DataFrame:
     )
 
 
-def distinct_names(matches: DataFrame, key: str, name: str, size: int = 10_000, limit: int | None = None) -> DataFrame:
+def distinct_names(matches: DataFrame, key: str, name: str, size: int = 10_000) -> DataFrame:
     """Sorted, comma-joined distinct names per key, in parts of at most ``size`` names.
 
     Duplicates go before anything is collected; nearly every key has part 0 only.
     """
     unique = matches.filter(F.col(name).isNotNull()).select(key, name).distinct()
-    parts = collect_parts(unique, [key], [name], F.col(name), size, "_names", limit)
+    parts = collect_parts(unique, [key], [name], F.col(name), size, "_names")
     return parts.select(key, "part", F.array_join("_names", ",").alias("names"))
 
 
 def mixed_groups(df: DataFrame, group: str, cols: list[str] = KEY) -> DataFrame:
     """Groups whose members differ in any of ``cols``.
 
-    Smallest against largest value: no distinct set is built up, and null never differs.
+    Smallest against largest value, and nulls beside values: no distinct set is built up.
     """
     differs = F.lit(False)
     for c in cols:
-        differs = differs | (F.min(c) != F.max(c))
+        some_null = (F.count(c) > 0) & (F.count(c) < F.count(F.lit(1)))
+        differs = differs | F.coalesce(F.min(c) != F.max(c), F.lit(False)) | some_null
     return df.groupBy(group).agg(F.count(F.lit(1)).alias("n"), differs.alias("_mixed")).filter("_mixed").drop("_mixed")
 
 
 def assert_same_properties(df: DataFrame, group: str, cols: list[str] = KEY) -> DataFrame:
     """The frame itself; reading it raises for a group that mixes properties."""
     bad = mixed_groups(df, group, cols).select(group, F.lit(True).alias("_bad"))
-    checked = skew_join(df, bad, [group], how="left")
+    checked = df.join(bad, [group], "left")
     message = F.concat(F.lit("images of one stack must share " + ", ".join(cols) + ": group "), F.col(group).cast("string"))
     return checked.filter(F.when(F.col("_bad"), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_bad")
 

@@ -14,16 +14,17 @@ from __future__ import annotations
 from functools import reduce
 from math import radians, sin, sqrt
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom.functions.geometry import unit_vector
-from skyloom.operators.skew import fits_one_task, number_rows, skew_join
+from skyloom.operators.skew import number_rows
 from skyloom.session import store
 
 _AXES = ("x", "y", "z")
 _CELL = ("cx", "cy", "cz")
 MAX_ROUNDS = 60
+ROUNDS_PER_TABLE = 2
 SPLIT = 4
 DIRECT_PAIRS = 4096
 
@@ -56,14 +57,12 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     """(node, root) for every node of an undirected edge list (src, dst); root is the smallest node.
 
     Alternates large-star and small-star steps: the number of rounds grows with the
-    logarithm of the longest chain, not with its length. Each round is stored, so
-    a lost executor costs at most one round. Only an emptiness test returns to the
-    driver.
+    logarithm of the longest chain, not with its length. Every second round is stored,
+    so a lost executor costs at most two. Only an emptiness test returns to the driver.
     """
     pairs = _canonical(edges)
     for _ in range(max_rounds):
-        # small graphs take two rounds per stored table: fewer, fuller jobs
-        for _ in range(2 if fits_one_task(pairs) else 1):
+        for _ in range(ROUNDS_PER_TABLE):
             pairs = _star(_star(pairs, large=True), large=False)
         pairs = store(pairs)
         if _is_empty(_not_stars(pairs)):
@@ -94,10 +93,8 @@ def _canonical(edges: DataFrame) -> DataFrame:
 
 
 def _with_low(pairs: DataFrame) -> DataFrame:
-    """Adds the smallest neighbour of ``src``; a node with very many neighbours is split."""
-    if fits_one_task(pairs):
-        return pairs.withColumn("low", F.min("dst").over(Window.partitionBy("src")))
-    return skew_join(pairs, pairs.groupBy("src").agg(F.min("dst").alias("low")), ["src"])
+    """Adds the smallest neighbour of ``src``; combined before the shuffle, so a node may have very many neighbours."""
+    return pairs.join(pairs.groupBy("src").agg(F.min("dst").alias("low")), ["src"])
 
 
 def _star(pairs: DataFrame, large: bool) -> DataFrame:
@@ -151,15 +148,15 @@ def link_positions(points: DataFrame, eps_deg: float) -> DataFrame:
     roots = connected_components(judged.filter("linked").select(F.col("pa").alias("src"), F.col("pb").alias("dst")))
     level = _still_apart(judged.filter(~F.col("linked")).drop("linked"), roots)
     level = store(level.withColumns({"a_path": F.lit(""), "b_path": F.lit("")}))
-    members = skew_join(placed, cells.select(*_CELL, F.col("rep").alias("cell")), list(_CELL)).drop(*_CELL)
+    members = placed.join(cells.select(*_CELL, F.col("rep").alias("cell")), list(_CELL)).drop(*_CELL)
     if not _is_empty(level):
         roots = _refine(members.withColumn("path", F.lit("")), level, roots, eps2, side)
-    labelled = skew_join(members.select("id", "cell"), roots.withColumnRenamed("node", "cell"), ["cell"], how="left")
+    labelled = members.select("id", "cell").join(roots.withColumnRenamed("node", "cell"), ["cell"], "left")
     labelled = labelled.select("id", F.coalesce("root", "cell").alias("root"))
     # a component has company if it has two cells, or one cell with two points
     sizes = cells.select(F.col("rep").alias("node"), "n").join(roots, "node", "left")
     sizes = sizes.groupBy(F.coalesce("root", "node").alias("root")).agg(F.sum("n").alias("n")).filter("n >= 2")
-    return skew_join(labelled, sizes.select("root"), ["root"], how="left_semi")
+    return labelled.join(sizes.select("root"), ["root"], "left_semi")
 
 
 def _still_apart(pairs: DataFrame, roots: DataFrame) -> DataFrame:
@@ -197,7 +194,7 @@ def _refine(members: DataFrame, level: DataFrame, roots: DataFrame, eps2: float,
                 heavy.select(F.col("pb").alias("cell"), F.col("b_path").alias("path"))
             ).distinct()
             sub = F.concat_ws("/", *[F.floor(F.col(a) / side).cast("string") for a in _AXES])
-            inside = skew_join(members, involved, ["cell", "path"], how="left_semi")
+            inside = members.join(involved, ["cell", "path"], "left_semi")
             inside = store(inside.withColumn("parent", F.col("path")).withColumn("path", sub))
             members = inside.drop("parent")
             boxes = _boxes(inside, ["cell", "parent", "path"]).drop("rep")
@@ -226,7 +223,7 @@ def cluster_dbscan(points: DataFrame, eps_deg: float, min_samples: int = 2) -> D
     linked = store(link_positions(points, eps_deg))
     order = linked.groupBy("root").agg(F.min("id").alias("first_id"))
     numbered = number_rows(order, "first_id", name="cluster").select("root", "cluster")
-    return skew_join(linked, numbered, ["root"]).select("id", "cluster")
+    return linked.join(numbered, ["root"]).select("id", "cluster")
 
 
 def source_numbering(clusters: DataFrame, start: int, order: str = "cluster", prefix: str = "S", width: int = 8) -> DataFrame:

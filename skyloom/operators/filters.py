@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
-from skyloom.operators.skew import skew_join
+
 
 
 def reference_candidates(
@@ -102,7 +102,7 @@ def too_many_detections(det: DataFrame, max_rows: int = K.MAX_DETECTIONS) -> tup
     counts = det.groupBy("image_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > max_rows)
     reason = F.format_string(f"Error: %d detections (>{max_rows})", "n")
     failures = counts.select("image_id", "n", reason.alias("reason"))
-    return skew_join(det, counts.select("image_id"), ["image_id"], how="left_anti"), failures
+    return det.join(counts.select("image_id"), ["image_id"], "left_anti"), failures
 
 
 def calibrator_filter(catalog: DataFrame, kind: str) -> DataFrame:

@@ -15,7 +15,6 @@ from skyloom import constants as K
 from skyloom.functions.geometry import circle_pixel_overlap
 from skyloom.operators.aggregates import mad
 from skyloom.operators.filters import is_bad
-from skyloom.operators.skew import exact_quantile, skew_join
 from skyloom.session import store
 
 STRIP = 64
@@ -54,7 +53,7 @@ def false_weight(pixels: DataFrame, border: int = K.MASK_BORDER, science: bool =
         return pixels.withColumn("false_weight", good.cast("int"))
     size = pixels.groupBy("image_id").agg(F.max("x").alias("_mx"), F.max("y").alias("_my"))
     inside = F.col("x").between(border, F.col("_mx") - border) & F.col("y").between(border, F.col("_my") - border)
-    sized = skew_join(pixels, size, ["image_id"])
+    sized = pixels.join(size, ["image_id"])
     return sized.withColumn("false_weight", (good & inside).cast("int")).drop("_mx", "_my")
 
 
@@ -64,7 +63,7 @@ def mask_union(sci: DataFrame, ref: DataFrame, ref_key: str) -> DataFrame:
     ``sci`` carries ``ref_key``, the id under which ``ref`` lists its pixels.
     """
     other = ref.select(F.col("image_id").alias(ref_key), "x", "y", F.col("mask").alias("_ref_mask"))
-    both = skew_join(sci, other, [ref_key, "x", "y"])
+    both = sci.join(other, [ref_key, "x", "y"])
     return both.withColumn("mask", F.col("mask").bitwiseOR(F.col("_ref_mask"))).drop("_ref_mask")
 
 
@@ -75,7 +74,7 @@ def flag_bit(mask: Column, where: Column, bit: int) -> Column:
 
 def background_stats(
     pixels: DataFrame, keys: list[str] = ["image_id"], nsigma: float = 10.0,
-    fraction: float | None = None, seed: int = 0, limit: int | None = None,
+    fraction: float | None = None, seed: int = 0,
 ) -> DataFrame:
     """H6: median background, robust sigma and the lower limit of unmasked pixels per image.
 
@@ -84,14 +83,13 @@ def background_stats(
     clean = pixels.filter(F.col("mask") == 0)
     if fraction is not None:
         clean = clean.sample(fraction, seed)
-    clean = clean.withColumn("_pixel", F.struct("image_id", "x", "y"))
-    stats = mad(clean, keys, "value", "_pixel", limit=limit)
+    stats = mad(clean, keys, "value")
     return stats.withColumnRenamed("median", "bkg").withColumn("low", F.col("bkg") - F.col("sigma") * nsigma)
 
 
 def stack_combine(
     pixels: DataFrame, mode: str = "clipped", keys: list[str] = ["grp", "x", "y"], clip: float = 4.0,
-    ampfrac: float = 0.3, background: float = 0.0, mask_mode: str = "and", limit: int | None = None,
+    ampfrac: float = 0.3, background: float = 0.0, mask_mode: str = "and",
 ) -> DataFrame:
     """H7: combine aligned frames per output pixel.
 
@@ -102,29 +100,24 @@ def stack_combine(
     """
     merged = F.bit_and("mask") if mask_mode == "and" else F.bit_or("mask")
     value, weight = F.col("value"), F.col("weight")
-    out = {
-        "mean": F.avg(value),
-        "weighted": F.try_divide(F.sum(value * weight), F.sum(weight)),
-        "median": F.lit(None).cast("double"),
-        "clipped": F.lit(None).cast("double"),
-    }
-    if mode not in out:
+    if mode not in ("mean", "weighted", "median", "clipped"):
         raise ValueError(f"unknown mode {mode!r}")
-    frames = pixels
-    result = out[mode]
-    if mode in ("median", "clipped"):
-        center = exact_quantile(pixels, keys, "value", "image_id", 0.5, "_center", limit)
-        if mode == "median":
-            result = F.first("_center")
-        else:
-            near = F.abs(value - F.col("_center")) <= F.col("rms") * clip + F.abs("_center") * ampfrac
-            kept = F.when(near, weight).otherwise(0.0)
-            result = F.coalesce(F.try_divide(F.sum(value * kept), F.sum(kept)), F.first("_center"))
-        frames = skew_join(pixels, center, keys, limit=limit)
-    stacked = frames.groupBy(*keys).agg(
-        (result + background).alias("value"), F.sum(weight).alias("weight"),
-        F.count(F.lit(1)).alias("n_frames"), merged.alias("mask"),
-    )
+    # one grouping does it all: an output pixel has one row per input, some hundred at most
+    center = F.percentile(F.when(~F.isnan(value.cast("double")), value), F.lit(0.5))
+    aggs = {
+        "mean": [F.avg(value).alias("_value")],
+        "weighted": [F.try_divide(F.sum(value * weight), F.sum(weight)).alias("_value")],
+        "median": [center.alias("_value")],
+        "clipped": [center.alias("_center"), F.collect_list(F.struct("value", "weight", "rms")).alias("_frames")],
+    }[mode]
+    stacked = pixels.groupBy(*keys).agg(*aggs, F.sum(weight).alias("weight"), F.count(F.lit(1)).alias("n_frames"), merged.alias("mask"))
+    if mode == "clipped":
+        near = lambda f: F.abs(f["value"] - F.col("_center")) <= f["rms"] * clip + F.abs("_center") * ampfrac
+        total = lambda part: F.aggregate("_kept", F.lit(0.0), lambda acc, f: acc + F.coalesce(part(f), F.lit(0.0)))
+        stacked = stacked.withColumn("_kept", F.filter("_frames", near))
+        mean = F.try_divide(total(lambda f: f["value"] * f["weight"]), total(lambda f: f["weight"].cast("double")))
+        stacked = stacked.withColumn("_value", F.coalesce(mean, F.col("_center")))
+    stacked = stacked.select(*keys, (F.col("_value") + background).alias("value"), "weight", "n_frames", "mask")
     return stacked.withColumn("mask", flag_bit(F.col("mask"), F.col("weight") == 0, K.BIT_NO_DATA))
 
 
@@ -138,7 +131,7 @@ def difference_image(sci: DataFrame, ref: DataFrame, ref_key: str, masked_value:
         F.col("image_id").alias(ref_key), "x", "y",
         *[F.col(c).alias(f"_ref_{c}") for c in ("value", "rms", "mask")],
     )
-    both = skew_join(sci, other, [ref_key, "x", "y"])
+    both = sci.join(other, [ref_key, "x", "y"])
     value = F.col("value") - F.col("_ref_value")
     rms = F.sqrt(F.col("rms") * F.col("rms") + F.col("_ref_rms") * F.col("_ref_rms"))
     mask = flag_bit(F.col("mask").bitwiseOR(F.col("_ref_mask")), value == masked_value, K.BIT_SUBTRACTION_MASKED)
@@ -148,13 +141,13 @@ def difference_image(sci: DataFrame, ref: DataFrame, ref_key: str, masked_value:
     )
 
 
-def suspicious_pixels(pixels: DataFrame, nsig: float = 5.0, limit: int | None = None) -> DataFrame:
+def suspicious_pixels(pixels: DataFrame, nsig: float = 5.0) -> DataFrame:
     """H9: pixels below ``-nsig`` sigma with one above ``+nsig`` among their 3x3 neighbours.
 
     Only pixels beyond the threshold go into the neighbour join.
     """
-    stats = mad(pixels.withColumn("_pixel", F.struct("x", "y")), ["image_id"], "value", "_pixel", 1.48, limit)
-    level = skew_join(pixels.select("image_id", "x", "y", "value"), stats, ["image_id"], limit=limit)
+    stats = mad(pixels, ["image_id"], "value", 1.48)
+    level = pixels.select("image_id", "x", "y", "value").join(stats, ["image_id"])
     level = level.withColumn("_s", F.try_divide(F.col("value") - F.col("median"), F.col("sigma")))
     # few pixels are that far out; both sides of the neighbour join read this small table
     level = store(level.filter(F.abs("_s") > nsig).select("image_id", "x", "y", "_s"))
@@ -167,7 +160,7 @@ def suspicious_pixels(pixels: DataFrame, nsig: float = 5.0, limit: int | None =
 
 
 def negative_pixel_cut(
-    det: DataFrame, pixels: DataFrame, size: int = 11, nsig: float = 5.0, limit: int | None = None
+    det: DataFrame, pixels: DataFrame, size: int = 11, nsig: float = 5.0
 ) -> DataFrame:
     """H9: drop detections with a suspicious pixel in their ``size`` x ``size`` box.
 
@@ -175,7 +168,9 @@ def negative_pixel_cut(
     and boxes meet by tiles of the box size: a box touches at most four.
     """
     half = size // 2
-    bad = suspicious_pixels(pixels, nsig, limit).select(
+    # images without a detection left are not looked at
+    wanted = pixels.join(det.select("image_id").distinct(), "image_id", "left_semi")
+    bad = suspicious_pixels(wanted, nsig).select(
         F.col("image_id").alias("_img"), F.col("x").alias("_px"), F.col("y").alias("_py"),
         F.floor(F.col("x") / size).alias("_btx"), F.floor(F.col("y") / size).alias("_bty"),
     )
@@ -210,8 +205,12 @@ def box_strips(pixels: DataFrame, boxes: DataFrame, cols: list[str], width: int
     rows = boxes.withColumn("y", F.explode(F.sequence("y0", "y1"))).withColumn(
         "_tile", F.explode(F.sequence(F.floor(F.col("x0") / width).cast("int"), F.floor(F.col("x1") / width).cast("int")))
     )
-    wanted = pixels.select("image_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *cols)
-    return skew_join(rows, strips(wanted, cols, width), ["image_id", "y", "_tile"], how)
+    at = ["image_id", "y", "_tile"]
+    near = pixels.select("image_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *cols)
+    near = near.withColumn("_tile", F.floor(F.col("x") / width).cast("int"))
+    # only pixels of strips that a box touches are packed
+    near = near.join(rows.select(*at).distinct(), at, "left_semi")
+    return rows.join(strips(near, cols, width), at, how)
 
 
 def _circle_box(positions: DataFrame, r: float) -> DataFrame:

@@ -73,12 +73,12 @@ def closest_three(
     return rows.select(*keys, *out)
 
 
-def work_plan(df: DataFrame, n: int, *order: str | Column, name: str = "chunk", limit: int | None = None) -> DataFrame:
+def work_plan(df: DataFrame, n: int, *order: str | Column, name: str = "chunk") -> DataFrame:
     """``n`` contiguous, near-equal chunks (0-based); the first ``len % n`` get one row more.
 
     ``order`` must end in a unique column.
     """
-    rows = number_rows(df, *order, name="_row", total="_total", limit=limit)
+    rows = number_rows(df, *order, name="_row", total="_total")
     small, extra = F.floor(F.col("_total") / n), F.col("_total") % n
     head = extra * (small + 1)
     chunk = F.when(F.col("_row") < head, F.floor(F.col("_row") / (small + 1))).otherwise(
@@ -91,15 +91,15 @@ def chunk_count(rows: int, size: int = K.JOB_SIZE) -> int:
     return max(1, ceil(rows / size))
 
 
-def fixed_batches(df: DataFrame, size: int, *order: str | Column, name: str = "chunk", limit: int | None = None) -> DataFrame:
+def fixed_batches(df: DataFrame, size: int, *order: str | Column, name: str = "chunk") -> DataFrame:
     """contiguous batches of ``size`` rows."""
-    rows = number_rows(df, *order, name="_row", limit=limit)
+    rows = number_rows(df, *order, name="_row")
     return rows.withColumn(name, F.floor(F.col("_row") / size).cast("int")).drop("_row")
 
 
-def recursive_split(df: DataFrame, n: int, *order: str | Column, name: str = "chunk", limit: int | None = None) -> DataFrame:
+def recursive_split(df: DataFrame, n: int, *order: str | Column, name: str = "chunk") -> DataFrame:
     """``n`` chunks cut off one after the other as ``remaining // chunks left``; extras go last."""
-    rows = number_rows(df, *order, name="_row", total="_total", limit=limit)
+    rows = number_rows(df, *order, name="_row", total="_total")
     small, extra = F.floor(F.col("_total") / n), F.col("_total") % n
     plain = (F.lit(n) - extra) * small
     chunk = F.when(F.col("_row") < plain, F.floor(F.try_divide(F.col("_row"), small))).otherwise(
@@ -108,10 +108,10 @@ def recursive_split(df: DataFrame, n: int, *order: str | Column, name: str = "ch
     return rows.withColumn(name, chunk.cast("int")).drop("_row", "_total")
 
 
-def round_robin_plan(archives: DataFrame, n: int = K.RETRIEVAL_JOBS, limit: int | None = None) -> DataFrame:
+def round_robin_plan(archives: DataFrame, n: int = K.RETRIEVAL_JOBS) -> DataFrame:
     """F8: archives in tape order dealt to ``n`` jobs; the position is compared as text."""
     rows = number_rows(archives.withColumn("position", F.col("position").cast("string")), "tape", "position", "path",
-                       name="row", limit=limit)
+                       name="row")
     return rows.withColumn("job", (F.col("row") % n).cast("int"))
 
 

@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.functions.times import HALF_SECOND_DAYS, jd_to_mjd, wall_micros
 from skyloom.operators.filters import null_or_false
 from skyloom.operators.sky import polygon_join
-from skyloom.operators.skew import skew_join
+
 
 KEY = list(K.GROUP_KEY)
 
@@ -17,7 +17,7 @@ KEY = list(K.GROUP_KEY)
 def images_needing_reference(images: DataFrame, refs: DataFrame, version: str) -> DataFrame:
     """Images whose (field, ccdid, qid, fid) has no reference of ``version``."""
     have = refs.filter(F.col("version") == version).select(*KEY).distinct()
-    return skew_join(images, have, KEY, how="left_anti")
+    return images.join(have, KEY, "left_anti")
 
 
 def images_to_subtract(
@@ -38,7 +38,7 @@ def images_to_subtract(
     out = images
     for taken in (subs, failed, jobs):
         out = out.join(taken.select(F.col("target_image_id").alias("id")), "id", "left_anti")
-    return skew_join(out.join(paths, "id"), have, KEY)
+    return out.join(paths, "id").join(have, KEY)
 
 
 def photometry_todo(images: DataFrame, sources: DataFrame, phot: DataFrame, **polygon) -> DataFrame:
@@ -92,7 +92,7 @@ def overlapping_subtractions(bridge: DataFrame, subs: DataFrame, require_complet
     if not require_complete:
         return rows
     full = _coverage(bridge, rows).filter(F.col("n_subs") == F.col("n_inputs"))
-    return skew_join(rows, full.select("coadd_id", "reference_image_id"), ["coadd_id", "reference_image_id"], "left_semi")
+    return rows.join(full.select("coadd_id", "reference_image_id"), ["coadd_id", "reference_image_id"], "left_semi")
 
 
 def incomplete_stacks(bridge: DataFrame, subs: DataFrame) -> DataFrame:
@@ -137,7 +137,7 @@ def reference_inputs(refs: DataFrame, bridge: DataFrame, images: DataFrame) -> D
     """Science images that went into each reference."""
     ids = refs.select(F.col("id").alias("coadd_id"))
     rows = bridge.select("coadd_id", F.col("image_id").alias("id")).join(ids, "coadd_id", "left_semi")
-    return skew_join(rows, images, ["id"]).withColumnRenamed("coadd_id", "reference_id")
+    return rows.join(images, ["id"]).withColumnRenamed("coadd_id", "reference_id")
 
 
 def history_single(det: DataFrame, subs: DataFrame, images: DataFrame) -> DataFrame:
@@ -146,18 +146,15 @@ def history_single(det: DataFrame, subs: DataFrame, images: DataFrame) -> DataFr
         images.select(F.col("id").alias("target_image_id"), jd_to_mjd(F.col("obsjd")).alias("mjd")), "target_image_id"
     ).select("image_id", "mjd")
     own = det.filter("source_id is not null").select("source_id", F.col("id").alias("detection_id"), "image_id")
-    return skew_join(own, epochs, ["image_id"]).select("source_id", "detection_id", "mjd")
+    return own.join(epochs, ["image_id"]).select("source_id", "detection_id", "mjd")
 
 
 def history_stack(det: DataFrame, subs: DataFrame, bridge: DataFrame, images: DataFrame) -> DataFrame:
     """(source_id, stack_id, min_mjd, max_mjd), once per stack on which a source was seen."""
-    epochs = skew_join(
-        bridge.select("coadd_id", F.col("image_id").alias("id")),
-        images.select("id", jd_to_mjd(F.col("obsjd")).alias("mjd")), ["id"],
-    ).groupBy("coadd_id").agg(F.min("mjd").alias("min_mjd"), F.max("mjd").alias("max_mjd"))
+    epochs = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images.select("id", jd_to_mjd(F.col("obsjd")).alias("mjd")), ["id"]).groupBy("coadd_id").agg(F.min("mjd").alias("min_mjd"), F.max("mjd").alias("max_mjd"))
     spans = subs.select(F.col("id").alias("image_id"), F.col("target_image_id").alias("coadd_id")).join(epochs, "coadd_id")
     own = det.filter("source_id is not null").select("source_id", "image_id").distinct()
-    return skew_join(own, spans, ["image_id"]).select(
+    return own.join(spans, ["image_id"]).select(
         "source_id", F.col("coadd_id").alias("stack_id"), "min_mjd", "max_mjd"
     ).distinct()
 

@@ -1,112 +1,44 @@
-"""Building blocks that keep one hot key from landing in one task.
-
-Small inputs (by the size of the tables behind them) take the plain Spark form.
-Beyond that, joins salt the hot keys or leave them to the adaptive skew join, and
-per-group numbering and exact quantiles work on a range sort of (key, order),
-where a hot key simply covers many partitions.
+"""Numbering, running values, ranks and exact quantiles that hold no hot key in one task.
+
+Every function has one plan at every size. Numbers and running values come from a
+range sort of (key, order), stored once, where a hot key simply spans partitions.
+Quantiles are found by counting: approximate quantiles bracket the exact ones, and
+only the distinct values in the bracket are looked at. Null keys are keys like any
+other. Joins need no help here: the adaptive skew join splits hot partitions of
+either side by their measured sizes.
 """
 
 from __future__ import annotations
 
+from collections.abc import Iterable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from skyloom.session import store
 
-ONE_TASK_BYTES = 256 << 20
-HOT_ROWS = 1_000_000
-PIECE_BYTES = 128 << 20
-MAX_PIECES = 100_000
-UNKNOWN_BYTES = 1 << 60
+ACCURACY = 10_000
 _POS_MASK = (1 << 33) - 1
 
 
-def plan_bytes(df: DataFrame) -> int:
-    """Bytes behind a frame: the sizes of all tables it reads, as often as it reads them.
-
-    Frames without statistics count as huge.
-    """
-    leaves = df._jdf.queryExecution().analyzed().collectLeaves()
-    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
-
-
-def is_plain_scan(df: DataFrame) -> bool:
-    """True when a frame only selects from one table, so that reading its keys twice is cheap."""
-    node = df._jdf.queryExecution().analyzed()
-    while node.children().size():
-        if node.children().size() > 1 or node.nodeName() not in ("Project", "Filter", "SubqueryAlias"):
-            return False
-        node = node.children().apply(0)
-    return True
-
-
-def fits_one_task(df: DataFrame, limit: int | None = None) -> bool:
-    """True when the whole frame, so also any one group of it, fits one task."""
-    return plan_bytes(df) <= (ONE_TASK_BYTES if limit is None else limit)
-
-
-def _hashable(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
-
-
-def hot_keys(df: DataFrame, keys: list[str], hot_rows: int | None = None) -> DataFrame:
-    """Keys with more than ``hot_rows`` rows and the number of salts each gets.
-
-    Counted with map-side combine; at most total/hot_rows rows come out.
-    """
-    hot_rows = HOT_ROWS if hot_rows is None else hot_rows
-    return (
-        df.groupBy(*keys)
-        .agg(F.count(F.lit(1)).alias("_n"))
-        .filter(F.col("_n") > hot_rows)
-        .select(*keys, F.ceil(F.col("_n") / F.lit(hot_rows)).cast("int").alias("_salts"))
-    )
-
-
-def skew_join(
-    facts: DataFrame, dims: DataFrame, keys: list[str], how: str = "inner",
-    hot_rows: int | None = None, limit: int | None = None,
-) -> DataFrame:
-    """Join many ``facts`` rows per key to ``dims`` rows without one task per hot fact key.
-
-    ``how`` is inner, left, left_semi or left_anti. Large tables have their hot keys
-    counted and salted; the salt is a hash of the fact row, so a retried task sends
-    each row to the same place. Facts that come out of other joins are not computed
-    twice just to count them: there the adaptive skew join splits the hot partitions
-    by their real sizes.
-    """
-    if fits_one_task(facts, limit) or not is_plain_scan(facts):
-        return facts.join(dims, keys, how)
-    hot = F.broadcast(hot_keys(facts, keys, hot_rows))
-    no_key = F.lit(False)
+def null_safe_join(a: DataFrame, b: DataFrame, keys: Iterable[str], how: str = "inner") -> DataFrame:
+    """``a.join(b, keys, how)`` in which null keys meet; the keys are those of ``a``."""
+    keys = list(keys)
+    renamed = b.withColumnsRenamed({k: f"_same_{k}" for k in keys})
+    cond = F.lit(True)
     for k in keys:
-        no_key = no_key | F.col(k).isNull()
-    spread = F.xxhash64(*_hashable(facts))
-    salted = facts.join(hot, keys, "left").withColumn(
-        "_salt",
-        F.when(no_key, F.pmod(spread, F.lit(256)))
-        .when(F.col("_salts").isNotNull(), F.pmod(spread, F.col("_salts")))
-        .otherwise(F.lit(0)).cast("int"),
-    ).drop("_salts")
-    copies = dims.join(hot, keys, "left").withColumn(
-        "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))
-    ).drop("_salts")
-    return salted.join(copies, [*keys, "_salt"], how).drop("_salt")
+        cond = cond & F.col(k).eqNullSafe(F.col(f"_same_{k}"))
+    return a.join(renamed, cond, how).drop(*[f"_same_{k}" for k in keys])
 
 
 def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
     """Globally sorted and stored once, with ``_part`` and the position ``_pos`` in it.
 
     ``order`` must end in a unique column, so that equal leading keys can be split.
-    The number of pieces grows with the input: a piece has to fit one task.
+    There are ``spark.sql.shuffle.partitions`` pieces at most; set it for the input.
     """
-    parts = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    size = plan_bytes(df)
-    if size < UNKNOWN_BYTES:
-        parts = max(parts, min(size // PIECE_BYTES + 1, MAX_PIECES))
     return store(
-        df.repartitionByRange(parts, *order)
+        df.repartitionByRange(*order)
         .sortWithinPartitions(*order)
         .withColumn("_part", F.spark_partition_id())
         .withColumn("_pos", F.monotonically_increasing_id().bitwiseAND(F.lit(_POS_MASK)))
@@ -114,16 +46,12 @@ def range_sorted(df: DataFrame, *order: str | Column) -> DataFrame:
 
 
 def number_rows(
-    df: DataFrame, *order: str | Column, name: str = "row", start: int = 0, total: str | None = None,
-    limit: int | None = None,
+    df: DataFrame, *order: str | Column, name: str = "row", start: int = 0, total: str | None = None
 ) -> DataFrame:
-    """Number all rows of a frame in ``order``; beyond one task's worth by a stored range sort.
+    """Number all rows of a frame in ``order``.
 
     ``total`` adds a column with the number of rows.
     """
-    if fits_one_task(df, limit):
-        out = df.withColumn(name, F.row_number().over(Window.orderBy(*order)).cast("long") + F.lit(start - 1))
-        return out if total is None else out.withColumn(total, F.count(F.lit(1)).over(Window.partitionBy()))
     rows = range_sorted(df, *order)
     # one row per partition: bounded by the partition count
     before = Window.orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
@@ -146,92 +74,88 @@ _RUNNING = {
 
 
 def running_in_group(
-    df: DataFrame, keys: list[str], order: list[str | Column], running: dict[str, tuple[str, Column]],
-    limit: int | None = None,
+    df: DataFrame, keys: list[str], order: list[str | Column], running: dict[str, tuple[str, Column]]
 ) -> DataFrame:
     """Running sum/min/max per key up to and including each row; ``order`` must be unique within a key.
 
-    ``running`` maps a new column to (``sum`` | ``min`` | ``max``, value). Beyond one
-    task's worth of rows a key is worked in the pieces its range sort gave it. Only
-    the first key of a piece can reach in from the piece before, so the table of
-    carried values has at most one row per piece.
+    ``running`` maps a new column to (``sum`` | ``min`` | ``max``, value). A key is
+    worked in the pieces its range sort gave it. Only the first key of a piece can
+    reach in from the piece before, so the table of carried values has at most one
+    row per piece.
     """
-    if fits_one_task(df, limit):
-        upto = Window.partitionBy(*keys).orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
-        return df.withColumns({n: _RUNNING[how][0](value).over(upto) for n, (how, value) in running.items()})
     values = {f"_v_{n}": value for n, (_, value) in running.items()}
     rows = range_sorted(df.withColumns(values), *keys, *order)
-    pieces = rows.groupBy("_part", *keys).agg(
+    pieces = store(rows.groupBy("_part", *keys).agg(
         F.min("_pos").alias("_first"), *[_RUNNING[how][0](f"_v_{n}").alias(f"_p_{n}") for n, (how, _) in running.items()]
-    )
+    ))
     reaching = pieces.filter(F.col("_first") == 0).select(*keys).distinct()
     before = Window.partitionBy(*keys).orderBy("_part").rowsBetween(Window.unboundedPreceding, -1)
     carried = (
-        pieces.join(F.broadcast(reaching), keys, "left_semi")
+        null_safe_join(pieces, F.broadcast(reaching), keys, "left_semi")
         .withColumns({f"_c_{n}": _RUNNING[how][0](f"_p_{n}").over(before) for n, (how, _) in running.items()})
         .filter(F.col("_first") == 0)
         .select("_part", *keys, *[f"_c_{n}" for n in running])
     )
     upto = Window.partitionBy("_part", *keys).orderBy("_pos").rowsBetween(Window.unboundedPreceding, 0)
     local = rows.withColumns({f"_l_{n}": _RUNNING[how][0](f"_v_{n}").over(upto) for n, (how, _) in running.items()})
-    joined = local.join(F.broadcast(carried), ["_part", *keys], "left").withColumns(
+    joined = null_safe_join(local, F.broadcast(carried), ["_part", *keys], "left").withColumns(
         {n: _RUNNING[how][1](F.col(f"_l_{n}"), F.col(f"_c_{n}")) for n, (how, _) in running.items()}
     )
     return joined.select(*df.columns, *running)
 
 
-def number_in_group(
-    df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row", limit: int | None = None
-) -> DataFrame:
+def number_in_group(df: DataFrame, keys: list[str], order: list[str | Column], name: str = "row") -> DataFrame:
     """1-based row number per key; ``order`` must be unique within a key."""
-    return running_in_group(df, keys, order, {name: ("sum", F.lit(1).cast("long"))}, limit)
+    return running_in_group(df, keys, order, {name: ("sum", F.lit(1).cast("long"))})
 
 
-def rank_in_group(
-    df: DataFrame, keys: list[str], by: str, unique: str, name: str = "rank", limit: int | None = None
-) -> DataFrame:
+def rank_in_group(df: DataFrame, keys: list[str], by: str, unique: str, name: str = "rank") -> DataFrame:
     """SQL ``rank()`` per key in ascending ``by``; ``unique`` only places ties for the numbering."""
-    if fits_one_task(df, limit):
-        return df.withColumn(name, F.rank().over(Window.partitionBy(*keys).orderBy(by)).cast("long"))
-    numbered = number_in_group(df, keys, [by, unique], "_row", limit)
+    numbered = number_in_group(df, keys, [by, unique], "_row")
     firsts = numbered.groupBy(*keys, by).agg(F.min("_row").alias(name))
-    return skew_join(numbered, firsts, [*keys, by], limit=limit).drop("_row")
+    return null_safe_join(numbered, firsts, [*keys, by]).drop("_row")
 
 
-def exact_quantile(
-    df: DataFrame, keys: list[str], value: str, unique: str, q: float = 0.5,
-    name: str = "median", limit: int | None = None,
-) -> DataFrame:
-    """Interpolated quantile per key, ignoring null and NaN.
+def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float = 0.5, name: str = "median") -> DataFrame:
+    """Interpolated quantile per key, ignoring null and NaN, as ``percentile`` gives it.
 
-    The built-in keeps a group's distinct values in one task's memory; larger
-    inputs are numbered with ``number_in_group`` and the two middle rows are taken.
+    ``percentile`` holds all values of a group in one task. Here approximate quantiles
+    on both sides (within one ``ACCURACY``-th of the ranks) bracket the ranks wanted. Rows
+    below are counted, the values inside the bracket and their next neighbours are
+    counted by value: a fixed small share of the group, ties or not. Reads ``df`` twice.
     """
-    data = df.filter(F.col(value).isNotNull() & ~F.isnan(F.col(value).cast("double")))
-    if fits_one_task(df, limit):
-        return data.groupBy(*keys).agg(F.percentile(value, F.lit(q)).alias(name))
-    data = data.select(*dict.fromkeys([*keys, value, unique]))
-    numbered = number_in_group(data, keys, [value, unique], "_row", limit)
-    # 0-based fractional position q*(n-1), as the built-in interpolates
-    at = F.lit(q) * (F.col("_total") - 1)
-    totals = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_total")).select(
-        *keys, (F.floor(at) + 1).alias("_lo"), (F.ceil(at) + 1).alias("_hi"), (at - F.floor(at)).alias("_frac")
-    )
-    picked = skew_join(numbered, totals, keys, limit=limit).filter(
-        (F.col("_row") == F.col("_lo")) | (F.col("_row") == F.col("_hi"))
-    )
-    lo = F.max(F.when(F.col("_row") == F.col("_lo"), F.col(value)))
-    hi = F.max(F.when(F.col("_row") == F.col("_hi"), F.col(value)))
-    frac = F.max("_frac")
-    return picked.groupBy(*keys).agg((lo + (hi - lo) * frac).cast("double").alias(name))
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    margin = 2.0 / ACCURACY
+    bracket = data.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("_n"),
+        F.percentile_approx("_v", F.array(F.lit(max(q - margin, 0.0)), F.lit(min(q + margin, 1.0))), ACCURACY).alias("_b"),
+    ).select(*keys, "_n", F.col("_b")[0].alias("_lo"), F.col("_b")[1].alias("_hi"))
+    placed = null_safe_join(data, bracket, keys)
+    # values outside count for their whole side; the nearest ones are kept for ranks next to the bracket
+    inside = F.col("_v").between(F.col("_lo"), F.col("_hi"))
+    side = F.when(F.col("_v") < F.col("_lo"), -1).when(inside, 0).otherwise(1)
+    by_value = placed.groupBy(*keys, "_n", side.alias("_side"), F.when(inside, F.col("_v")).alias("_inner")).agg(
+        F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    order = Window.partitionBy(*keys).orderBy("_side", "_inner").rowsBetween(Window.unboundedPreceding, 0)
+    ranked = by_value.withColumn("_upto", F.sum("_count").over(order))
+    # 0-based fractional position q*(n-1)
+    at = F.lit(q) * (F.col("_n") - 1)
+
+    def held(rank: Column) -> Column:
+        """The value of a 1-based rank: below the bracket its largest, above it its least can be meant."""
+        here = (rank <= F.col("_upto")) & (rank > F.col("_upto") - F.col("_count"))
+        return F.max(F.when(here, F.when(F.col("_side") < 0, F.col("_most")).otherwise(F.col("_least"))))
+
+    picked = ranked.groupBy(*keys, "_n").agg(held(F.floor(at) + 1).alias("_a"), held(F.ceil(at) + 1).alias("_z"))
+    low, high, share = F.col("_a"), F.col("_z"), at - F.floor(at)
+    return picked.select(*keys, (low + (high - low) * share).alias(name))
 
 
 def collect_parts(
-    df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int,
-    name: str = "items", limit: int | None = None,
+    df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int, name: str = "items"
 ) -> DataFrame:
     """Ordered arrays of at most ``size`` items per (key, part); nothing is dropped."""
-    rows = number_in_group(df, keys, order, "_row", limit)
+    rows = number_in_group(df, keys, order, "_row")
     part = F.floor((F.col("_row") - 1) / F.lit(size)).cast("int").alias("part")
     packed = rows.select(*keys, part, F.struct(F.col("_row").alias("k"), value.alias("v")).alias("_item"))
     items = F.transform(F.sort_array(F.collect_list("_item")), lambda s: s["v"])

@@ -2,8 +2,8 @@
 
 A cone join is an equi-join on (declination zone, RA bucket): the left side has
 exactly one cell per row, the right side is copied to every cell its cap touches,
-so each pair meets once. Hot cells of a large left table are salted; a left side
-that comes out of other joins is left to the adaptive skew join.
+so each pair meets once. A crowded cell, on either side, is split by the adaptive
+skew join, which goes by the measured sizes of the shuffled partitions.
 """
 
 from __future__ import annotations
@@ -15,7 +15,7 @@ from skyloom import constants as K
 from skyloom.functions.geometry import (
     bucket_at, edge_normals, inside_edges, sky_cell, sky_distance, zone_buckets, zone_of,
 )
-from skyloom.operators.skew import fits_one_task, hot_keys, is_plain_scan, rank_in_group
+from skyloom.operators.skew import rank_in_group
 
 _CELL = ["_zone", "_bucket"]
 
@@ -43,7 +43,6 @@ def cone_join(
     a: DataFrame, b: DataFrame, radius_deg: float, how: str = "inner",
     a_pos: tuple[str, str] = ("ra", "dec"), b_pos: tuple[str, str] = ("ra", "dec"),
     b_prefix: str = "b_", sep: str = "sep_deg", cell_deg: float | None = None,
-    hot_rows: int | None = None, limit: int | None = None,
 ) -> DataFrame:
     """Every pair within ``radius_deg`` (inclusive); ``how`` is inner, left or left_semi.
 
@@ -63,16 +62,6 @@ def cone_join(
     left = a.withColumns({"_zone": cell["zone"], "_bucket": cell["bucket"]})
     right = _touched_cells(right, ra_b, dec_b, radius_deg, h)
     keys = list(_CELL)
-    if not a.isStreaming and not fits_one_task(a, limit) and is_plain_scan(a):
-        hot = F.broadcast(hot_keys(left, _CELL, hot_rows))
-        spread = F.xxhash64(*[c for c in left.columns if not dict(left.dtypes)[c].startswith(("map", "variant"))])
-        left = left.join(hot, _CELL, "left").withColumn(
-            "_salt", F.coalesce(F.pmod(spread, F.col("_salts")), F.lit(0)).cast("int")
-        ).drop("_salts")
-        right = right.join(hot, _CELL, "left").withColumn(
-            "_salt", F.explode(F.sequence(F.lit(0), F.coalesce(F.col("_salts") - 1, F.lit(0))))
-        ).drop("_salts")
-        keys.append("_salt")
     right = right.select([F.col(c).alias(f"_r{c}") if c in keys else F.col(c) for c in right.columns])
     distance = sky_distance(F.col(ra_a), F.col(dec_a), F.col(ra_b), F.col(dec_b))
     cond = F.lit(True)
@@ -154,7 +143,7 @@ def nearest_match(
 
 def neighbors_ranked(
     sources: DataFrame, catalog: DataFrame, radius_deg: float = K.NEIGHBOR_RADIUS_DEG,
-    source_id: str = "id", catalog_id: str = "objid", limit: int | None = None, **cone,
+    source_id: str = "id", catalog_id: str = "objid", **cone,
 ) -> DataFrame:
     """All catalog neighbours of each source with ``rank`` by distance and ``sep`` in arcsec.
 
@@ -162,10 +151,10 @@ def neighbors_ranked(
     """
     pairs = cone_join(
         catalog, sources.select(F.col(source_id).alias("sid"), "ra", "dec"), radius_deg, b_prefix="s_",
-        sep="_sep", limit=limit, **cone,
+        sep="_sep", **cone,
     )
     pairs = pairs.withColumn("sep", F.col("_sep") * 3600).withColumnRenamed("s_sid", "sid").drop("s_ra", "s_dec", "_sep")
-    return rank_in_group(pairs, ["sid"], "sep", catalog_id, limit=limit)
+    return rank_in_group(pairs, ["sid"], "sep", catalog_id)
 
 
 def catalog_scan(

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from skyloom.functions.naming import archive_path, archive_url, dr8_url, relname, sdss_url
 from skyloom.functions.times import jd_to_mjd, julian_day
-from skyloom.operators.skew import skew_join
+
 
 
 def detection_times(
@@ -24,7 +24,7 @@ def detection_times(
     multi = stack_subs.select(F.col("id").alias("image_id"), "target_image_id").join(
         stacks.select(F.col("id").alias("target_image_id"), day.alias("mjd")), "target_image_id")
     epochs = single.select("image_id", "mjd").unionByName(multi.select("image_id", "mjd"))
-    return skew_join(own, epochs, ["image_id"]).select("id", "source_id", "mjd")
+    return own.join(epochs, ["image_id"]).select("id", "source_id", "mjd")
 
 
 def remaining_ids(ids: DataFrame, *found: DataFrame, key: str = "id") -> DataFrame:
@@ -71,8 +71,8 @@ def merge_photometry(old: DataFrame, new: DataFrame, images: DataFrame, sources:
     Reading the result raises when a pair occurs twice. Rows of unknown images or
     sources are not accepted. Write the result to a new path and switch to it.
     """
-    accepted = skew_join(new, images.select(F.col("id").alias("image_id")), ["image_id"], "left_semi")
-    accepted = skew_join(accepted, sources.select(F.col("id").alias("source_id")), ["source_id"], "left_semi")
+    accepted = new.join(images.select(F.col("id").alias("image_id")), ["image_id"], "left_semi")
+    accepted = accepted.join(sources.select(F.col("id").alias("source_id")), ["source_id"], "left_semi")
     both = old.unionByName(accepted, allowMissingColumns=True)
     twice = both.groupBy("source_id", "image_id").agg(F.count(F.lit(1)).alias("_n")).filter("_n > 1")
     checked = both.join(twice, ["source_id", "image_id"], "left")
@@ -84,7 +84,7 @@ def merge_photometry(old: DataFrame, new: DataFrame, images: DataFrame, sources:
 def update_from_join(base: DataFrame, updates: DataFrame, key: str, cols: list[str]) -> DataFrame:
     """``cols`` taken from the matching update row where there is one."""
     new = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in cols], F.lit(True).alias("_hit"))
-    both = skew_join(base, new, [key], how="left")
+    both = base.join(new, [key], "left")
     return both.select(
         *[F.when(F.col("_hit"), F.col(f"_new_{c}")).otherwise(F.col(c)).alias(c) if c in cols else F.col(c) for c in base.columns]
     )
@@ -108,7 +108,7 @@ def record_failures(failures: DataFrame, refs: DataFrame, images: DataFrame, ver
     key = ["field", "ccdid", "qid", "fid"]
     first = refs.filter(F.col("version") == version).groupBy(*key).agg(F.min("id").alias("reference_image_id"))
     rows = failures.select(F.col("image_id").alias("id"), "reason").join(images.select("id", *key), "id")
-    return skew_join(rows, first, key, how="left").select(F.col("id").alias("target_image_id"), "reference_image_id", "reason")
+    return rows.join(first, key, "left").select(F.col("id").alias("target_image_id"), "reference_image_id", "reason")
 
 
 def link_new_sources(sources: DataFrame) -> DataFrame:

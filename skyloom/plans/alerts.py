@@ -11,7 +11,7 @@ from skyloom.functions.photometry import lim_mag, snr
 from skyloom.functions.times import HALF_SECOND_DAYS, jd_to_mjd
 from skyloom.operators.aggregates import reference_span, stack_summary
 from skyloom.operators.relational import history_single, history_stack
-from skyloom.operators.skew import collect_parts, running_in_group, skew_join
+from skyloom.operators.skew import collect_parts, running_in_group
 from skyloom.session import store
 from skyloom.sources.schemas import ALERT_VERSION, alert_schema
 
@@ -27,14 +27,14 @@ def light_curve(phot: DataFrame) -> DataFrame:
     )
 
 
-def light_curve_parts(phot: DataFrame, size: int = POINTS_PER_PART, limit: int | None = None) -> DataFrame:
+def light_curve_parts(phot: DataFrame, size: int = POINTS_PER_PART) -> DataFrame:
     """P5: time-ordered point arrays per source, in parts of at most ``size`` points."""
     points = light_curve(phot)
-    return collect_parts(points, ["source_id"], ["mjd", "id"], F.struct(*POINT_FIELDS), size, "points", limit)
+    return collect_parts(points, ["source_id"], ["mjd", "id"], F.struct(*POINT_FIELDS), size, "points")
 
 
 def history_before(
-    epochs: DataFrame, single: DataFrame, stacked: DataFrame, limit: int | None = None
+    epochs: DataFrame, single: DataFrame, stacked: DataFrame
 ) -> DataFrame:
     """Earlier detections of each alert's source, counted in one ordered pass.
 
@@ -61,7 +61,7 @@ def history_before(
         # the stack that ends first gives the start
         "first2": ("min", of(2, F.struct("hi", "lo"))),
         "hi2": ("max", of(2, F.col("hi"))),
-    }, limit)
+    })
     return out.filter("kind = 0").select(
         "id",
         F.col("n1").cast("int").alias("ndethist_single"),
@@ -75,7 +75,7 @@ def history_before(
 
 def candidate_rows(
     det: DataFrame, realbogus: DataFrame, images: DataFrame, single_subs: DataFrame, stack_subs: DataFrame,
-    bridge: DataFrame, all_det: DataFrame, kind: str, limit: int | None = None,
+    bridge: DataFrame, all_det: DataFrame, kind: str,
 ) -> DataFrame:
     """Image, shape, score, reference and history fields of each ready detection of one kind.
 
@@ -87,7 +87,7 @@ def candidate_rows(
         F.col("id").alias("image_id"), F.col("basename").alias("pdiffimfilename"), "target_image_id", "reference_image_id",
         "field", "ccdid", "qid", "fid",
     )
-    rows = skew_join(det.drop(*[n for n in on.columns if n != "image_id"]), on, ["image_id"])
+    rows = det.drop(*[n for n in on.columns if n != "image_id"]).join(on, ["image_id"])
     if kind == "single":
         target = images.select(
             F.col("id").alias("target_image_id"), F.col("obsjd").alias("jd"), "nid", F.col("maglimit").alias("diffmaglim"),
@@ -96,23 +96,21 @@ def candidate_rows(
             jd_to_mjd(F.col("obsjd")).alias("epoch"),
         )
     else:
-        heads = skew_join(
-            bridge.select("coadd_id", F.col("image_id").alias("id")), images.select("id", "header"), ["id"]
-        ).groupBy("coadd_id").agg(
+        heads = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images.select("id", "header"), ["id"]).groupBy("coadd_id").agg(
             F.min_by(F.try_element_at("header", F.lit("PROGRMPI")), "id").alias("programpi"),
             F.min_by(F.try_element_at("header", F.lit("PROGRMID")).try_cast("int"), "id").alias("programid"),
         )
-        target = stack_summary(bridge, images, limit).join(heads, "coadd_id").withColumnRenamed("coadd_id", "target_image_id")
+        target = stack_summary(bridge, images).join(heads, "coadd_id").withColumnRenamed("coadd_id", "target_image_id")
         target = target.withColumn("epoch", jd_to_mjd(F.col("jdendstack")))
-    rows = skew_join(rows, target, ["target_image_id"])
+    rows = rows.join(target, ["target_image_id"])
     span = reference_span(bridge, images).withColumnRenamed("coadd_id", "reference_image_id")
-    rows = skew_join(rows, span, ["reference_image_id"], how="left")
+    rows = rows.join(span, ["reference_image_id"], "left")
     scores = realbogus.groupBy("detection_id").agg(F.min_by(F.struct("rb_score", "rb_version"), "id").alias("_rb"))
     # read by the history, the light curves and the packets
     rows = store(rows.join(scores.withColumnRenamed("detection_id", "id"), "id", "left"))
     past = history_before(
         rows.select("id", "source_id", "epoch"),
-        history_single(all_det, single_subs, images), history_stack(all_det, stack_subs, bridge, images), limit,
+        history_single(all_det, single_subs, images), history_stack(all_det, stack_subs, bridge, images),
     )
     rows = rows.join(past, "id")
     return rows.withColumns({
@@ -135,7 +133,7 @@ def _fit(rows: DataFrame, kind: str) -> list[Column]:
 def build_alerts(
     det: DataFrame, realbogus: DataFrame, images: DataFrame, single_subs: DataFrame, stack_subs: DataFrame,
     bridge: DataFrame, all_det: DataFrame, phot: DataFrame, matches: DataFrame, stamps: DataFrame,
-    kind: str = "single", publisher: str = "skyloom", size: int = POINTS_PER_PART, limit: int | None = None,
+    kind: str = "single", publisher: str = "skyloom", size: int = POINTS_PER_PART,
 ) -> DataFrame:
     """Nested packets for all given detections of one kind at once.
 
@@ -150,14 +148,11 @@ def build_alerts(
         F.raise_error(F.concat(F.lit("no source for detection "), F.col("id").cast("string"))).cast("string"),
     )
     ready = det.withColumn("source_id", source)
-    rows = store(candidate_rows(ready, realbogus, images, single_subs, stack_subs, bridge, all_det, kind, limit))
+    rows = store(candidate_rows(ready, realbogus, images, single_subs, stack_subs, bridge, all_det, kind))
     matches = store(matches)
-    points = light_curve_parts(phot, size, limit)
+    points = light_curve_parts(phot, size)
     cut = F.col("epoch") + HALF_SECOND_DAYS
-    curves = skew_join(
-        rows.select("id", "source_id", "epoch"),
-        points.withColumn("_start", F.get("points", F.lit(0))["mjd"]), ["source_id"], how="left",
-    )
+    curves = rows.select("id", "source_id", "epoch").join(points.withColumn("_start", F.get("points", F.lit(0))["mjd"]), ["source_id"], "left")
     missing = F.raise_error(F.concat(F.lit("no light curve for source "), F.col("source_id"))).cast("boolean")
     curves = curves.filter(
         F.when(F.col("part").isNull(), missing).otherwise((F.col("part") == 0) | (F.col("_start") <= cut))
@@ -166,11 +161,11 @@ def build_alerts(
     catalog = [c for c in matches.columns if c not in ("id", "part")]
     # a further light-curve part repeats the catalog matches of the first
     first = matches.filter("part = 0").select("id", *[F.col(c).alias(f"_0_{c}") for c in catalog])
-    packed = skew_join(curves, first, ["id"], how="left")
+    packed = curves.join(first, ["id"], "left")
     lists = ("ztfname", "mqid", "tnsid")
     filled = {c: F.coalesce(c, F.lit("") if c in lists else F.col(f"_0_{c}")) for c in catalog}
     packed = packed.withColumns(filled).drop(*[f"_0_{c}" for c in catalog], "_match")
-    packed = skew_join(packed, rows, ["id"]).join(stamps, "id", "left")
+    packed = packed.join(rows, ["id"]).join(stamps, "id", "left")
     lc_type = alert_schema(kind)["light_curve"].dataType
     empty = F.array().cast(lc_type)
     return packed.select(

@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.operators.aggregates import best_detection
 from skyloom.operators.cluster import cluster_dbscan, source_numbering
 from skyloom.operators.ranking import update_source_position
-from skyloom.operators.skew import skew_join
+
 from skyloom.operators.sky import nearest_match
 from skyloom.session import store
 
@@ -45,7 +45,7 @@ def associate(
     clusters = store(cluster_dbscan(left, radius_deg))
     best = best_detection(left.join(clusters, "id"), "cluster", ["id", "ra", "dec"])
     named = store(source_numbering(best, next_number, prefix=prefix))
-    fresh = skew_join(clusters, named.select("cluster", F.col("name").alias("source_id")), ["cluster"]).select("id", "source_id")
+    fresh = clusters.join(named.select("cluster", F.col("name").alias("source_id")), ["cluster"]).select("id", "source_id")
     out = _assign(det, known.unionByName(fresh)).withColumn(
         "triggers_alert", F.coalesce("triggers_alert", F.lit(False)) | F.col("source_id").isNotNull()
     )

@@ -8,21 +8,21 @@ from pyspark.sql import functions as F
 from skyloom import constants as K
 from skyloom.operators.filters import detection_cuts, is_bad, kill_flagged, rb_cut, too_many_detections
 from skyloom.operators.pixels import aperture_mean_rms, negative_pixel_cut
-from skyloom.operators.skew import exact_quantile, skew_join
+from skyloom.operators.skew import exact_quantile
 from skyloom.session import store
 
 
-def with_pixel_quality(catalog: DataFrame, pixels: DataFrame, limit: int | None = None) -> DataFrame:
+def with_pixel_quality(catalog: DataFrame, pixels: DataFrame) -> DataFrame:
     """Adds ``rmscut``, ``bpmcut`` (H11) and the image's ``median_rms`` over good pixels."""
     positions = catalog.select("id", "image_id", F.col("x_image").alias("x"), F.col("y_image").alias("y"))
-    good = pixels.filter(~is_bad(F.col("mask"))).withColumn("_pixel", F.struct("x", "y"))
-    medians = exact_quantile(good, ["image_id"], "rms", "_pixel", 0.5, "median_rms", limit)
+    wanted = pixels.join(catalog.select("image_id").distinct(), "image_id", "left_semi")
+    medians = exact_quantile(wanted.filter(~is_bad(F.col("mask"))), ["image_id"], "rms", 0.5, "median_rms")
     out = catalog.join(aperture_mean_rms(pixels, positions), "id", "left")
-    return skew_join(out, medians, ["image_id"], how="left", limit=limit)
+    return out.join(medians, ["image_id"], "left")
 
 
 def filter_detections(
-    catalog: DataFrame, pixels: DataFrame, max_rows: int = K.MAX_DETECTIONS, limit: int | None = None
+    catalog: DataFrame, pixels: DataFrame, max_rows: int = K.MAX_DETECTIONS
 ) -> tuple[DataFrame, DataFrame]:
     """All quality cuts; returns kept detections and failed images.
 
@@ -32,6 +32,6 @@ def filter_detections(
     after each cut in the documented order use ``with_pixel_quality`` and ``cut_funnel``.
     """
     good = rb_cut(detection_cuts(kill_flagged(catalog), with_pixels=False).filter("goodcut"))
-    good = detection_cuts(with_pixel_quality(good, pixels, limit)).filter("goodcut")
+    good = detection_cuts(with_pixel_quality(good, pixels)).filter("goodcut")
     # read for the counts, the kept rows and the failures
-    return too_many_detections(store(negative_pixel_cut(good, pixels, limit=limit)), max_rows)
+    return too_many_detections(store(negative_pixel_cut(good, pixels)), max_rows)

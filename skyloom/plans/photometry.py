@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.functions.geometry import world2pix
 from skyloom.functions.naming import filtercode
 from skyloom.operators.pixels import aperture_photometry
-from skyloom.operators.skew import skew_join
+
 from skyloom.operators.tables import merge_photometry, update_from_join
 
 WCS = ("crpix1", "crpix2", "crval1", "crval2", "cd11", "cd12", "cd21", "cd22")
@@ -17,7 +17,7 @@ WCS = ("crpix1", "crpix2", "crval1", "crval2", "cd11", "cd12", "cd21", "cd22")
 
 def place_sources(todo: DataFrame, images: DataFrame) -> DataFrame:
     """0-based pixel positions of (image_id, source_id, ra, dec) rows through each image's linear solution."""
-    solved = skew_join(todo, images.select(F.col("id").alias("image_id"), *WCS), ["image_id"])
+    solved = todo.join(images.select(F.col("id").alias("image_id"), *WCS), ["image_id"])
     pix = world2pix(F.col("ra"), F.col("dec"), {c: F.col(c) for c in WCS})
     return solved.withColumn("_p", pix).select(
         "image_id", "source_id", "ra", "dec", (F.col("_p.x") - 1).alias("x"), (F.col("_p.y") - 1).alias("y")
@@ -34,7 +34,7 @@ def measure(positions: DataFrame, pixels: DataFrame, images: DataFrame, r: float
         F.col("id").alias("image_id"), (F.col("magzp") + F.col("apcor")).alias("zp"),
         filtercode(F.col("filter")).alias("filtercode"), "obsjd",
     )
-    return skew_join(rows, meta, ["image_id"]).select(
+    return rows.join(meta, ["image_id"]).select(
         "source_id", "image_id", "flux", "fluxerr", "flags", "ra", "dec", "zp", "filtercode", "obsjd"
     )
 

@@ -27,13 +27,13 @@ def plan_stacks(images: DataFrame, subs: DataFrame, refs: DataFrame, coadds: Dat
 
 
 def plan_night(images: DataFrame, copies: DataFrame, refs: DataFrame, subs: DataFrame, failed: DataFrame,
-               jobs: DataFrame, version: str, size: int = K.JOB_SIZE, limit: int | None = None, **cuts) -> DataFrame:
+               jobs: DataFrame, version: str, size: int = K.JOB_SIZE, **cuts) -> DataFrame:
     """P10: images to subtract over all fields, newest name first, in near-equal jobs of at most ``size``.
 
     The number of jobs is ceil(rows / size); no row count reaches the driver.
     """
     todo = images_to_subtract(science_candidates(images, **cuts), copies, refs, subs, failed, jobs, version)
-    rows = ranking.number_rows(todo, F.col("basename").desc(), "id", name="_row", total="_total", limit=limit)
+    rows = ranking.number_rows(todo, F.col("basename").desc(), "id", name="_row", total="_total")
     n = F.greatest(F.lit(1), F.ceil(F.col("_total") / size))
     small, extra = F.floor(F.col("_total") / n), F.pmod(F.col("_total"), n)
     head = extra * (small + 1)
@@ -44,14 +44,14 @@ def plan_night(images: DataFrame, copies: DataFrame, refs: DataFrame, subs: Data
 
 
 def plan_retrieval(ids: DataFrame, files: DataFrame, tape: DataFrame, http: DataFrame, archives: DataFrame,
-                   n_jobs: int = K.RETRIEVAL_JOBS, limit: int | None = None) -> DataFrame:
+                   n_jobs: int = K.RETRIEVAL_JOBS) -> DataFrame:
     """(id, location, job): tape files by their archive's job, then disk, then the remote archive.
 
     ``archives(path, tape, position)`` lists the tape archives.
     """
     wanted = files.join(ids.select("id"), "id", "left_semi")
     on_tape = tape_only_copies(wanted, tape, http).select("id", F.col("archive_id").alias("path"))
-    jobs = ranking.round_robin_plan(archives.join(on_tape.select("path"), "path", "left_semi"), n_jobs, limit)
+    jobs = ranking.round_robin_plan(archives.join(on_tape.select("path"), "path", "left_semi"), n_jobs)
     on_disk = http.select(F.col("product_id").alias("id"))
     where = locate(ids, on_tape, on_disk)
     return where.join(on_tape.join(jobs.select("path", "job"), "path").groupBy("id").agg(F.min("job").alias("job")), "id", "left")

@@ -12,16 +12,13 @@ from skyloom.functions.times import jd_to_mjd
 from skyloom.operators.aggregates import assert_same_properties
 from skyloom.operators.pixels import difference_image, stack_combine
 from skyloom.operators.relational import overlapping_subtractions
-from skyloom.operators.skew import exact_quantile, skew_join
 from skyloom.operators.tables import upsert
 
 
 def _frames(bridge: DataFrame, images: DataFrame, pixels: DataFrame) -> DataFrame:
     """Pixels of every input with its stack id, scaled to the common zeropoint."""
-    inputs = skew_join(
-        bridge.select("coadd_id", F.col("image_id").alias("id")), images.select("id", "magzp"), ["id"]
-    ).select(F.col("id").alias("image_id"), "coadd_id", fluxscale(F.col("magzp")).alias("_scale"))
-    return skew_join(pixels, inputs, ["image_id"]).withColumns({
+    inputs = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images.select("id", "magzp"), ["id"]).select(F.col("id").alias("image_id"), "coadd_id", fluxscale(F.col("magzp")).alias("_scale"))
+    return pixels.join(inputs, ["image_id"]).withColumns({
         "value": F.col("value") * F.col("_scale"),
         "rms": F.col("rms") * F.col("_scale"),
         "weight": F.try_divide(F.col("weight"), F.col("_scale") * F.col("_scale")),
@@ -30,14 +27,14 @@ def _frames(bridge: DataFrame, images: DataFrame, pixels: DataFrame) -> DataFram
 
 def build_stack(
     bridge: DataFrame, images: DataFrame, pixels: DataFrame, mode: str = "clipped",
-    background: float = K.STACK_BACKGROUND, limit: int | None = None,
+    background: float = K.STACK_BACKGROUND,
 ) -> tuple[DataFrame, DataFrame]:
     """Stack pixels and stack rows (key, median MJD, number of inputs).
 
     ``bridge(coadd_id, image_id)`` is also the lineage record. Reading raises when a
     stack mixes partition keys or an input has no pixels with a mask.
     """
-    rows = skew_join(bridge.select("coadd_id", F.col("image_id").alias("id")), images, ["id"])
+    rows = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images, ["id"])
     rows = assert_same_properties(rows, "coadd_id")
     masked = pixels.filter(F.col("mask").isNotNull()).select(F.col("image_id").alias("id")).distinct()
     unmasked = rows.join(masked.withColumn("_ok", F.lit(True)), "id", "left")
@@ -45,9 +42,10 @@ def build_stack(
     rows = unmasked.filter(F.when(F.col("_ok").isNull(), F.raise_error(message).cast("boolean")).otherwise(F.lit(True))).drop("_ok")
     rows = rows.withColumn("mjd", jd_to_mjd(F.col("obsjd")))
     meta = rows.groupBy("coadd_id").agg(
-        *[F.min(c).alias(c) for c in K.GROUP_KEY], F.count(F.lit(1)).alias("n_inputs")
-    ).join(exact_quantile(rows, ["coadd_id"], "mjd", "id", 0.5, "mjd", limit), "coadd_id")
-    stacked = stack_combine(_frames(bridge, images, pixels), mode, ["coadd_id", "x", "y"], background=background, limit=limit)
+        *[F.min(c).alias(c) for c in K.GROUP_KEY], F.count(F.lit(1)).alias("n_inputs"),
+        F.percentile("mjd", F.lit(0.5)).alias("mjd"),  # some hundred inputs at most
+    )
+    stacked = stack_combine(_frames(bridge, images, pixels), mode, ["coadd_id", "x", "y"], background=background)
     return stacked, meta
 
 
@@ -69,7 +67,7 @@ def subtract(
     ref = refs.filter(F.col("version") == version).groupBy(*key).agg(
         F.min_by(F.struct(F.col("id").alias("reference_image_id"), F.col("basename").alias("_ref_name")), "id").alias("_r")
     ).select(*key, "_r.*")
-    paired = skew_join(images, ref, key, how="left")
+    paired = images.join(ref, key, "left")
     done = existing.select(F.col("target_image_id").alias("id"), "reference_image_id")
     todo = paired.join(done, ["id", "reference_image_id"], "left_anti")
     have = sci_pixels.select(F.col("image_id").alias("id")).distinct().withColumn("_pixels", F.lit(True))
@@ -83,13 +81,12 @@ def subtract(
         sub_name(F.col("basename"), F.col("_ref_name")).alias("basename"), *key,
         *[c for c in ("seeing", "magzp", "apcor", "obsjd") if c in images.columns],
     )
-    sci = skew_join(sci_pixels, ok.select(F.col("id").alias("image_id"), "reference_image_id"), ["image_id"])
+    sci = sci_pixels.join(ok.select(F.col("id").alias("image_id"), "reference_image_id"), ["image_id"])
     return difference_image(sci, ref_pixels, "reference_image_id"), rows, failures
 
 
 def stack_subtraction(
     bridge: DataFrame, subs: DataFrame, images: DataFrame, sub_pixels: DataFrame, mode: str = "clipped",
-    limit: int | None = None,
 ) -> DataFrame:
     """Combined difference pixels of each (stack, reference) whose differences cover all inputs.
 
@@ -99,9 +96,9 @@ def stack_subtraction(
         F.col("sub_id").alias("image_id"), F.col("coadd_id").alias("stack_id"), "reference_image_id"
     )
     zp = images.select(F.col("id").alias("image_id"), fluxscale(F.col("magzp")).alias("_scale"))
-    frames = skew_join(sub_pixels, rows.join(zp, "image_id"), ["image_id"]).withColumns({
+    frames = sub_pixels.join(rows.join(zp, "image_id"), ["image_id"]).withColumns({
         "value": F.col("value") * F.col("_scale"),
         "rms": F.col("rms") * F.col("_scale"),
         "weight": F.try_divide(F.col("weight"), F.col("_scale") * F.col("_scale")),
     }).drop("_scale")
-    return stack_combine(frames, mode, ["stack_id", "reference_image_id", "x", "y"], limit=limit)
+    return stack_combine(frames, mode, ["stack_id", "reference_image_id", "x", "y"])

@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.functions.photometry import abmag
 from skyloom.operators.aggregates import distinct_names
 from skyloom.operators.ranking import closest_three
-from skyloom.operators.skew import skew_join
+
 from skyloom.operators.sky import cone_join
 from skyloom.session import store
 
@@ -156,7 +156,7 @@ def closest_ps1(det: DataFrame, ps1: DataFrame, scores: DataFrame) -> DataFrame:
     """The three nearest point-source neighbours per detection within 30 arcsec, with their star score."""
     pairs = cone_join(ps1, det.select("id", "ra", "dec"), K.NEIGHBOR_RADIUS_DEG, b_prefix="d_")
     pairs = pairs.withColumn("sep", F.col("sep_deg") * 3600)
-    pairs = skew_join(pairs, scores.select("objid", "ps_score"), ["objid"], how="left")
+    pairs = pairs.join(scores.select("objid", "ps_score"), ["objid"], "left")
     pairs = pairs.withColumn("ps_score", F.coalesce("ps_score", F.lit(NO_SCORE)))
     return closest_three(pairs, ["d_id"], PS1_FIELDS).withColumnRenamed("d_id", "id")
 
@@ -198,7 +198,7 @@ def crossmatch_candidate(
     half = F.when(F.col("dec") < HALF_DEC, "south").otherwise("north")
     base = det.select("id", "ra", "dec", "source_id", half.alias("half"))
     own = base.join(closest_ps1(det, ps1, scores), "id", "left")
-    own = skew_join(own, closest_legacy(sources, north, south), ["source_id", "half"], how="left").drop("half", "ra", "dec", "source_id")
+    own = own.join(closest_legacy(sources, north, south), ["source_id", "half"], "left").drop("half", "ra", "dec", "source_id")
     out = own.join(names_within(base, names, size), "id", "left")
     # a detection without names has no list row; one whose list starts in a later part cannot exist
     return out.withColumns({"part": F.coalesce("part", F.lit(0)), **{f: F.coalesce(f, F.lit("")) for f in names}})

@@ -6,6 +6,7 @@ import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
+from skyloom.functions import headers
 from skyloom.operators import aggregates, filters, pixels, ranking, relational, tables
 from skyloom.operators.scoring import score_batches
 from skyloom.plans import alerts, association, detection, photometry, stacking, vetting
@@ -162,12 +163,11 @@ def test_history_counts_strictly_earlier(spark):
     one = spark.createDataFrame([("s", 1, 10.0), ("s", 2, 11.0), ("s", 3, 11.0), ("t", 4, 1.0)], "source_id string, detection_id long, mjd double")
     many = spark.createDataFrame([("s", 100, 8.0, 14.0), ("s", 101, 9.0, 10.5), ("s", 102, 11.0, 12.0)], "source_id string, stack_id long, min_mjd double, max_mjd double")
     ask = spark.createDataFrame([(2, "s", 11.0), (9, "s", 5.0)], "id long, source_id string, epoch double")
-    for limit in (None, 0):
-        got = {r.id: r for r in alerts.history_before(ask, one, many, limit).collect()}
-        r = got[2]
-        assert (r.ndethist_single, r.ndethist_stack) == (1, 2) and r.jdstarthist_single == 2400010.5
-        assert (r.jdstarthist_stack, r.jdendhist_stack) == (2400009.5, 2400014.5)
-        assert got[9].ndethist_single == 0 and got[9].jdstarthist_single is None and got[9].jdendhist_stack is None
+    got = {r.id: r for r in alerts.history_before(ask, one, many).collect()}
+    r = got[2]
+    assert (r.ndethist_single, r.ndethist_stack) == (1, 2) and r.jdstarthist_single == 2400010.5
+    assert (r.jdstarthist_stack, r.jdendhist_stack) == (2400009.5, 2400014.5)
+    assert got[9].ndethist_single == 0 and got[9].jdstarthist_single is None and got[9].jdendhist_stack is None
 
 
 def packet_inputs(spark, source="s", lc_source="s"):
@@ -187,9 +187,8 @@ def packet_inputs(spark, source="s", lc_source="s"):
     return d, rb, images, subs, subs.filter("false"), bridge, d, phot, match, stamps
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_packet(spark, limit):
-    rows = alerts.build_alerts(*packet_inputs(spark), size=2, limit=limit).collect()
+def test_packet(spark):
+    rows = alerts.build_alerts(*packet_inputs(spark), size=2).collect()
     rows.sort(key=lambda r: r.part)
     assert [[p.id for p in r.light_curve] for r in rows] == [[0, 1], [2]]
     c = rows[0].candidate
@@ -221,13 +220,12 @@ def test_stack_without_mask_raises(spark):
         stacking.build_stack(bridge, images, px)[1].collect()
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_clipped_stack_drops_the_outlier(spark, limit):
+def test_clipped_stack_drops_the_outlier(spark):
     px = None
     for k, v in enumerate((10.0, 10.2, 9.8, 500.0)):
         part = grid(spark, 2, k + 1, f"{v}e0").withColumn("weight", F.lit(0.25)).withColumn("grp", F.lit(1))
         px = part if px is None else px.unionByName(part)
-    got = {round(r.value, 6) for r in pixels.stack_combine(px, "clipped", limit=limit).collect()}
+    got = {round(r.value, 6) for r in pixels.stack_combine(px, "clipped").collect()}
     assert got == {10.0}
 
 
@@ -250,3 +248,21 @@ def test_detection_without_pixels_keeps_its_cuts(spark):
 def test_newest_first(spark):
     rows = spark.createDataFrame([("ztf_20200101_000600_zg_c01_o_q1_sciimg.fits",), ("ztf_20210101_000600_zg_c01_o_q1_sciimg.fits",)], "basename string")
     assert ranking.newest_first_limit(rows, 1).first().basename.startswith("ztf_2021")
+
+
+def test_null_beside_a_value_is_a_mix(spark):
+    rows = spark.createDataFrame([(1, 1, 2), (1, 1, None), (2, None, None), (2, None, None), (3, 1, 1)], "g int, a int, b int")
+    assert [r.g for r in aggregates.mixed_groups(rows, "g", ["a", "b"]).collect()] == [1]
+    with pytest.raises(Exception, match="must share"):
+        aggregates.assert_same_properties(rows, "g", ["a", "b"]).collect()
+
+
+def test_header_without_its_key_raises(spark):
+    full = {"FIELDID": "600", "CCDID": "1", "QID": "2", "FILTERID": "3", "FILENAME": "ztf_20180101123456_000600_zi_c01_o_q2_sciimg.fits"}
+    images = spark.createDataFrame([(1, full)], "id long, header map<string,string>")
+    row = headers.header_extract(images).first()
+    assert (row.field, row.filtercode, row.imgtypecode, row.filefracday) == (600, "zi", "g", 20180101123456)
+    for key in full:
+        part = spark.createDataFrame([(1, {k: v for k, v in full.items() if k != key})], "id long, header map<string,string>")
+        with pytest.raises(Exception, match=f"no usable {key}"):
+            headers.header_extract(part).collect()

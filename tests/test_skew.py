@@ -1,12 +1,14 @@
-"""Skew helpers: the large-input paths must give what the plain forms give, with one hot key."""
+"""Skew helpers against plain Spark forms, with one hot key, a null key and ties."""
 
 import numpy as np
 import pytest
 from hypothesis import HealthCheck, given, settings
 from hypothesis import strategies as st
+from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from skyloom.operators import ranking, skew
+from skyloom.operators.sky import cone_join
 from skyloom.session import scratch_root, store
 
 ROWS = "id long, k string, v double"
@@ -14,9 +16,9 @@ ROWS = "id long, k string, v double"
 
 @pytest.fixture(scope="module")
 def hot(spark):
-    """Half the rows share one key; values tie."""
+    """Half the rows share one key; values tie; some keys are null."""
     rng = np.random.default_rng(5)
-    rows = [(i, "hot" if i % 2 else f"k{i % 14}", float(rng.integers(0, 40))) for i in range(600)]
+    rows = [(i, None if i % 9 == 4 else "hot" if i % 2 else f"k{i % 14}", float(rng.integers(0, 40))) for i in range(600)]
     return store(spark.createDataFrame(rows, ROWS))
 
 
@@ -24,57 +26,89 @@ def same(a, b):
     assert sorted(map(tuple, a.select(sorted(a.columns)).collect()), key=repr) == sorted(map(tuple, b.select(sorted(b.columns)).collect()), key=repr)
 
 
-def test_size_checks(spark, hot):
-    assert skew.fits_one_task(hot) and not skew.fits_one_task(hot, 0)
-    assert skew.is_plain_scan(hot.filter("id > 3").select("id", "k"))
-    assert not skew.is_plain_scan(hot.join(hot.select("id"), "id"))
-    assert skew.plan_bytes(hot.join(hot.select("id"), "id")) == 2 * skew.plan_bytes(hot)
-
-
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join(spark, hot, how):
-    dims = spark.createDataFrame([("hot", 1), ("k0", 2), ("none", 3)], "k string, w int")
-    facts = store(hot.unionByName(spark.createDataFrame([(1000, None, 1.0)], ROWS)))
-    salted = skew.skew_join(facts, dims, ["k"], how, hot_rows=20, limit=0)
-    plan = salted._jdf.queryExecution().optimizedPlan().toString()
-    assert "_salt" in plan
-    same(salted, facts.join(dims, ["k"], how))
-
-
-def test_salts_spread_the_hot_key(hot):
-    table = {r.k: r._salts for r in skew.hot_keys(hot, ["k"], 50).collect()}
-    assert table == {"hot": 6}
+def test_null_safe_join(spark, hot, how):
+    dims = spark.createDataFrame([("hot", 1), (None, 2), ("none", 3)], "k string, w int")
+    got = skew.null_safe_join(hot, dims, ["k"], how)
+    want = hot.withColumn("k", F.coalesce("k", F.lit("?"))).join(dims.withColumn("k", F.coalesce("k", F.lit("?"))), ["k"], how)
+    same(got.withColumn("k", F.coalesce("k", F.lit("?"))), want)
 
 
 def test_running_and_numbering(hot):
-    running = {"n": ("sum", F.lit(1).cast("long")), "s": ("sum", F.col("v")), "lo": ("min", F.col("v")), "hi": ("max", F.when(F.col("id") % 3 == 0, F.col("v")))}
-    same(skew.running_in_group(hot, ["k"], ["v", "id"], running, limit=0), skew.running_in_group(hot, ["k"], ["v", "id"], running))
-    same(skew.number_in_group(hot, ["k"], [F.col("v").desc(), "id"], limit=0), skew.number_in_group(hot, ["k"], [F.col("v").desc(), "id"]))
-    same(skew.rank_in_group(hot, ["k"], "v", "id", limit=0), skew.rank_in_group(hot, ["k"], "v", "id"))
-    same(skew.number_rows(hot, "v", "id", start=7, limit=0), skew.number_rows(hot, "v", "id", start=7))
+    value = {"n": F.lit(1).cast("long"), "s": F.col("v"), "lo": F.col("v"), "hi": F.when(F.col("id") % 3 == 0, F.col("v"))}
+    how = {"n": "sum", "s": "sum", "lo": "min", "hi": "max"}
+    upto = Window.partitionBy("k").orderBy("v", "id").rowsBetween(Window.unboundedPreceding, 0)
+    plain = hot.withColumns({n: getattr(F, how[n])(value[n]).over(upto) for n in value})
+    same(skew.running_in_group(hot, ["k"], ["v", "id"], {n: (how[n], value[n]) for n in value}), plain)
+    down = Window.partitionBy("k").orderBy(F.col("v").desc(), "id")
+    same(skew.number_in_group(hot, ["k"], [F.col("v").desc(), "id"]), hot.withColumn("row", F.row_number().over(down).cast("long")))
+    same(skew.rank_in_group(hot, ["k"], "v", "id"), hot.withColumn("rank", F.rank().over(Window.partitionBy("k").orderBy("v")).cast("long")))
+    whole = hot.withColumn("row", F.row_number().over(Window.orderBy("v", "id")).cast("long") + 6)
+    same(skew.number_rows(hot, "v", "id", start=7), whole)
+
+
+def test_null_group_counts_like_any_other(spark):
+    rows = spark.createDataFrame([(1, None, 1.0), (2, None, 3.0), (3, "a", 2.0), (4, "a", 4.0)], ROWS)
+    assert {r.k: r.m for r in skew.exact_quantile(rows, ["k"], "v", 0.5, "m").collect()} == {None: 2.0, "a": 3.0}
+    assert sorted((r.k is None, r["rank"]) for r in skew.rank_in_group(rows, ["k"], "v", "id").collect()) == [(False, 1), (False, 2), (True, 1), (True, 2)]
+    assert sorted((str(r.k), r.row) for r in skew.number_in_group(rows, ["k"], ["id"]).collect()) == [("None", 1), ("None", 2), ("a", 1), ("a", 2)]
+    parts = skew.collect_parts(rows, ["k"], ["id"], F.col("id"), 1, "ids").collect()
+    assert sorted(r.ids for r in parts) == [[1], [2], [3], [4]]
 
 
 @pytest.mark.parametrize("q", [0.0, 0.25, 0.5, 0.9, 1.0])
-def test_exact_quantile(hot, q):
+@pytest.mark.parametrize("accuracy", [skew.ACCURACY, 20])
+def test_exact_quantile(hot, q, accuracy, monkeypatch):
+    monkeypatch.setattr(skew, "ACCURACY", accuracy)  # 20: the bracket is narrower than the groups
     data = hot.withColumn("v", F.when(F.col("id") % 50 == 0, float("nan")).when(F.col("id") % 51 != 0, F.col("v")))
-    big = skew.exact_quantile(data, ["k"], "v", "id", q, "m", limit=0).withColumn("m", F.round("m", 9))
-    same(big, skew.exact_quantile(data, ["k"], "v", "id", q, "m").withColumn("m", F.round("m", 9)))
+    clean = data.filter("v is not null and not isnan(v)").groupBy("k").agg(F.round(F.percentile("v", F.lit(q)), 9).alias("m"))
+    same(skew.exact_quantile(data, ["k"], "v", q, "m").withColumn("m", F.round("m", 9)), clean)
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_parts_are_whole_and_bounded(hot, limit):
-    parts = skew.collect_parts(hot, ["k"], ["v", "id"], F.col("id"), 16, "ids", limit)
+@settings(max_examples=10, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(values=st.lists(st.sampled_from([0.0, 1.0, 2.5, 7.0, 1e6]), min_size=1, max_size=9), q=st.sampled_from([0.25, 0.5, 0.75]))
+def test_quantiles_of_small_groups(spark, values, q):
+    rows = spark.createDataFrame([(i, "a", v) for i, v in enumerate(values)], ROWS)
+    assert skew.exact_quantile(rows, ["k"], "v", q, "m").first().m == pytest.approx(np.quantile(values, q))
+
+
+def test_parts_are_whole_and_bounded(hot):
+    parts = skew.collect_parts(hot, ["k"], ["v", "id"], F.col("id"), 16, "ids")
     assert parts.filter(F.size("ids") > 16).count() == 0
     rows = {(r.k, r.part): r.ids for r in parts.collect()}
     for key in {k for k, _ in rows}:
-        want = [r.id for r in hot.filter(F.col("k") == key).orderBy("v", "id").collect()]
+        want = [r.id for r in hot.filter(F.col("k").eqNullSafe(F.lit(key))).orderBy("v", "id").collect()]
         assert sum((rows[key, p] for p in range((len(want) + 15) // 16)), []) == want
 
 
+@pytest.mark.parametrize("crowded", ["left", "right"])
+def test_crowded_cell_is_split(spark, crowded):
+    """Most rows of one side lie in one sky cell: the adaptive join splits it, on either side."""
+    settings_ = {
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "2k", "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": "2k", "spark.sql.autoBroadcastJoinThreshold": "-1",
+        "spark.sql.adaptive.coalescePartitions.enabled": "false",
+    }
+    old = {k: spark.conf.get(k, None) for k in settings_}
+    try:
+        for key, value in settings_.items():
+            spark.conf.set(key, value)
+        many = spark.range(0, 4000, 1, 6).selectExpr("id", "CASE WHEN id % 10 < 9 THEN 10e0 + id * 1e-9 ELSE id * 0.08e0 END AS ra", "CASE WHEN id % 10 < 9 THEN 10e0 ELSE 20e0 END AS dec")
+        few = spark.range(60).selectExpr("id", "10e0 + id * 1e-7 AS ra", "10e0 AS dec")
+        a, b = (many, few) if crowded == "left" else (few, many)
+        joined = cone_join(a, b, 1e-3)
+        assert joined.count() == 3600 * 60
+        joined.collect()
+        assert "skew=true" in joined._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key, value in old.items():
+            spark.conf.unset(key) if value is None else spark.conf.set(key, value)
+
+
 @settings(max_examples=8, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
 @given(rows=st.integers(1, 60), n=st.integers(1, 12))
 def test_work_plan_equals_array_split(spark, rows, n):
-    got = [r.chunk for r in ranking.work_plan(spark.range(rows), n, "id", limit=0 if rows % 2 else None).orderBy("id").collect()]
+    got = [r.chunk for r in ranking.work_plan(spark.range(rows), n, "id").orderBy("id").collect()]
     want = sum(([i] * len(part) for i, part in enumerate(np.array_split(range(rows), n))), [])
     assert got == want
 
@@ -88,12 +122,12 @@ def test_ten_items_in_three_chunks(spark):
 
 def test_ranking_limit_reaches_the_map_side(hot):
     best = ranking.reference_plan(
-        hot.selectExpr("id", "CAST(id % 2 AS INT) AS field", "length(k) AS ccdid", "1 AS qid", "1 AS fid", "v AS maglimit"), "v1", 50, 14)
+        hot.filter("k is not null").selectExpr("id", "CAST(id % 2 AS INT) AS field", "length(k) AS ccdid", "1 AS qid", "1 AS fid", "v AS maglimit"), "v1", 50, 14)
     assert "WindowGroupLimit" in best._jdf.queryExecution().optimizedPlan().toString()
     assert best.groupBy("field", "ccdid").count().agg(F.max("count")).first()[0] == 50
 
 
-def test_scratch_needs_a_shared_folder_on_a_cluster(spark):
+def test_scratch_needs_a_shared_folder(spark):
     assert scratch_root(spark)
 
     class Conf:

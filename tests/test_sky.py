@@ -1,4 +1,4 @@
-"""Sky joins and clustering against brute force, on planted and random positions, with and without salting."""
+"""Sky joins and clustering against brute force, on planted and random positions."""
 
 import numpy as np
 import pytest
@@ -11,7 +11,6 @@ from skyloom.operators.relational import photometry_todo
 from skyloom.operators.sky import cone_join, cone_search, nearest_match, neighbors_ranked, polygon_join
 
 POS = "id long, ra double, dec double"
-HOT = {"limit": 0, "hot_rows": 3}
 
 
 def frame(spark, rows):
@@ -46,12 +45,11 @@ def sky(n, seed=1):
     return list(zip(ra, dec))
 
 
-@pytest.mark.parametrize("kw", [{}, HOT])
 @pytest.mark.parametrize("radius,cell", [(0.05, None), (0.4, 0.5), (3.0, None)])
-def test_cone_join_equals_brute_force(spark, kw, radius, cell):
+def test_cone_join_equals_brute_force(spark, radius, cell):
     rows = sky(150)
     df = frame(spark, rows)
-    got = [tuple(r) for r in cone_join(df, df, radius, cell_deg=cell, **kw).select("id", "b_id").collect()]
+    got = [tuple(r) for r in cone_join(df, df, radius, cell_deg=cell).select("id", "b_id").collect()]
     assert len(got) == len(set(got))
     assert set(got) == set(zip(*map(list, np.where(distances(rows) <= radius))))
 
@@ -81,7 +79,7 @@ def test_left_and_semi_keep_left_rows_once(spark):
     a, b = frame(spark, [(10, 0), (50, 0)]), frame(spark, [(10, 0), (10, 1e-5)])
     assert sorted((r.id, r.b_id) for r in cone_join(a, b, 1e-3, "left").collect() if r.b_id is not None) == [(0, 0), (0, 1)]
     assert cone_join(a, b, 1e-3, "left").filter("b_id is null").count() == 1
-    assert [r.id for r in cone_join(a, b, 1e-3, "left_semi", **HOT).collect()] == [0]
+    assert [r.id for r in cone_join(a, b, 1e-3, "left_semi").collect()] == [0]
 
 
 def test_cone_plan_has_no_cartesian(spark):
@@ -116,11 +114,10 @@ def test_nearest_then_lowest_id(spark):
     assert nearest_match(a, exact, 0.5 / 3600).count() == 0
 
 
-@pytest.mark.parametrize("limit", [None, 0])
-def test_rank_shares_ties(spark, limit):
+def test_rank_shares_ties(spark):
     src = frame(spark, [(10, 0)])
     cat = spark.createDataFrame([(1, 10.0, 1e-4), (2, 10.0, 1e-4), (3, 10.0, 2e-4)], "objid long, ra double, dec double")
-    got = {r.objid: r["rank"] for r in neighbors_ranked(src, cat, limit=limit).collect()}
+    got = {r.objid: r["rank"] for r in neighbors_ranked(src, cat).collect()}
     assert got == {1: 1, 2: 1, 3: 3}
 
 

@@ -34,7 +34,7 @@ def detections(spark, sf) -> DataFrame:
         "CASE WHEN event_id % 11 = 0 THEN 256 WHEN event_id % 13 = 0 THEN 2 ELSE 0 END AS imaflags_iso",
         "2e0 + (event_id % 9) * 0.3e0 AS a_image", "2e0 AS b_image",
         "1.5e0 + (event_id % 20) * 0.17e0 AS fwhm_image", "2e0 AS seeing",
-        "(event_id * 0.6180339887e0) % 1e0 AS rb", "(event_id * 7) % 1500 AS image_id",
+        "(event_id * 0.6180339887e0) % 1e0 AS rb", "CAST(floor(event_id / 6) AS BIGINT) * 9 + event_id % 3 AS image_id",
         "CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS flags_weight",
         "CASE WHEN user_id % 2 = 0 AND event_id % 3 = 0 THEN CONCAT('S', user_id) END AS source_id",
         "CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id % 4 = 1 END AS alert_ready",
@@ -52,11 +52,11 @@ def sources(spark, sf) -> DataFrame:
 
 
 def catalog(spark, sf) -> DataFrame:
-    """Reference catalog: neighbours north of the first objects, 1.08 arcsec apart."""
+    """Reference catalog: fourteen neighbours north of each object, 1.08 arcsec apart."""
     return table(spark, sf, "part").selectExpr(
-        "p_partkey AS objid", "p_partkey % 15 AS user_id",
-        "((p_partkey % 15) * 137.50776405e0) % 360e0 AS ra",
-        "((p_partkey % 15) * 7.31e0) % 120e0 - 60e0 + CAST(floor(p_partkey / 15) AS BIGINT) * 3e-4 + 1e-4 AS dec",
+        "p_partkey AS objid", "CAST(floor(p_partkey / 14) AS BIGINT) AS user_id",
+        "(CAST(floor(p_partkey / 14) AS BIGINT) * 137.50776405e0) % 360e0 AS ra",
+        "(CAST(floor(p_partkey / 14) AS BIGINT) * 7.31e0) % 120e0 - 60e0 + (p_partkey % 14) * 3e-4 + 1e-4 AS dec",
         "CASE WHEN p_type = 'SMALL' THEN 'PSF' ELSE 'REX' END AS type",
         "p_retailprice / 100e0 AS flux_g", "p_retailprice / 90e0 - 10e0 AS flux_r", "p_retailprice / 80e0 AS flux_z",
         "p_retailprice / 70e0 AS flux_w1", "p_retailprice / 60e0 AS flux_w2", "p_retailprice / 50e0 AS flux_w3",
@@ -74,7 +74,7 @@ def catalog(spark, sf) -> DataFrame:
 
 
 def images(spark, sf) -> DataFrame:
-    """Science images with a footprint around one of 97 objects."""
+    """Science images, a hundred with a footprint around each object."""
     rows = table(spark, sf, "orders").selectExpr(
         "o_orderkey AS id",
         "CAST(600 + CAST(floor(o_orderkey / 48) AS BIGINT) % 4 AS INT) AS field",
@@ -85,8 +85,8 @@ def images(spark, sf) -> DataFrame:
         "1.2e0 + (o_orderkey % 31) * 0.1e0 AS seeing", "18e0 + o_totalprice % 5e0 AS maglimit",
         "CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS infobits", "30e0 + o_orderkey % 3 AS exptime",
         "CAST(o_orderkey % 3 AS INT) AS ipac_gid", "'o' AS imgtypecode",
-        "((o_orderkey % 97) * 137.50776405e0) % 360e0 AS ra", "((o_orderkey % 97) * 7.31e0) % 120e0 - 60e0 AS dec",
-        "26e0 + (o_orderkey % 7) * 0.1e0 AS magzp", "0.05e0 AS apcor", "o_orderkey % 97 AS obj",
+        "(CAST(floor(o_orderkey / 100) AS BIGINT) * 137.50776405e0) % 360e0 AS ra", "(CAST(floor(o_orderkey / 100) AS BIGINT) * 7.31e0) % 120e0 - 60e0 AS dec",
+        "26e0 + (o_orderkey % 7) * 0.1e0 AS magzp", "0.05e0 AS apcor", "CAST(floor(o_orderkey / 100) AS BIGINT) AS obj",
     )
     rows = rows.withColumns({
         "obsjd": ts_to_mjd(F.col("obsdate")) + 2400000.5,
@@ -151,8 +151,8 @@ def stack_subs(spark, sf) -> DataFrame:
 def placed_detections(spark, sf) -> DataFrame:
     """Detections on difference images (every fifth on a stack), all with a source."""
     det = detections(spark, sf).drop("image_id", "source_id")
-    target = images(spark, sf).filter("id < 1500").selectExpr("id AS iid", "stack_id")
-    rows = det.withColumn("iid", F.expr("(id * 7) % 1500")).join(target, "iid")
+    target = images(spark, sf).selectExpr("id AS iid", "stack_id")
+    rows = det.withColumn("iid", F.expr("CAST(floor(id / 6) AS BIGINT) * 9 + id % 3")).join(target, "iid")
     image = F.expr("CASE WHEN id % 5 = 0 THEN 2000000 + stack_id ELSE 1000000 + iid - iid % 4 END")
     return rows.withColumns({
         "image_id": image, "source_id": F.concat(F.lit("S"), F.col("user_id")),
@@ -187,7 +187,7 @@ def pixels(spark, sf) -> DataFrame:
 def pixel_positions(spark, sf) -> DataFrame:
     """Measuring positions on the pixel images, half a pixel apart."""
     n = table(spark, sf, "embeddings").select("vec_id")
-    det = table(spark, sf, "events").selectExpr("event_id AS id", "event_id % 500 AS vec_id",
+    det = table(spark, sf, "events").selectExpr("event_id AS id", f"event_id % {n.count()} AS vec_id",
                                                 "(event_id % 13) * 0.5e0 + 0.5e0 AS x", "(event_id % 11) * 0.5e0 + 1e0 AS y")
     return det.join(n, "vec_id").select("id", F.col("vec_id").alias("image_id"), "x", "y")
 
@@ -202,16 +202,16 @@ VIEWS = {
       CASE WHEN event_id % 11 = 0 THEN 256 WHEN event_id % 13 = 0 THEN 2 ELSE 0 END AS imaflags_iso,
       2e0 + (event_id % 9) * 0.3e0 AS a_image, 2e0 AS b_image,
       1.5e0 + (event_id % 20) * 0.17e0 AS fwhm_image, 2e0 AS seeing,
-      (event_id * 0.6180339887e0) % 1e0 AS rb, (event_id * 7) % 1500 AS image_id,
+      (event_id * 0.6180339887e0) % 1e0 AS rb, CAST(floor(event_id / 6) AS BIGINT) * 9 + event_id % 3 AS image_id,
       CASE WHEN event_id % 17 = 0 THEN 1 ELSE 0 END AS flags_weight,
       CASE WHEN user_id % 2 = 0 AND event_id % 3 = 0 THEN CONCAT('S', user_id) END AS source_id,
       CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_id % 4 = 1 END AS alert_ready,
       event_id % 3 <> 1 AS triggers_alert, ts AS created_at FROM events)""",
     "v_src": """SELECT CONCAT('S', user_id) AS id, user_id, (user_id * 137.50776405e0) % 360e0 AS ra,
       (user_id * 7.31e0) % 120e0 - 60e0 AS dec FROM (SELECT DISTINCT user_id FROM events) u WHERE user_id % 2 = 0""",
-    "v_cat": """SELECT p_partkey AS objid, p_partkey % 15 AS user_id,
-      ((p_partkey % 15) * 137.50776405e0) % 360e0 AS ra,
-      ((p_partkey % 15) * 7.31e0) % 120e0 - 60e0 + CAST(floor(p_partkey / 15) AS BIGINT) * 3e-4 + 1e-4 AS dec,
+    "v_cat": """SELECT p_partkey AS objid, CAST(floor(p_partkey / 14) AS BIGINT) AS user_id,
+      (CAST(floor(p_partkey / 14) AS BIGINT) * 137.50776405e0) % 360e0 AS ra,
+      (CAST(floor(p_partkey / 14) AS BIGINT) * 7.31e0) % 120e0 - 60e0 + (p_partkey % 14) * 3e-4 + 1e-4 AS dec,
       CASE WHEN p_type = 'SMALL' THEN 'PSF' ELSE 'REX' END AS type,
       p_retailprice / 100e0 AS flux_g, p_retailprice / 90e0 - 10e0 AS flux_r, p_retailprice / 80e0 AS flux_z,
       p_retailprice / 70e0 AS flux_w1, p_retailprice / 60e0 AS flux_w2, p_retailprice / 50e0 AS flux_w3,
@@ -231,8 +231,8 @@ VIEWS = {
       1.2e0 + (o_orderkey % 31) * 0.1e0 AS seeing, 18e0 + o_totalprice % 5e0 AS maglimit,
       CASE WHEN o_orderstatus = 'P' THEN 1 ELSE 0 END AS infobits, 30e0 + o_orderkey % 3 AS exptime,
       CAST(o_orderkey % 3 AS INT) AS ipac_gid, 'o' AS imgtypecode,
-      ((o_orderkey % 97) * 137.50776405e0) % 360e0 AS ra, ((o_orderkey % 97) * 7.31e0) % 120e0 - 60e0 AS dec,
-      26e0 + (o_orderkey % 7) * 0.1e0 AS magzp, 0.05e0 AS apcor, o_orderkey % 97 AS obj FROM orders""",
+      (CAST(floor(o_orderkey / 100) AS BIGINT) * 137.50776405e0) % 360e0 AS ra, (CAST(floor(o_orderkey / 100) AS BIGINT) * 7.31e0) % 120e0 - 60e0 AS dec,
+      26e0 + (o_orderkey % 7) * 0.1e0 AS magzp, 0.05e0 AS apcor, CAST(floor(o_orderkey / 100) AS BIGINT) AS obj FROM orders""",
     "v_img1": """SELECT *, epoch_us(obsdate) / 86400e6 + 2440587.5e0 AS obsjd,
       CASE fid WHEN 1 THEN 'zg' WHEN 2 THEN 'zr' ELSE 'zi' END AS filtercode,
       CAST(strftime(obsdate, '%Y%m%d') AS BIGINT) * 1000000 + id % 1000000 AS filefracday,
@@ -260,7 +260,7 @@ VIEWS = {
     "v_pdet": """SELECT d.* EXCLUDE (image_id, source_id), CASE WHEN d.id % 5 = 0 THEN 2000000 + i.stack_id
         ELSE 1000000 + i.id - i.id % 4 END AS image_id, CONCAT('S', d.user_id) AS source_id,
       1e0 + d.id % 3000 AS x_image, 1e0 + d.id % 2900 AS y_image, a_image / b_image AS elongation
-      FROM v_det d JOIN v_img i ON i.id = (d.id * 7) % 1500 AND i.id < 1500""",
+      FROM v_det d JOIN v_img i ON i.id = CAST(floor(d.id / 6) AS BIGINT) * 9 + d.id % 3""",
     "v_rb": "SELECT id, id AS detection_id, rb AS rb_score, 'm1' AS rb_version FROM v_det",
     "v_phot": """SELECT event_id AS id, CONCAT('S', user_id) AS source_id, event_id AS image_id, value AS flux,
       1e0 + event_id % 5 AS fluxerr, CAST(event_id % 4 AS INT) AS flags, 0e0 AS ra, 0e0 AS dec,
@@ -270,8 +270,8 @@ VIEWS = {
       100e0 * CAST(embedding[pos + 1] AS DOUBLE) AS value, 1e0 + (pos % 3) * 0.5e0 AS rms,
       CASE WHEN (vec_id + pos) % 17 = 0 THEN 256 WHEN (vec_id + pos) % 19 = 0 THEN 2 ELSE 0 END AS mask
       FROM (SELECT *, unnest(range(len(embedding))) AS pos FROM embeddings)""",
-    "v_pos": """SELECT event_id AS id, event_id % 500 AS image_id, (event_id % 13) * 0.5e0 + 0.5e0 AS x,
-      (event_id % 11) * 0.5e0 + 1e0 AS y FROM events JOIN embeddings ON vec_id = event_id % 500""",
+    "v_pos": """SELECT event_id AS id, vec_id AS image_id, (event_id % 13) * 0.5e0 + 0.5e0 AS x,
+      (event_id % 11) * 0.5e0 + 1e0 AS y FROM events JOIN embeddings ON vec_id = event_id % (SELECT count(*) FROM embeddings)""",
 }
 
 

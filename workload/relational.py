@@ -212,8 +212,8 @@ PLAN = f"""SELECT {K4}, kidx, bin, binleft, binright, count(*) AS size, min(id)
 BIN_CTES = {"bins": BINS, "mem": MEMBERS, "plan": PLAN}
 add("stacks_to_build", stack_plan,
     f"SELECT {K4}, binleft, binright, size, first_id, last_id FROM plan WHERE NOT (kidx % 3 <> 0 AND bin % 2 = 0)", BIN_CTES)
-add("order_by_size", lambda s, d: ranking.order_by_size(stack_plan(s, d)).limit(100).select("field", "ccdid", "qid", "fid", "binleft", "size"),
-    f"""SELECT {K4}, binleft, size FROM plan WHERE NOT (kidx % 3 <> 0 AND bin % 2 = 0) ORDER BY size DESC, {K4}, binleft LIMIT 100""", BIN_CTES)
+add("order_by_size", lambda s, d: ranking.order_by_size(stack_plan(s, d)).select("field", "ccdid", "qid", "fid", "binleft", "size"),
+    f"""SELECT {K4}, binleft, size FROM plan WHERE NOT (kidx % 3 <> 0 AND bin % 2 = 0) ORDER BY size DESC, {K4}, binleft""", BIN_CTES)
 
 
 def _targets(spark, sf):
@@ -301,7 +301,7 @@ add("stack_summary", lambda s, d: aggregates.stack_summary(W.stack_bridge(s, d),
         "coadd_id", "nframesstack", *r6("jdstartstack", "jdendstack", "jdmed", "exptime")),
     """SELECT stack_id AS coadd_id, count(*) AS nframesstack, round(min(obsjd), 6) AS jdstartstack, round(max(obsjd), 6) AS jdendstack,
        round(quantile_cont(obsjd, 0.5), 6) AS jdmed, round(sum(exptime), 6) AS exptime FROM v_img GROUP BY 1""")
-add("mad", lambda s, d: aggregates.mad(W.detections(s, d), ["user_id"], "flux", "id").select("user_id", *r6("median", "sigma")),
+add("mad", lambda s, d: aggregates.mad(W.detections(s, d), ["user_id"], "flux").select("user_id", *r6("median", "sigma")),
     """SELECT user_id, round(m, 6) AS median, round(1.4826e0 * quantile_cont(abs(flux - m), 0.5), 6) AS sigma FROM
        (SELECT user_id, flux, median(flux) OVER (PARTITION BY user_id) AS m FROM v_det) t GROUP BY user_id, m""")
 add("bit_or_flags", lambda s, d: aggregates.bit_or_flags(W.pixels(s, d), ["grp", "x", "y"]),
@@ -317,13 +317,19 @@ add("distinct_names", lambda s, d: aggregates.distinct_names(W.catalog(s, d), "u
 
 
 def _mixed(spark, sf):
-    rows = W.images(spark, sf).withColumn("grp", F.expr("CASE WHEN id % 97 = 0 THEN 1 ELSE stack_id END"))
+    rows = W.images(spark, sf).withColumns({
+        "grp": F.expr("CASE WHEN id % 97 = 0 THEN 1 WHEN id % 89 = 0 THEN -stack_id ELSE stack_id END"),
+        # a null beside values is a mix, all nulls are none
+        "fid": F.expr("CASE WHEN id % 97 > 0 AND (id % 89 = 0 AND id % 2 = 0 OR id % 53 = 0) THEN NULL ELSE fid END"),
+    })
     bad = aggregates.mixed_groups(rows, "grp")
     return bad.unionByName(aggregates.assert_same_properties(W.images(spark, sf), "stack_id").groupBy(c("stack_id").alias("grp")).agg(F.count(F.lit(1)).alias("n")))
 
 
 add("same_properties", _mixed,
-    "SELECT 1 AS grp, count(*) AS n FROM v_img WHERE id % 97 = 0 UNION ALL SELECT stack_id, count(*) FROM v_img GROUP BY 1")
+    """SELECT grp, count(*) AS n FROM (SELECT CASE WHEN id % 97 = 0 THEN 1 WHEN id % 89 = 0 THEN -stack_id ELSE stack_id END AS grp, field, ccdid, qid,
+         CASE WHEN id % 97 > 0 AND (id % 89 = 0 AND id % 2 = 0 OR id % 53 = 0) THEN -1 ELSE fid END AS fid FROM v_img) t
+       GROUP BY grp HAVING count(DISTINCT (field, ccdid, qid, fid)) > 1 UNION ALL SELECT stack_id, count(*) FROM v_img GROUP BY 1""")
 add("high_water", lambda s, d: aggregates.high_water(W.images(s, d)).select("nid", *r6("obsjd")),
     "SELECT max(nid) AS nid, round(max(obsjd), 6) AS obsjd FROM v_img")
 

@@ -167,18 +167,29 @@ add("topic_name", on(W.detections, lambda: [naming.topic_name(F.when(c("id") % 5
 # --- headers ------------------------------------------------------------------------
 
 
+# header columns that get the id plus their place in the list
+COUNTED = [n for n in headers.HEADER_COLUMNS if n not in ("obsjd", "seeing", "nid", "exptime")]
+INTS = [n for n in COUNTED if headers.HEADER_COLUMNS[n][1] in ("int", "long")]
+REALS = [n for n in COUNTED if n not in INTS]
+
+
 def _header_extract(spark, sf):
-    head = F.expr("""map('OBSJD', CAST(id * 0.5e0 AS STRING), 'SEEING', CAST(9e0 AS STRING), 'DBNID', CAST(nid + 1 AS STRING),
+    counted = "".join(f", '{headers.HEADER_COLUMNS[n][0]}', CAST(id + {k} AS STRING)" for k, n in enumerate(COUNTED))
+    head = F.expr(f"""map('OBSJD', CAST(id * 0.5e0 AS STRING), 'SEEING', CAST(9e0 AS STRING), 'DBNID', CAST(nid + 1 AS STRING),
                      'FIELDID', CAST(field + 1 AS STRING), 'CCDID', CAST(ccdid AS STRING), 'QID', CAST(qid AS STRING),
-                     'FILTERID', CAST(fid AS STRING), 'EXPTIME', CAST(id % 40 AS STRING))""")
-    rows = W.images(spark, sf).withColumn("header", head).withColumn("seeing", F.expr("CASE WHEN id % 2 = 0 THEN seeing END"))
-    out = headers.header_extract(rows.drop("nid", "obsjd", "exptime"))
-    return out.select("id", "field", "ccdid", "qid", "fid", "nid", *r6("seeing", "obsjd", "exptime"))
+                     'FILTERID', CAST(fid AS STRING), 'EXPTIME', CAST(id % 40 AS STRING), 'FILENAME', basename{counted})""")
+    rows = W.images(spark, sf).withColumn("header", head).withColumns(
+        {"seeing": F.expr("CASE WHEN id % 2 = 0 THEN seeing END"), "filtercode": F.expr("CASE WHEN id % 3 = 0 THEN filtercode END")})
+    out = headers.header_extract(rows.drop("nid", "obsjd", "exptime", "filefracday", "imgtypecode", *COUNTED))
+    return out.select("id", "field", "ccdid", "qid", "fid", "nid", "filtercode", "imgtypecode", "filefracday", *INTS,
+                      *r6("seeing", "obsjd", "exptime", *REALS))
 
 
 add("header_extract", _header_extract,
-    """SELECT id, field + 1 AS field, ccdid, qid, fid, nid + 1 AS nid, round(CASE WHEN id % 2 = 0 THEN seeing ELSE 9e0 END, 6) AS seeing,
-       round(id * 0.5e0, 6) AS obsjd, round(CAST(id % 40 AS DOUBLE), 6) AS exptime FROM v_img""")
+    """SELECT id, field + 1 AS field, ccdid, qid, fid, nid + 1 AS nid, filtercode, 'g' AS imgtypecode, filefracday,
+       round(CASE WHEN id % 2 = 0 THEN seeing ELSE 9e0 END, 6) AS seeing, round(id * 0.5e0, 6) AS obsjd,
+       round(CAST(id % 40 AS DOUBLE), 6) AS exptime, """
+    + ", ".join(f"id + {k} AS {n}" if n in INTS else f"CAST(id + {k} AS DOUBLE) AS {n}" for k, n in enumerate(COUNTED)) + " FROM v_img")
 
 
 def _scalars(spark, sf):

@@ -53,11 +53,11 @@ def timed(spark, sf) -> DataFrame:
 
 
 def _ingest(spark, sf):
-    rows = timed(spark, sf).select(F.concat(F.lit("img"), c("id") % 4000).alias("basename"), (c("id") % 3).alias("ipac_gid"), "created_at")
+    rows = timed(spark, sf).select(F.concat(F.lit("img"), c("id") - c("id") % 2).alias("basename"), (c("id") % 3).alias("ipac_gid"), "created_at")
     return appended(spark, rows, HALF, lambda s: T.stream_ingest(s, delay="60 days")).select("basename")
 
 
-add("stream_ingest", _ingest, "SELECT DISTINCT CONCAT('img', id % 4000) AS basename FROM v_det WHERE id % 3 > 0")
+add("stream_ingest", _ingest, "SELECT DISTINCT CONCAT('img', id - id % 2) AS basename FROM v_det WHERE id % 3 > 0")
 add("stream_filter", lambda s, d: appended(s, timed(s, d), HALF, T.stream_filter).select("id"),
     """SELECT id FROM v_det WHERE (imaflags_iso & 198589) = 0 AND flags <= 2 AND a_image / b_image <= 2 AND fwhm_image / seeing <= 2
        AND fwhm_image >= seeing * 0.8e0 AND flux / fluxerr >= 5 AND rb >= CASE fid WHEN 3 THEN 0.6 ELSE 0.3 END""")
@@ -112,7 +112,7 @@ add("stream_stack_bins", _bins,
 
 
 def _alerts(spark, sf):
-    rows = timed(spark, sf).select((c("id") % 7000).alias("candid"), "created_at")
+    rows = timed(spark, sf).select((c("id") - c("id") % 2).alias("candid"), "created_at")
 
     def run(stream, out, check):
         T.stream_alerts(stream, out, check).awaitTermination()
@@ -121,7 +121,7 @@ def _alerts(spark, sf):
     return spark.read.parquet(f"{out}/batch=*").select("candid")
 
 
-add("stream_alerts", _alerts, "SELECT DISTINCT id % 7000 AS candid FROM v_det")
+add("stream_alerts", _alerts, "SELECT DISTINCT id - id % 2 AS candid FROM v_det")
 
 
 def _sessions(spark, sf):
