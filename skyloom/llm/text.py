@@ -13,7 +13,7 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 2 << 20
+SLICE_BYTES = 1 << 20
 _U = np.uint64
 _FULL = (1 << 64) - 1
 
@@ -70,10 +70,12 @@ class Words:
 
 def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, int, np.ndarray, np.ndarray]]:
     """(from row, to row, bytes, offsets) for runs of rows; null texts count as empty."""
-    column = column.cast(pa.large_string()).fill_null("")
     if len(column) == 0:
         return
-    offsets = np.frombuffer(column.buffers()[1], np.int64)[column.offset:column.offset + len(column) + 1]
+    if column.null_count:
+        column = column.fill_null("")
+    width = np.int64 if pa.types.is_large_string(column.type) else np.int32
+    offsets = np.frombuffer(column.buffers()[1], width)[column.offset:column.offset + len(column) + 1].astype(np.int64)
     buffer = column.buffers()[2]
     data = np.frombuffer(buffer, np.uint8) if buffer is not None and buffer.size else np.empty(0, np.uint8)
     row = 0

@@ -15,7 +15,8 @@ import numpy as np
 
 from skyloom.llm.text import SLICE_BYTES, _powers, mix64
 
-MAX_CACHED = 1 << 20  # pieces a worker remembers
+MAX_CACHED = 3 << 18  # pieces a worker remembers
+LEARN_AT_ONCE = 4096  # the library keeps much about each piece until its ids are taken
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: fixed values: the endings that the cutter takes off with an apostrophe
 _ONE_LETTER = "stmd"
@@ -88,9 +89,12 @@ class Encoder:
         return np.flatnonzero(begin)
 
     def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces, add_special_tokens=False)]
-        sizes = np.fromiter(map(len, ids), np.int64, len(ids))
-        flat = np.fromiter((x for piece in ids for x in piece), np.uint32, int(sizes.sum()))
+        sizes, found = [], []
+        for a in range(0, len(pieces), LEARN_AT_ONCE):
+            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[a:a + LEARN_AT_ONCE], add_special_tokens=False)]
+            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
+            found.append(np.fromiter((x for piece in ids for x in piece), np.uint32, int(sizes[-1].sum())))
+        sizes, flat = np.concatenate(sizes), np.concatenate(found)
         self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(sizes) - sizes])
         self.keys, self.sizes = np.concatenate([self.keys, keys]), np.concatenate([self.sizes, sizes])
         self.ids = np.concatenate([self.ids, flat])
