@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
@@ -44,13 +44,16 @@ def stack_median_mjd(bridge: DataFrame, images: DataFrame) -> DataFrame:
     return rows.groupBy("coadd_id").agg(F.percentile("mjd", F.lit(0.5)).alias("median_mjd"))
 
 
-def stack_summary(bridge: DataFrame, images: DataFrame) -> DataFrame:
-    """E5: start, end, median JD, frame count and total exposure of each stack."""
-    rows = _epochs(bridge, images, "obsjd", "exptime")
+def stack_summary(bridge: DataFrame, images: DataFrame, more: dict[str, Column] | None = None) -> DataFrame:
+    """E5: start, end, median JD, frame count and total exposure of each stack.
+
+    ``more`` adds aggregates over the stack's images; one pass gives them all.
+    """
+    rows = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images, ["id"])
     return rows.groupBy("coadd_id").agg(
         F.min("obsjd").alias("jdstartstack"), F.max("obsjd").alias("jdendstack"),
         F.count("id").alias("nframesstack"), F.sum("exptime").alias("exptime"),
-        F.percentile("obsjd", F.lit(0.5)).alias("jdmed"),
+        F.percentile("obsjd", F.lit(0.5)).alias("jdmed"), *[value.alias(name) for name, value in (more or {}).items()],
     )
 
 

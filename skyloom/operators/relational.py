@@ -149,9 +149,17 @@ def history_single(det: DataFrame, subs: DataFrame, images: DataFrame) -> DataFr
     return own.join(epochs, ["image_id"]).select("source_id", "detection_id", "mjd")
 
 
-def history_stack(det: DataFrame, subs: DataFrame, bridge: DataFrame, images: DataFrame) -> DataFrame:
-    """(source_id, stack_id, min_mjd, max_mjd), once per stack on which a source was seen."""
-    epochs = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images.select("id", jd_to_mjd(F.col("obsjd")).alias("mjd")), ["id"]).groupBy("coadd_id").agg(F.min("mjd").alias("min_mjd"), F.max("mjd").alias("max_mjd"))
+def history_stack(
+    det: DataFrame, subs: DataFrame, bridge: DataFrame, images: DataFrame, epochs: DataFrame | None = None
+) -> DataFrame:
+    """(source_id, stack_id, min_mjd, max_mjd), once per stack on which a source was seen.
+
+    ``epochs(coadd_id, min_mjd, max_mjd)`` saves a pass over the lineage if it is at hand.
+    """
+    if epochs is None:
+        rows = bridge.select("coadd_id", F.col("image_id").alias("id"))
+        rows = rows.join(images.select("id", jd_to_mjd(F.col("obsjd")).alias("mjd")), ["id"])
+        epochs = rows.groupBy("coadd_id").agg(F.min("mjd").alias("min_mjd"), F.max("mjd").alias("max_mjd"))
     spans = subs.select(F.col("id").alias("image_id"), F.col("target_image_id").alias("coadd_id")).join(epochs, "coadd_id")
     own = det.filter("source_id is not null").select("source_id", "image_id").distinct()
     return own.join(spans, ["image_id"]).select(

@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.functions.naming import filter_name, rcid
 from skyloom.functions.photometry import lim_mag, snr
 from skyloom.functions.times import HALF_SECOND_DAYS, jd_to_mjd
-from skyloom.operators.aggregates import reference_span, stack_summary
+from skyloom.operators.aggregates import stack_summary
 from skyloom.operators.relational import history_single, history_stack
 from skyloom.operators.skew import collect_parts, running_in_group
 from skyloom.session import store
@@ -83,6 +83,11 @@ def candidate_rows(
     ``bridge(coadd_id, image_id)`` covers references and stacks.
     """
     subs = single_subs if kind == "single" else stack_subs
+    # one pass over the lineage serves reference spans, stack rows, headers and history
+    head = lambda key: F.try_element_at("header", F.lit(key))
+    coadds = store(stack_summary(bridge, images, {
+        "programpi": F.min_by(head("PROGRMPI"), "id"), "programid": F.min_by(head("PROGRMID").try_cast("int"), "id"),
+    }))
     on = subs.select(
         F.col("id").alias("image_id"), F.col("basename").alias("pdiffimfilename"), "target_image_id", "reference_image_id",
         "field", "ccdid", "qid", "fid",
@@ -96,21 +101,21 @@ def candidate_rows(
             jd_to_mjd(F.col("obsjd")).alias("epoch"),
         )
     else:
-        heads = bridge.select("coadd_id", F.col("image_id").alias("id")).join(images.select("id", "header"), ["id"]).groupBy("coadd_id").agg(
-            F.min_by(F.try_element_at("header", F.lit("PROGRMPI")), "id").alias("programpi"),
-            F.min_by(F.try_element_at("header", F.lit("PROGRMID")).try_cast("int"), "id").alias("programid"),
-        )
-        target = stack_summary(bridge, images).join(heads, "coadd_id").withColumnRenamed("coadd_id", "target_image_id")
+        target = coadds.withColumnRenamed("coadd_id", "target_image_id")
         target = target.withColumn("epoch", jd_to_mjd(F.col("jdendstack")))
     rows = rows.join(target, ["target_image_id"])
-    span = reference_span(bridge, images).withColumnRenamed("coadd_id", "reference_image_id")
+    span = coadds.select(
+        F.col("coadd_id").alias("reference_image_id"), F.col("jdstartstack").alias("jdstartref"),
+        F.col("jdendstack").alias("jdendref"), F.col("nframesstack").alias("nframesref"),
+    )
     rows = rows.join(span, ["reference_image_id"], "left")
     scores = realbogus.groupBy("detection_id").agg(F.min_by(F.struct("rb_score", "rb_version"), "id").alias("_rb"))
     # read by the history, the light curves and the packets
     rows = store(rows.join(scores.withColumnRenamed("detection_id", "id"), "id", "left"))
     past = history_before(
         rows.select("id", "source_id", "epoch"),
-        history_single(all_det, single_subs, images), history_stack(all_det, stack_subs, bridge, images),
+        history_single(all_det, single_subs, images), history_stack(all_det, stack_subs, bridge, images, coadds.select(
+            "coadd_id", jd_to_mjd(F.col("jdstartstack")).alias("min_mjd"), jd_to_mjd(F.col("jdendstack")).alias("max_mjd"))),
     )
     rows = rows.join(past, "id")
     return rows.withColumns({

@@ -9,7 +9,6 @@ from skyloom import constants as K
 from skyloom.operators.aggregates import best_detection
 from skyloom.operators.cluster import cluster_dbscan, source_numbering
 from skyloom.operators.ranking import update_source_position
-
 from skyloom.operators.sky import nearest_match
 from skyloom.session import store
 

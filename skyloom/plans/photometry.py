@@ -9,8 +9,9 @@ from skyloom import constants as K
 from skyloom.functions.geometry import world2pix
 from skyloom.functions.naming import filtercode
 from skyloom.operators.pixels import aperture_photometry
-
+from skyloom.operators.relational import photometry_todo
 from skyloom.operators.tables import merge_photometry, update_from_join
+from skyloom.session import store
 
 WCS = ("crpix1", "crpix2", "crval1", "crval2", "cd11", "cd12", "cd21", "cd22")
 
@@ -48,6 +49,22 @@ def force_photometry(
     return merge_photometry(phot, fresh, images, sources)
 
 
+def photometry_run(
+    images: DataFrame, sources: DataFrame, pixels: DataFrame, phot: DataFrame, det: DataFrame,
+    r: float = K.APERTURE_RADIUS_PIX, method: str = "exact", prefilter_deg: float = K.FOOTPRINT_RADIUS_DEG,
+) -> tuple[DataFrame, DataFrame]:
+    """P11 from footprints to ready detections: (photometry, detections).
+
+    Sources inside an image's footprint without a measurement there are placed on its
+    pixels, measured and merged; detections on the images worked become ready.
+    ``images`` carries centre, corners, linear solution, zeropoint, filter and epoch.
+    """
+    todo = store(photometry_todo(images, sources, phot, prefilter_deg=prefilter_deg))
+    measured = force_photometry(todo, pixels, images, phot, sources, r, method)
+    worked = det.join(todo.select("image_id").distinct(), "image_id", "left_semi")
+    return measured, mark_alert_ready(det, worked)
+
+
 def mark_alert_ready(det: DataFrame, done: DataFrame) -> DataFrame:
     """Detections of finished jobs become ready for alerts. ``done(id)``."""
     return update_from_join(det, done.select("id").withColumn("alert_ready", F.lit(True)), "id", ["alert_ready"])

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -11,6 +12,10 @@ from pyspark.sql.streaming import StreamingQuery
 from skyloom import constants as K
 from skyloom.operators.filters import cut_conditions, rb_cut
 from skyloom.operators.sky import cone_join
+from skyloom.plans.association import associate
+from skyloom.session import store
+
+ALERT_SPAN = 1_000_000
 
 
 def stream_ingest(new: DataFrame, event_time: str = "created_at", delay: str = "7 days", key: str = "basename") -> DataFrame:
@@ -69,29 +74,75 @@ def stream_stack_bins(images: DataFrame, event_time: str = "obsdate", delay: str
     )
 
 
-def stream_alerts(alerts: DataFrame, out: str, checkpoint: str) -> StreamingQuery:
-    """Every detection's alert once, across batches and restarts.
+def _run_id(spark: SparkSession, checkpoint: str) -> str:
+    """The id of the stream that owns a checkpoint: the same after a restart, another one for a new checkpoint."""
+    return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
+
+
+def _written(spark: SparkSession, folder: str) -> DataFrame | None:
+    """What is under ``folder``, or None if nothing was written yet."""
+    try:
+        return spark.read.option("basePath", folder).parquet(folder)
+    except AnalysisException as error:
+        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+            raise
+        return None
+
 
-    A batch is written under its number with overwrite, so a repeated batch replaces
-    itself; ids sent by other batches are left out.
+def stream_alerts(
+    alerts: DataFrame, out: str, checkpoint: str, build: Callable[[DataFrame], DataFrame] | None = None,
+    span: int = ALERT_SPAN,
+) -> StreamingQuery:
+    """Every detection's alert once, across batches, restarts and new checkpoints.
+
+    ``build`` makes packets (P6) of a batch's new rows; ``candid`` is their key. Packets
+    are the sent list: they lie under the stream's id and batch number, so a repeated batch
+    replaces itself and a new checkpoint never touches what another one sent, and by
+    ranges of ``span`` ids, so a batch looks only at the ranges its own ids fall in.
     """
     def write(batch: DataFrame, number: int) -> None:
-        spark = batch.sparkSession
-        rows = batch.dropDuplicates(["candid"])
-        earlier = _earlier(spark, out, number)
-        if earlier is not None:
-            rows = rows.join(earlier, "candid", "left_anti")
-        rows.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        spark, run = batch.sparkSession, _run_id(batch.sparkSession, checkpoint)
+        part = F.floor(F.col("candid") / F.lit(span)).cast("long")
+        rows = store(batch.dropDuplicates(["candid"]).withColumn("id_range", part))
+        sent = _written(spark, out)
+        if sent is not None:
+            ranges = [r[0] for r in rows.select("id_range").distinct().collect()]  # as many as a batch's ids span
+            others = sent.filter(F.col("id_range").isin(ranges) & ((F.col("run") != run) | (F.col("batch") != number)))
+            rows = rows.join(others.select("candid"), "candid", "left_anti")
+        packets = rows.drop("id_range") if build is None else build(rows.drop("id_range"))
+        packets.withColumn("id_range", part).write.mode("overwrite").partitionBy("id_range").parquet(f"{out}/run={run}/batch={number}")
 
     return alerts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
-def _earlier(spark: SparkSession, out: str, number: int) -> DataFrame | None:
-    path = spark._jvm.org.apache.hadoop.fs.Path(out)
-    fs = path.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(path) or not fs.listStatus(path):
-        return None
-    return spark.read.option("basePath", out).parquet(f"{out}/batch=*").filter(F.col("batch") < number).select("candid")
+def stream_associations(
+    det: DataFrame, sources: DataFrame, out: str, checkpoint: str, lookback_days: int = 7, prefix: str = "N", **how
+) -> StreamingQuery:
+    """S3: P1 on every micro-batch, with sources and open detections carried on.
+
+    A batch's detections and those still open are matched with the sources as the batch
+    before left them; what is left is clustered into new sources. ``out`` gets
+    ``detections`` (those with a source), ``open`` and ``sources``, each under the stream's id
+    and batch number; a repeated batch reads the same predecessor and replaces itself.
+    """
+    def step(batch: DataFrame, number: int) -> None:
+        spark, run = batch.sparkSession, _run_id(batch.sparkSession, checkpoint)
+        at = lambda kind, n: f"{out}/{kind}/run={run}/batch={n}"
+        known, todo = sources.select("id", "ra", "dec"), batch
+        if number:
+            known = spark.read.parquet(at("sources", number - 1)).select("id", "ra", "dec")
+            todo = batch.unionByName(spark.read.schema(batch.schema).parquet(at("open", number - 1)))
+        todo = store(todo)
+        newest = todo.agg(F.max("created_at").cast("string")).first()[0]
+        made = F.col("id").startswith(prefix)
+        taken = known.filter(made).agg(F.max(F.substring("id", len(prefix) + 1, 20).cast("long"))).first()[0] or 0
+        found, state = associate(todo, known, newest or "1970-01-01", lookback_days=lookback_days, next_number=taken + 1, prefix=prefix, **how)
+        found = store(found)
+        found.filter("source_id is not null").write.mode("overwrite").parquet(at("detections", number))
+        found.filter("source_id is null").write.mode("overwrite").parquet(at("open", number))
+        state.write.mode("overwrite").parquet(at("sources", number))
+
+    return run_associate(det, step, checkpoint)
 
 
 def stream_sessions(det: DataFrame, event_time: str = "created_at", gap: str = "30 minutes", delay: str = "1 day") -> DataFrame:
@@ -105,22 +156,24 @@ def stream_sessions(det: DataFrame, event_time: str = "created_at", gap: str = "
 
 
 def run_updates(state: DataFrame, out: str, checkpoint: str) -> None:
-    """Write the changed rows of an aggregated stream, each batch under its number.
+    """Write the changed rows of an aggregated stream, each batch under the stream's id and its number.
 
     A repeated batch replaces itself; ``latest_state`` reads the newest row per key.
     """
     def write(batch: DataFrame, number: int) -> None:
-        batch.write.mode("overwrite").parquet(f"{out}/batch={number}")
+        run = _run_id(batch.sparkSession, checkpoint)
+        batch.write.mode("overwrite").parquet(f"{out}/run={run}/batch={number}")
 
     state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
     ).start().awaitTermination()
 
 
-def latest_state(spark: SparkSession, out: str, keys: list[str]) -> DataFrame:
-    """The state after the last batch."""
-    rows = spark.read.option("basePath", out).parquet(f"{out}/batch=*")
-    values = [n for n in rows.columns if n not in (*keys, "batch")]
+def latest_state(spark: SparkSession, out: str, keys: list[str], run: str | None = None) -> DataFrame:
+    """The state after the last batch; with several checkpoints behind ``out``, of the ``run`` given."""
+    rows = spark.read.option("basePath", out).parquet(out)
+    rows = rows if run is None else rows.filter(F.col("run") == run)
+    values = [n for n in rows.columns if n not in (*keys, "batch", "run")]
     return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_s")).select(*keys, "_s.*")
 
 

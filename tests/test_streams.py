@@ -5,6 +5,7 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+from skyloom.plans.association import associate
 from skyloom.streaming import jobs as T
 
 
@@ -42,7 +43,50 @@ def test_alerts_go_out_once_across_restarts(spark):
 
     feed(spark, root, [(1, "a"), (2, "b"), (1, "a")], "candid long, objectId string", run)
     feed(spark, root, [(2, "b"), (3, "c")], "candid long, objectId string", run)
-    assert sorted(r.candid for r in spark.read.parquet(f"{root}/out/batch=*").collect()) == [1, 2, 3]
+    assert sorted(r.candid for r in spark.read.parquet(f"{root}/out").collect()) == [1, 2, 3]
+
+
+def test_a_new_checkpoint_loses_and_repeats_no_alert(spark):
+    root = folder()
+
+    def run(check):
+        return lambda stream: T.stream_alerts(stream, f"{root}/out", f"{root}/{check}", build=lambda b: b.withColumn("packet", F.upper("objectId")), span=10).awaitTermination()
+
+    schema = "candid long, objectId string"
+    feed(spark, root, [(1, "a"), (25, "b")], schema, run("first"))
+    feed(spark, root, [(3, "c"), (4_000_000_000, "d")], schema, run("second"))  # reads all files again
+    feed(spark, root, [(3, "c"), (5, "e")], schema, run("first"))
+    rows = spark.read.parquet(f"{root}/out").collect()
+    assert sorted((r.candid, r.packet) for r in rows) == [(1, "A"), (3, "C"), (5, "E"), (25, "B"), (4_000_000_000, "D")]
+    assert len({r.run for r in rows}) == 2
+
+
+ASSOC = "id long, ra double, dec double, flux double, fluxerr double, rb double, source_id string, created_at timestamp_ntz, triggers_alert boolean"
+
+
+def test_batches_associate_as_one(spark):
+    """Sources and open detections carried over two batches give what one run over all rows gives."""
+    root = folder()
+    now = dt.datetime(2020, 1, 10)
+    arc = 1 / 3600
+    det = lambda i, ra, rb=0.9: (i, ra, 5.0, 10.0 + i, 1.0, rb, None, now, None)
+    first = [det(1, 10.0), det(2, 50.0), det(3, 50.0 + 0.5 * arc), det(4, 80.0), det(5, 120.0, 0.1)]
+    second = [det(6, 10.0 + 0.5 * arc), det(7, 50.0 + 0.2 * arc), det(8, 80.0 + 0.3 * arc), det(9, 200.0)]
+    sources = spark.createDataFrame([("S1", 10.0, 5.0)], "id string, ra double, dec double")
+
+    def run(stream):
+        T.stream_associations(stream, sources, f"{root}/out", f"{root}/check").awaitTermination()
+
+    feed(spark, root, first, ASSOC, run)
+    feed(spark, root, second, ASSOC, run)
+    got = {r.id: r.source_id for r in spark.read.parquet(f"{root}/out/detections").collect()}
+    whole, state = associate(spark.createDataFrame(first + second, ASSOC), sources, str(now))
+    want = {r.id: r.source_id for r in whole.collect() if r.source_id}
+    assert got == want and got[1] == got[6] == "S1" and got[2] == got[3] == got[7] and got[4] == got[8]
+    last = spark.read.parquet(f"{root}/out/sources").filter("batch = 1").collect()
+    assert sorted((r.id, round(r.ra, 6)) for r in last) == sorted((r.id, round(r.ra, 6)) for r in state.collect())
+    left = spark.read.parquet(f"{root}/out/open").filter("batch = 1").collect()
+    assert sorted(r.id for r in left) == [5, 9]
 
 
 def test_state_keeps_the_newest_value(spark):

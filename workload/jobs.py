@@ -188,8 +188,8 @@ def ready(spark, sf):
     return relational.detections_needing_alert(W.placed_detections(spark, sf), Q.ALERTED(spark, sf))
 
 
-def packets(spark, sf, kind: str):
-    det = store(ready(spark, sf))
+def packets(spark, sf, kind: str, det=None):
+    det = store(ready(spark, sf) if det is None else det)
     single, stack = W.subs(spark, sf), W.stack_subs(spark, sf)
     return alerts.build_alerts(
         det, W.realbogus(spark, sf), headed_images(spark, sf), single, stack, all_bridges(spark, sf), W.placed_detections(spark, sf),
@@ -268,6 +268,16 @@ def _send(spark, sf):
 
 add("send_alerts", _send, "SELECT id AS candid, source_id AS objectId, true AS sent, TIMESTAMP '2024-02-01' AS created_at FROM v_pdet WHERE id % 6 <> 0")
 
+
+
+def _resend(spark, sf):
+    sent = Q.ALERTED(spark, sf)
+    rows = W.placed_detections(spark, sf).select(c("id").alias("candid"), c("source_id").alias("objectId"))
+    return alerts.refuse_resend(rows.filter("candid % 6 <> 0"), sent)
+
+
+add("refuse_resend", _resend, "SELECT id AS candid, source_id AS objectId FROM v_pdet WHERE id % 6 <> 0")
+
 # --- P8-P10, P13 planning ---------------------------------------------------------------------
 GOOD = f"""SELECT *, row_number() OVER (PARTITION BY {K4} ORDER BY maglimit DESC, id) AS rn FROM v_img WHERE kidx % 2 <> 0 AND infobits = 0
   AND seeing > 1.7 AND seeing < 2.5 AND maglimit > 19.2 AND maglimit < 22 AND obsdate < TIMESTAMP '2022-01-01'"""
@@ -331,6 +341,30 @@ add("force_photometry", _forced,
         FROM placed p JOIN v_pix q ON q.image_id = p.image_id AND {X.BOX} WHERE p.image_id % 10 <> 9 AND p.source_id <> 'S3' GROUP BY 1, 2
         UNION ALL SELECT source_id, image_id, 0, 'zr', 1e0, 1e0, 26e0, 0e0 FROM solved WHERE image_id % 10 = 9""",
     {"solved": SOLVED, "plane": PLANE, "placed": PLACED})
+
+
+def footprints(spark, sf):
+    """The pixel images with the corners of their 8 x 8 pixels."""
+    rows = solved_images(spark, sf).withColumns({"ra": c("crval1"), "dec": c("crval2")})
+    half = F.expr("1.12e-3 / cos(radians(dec))")
+    sides = {1: (-1, -1), 2: (1, -1), 3: (1, 1), 4: (-1, 1)}
+    return rows.withColumns({f"ra{k}": c("ra") + half * i for k, (i, _) in sides.items()} | {f"dec{k}": c("dec") + 1.12e-3 * j for k, (_, j) in sides.items()})
+
+
+def photometry_run(spark, sf):
+    src = wanted(spark, sf).select(F.concat(F.lit("S"), "image_id").alias("id"), "ra", "dec", "image_id")
+    old = src.filter("image_id % 10 = 9").selectExpr("id AS source_id", "image_id", "1e0 AS flux", "1e0 AS fluxerr", "0 AS flags", "ra", "dec", "26e0 AS zp", "'zr' AS filtercode", "0e0 AS obsjd")
+    det = W.pixel_positions(spark, sf).select("id", "image_id", F.lit(False).alias("alert_ready"))
+    return photometry.photometry_run(footprints(spark, sf), src.drop("image_id"), W.pixels(spark, sf), old, det, method="center", prefilter_deg=4e-3)
+
+
+add("photometry_run", lambda s, d: photometry_run(s, d)[0].select("source_id", "image_id", "flags", "filtercode", *r6("flux", "fluxerr", "zp", "obsjd")),
+    f"""SELECT CONCAT('S', p.image_id) AS source_id, p.image_id, bit_or(q.mask) AS flags, 'zr' AS filtercode, round(sum(CASE WHEN {X.IN3} THEN q.value ELSE 0e0 END), 6) AS flux,
+        round(sqrt(sum(CASE WHEN {X.IN3} THEN q.rms * q.rms ELSE 0e0 END)), 6) AS fluxerr, 26.05e0 AS zp, 2458000e0 + p.image_id AS obsjd
+        FROM placed p JOIN v_pix q ON q.image_id = p.image_id AND {X.BOX} WHERE p.image_id % 10 <> 9 GROUP BY p.image_id
+        UNION ALL SELECT CONCAT('S', image_id), image_id, 0, 'zr', 1e0, 1e0, 26e0, 0e0 FROM solved WHERE image_id % 10 = 9""",
+    {"solved": SOLVED, "plane": PLANE, "placed": PLACED})
+add("photometry_run_ready", lambda s, d: photometry_run(s, d)[1].select("id", "alert_ready"), "SELECT id, image_id % 10 <> 9 AS alert_ready FROM v_pos")
 add("mark_alert_ready", lambda s, d: photometry.mark_alert_ready(W.detections(s, d), W.detections(s, d).filter("id % 5 = 0").select("id")).select("id", "alert_ready"),
     "SELECT id, CASE WHEN id % 5 = 0 THEN true ELSE alert_ready END AS alert_ready FROM v_det")
 

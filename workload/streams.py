@@ -16,6 +16,7 @@ from skyloom.plans.association import match_known
 from skyloom.session import scratch_root
 from skyloom.streaming import jobs as T
 from workload import frames as W
+from workload import jobs as J
 from workload.frames import R2, hav, near, r6, sql
 
 c = F.col
@@ -118,12 +119,31 @@ def _alerts(spark, sf):
         T.stream_alerts(stream, out, check).awaitTermination()
 
     out = in_two_steps(spark, rows, HALF, run)
-    return spark.read.parquet(f"{out}/batch=*").select("candid")
+    return spark.read.parquet(out).select("candid")
 
 
 add("stream_alerts", _alerts, "SELECT DISTINCT id - id % 2 AS candid FROM v_det")
 
 
+def _packets(spark, sf):
+    """Ready detections of single images as they come, each batch assembled into packets."""
+    det = J.ready(spark, sf).withColumn("candid", c("id")).withColumn("created_at", c("created_at").cast("timestamp"))
+
+    def build(batch: DataFrame) -> DataFrame:
+        return J.packets(spark, sf, "single", batch.drop("candid")).select("objectId", "candid", "part", c("candidate.ndethist_single").alias("ndethist_single"),
+                                                                        F.size("light_curve").alias("n_points"))
+
+    def run(stream, out, check):
+        T.stream_alerts(stream, out, check, build).awaitTermination()
+
+    return spark.read.parquet(in_two_steps(spark, det, HALF, run)).select("objectId", "candid", "part", "ndethist_single", "n_points")
+
+
+add("stream_alert_packets", _packets,
+    """SELECT b.source_id AS objectId, b.id AS candid, q.part, p1.n AS ndethist_single, q.n AS n_points FROM base b
+       JOIN points q ON q.id = b.id AND (q.part = 0 OR q.n > 0) LEFT JOIN past1 p1 ON p1.id = b.id""", J.alert_ctes("single"))
+
+
 def _sessions(spark, sf):
     rows = timed(spark, sf).withColumn("source_id", F.concat(F.lit("S"), "user_id")).select("source_id", "flux", "created_at")
     out = appended(spark, rows, HALF, lambda s: T.stream_sessions(s, gap="6 hours"))
