@@ -48,13 +48,15 @@ def build_session(app: str = "skyloom", cores: int | str = "*", memory: str = "8
 
 
 _SHIPPED: set[str] = set()
+ARROW_ROWS = 2000  # whole texts go to Python: smaller batches than for numbers
 
 
 def ship_package(spark: SparkSession) -> None:
-    """Make this package importable in the Python workers, once per application.
+    """Make this package importable in the Python workers, once per application, and size their batches for texts.
 
     Nothing is sent where the workers' ``PYTHONPATH`` already has the package.
     """
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
     root = Path(__file__).resolve().parents[1]
     app = spark.sparkContext.applicationId
     if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
