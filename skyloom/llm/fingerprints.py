@@ -95,6 +95,8 @@ def with_next(docs: DataFrame) -> DataFrame:
     edges = [-float("inf"), *sorted(set(inner or [])), float("inf")]
 
     def bucketed(df: DataFrame) -> DataFrame:
+        if len(edges) < 3:
+            return df.withColumn("_bucket", F.lit(0))
         keyed = Bucketizer(splits=edges, inputCol="_key", outputCol="_b").transform(df.withColumn("_key", F.col("doc_id").cast("double")))
         return keyed.withColumn("_bucket", F.col("_b").cast("int")).drop("_key", "_b")
 

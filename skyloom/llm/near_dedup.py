@@ -16,9 +16,11 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyloom.llm.linking import components
 from skyloom.llm.text import mix64
+from skyloom.session import store
 
 ROWS = 6
 BANDS = 48  # half of them take the minima, half the maxima
@@ -54,6 +56,10 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one document for each group, with all their columns."""
-    gone = near_duplicates(docs).filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    return docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    """The rows of ``docs`` that stay, one document for each group, with all their columns; repeated rows stay once."""
+    found = store(near_duplicates(docs))
+    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
+    rest = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1):
+        rest = rest.dropDuplicates([f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
+    return rest

@@ -93,6 +93,8 @@ def test_defined_cases(docs, labels):
     near = {(r.doc_id, r.n_shingles): (r.component_id, r.kept) for r in near_dedup.near_duplicates(docs).collect()}
     assert near[2, 0] == (2, True) and near[3, 0] == (3, True) and near[4, 0] == (4, True) and near[None, 0] == (None, True)
     assert near[5, 1] == (5, True) and [v for k, v in near.items() if k[0] == 7] == [(6, False)]
+    stay = [r.text for r in near_dedup.keep_one(docs).filter("doc_id = 1 or doc_id >= 6").collect()]
+    assert sum(t.startswith("one two") for t in stay) == 1 and stay.count(LONG) == 1 and "another text" in stay
     cut = {(r.doc_id, r.n_words): r.n_removed for r in substring.without_repeats(docs).collect()}
     assert cut[6, 60_001] == 0 and cut[7, 60_001] == 60_001 and cut[None, 6] == 0
     mixed = mixing.mixed(docs).collect()
