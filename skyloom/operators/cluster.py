@@ -24,7 +24,6 @@ from skyloom.session import store
 _AXES = ("x", "y", "z")
 _CELL = ("cx", "cy", "cz")
 MAX_ROUNDS = 60
-ROUNDS_PER_TABLE = 2
 SPLIT = 4
 DIRECT_PAIRS = 4096
 
@@ -57,14 +56,14 @@ def connected_components(edges: DataFrame, max_rounds: int = MAX_ROUNDS) -> Data
     """(node, root) for every node of an undirected edge list (src, dst); root is the smallest node.
 
     Alternates large-star and small-star steps: the number of rounds grows with the
-    logarithm of the longest chain, not with its length. Every second round is stored,
-    so a lost executor costs at most two. Only an emptiness test returns to the driver.
+    logarithm of the longest chain, not with its length. Each round is stored, so
+    a lost executor costs at most one round. Only an emptiness test returns to the
+    driver.
     """
     pairs = _canonical(edges)
     for _ in range(max_rounds):
-        for _ in range(ROUNDS_PER_TABLE):
-            pairs = _star(_star(pairs, large=True), large=False)
-        pairs = store(pairs)
+        # each step reads its links twice, so a longer chain of steps would repeat the ones before
+        pairs = store(_star(_star(pairs, large=True), large=False))
         if _is_empty(_not_stars(pairs)):
             break
     else:
