@@ -123,7 +123,7 @@ def with_next(docs: DataFrame) -> DataFrame:
     out = sent(bucketed(rows.filter("doc_id is not null")), firsts, "doc_id")
     if rest:
         out = out.unionByName(sent(loose(no_id).withColumn("_hash", F.xxhash64("text")), rest, "_hash"))
-    return out.repartition(n, "_bucket").sortWithinPartitions("_bucket", "_after", "doc_id", F.xxhash64("text"))
+    return out.repartitionById(n, F.col("_bucket")).sortWithinPartitions("_bucket", "_after", "doc_id", F.xxhash64("text"))
 
 
 def _edited(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndarray]:
