@@ -82,7 +82,11 @@ def license_matches(docs: DataFrame, templates: DataFrame, containment: float =
 
     text = F.col("text").cast("string")
     worded = docs.select(F.col("doc_id"), F.xxhash64(text).alias("_key"), text_words(text).alias("words"))
-    places = F.filter(F.transform(word_pairs(F.col("words")), lambda pair, i: F.when(pair.isin(seen), i)), lambda p: p.isNotNull())
+    # two words are put together only where the first one begins a shingle of a template
+    begins = sorted({pair.split(" ")[0] for pair in seen})
+    words = F.col("words")
+    known_pair = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.when(a.isin(begins), F.concat_ws(" ", a, b).isin(seen)))
+    places = F.filter(F.transform(known_pair, lambda hit, i: F.when(hit, i)), lambda p: p.isNotNull())
     hit = worded.withColumn("places", places)
 
     def windows_around(reach: int) -> Column:
