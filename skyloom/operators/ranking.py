@@ -40,14 +40,24 @@ def reference_plan(
 
 
 def update_source_position(sources: DataFrame, det: DataFrame) -> DataFrame:
-    """move each source to its best detection; sources without detections stay."""
-    order = F.struct(F.coalesce(snr(F.col("flux"), F.col("fluxerr")), F.lit(float("-inf"))), -F.col("id"))
+    """move each source to its best detection; sources without detections stay.
+
+    Sources may carry the signal to noise and id of their best detection so far
+    (``best_snr``, ``best_id``, null if there is none): only a better one moves them then.
+    """
+    value = F.coalesce(snr(F.col("flux"), F.col("fluxerr")), F.lit(float("-inf")))
     best = det.filter("source_id is not null").groupBy("source_id").agg(
-        F.max_by(F.struct("ra", "dec"), order).alias("_pos")
+        F.max_by(F.struct("ra", "dec", value.alias("best_snr"), F.col("id").alias("best_id")), F.struct(value, -F.col("id"))).alias("_pos")
     )
     moved = sources.join(best.withColumnRenamed("source_id", "id"), "id", "left")
-    return moved.withColumns(
-        {c: F.coalesce(F.col(f"_pos.{c}"), F.col(c)) for c in ("ra", "dec")}
+    better = F.col("_pos").isNotNull()
+    carried = [c for c in ("best_snr", "best_id") if c in sources.columns]
+    if len(carried) == 2:
+        held, new = F.coalesce("best_snr", F.lit(float("-inf"))), F.col("_pos.best_snr")
+        lower_id = (new == held) & (F.col("_pos.best_id") < F.col("best_id"))
+        better = better & (F.col("best_id").isNull() | (new > held) | lower_id)
+    return moved.withColumn("_better", better).withColumns(
+        {c: F.when(F.col("_better"), F.coalesce(F.col(f"_pos.{c}"), F.col(c))).otherwise(F.col(c)) for c in ("ra", "dec", *carried)}
     ).select(*sources.columns)
 
 

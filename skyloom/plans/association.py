@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
+from skyloom.functions.photometry import snr
 from skyloom.operators.aggregates import best_detection
 from skyloom.operators.cluster import cluster_dbscan, source_numbering
 from skyloom.operators.ranking import update_source_position
@@ -32,8 +33,12 @@ def associate(
     5. every detection with a source triggers an alert.
 
     ``det`` carries ``rb`` and ``created_at``; returns the new detection and source
-    frames (``is_new`` marks new sources).
+    frames (``is_new`` marks new sources). Sources come back with the signal to noise and
+    id of their best detection (``best_snr``, ``best_id``); given to a later call, they
+    stand for the detections that it does not see.
     """
+    missing = {"best_snr": "double", "best_id": det.schema["id"].dataType}
+    sources = sources.withColumns({c: F.lit(None).cast(t) for c, t in missing.items() if c not in sources.columns})
     since = F.lit(as_of).cast("timestamp_ntz") - F.make_dt_interval(F.lit(lookback_days))
     free = F.col("source_id").isNull()
     known = store(match_known(det.filter(free & (F.col("created_at") > since)), sources, radius_deg))
@@ -42,14 +47,15 @@ def associate(
     # small projection of what may cluster; read several times below
     left = store(assigned.filter(free & (F.col("rb") > rb_min)).select("id", "ra", "dec", "flux", "fluxerr"))
     clusters = store(cluster_dbscan(left, radius_deg))
-    best = best_detection(left.join(clusters, "id"), "cluster", ["id", "ra", "dec"])
+    best = best_detection(left.join(clusters, "id"), "cluster", ["id", "ra", "dec", "flux", "fluxerr"])
     named = store(source_numbering(best, next_number, prefix=prefix))
     fresh = clusters.join(named.select("cluster", F.col("name").alias("source_id")), ["cluster"]).select("id", "source_id")
     out = _assign(det, known.unionByName(fresh)).withColumn(
         "triggers_alert", F.coalesce("triggers_alert", F.lit(False)) | F.col("source_id").isNotNull()
     )
-    new = named.select(F.col("name").alias("id"), "ra", "dec", F.lit(True).alias("is_new"))
-    old = moved.select("id", "ra", "dec", F.lit(False).alias("is_new"))
+    value = F.coalesce(snr(F.col("flux"), F.col("fluxerr")), F.lit(float("-inf")))
+    new = named.select(F.col("name").alias("id"), "ra", "dec", value.alias("best_snr"), F.col("id").alias("best_id"), F.lit(True).alias("is_new"))
+    old = moved.select("id", "ra", "dec", "best_snr", "best_id", F.lit(False).alias("is_new"))
     return out, old.unionByName(new)
 
 

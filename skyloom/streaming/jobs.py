@@ -121,16 +121,18 @@ def stream_associations(
     """S3: P1 on every micro-batch, with sources and open detections carried on.
 
     A batch's detections and those still open are matched with the sources as the batch
-    before left them; what is left is clustered into new sources. ``out`` gets
+    before left them; what is left is clustered into new sources. A source carries the signal
+    to noise and id of its best detection of all batches and moves only to a better one (those
+    of the given sources may be in ``best_snr`` and ``best_id``). ``out`` gets
     ``detections`` (those with a source), ``open`` and ``sources``, each under the stream's id
     and batch number; a repeated batch reads the same predecessor and replaces itself.
     """
     def step(batch: DataFrame, number: int) -> None:
         spark, run = batch.sparkSession, _run_id(batch.sparkSession, checkpoint)
         at = lambda kind, n: f"{out}/{kind}/run={run}/batch={n}"
-        known, todo = sources.select("id", "ra", "dec"), batch
+        known, todo = sources, batch
         if number:
-            known = spark.read.parquet(at("sources", number - 1)).select("id", "ra", "dec")
+            known = spark.read.parquet(at("sources", number - 1)).drop("is_new")
             todo = batch.unionByName(spark.read.schema(batch.schema).parquet(at("open", number - 1)))
         todo = store(todo)
         newest = todo.agg(F.max("created_at").cast("string")).first()[0]

@@ -89,6 +89,30 @@ def test_batches_associate_as_one(spark):
     assert sorted(r.id for r in left) == [5, 9]
 
 
+def test_fainter_detections_move_no_source(spark):
+    """Known and new sources stay at the best detection of all batches, and later ones are matched there."""
+    root = folder()
+    now = dt.datetime(2020, 1, 10)
+    arc = 1 / 3600
+    det = lambda i, ra, flux: (i, ra, 5.0, flux, 1.0, 0.9, None, now, None)
+    batches = [
+        [det(11, 10.0, 90.0), det(12, 50.0, 80.0), det(13, 50.0 + 0.5 * arc, 30.0), det(14, 90.0, 40.0)],
+        [det(21, 10.0 + 1.5 * arc, 20.0), det(22, 50.0 + 1.5 * arc, 20.0), det(4, 90.0 + 0.5 * arc, 40.0)],  # equal: the lower id
+        [det(31, 10.0 - 1.5 * arc, 10.0), det(32, 50.0 - 1.5 * arc, 10.0)],
+    ]
+    sources = spark.createDataFrame([("S1", 10.0, 5.0), ("S2", 90.0, 5.0), ("S3", 130.0, 5.0)], "id string, ra double, dec double")
+    for rows in batches:
+        feed(spark, root, rows, ASSOC, lambda s: T.stream_associations(s, sources, f"{root}/out", f"{root}/check").awaitTermination())
+    whole, state = associate(spark.createDataFrame(sum(batches, []), ASSOC), sources, str(now))
+    got = {r.id: r.source_id for r in spark.read.parquet(f"{root}/out/detections").collect()}
+    assert got[11] == got[21] == got[31] == "S1" and got[12] == got[13] == got[22] == got[32] == "N00000001"
+    assert got == {r.id: r.source_id for r in whole.collect()}
+    last = spark.read.parquet(f"{root}/out/sources").filter("batch = 2").collect()
+    best = {r.id: (round(r.ra, 6), r.best_id) for r in last}
+    assert best == {"S1": (10.0, 11), "S2": (round(90.0 + 0.5 * arc, 6), 4), "S3": (130.0, None), "N00000001": (50.0, 12)}
+    assert {r.id: round(r.ra, 6) for r in state.collect()} == {k: v[0] for k, v in best.items()}
+
+
 def test_state_keeps_the_newest_value(spark):
     root = folder()
     schema = "id long, source_id string, rb double, ra double, dec double, flux double, fluxerr double, mjd double"

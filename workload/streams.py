@@ -85,6 +85,45 @@ add("stream_associate_batches", _associate_batches,
         FROM v_det d JOIN v_src s ON {near('d', 's', R2)}) t WHERE k = 1""")
 
 
+def _associations(spark, sf, kind: str) -> DataFrame:
+    """P1 on every micro-batch, with sources and open detections carried from the first to the second."""
+    known = W.sources(spark, sf).select("id", "ra", "dec")
+    out = in_two_steps(spark, W.detections(spark, sf), HALF, lambda s, out, check: T.stream_associations(s, known, out, check).awaitTermination())
+    return spark.read.parquet(f"{out}/{kind}")
+
+
+def _step(n: int, det: str, src: str, taken: str) -> dict[str, str]:
+    """P1 of one batch as in ``jobs.assoc_ctes``, with the batch's own detections, sources and last taken number."""
+    return {
+        f"known{n}": f"""SELECT id, sid FROM (SELECT d.id, s.id AS sid, row_number() OVER (PARTITION BY d.id ORDER BY {hav('d.ra', 'd.dec', 's.ra', 's.dec')}, s.id) AS k
+          FROM {det} d JOIN {src} s ON d.source_id IS NULL AND d.created_at > (SELECT max(created_at) FROM {det}) - INTERVAL 7 DAY AND {near('d', 's', R2)}) t WHERE k = 1""",
+        f"free{n}": f"SELECT id, ra, dec FROM {det} WHERE source_id IS NULL AND rb > 0.4 AND id NOT IN (SELECT id FROM known{n})",
+        f"pairs{n}": f"SELECT a.id AS i, b.id AS j FROM free{n} a JOIN free{n} b ON a.id <> b.id AND {near('a', 'b', R2)}",
+        f"r_reach{n}": f"SELECT DISTINCT i, i AS r FROM pairs{n} UNION SELECT p.j, t.r FROM r_reach{n} t JOIN pairs{n} p ON p.i = t.i",
+        f"lab{n}": f"SELECT i AS id, min(r) AS root FROM r_reach{n} GROUP BY 1",
+        f"fresh{n}": f"SELECT id, CONCAT('N', lpad(CAST({taken} + dense_rank() OVER (ORDER BY root) AS VARCHAR), 8, '0')) AS sid FROM lab{n}",
+        f"found{n}": f"""SELECT d.id, d.ra, d.dec, d.flux, d.fluxerr, d.triggers_alert, coalesce(d.source_id, k.sid, f.sid) AS sid
+          FROM {det} d LEFT JOIN known{n} k ON k.id = d.id LEFT JOIN fresh{n} f ON f.id = d.id""",
+    }
+
+
+#: every source stands at the best of all detections it has by then, in whichever batch they came
+_STANDS = """SELECT coalesce(s.id, b.sid) AS id, coalesce(b.ra, s.ra) AS ra, coalesce(b.dec, s.dec) AS dec, b.id AS best_id
+  FROM v_src s FULL JOIN (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY sid ORDER BY flux / fluxerr DESC, id) AS k FROM {found} WHERE sid IS NOT NULL) t WHERE k = 1
+    AND (sid LIKE 'N%' OR sid IN (SELECT id FROM v_src))) b ON b.sid = s.id"""
+ASSOCIATIONS = {
+    "det1": "SELECT * FROM v_det WHERE created_at < TIMESTAMP '2024-01-16'",
+    **_step(1, "det1", "v_src", "0"), "src1": _STANDS.format(found="found1"),
+    "det2": "SELECT * FROM v_det WHERE created_at >= TIMESTAMP '2024-01-16' OR id IN (SELECT id FROM found1 WHERE sid IS NULL)",
+    **_step(2, "det2", "src1", "(SELECT count(DISTINCT sid) FROM fresh1)"),
+    "found": "SELECT * FROM found1 WHERE sid IS NOT NULL UNION ALL SELECT * FROM found2",
+}
+add("stream_associations", lambda s, d: _associations(s, d, "detections").select("id", "source_id", "triggers_alert"),
+    "SELECT id, sid AS source_id, true AS triggers_alert FROM found WHERE sid IS NOT NULL", ASSOCIATIONS)
+add("stream_association_sources", lambda s, d: _associations(s, d, "sources").filter("batch = 1").select("id", "best_id", *r6("ra", "dec")),
+    "SELECT id, best_id, round(ra, 6) AS ra, round(dec, 6) AS dec FROM src2", ASSOCIATIONS | {"src2": _STANDS.format(found="found")})
+
+
 def _state(spark, sf):
     rows = timed(spark, sf).withColumn("source_id", F.concat(F.lit("S"), "user_id")).select("id", "source_id", "rb", "ra", "dec", "mjd", "flux", "fluxerr", "created_at")
 
