@@ -7,8 +7,9 @@ sequence. Three steps keep the traffic low without leaving a window out:
 
 * copies (equal word sequences) are settled by their smallest doc_id, only that one is searched;
 * only minimisers that occur in two documents can hold a repeated window, so only their strings travel;
-* a minimiser with more than ``HOT_ROWS`` strings has its windows counted one by one by a combined
-  (pre-aggregated) grouping of their 128-bit hashes, which no single task has to hold.
+* a minimiser with more than ``HOT_ROWS`` strings, ``HOT_WINDOWS`` windows or ``HOT_BYTES`` bytes in them (a
+  string has no longest length) has its windows counted one by one by a combined (pre-aggregated) grouping of
+  their 128-bit hashes, which no single task has to hold.
 
 Defined cases: null and empty texts have no words and lose none; a null doc_id counts as larger than every
 other, two of them as equal; rows that share a doc_id never remove from each other; repeats inside one
@@ -31,6 +32,8 @@ from skyloom.session import store
 WINDOW = 50
 GRAM = 12
 HOT_ROWS = 20_000
+HOT_WINDOWS = 1_000_000
+HOT_BYTES = 32 << 20
 BLOCK_BYTES = 4 << 20
 _LAST = (1 << 63) - 1
 _ROW = ["at", "text_key"]
@@ -92,13 +95,15 @@ def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             first = at[new]
             counts = np.diff(np.append(np.flatnonzero(new), len(at)))
             bounds = np.searchsorted(owner[first], np.arange(end - row + 1))
+            lengths = words.ends[first + counts + WINDOW - 2] - words.starts[first]
             joined = text_array(*joined_words(words, np.ones(len(words.starts), bool)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(row, end - row), batch.column(1).slice(row, end - row), pa.array(words.counts, pa.int64()),
                 pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), joined,
                 list_array((first - words.first[owner[first]]).astype(np.int32), bounds, pa.int32()),
                 list_array(counts.astype(np.int32), bounds, pa.int32()), list_array(minima[first].view(np.int64), bounds, pa.int64()),
-            ], names=["at", "text_key", "n_words", "h1", "h2", "joined", "starts", "counts", "minima"])
+                list_array(lengths.astype(np.int32), bounds, pa.int32()),
+            ], names=["at", "text_key", "n_words", "h1", "h2", "joined", "starts", "counts", "minima", "lengths"])
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -109,7 +114,7 @@ def _identified(docs: DataFrame) -> DataFrame:
 def _scanned(docs: DataFrame) -> DataFrame:
     """at (the doc_id), text_key, n_words, h1, h2, words_sha256 and the super-k-mers of every row."""
     found = _identified(docs).mapInArrow(_scan, "at long, text_key long, n_words long, h1 long, h2 long, joined string, "
-                                                "starts array<int>, counts array<int>, minima array<long>")
+                                                "starts array<int>, counts array<int>, minima array<long>, lengths array<int>")
     return found.withColumn("words_sha256", F.sha2("joined", 256)).drop("joined")
 
 
@@ -146,10 +151,19 @@ def _send(hot: bool):
     return cut
 
 
-def repeated_windows(at: np.ndarray, texts: pa.Array) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+def _all_slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
+    """(row, bytes, offsets) of the slices of every chunk: more than 2 GB of strings stay in several chunks."""
+    before = 0
+    for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
+        for row, _, data, offsets in slices(chunk):
+            yield before + row, data, offsets
+        before += len(chunk)
+
+
+def repeated_windows(at: np.ndarray, texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
     """(row, first window, number of windows) for runs of windows that a smaller ``at`` has too."""
     owners, places, first, second = [], [], [], []
-    for row, end, data, offsets in slices(texts):
+    for row, data, offsets in _all_slices(texts):
         words = find_words(data, offsets)
         hashes, owner = word_hashes(words), words.texts_of_words()
         if len(hashes) < WINDOW:
@@ -181,7 +195,7 @@ def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for table in blocks(batches, "key", lambda b: b.column(4).nbytes, BLOCK_BYTES):
         table = table.combine_chunks()
         ids = [table.column(c).to_numpy() for c in ("at", "text_key", "start")]
-        for row, place, count in repeated_windows(ids[0], table.column("words").chunk(0)):
+        for row, place, count in repeated_windows(ids[0], table.column("words")):
             yield pa.RecordBatch.from_arrays([
                 pa.array(ids[0][row]), pa.array(ids[1][row]), pa.array((ids[2][row] + place).astype(np.int32)), pa.array(count.astype(np.int32)),
             ], names=["at", "text_key", "start", "count"])
@@ -199,11 +213,13 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, Data
     classes = long_enough.groupBy("h1", "h2").agg(F.min("at").alias("first"))
     settled = store(long_enough.select(*_ROW, "h1", "h2").join(classes, ["h1", "h2"]).select(*_ROW, (F.col("at") > F.col("first")).alias("copy")).distinct())
     rows = long_enough.join(settled.filter("not copy").drop("copy"), _ROW, "left_semi")
-    grams = rows.select(*_ROW, F.explode(F.arrays_zip("starts", "counts", "minima")).alias("s"))
-    grams = grams.select(*_ROW, F.col("s.starts").alias("start"), F.col("s.counts").alias("count"), F.col("s.minima").alias("key"))
-    shared = grams.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n"))
-    shared = store(shared.filter("lo < hi").select("key", (F.col("n") > HOT_ROWS).alias("hot")))
-    wanted = grams.join(shared, "key").groupBy(*_ROW, "hot").agg(F.collect_list(F.struct("start", "count", "key")).alias("wanted"))
+    grams = rows.select(*_ROW, F.explode(F.arrays_zip("starts", "counts", "minima", "lengths")).alias("s"))
+    grams = grams.select(*_ROW, F.col("s.starts").alias("start"), F.col("s.counts").alias("count"), F.col("s.minima").alias("key"), F.col("s.lengths").alias("length"))
+    shared = grams.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n"),
+                                      F.sum("count").alias("windows"), F.sum("length").alias("bytes"))
+    hot = (F.col("n") > HOT_ROWS) | (F.col("windows") > HOT_WINDOWS) | (F.col("bytes") > HOT_BYTES)
+    shared = store(shared.filter("lo < hi").select("key", hot.alias("hot")))
+    wanted = grams.drop("length").join(shared, "key").groupBy(*_ROW, "hot").agg(F.collect_list(F.struct("start", "count", "key")).alias("wanted"))
     wanted = store(wanted)
     texts = _identified(docs)
 

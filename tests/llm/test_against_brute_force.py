@@ -116,6 +116,39 @@ def test_substring(docs, texts, monkeypatch, hot):
     assert cut == {i: v[3] if v[1] else t for (i, t), v in zip(texts.items(), want.values())}
 
 
+@pytest.mark.parametrize("limit", [("HOT_WINDOWS", 1000), ("HOT_BYTES", 5000)])
+def test_few_long_strings_are_hot(spark, monkeypatch, limit):
+    """Two texts that repeat a line are one string each, but with many windows: they are not sent whole to one bucket."""
+    line = " ".join(f"l{i}" for i in range(20))
+    longs = {1: " ".join([line] * 60), 2: " ".join([line] * 50) + " tail of the second", 3: "head " + " ".join([line] * 40)}
+    sent = []
+    send = substring._send
+    monkeypatch.setattr(substring, "_send", lambda hot: sent.append(hot) or send(hot))
+    monkeypatch.setattr(substring, *limit, raising=False)
+    rows = {r.doc_id: (r.n_words, r.n_removed) for r in substring.without_repeats(spark.createDataFrame(list(longs.items()), "doc_id long, text string")).collect()}
+    assert rows == {1: (1200, 0), 2: (1004, 1000), 3: (801, 800)} and True in sent
+
+
+def test_every_chunk_of_a_bucket_is_counted(monkeypatch):
+    """Strings of more than 2 GB stay in several chunks, which a table of two chunks stands for."""
+    words = " ".join(f"c{i}" for i in range(60))
+    batch = lambda ids: pa.RecordBatch.from_arrays(
+        [pa.array(ids), pa.array(ids), pa.array([0] * len(ids), pa.int32()), pa.array([7] * len(ids)), pa.array([words] * len(ids))],
+        names=["at", "text_key", "start", "key", "words"])
+
+    class Large:
+        def __init__(self, table):
+            self.table = table
+
+        def combine_chunks(self):
+            return self.table
+
+    table = pa.Table.from_batches([batch([1, 2]), batch([3, 4, 5])])
+    monkeypatch.setattr(substring, "blocks", lambda *a: iter([Large(table)]))
+    found = [row for b in substring._count(iter([])) for row in b.to_pylist()]
+    assert found == [{"at": i, "text_key": i, "start": 0, "count": 11} for i in (2, 3, 4, 5)]
+
+
 def test_quality_measures(docs, texts, spark):
     got = {r.doc_id: r for r in quality.quality_verdicts(docs, spark.read.parquet(f"{TINY}/labels.parquet")).collect()}
     for i, t in texts.items():
