@@ -56,10 +56,16 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
-    """The rows of ``docs`` that stay, one document for each group, with all their columns; repeated rows stay once."""
+    """The rows of ``docs`` that stay, one document for each group, with all their columns.
+
+    Rows that share doc_id and text stay once, as the smallest by their other columns; rows without doc_id all stay.
+    """
     found = store(near_duplicates(docs))
     gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
     rest = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").take(1):
-        rest = rest.dropDuplicates([f.name for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))])
-    return rest
+    twice = store(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_twice")))
+    match = docs["doc_id"] == F.col("_twice")
+    ordered = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    groups = rest.join(twice, match, "left_semi").groupBy("doc_id", "text").agg(F.min_by(row, F.struct(*ordered)).alias("_row"))
+    return rest.join(twice, match, "left_anti").unionByName(groups.select("_row.*"))

@@ -102,3 +102,14 @@ def test_defined_cases(docs, labels):
     assert {r.held_out for r in toxicity.toxicity(docs, labels).collect() if r.doc_id is None} == {False}
     shards = sharding.shard_table(docs).collect()
     assert {r.size for r in shards if r.doc_id in (2, 3)} == {8} and sorted(r.shard for r in shards) == list(range(len(ROWS)))
+
+
+def test_repeated_rows_stay_once_by_id_and_text(docs):
+    """Rows without an id all stay, whether or not another id is repeated; rows of one id and text stay once."""
+    spark = docs.sparkSession
+    none = [(None, "the same row without an id", "en", "a", 1)] * 3
+    again = [(1, "one text of words", "en", "b", 1), (1, "one text of words", "en", "a", 1), (1, "other", "en", "a", 1)]
+    for rows, ids in ((none, []), (none + again, [("a", "one text of words"), ("a", "other")])):
+        stay = near_dedup.keep_one(spark.createDataFrame(rows, SCHEMA)).collect()
+        assert sum(r.doc_id is None for r in stay) == 3
+        assert sorted((r.source, r.text) for r in stay if r.doc_id == 1) == ids
