@@ -140,6 +140,12 @@ def _edited(data: np.ndarray, offsets: np.ndarray) -> tuple[list[bytes], np.ndar
     return [raw[a:b] + raw[c:d] for a, b, c, d in zip(bounds, keep_to.tolist(), bounds[1:], take_to.tolist())], sizes
 
 
+def one_array(texts: pa.ChunkedArray) -> pa.Array:
+    """All chunks as one array with 64-bit offsets, which more than 2 GB of text need."""
+    parts = [chunk.cast(pa.large_string()) for chunk in texts.chunks]
+    return pa.concat_arrays(parts) if parts else pa.array([], pa.large_string())
+
+
 def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
     """doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next for every row of ``docs``."""
 
@@ -147,12 +153,11 @@ def fingerprints_and_edits(docs: DataFrame) -> DataFrame:
         held: pa.Table | None = None
         for batch in batches:
             new = pa.Table.from_batches([batch])
-            table = new if held is None else pa.concat_tables([held, new]).combine_chunks()
+            table = new if held is None else pa.concat_tables([held, new])
             if table.num_rows == 0:
                 continue
             held = table.slice(table.num_rows - 1)
-            texts = table.column("text").combine_chunks()
-            texts = texts.chunk(0) if isinstance(texts, pa.ChunkedArray) else texts
+            texts = one_array(table.column("text"))
             for row, end, _, _ in slices(texts.slice(0, len(texts) - 1)):
                 data, offsets = next((d, o) for _, _, d, o in slices(texts.slice(row, end - row + 1), 1 << 62))
                 edited, sizes = _edited(data, offsets)

@@ -19,6 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from skyloom.llm.bits import maybe_in
 from skyloom.llm.text import blocks, find_words, list_array, sequence_hashes, shingle_sets, slices, word_hashes
 from skyloom.operators.cluster import connected_components
 from skyloom.session import store
@@ -38,8 +39,8 @@ def signed_documents(docs: DataFrame, sketch: Sketch, lower: bool = True) -> Dat
         for batch in batches:
             for row, end, data, offsets in slices(batch.column(1)):
                 words = find_words(data, offsets, lower)
-                hashes = word_hashes(words)
-                h1, h2 = sequence_hashes(words, hashes)
+                hashes, others = word_hashes(words, pair=True)
+                h1, h2 = sequence_hashes(words, hashes, others)
                 values, bounds = shingle_sets(words, hashes, SHINGLE_WORDS)
                 sizes = np.diff(bounds)
                 full = np.flatnonzero(sizes)
@@ -137,7 +138,16 @@ def confirmed_links(docs: DataFrame, keyed: DataFrame, lower: bool = True) -> Da
     """(src, dst): links that hold on the full sets of the nodes in ``keyed`` (node, keys), as a forest per block."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        node, seen = None, set()
         for batch in batches:
+            # the join leaves the rows of a node side by side: equal ones go on once
+            new = np.ones(batch.num_rows, bool)
+            for i, (n, text) in enumerate(zip(batch.column(0).to_pylist(), batch.column(3).to_pylist())):
+                if n != node:
+                    node, seen = n, set()
+                new[i] = text not in seen
+                seen.add(text)
+            batch = batch.filter(pa.array(new))
             for row, end, data, offsets in slices(batch.column(2)):
                 words = find_words(data, offsets, lower)
                 values, bounds = shingle_sets(words, word_hashes(words), SHINGLE_WORDS)
@@ -148,15 +158,16 @@ def confirmed_links(docs: DataFrame, keyed: DataFrame, lower: bool = True) -> Da
 
     def link(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for table in blocks(batches, "key", lambda b: len(b.column(2).flatten()), BLOCK_SHINGLES):
-            table = table.combine_chunks()
-            lists = table.column("shingles").chunk(0)
-            src, dst = forest_of_links(table.column("node").to_numpy(), lists.flatten().to_numpy().view(np.uint64),
-                                       np.concatenate([[0], np.cumsum(lists.value_lengths().to_numpy())]))
+            lists = table.column("shingles").chunks
+            values = np.concatenate([x.flatten().to_numpy().view(np.uint64) for x in lists])
+            sizes = np.concatenate([x.value_lengths().to_numpy() for x in lists])
+            src, dst = forest_of_links(table.column("node").to_numpy(), values, np.concatenate([[0], np.cumsum(sizes)]))
             yield pa.RecordBatch.from_arrays([pa.array(src, pa.int64()), pa.array(dst, pa.int64())], names=["src", "dst"])
 
     texts = docs.select(F.col("doc_id").cast("long").alias("node"), F.col("text").cast("string").alias("text"))
+    texts = texts.withColumn("_text", F.xxhash64("text")).filter(maybe_in(keyed, F.xxhash64("node"), F.xxhash64("node")))
     # the nodes grow with the documents: the same join at every size
-    found = texts.join(keyed.hint("merge"), "node").select("node", "keys", "text").mapInArrow(sets, "node long, keys array<long>, shingles array<long>")
+    found = texts.join(keyed.hint("merge"), "node").select("node", "keys", "text", "_text").mapInArrow(sets, "node long, keys array<long>, shingles array<long>")
     dealt = found.select(F.explode("keys").alias("key"), "node", "shingles").repartition("key").sortWithinPartitions("key")
     return dealt.mapInArrow(link, "src long, dst long")
 
@@ -169,7 +180,7 @@ def components(docs: DataFrame, sketch: Sketch, lower: bool = True) -> DataFrame
     nodes = named.withColumnRenamed("doc_id", "node").join(classes.select("node"), "node", "left_semi")
     families = connected_components(store(band_edges(nodes.select("node", "bands")))).withColumnRenamed("root", "family")
     members = families.join(classes.groupBy("node").agg(F.max("n_shingles").alias("n_shingles")), "node")
-    links = store(confirmed_links(docs, _keys(store(members)), lower).distinct())
+    links = store(confirmed_links(docs, store(_keys(store(members))), lower).distinct())
     roots = connected_components(links).withColumnRenamed("root", "component_id")
     placed = classes.select("h1", "h2", "node").join(roots, "node", "left")
     placed = placed.select("h1", "h2", F.coalesce("component_id", "node").alias("component_id"))

@@ -18,6 +18,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from skyloom.llm.bits import maybe_in
 from skyloom.llm.linking import components
 from skyloom.llm.text import mix64
 from skyloom.session import store
@@ -61,11 +62,16 @@ def keep_one(docs: DataFrame) -> DataFrame:
     Rows that share doc_id and text stay once, as the smallest by their other columns; rows without doc_id all stay.
     """
     found = store(near_duplicates(docs))
-    gone = found.filter(~F.col("kept")).select(F.col("doc_id").alias("_gone"))
-    rest = docs.join(gone, docs["doc_id"] == F.col("_gone"), "left_anti")
-    twice = store(found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").select(F.col("doc_id").alias("_twice")))
-    match = docs["doc_id"] == F.col("_twice")
+    named = found.filter("doc_id is not null").groupBy("doc_id").agg((~F.min("kept")).alias("_gone"), (F.count(F.lit(1)) > 1).alias("_twice"))
+    flags = store(named.filter("_gone or _twice").withColumnRenamed("doc_id", "_flagged"))
+    # only rows whose id may be flagged are shuffled; the join is the same at every size
+    doubt = maybe_in(flags, F.xxhash64("_flagged"), F.xxhash64(F.col("doc_id").cast("long")))
+    probed = docs.withColumn("_doubt", doubt & F.col("doc_id").isNotNull())
+    sure = probed.filter(~F.col("_doubt")).drop("_doubt")
+    probed = probed.filter("_doubt").drop("_doubt")
+    joined = probed.join(flags.hint("merge"), F.col("doc_id").cast("long") == F.col("_flagged"), "left").filter("not coalesce(_gone, false)")
+    once = joined.filter("not coalesce(_twice, false)").select(*[F.col(f"`{c}`") for c in docs.columns])
     ordered = [F.col(f"`{f.name}`") for f in docs.schema.fields if not isinstance(f.dataType, (T.MapType, T.VariantType))]
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
-    groups = rest.join(twice, match, "left_semi").groupBy("doc_id", "text").agg(F.min_by(row, F.struct(*ordered)).alias("_row"))
-    return rest.join(twice, match, "left_anti").unionByName(groups.select("_row.*"))
+    groups = joined.filter("coalesce(_twice, false)").groupBy("doc_id", "text").agg(F.min_by(row, F.struct(*ordered)).alias("_row"))
+    return sure.unionByName(once).unionByName(groups.select("_row.*"))

@@ -1,19 +1,24 @@
 """Operator 10: repeated passages across documents, by super-k-mers.
 
 A window is ``WINDOW`` consecutive words. Its minimiser is the smallest hash of the ``GRAM``-word runs
-inside it; equal windows have equal minimisers. Consecutive windows with the same minimiser travel as one
-packed string to that minimiser's bucket, where sorting the windows finds the smallest doc_id of each
-sequence. Three steps keep the traffic low without leaving a window out:
+inside it; equal windows have equal minimisers. Consecutive windows with the same minimiser, up to ``RUN`` of
+them, travel as one packed string to that minimiser's bucket, where sorting the windows finds the smallest doc_id
+of each sequence. These steps keep the traffic low without leaving a window out:
 
 * copies (equal word sequences) are settled by their smallest doc_id, only that one is searched;
-* only minimisers that occur in two documents can hold a repeated window, so only their strings travel;
-* a minimiser with more than ``HOT_ROWS`` strings, ``HOT_WINDOWS`` windows or ``HOT_BYTES`` bytes in them (a
-  string has no longest length) has its windows counted one by one by a combined (pre-aggregated) grouping of
-  their 128-bit hashes, which no single task has to hold.
+* only minimisers that occur in two documents can hold a repeated window;
+* equal strings are one class: the windows of a string that a smaller doc_id has too are all repeated, so only the
+  string of the smallest doc_id travels, and only to a minimiser with several classes;
+* a bucket is dealt into as many parts as its bytes ask for. Windows are sorted in their part; those of a bucket of
+  several parts are then merged by a combined grouping of their hashes, so that no task holds a whole bucket.
+
+Words, windows and strings are told apart by pairs of independent 64-bit hashes.
 
 Defined cases: null and empty texts have no words and lose none; a null doc_id counts as larger than every
 other, two of them as equal; rows that share a doc_id never remove from each other; repeats inside one
-document stay. Extra columns are left alone.
+document stay; repeated rows are searched once and each gets the result; a text of any length is worked whole, its
+strings stay short; ties cannot occur, equal windows go to the smallest doc_id; an empty table gives no rows. Extra
+columns are left alone.
 """
 
 from __future__ import annotations
@@ -26,15 +31,16 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from skyloom.llm.text import Words, blocks, find_words, gram_hashes, list_array, sequence_hashes, slices, word_hashes
+from skyloom.llm.bits import maybe_in
+from skyloom.llm.text import Words, blocks, find_words, gram_hashes, list_array, mix64, sequence_hashes, slices, word_hashes
 from skyloom.session import store
 
 WINDOW = 50
 GRAM = 12
-HOT_ROWS = 20_000
-HOT_WINDOWS = 1_000_000
-HOT_BYTES = 32 << 20
+RUN = WINDOW  # windows in a string at most: its first and its last window then hold all of its words
+PART_BYTES = 8 << 20
 BLOCK_BYTES = 4 << 20
+SENT_BYTES = 16 << 20  # strings put together at once
 _LAST = (1 << 63) - 1
 _ROW = ["at", "text_key"]
 
@@ -79,31 +85,41 @@ def window_minimisers(hashes: np.ndarray) -> np.ndarray:
     return np.minimum(grams[:-rest], grams[rest:]) if rest else grams
 
 
+def window_hashes(words: Words) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent hashes of the window that starts at each word (the last ones reach into the next text)."""
+    hashes, others = word_hashes(words, pair=True)
+    return gram_hashes(hashes, WINDOW, 4), gram_hashes(others, WINDOW, 5)
+
+
 def _scan(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in batches:
         for row, end, data, offsets in slices(batch.column(2)):
             words = find_words(data, offsets)
-            hashes = word_hashes(words)
-            h1, h2 = sequence_hashes(words, hashes)
+            hashes, others = word_hashes(words, pair=True)
+            h1, h2 = sequence_hashes(words, hashes, others)
             owner = words.texts_of_words()
             minima = window_minimisers(hashes)
-            whole = owner[:len(minima)] == owner[WINDOW - 1:] if len(minima) else np.empty(0, bool)
-            at = np.flatnonzero(whole)
+            at = np.flatnonzero(owner[:len(minima)] == owner[WINDOW - 1:]) if len(minima) else np.empty(0, np.int64)
             new = np.ones(len(at), bool)
             if len(at):
                 new[1:] = (minima[at][1:] != minima[at][:-1]) | (at[1:] != at[:-1] + 1) | (owner[at][1:] != owner[at][:-1])
+                heads = np.flatnonzero(new)
+                new |= (np.arange(len(at)) - np.repeat(heads, np.diff(np.append(heads, len(at))))) % RUN == 0
             first = at[new]
             counts = np.diff(np.append(np.flatnonzero(new), len(at)))
+            w1, w2 = gram_hashes(hashes, WINDOW, 4), gram_hashes(others, WINDOW, 5)
+            last = first + counts - 1
+            s1, s2 = (mix64(mix64(w[first] + counts.astype(np.uint64)) + w[last]) if len(first) else np.empty(0, np.uint64) for w in (w1, w2))
             bounds = np.searchsorted(owner[first], np.arange(end - row + 1))
-            lengths = words.ends[first + counts + WINDOW - 2] - words.starts[first]
+            lengths = words.ends[last + WINDOW - 1] - words.starts[first]
             joined = text_array(*joined_words(words, np.ones(len(words.starts), bool)))
             yield pa.RecordBatch.from_arrays([
                 batch.column(0).slice(row, end - row), batch.column(1).slice(row, end - row), pa.array(words.counts, pa.int64()),
                 pa.array(h1.view(np.int64)), pa.array(h2.view(np.int64)), joined,
                 list_array((first - words.first[owner[first]]).astype(np.int32), bounds, pa.int32()),
-                list_array(counts.astype(np.int32), bounds, pa.int32()), list_array(minima[first].view(np.int64), bounds, pa.int64()),
-                list_array(lengths.astype(np.int32), bounds, pa.int32()),
-            ], names=["at", "text_key", "n_words", "h1", "h2", "joined", "starts", "counts", "minima", "lengths"])
+                list_array(counts.astype(np.int32), bounds, pa.int32()), list_array(lengths.astype(np.int32), bounds, pa.int32()),
+                *[list_array(x.view(np.int64), bounds, pa.int64()) for x in (minima[first], s1, s2)],
+            ], names=["at", "text_key", "n_words", "h1", "h2", "joined", "starts", "counts", "lengths", "minima", "s1", "s2"])
 
 
 def _identified(docs: DataFrame) -> DataFrame:
@@ -114,96 +130,99 @@ def _identified(docs: DataFrame) -> DataFrame:
 def _scanned(docs: DataFrame) -> DataFrame:
     """at (the doc_id), text_key, n_words, h1, h2, words_sha256 and the super-k-mers of every row."""
     found = _identified(docs).mapInArrow(_scan, "at long, text_key long, n_words long, h1 long, h2 long, joined string, "
-                                                "starts array<int>, counts array<int>, minima array<long>, lengths array<int>")
+                                                "starts array<int>, counts array<int>, lengths array<int>, minima array<long>, s1 array<long>, s2 array<long>")
     return found.withColumn("words_sha256", F.sha2("joined", 256)).drop("joined")
 
 
-def _send(hot: bool):
-    """Cut the wanted super-k-mers out of the texts: packed strings, or the hashes of their windows."""
-
-    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for row, end, data, offsets in slices(batch.column(2)):
-                words = find_words(data, offsets)
-                wanted = batch.column(3).slice(row, end - row)
-                owner = np.repeat(np.arange(end - row), wanted.value_lengths().to_numpy())
-                fields = wanted.flatten()
-                start, count, key = (fields.field(i).to_numpy() for i in range(3))
-                first = words.first[owner] + start
-                ids = [batch.column(i).slice(row, end - row).to_numpy()[owner] for i in (0, 1)]
-                if hot:
-                    hashes = word_hashes(words)
-                    at = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
-                    window = np.repeat(first, count) + at
-                    grams = [gram_hashes(hashes, WINDOW, seed)[window].view(np.int64) if len(window) else np.empty(0, np.int64) for seed in (4, 5)]
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(np.repeat(i, count)) for i in ids] + [pa.array((np.repeat(start, count) + at).astype(np.int32)), *map(pa.array, grams)],
-                        names=["at", "text_key", "start", "w1", "w2"])
-                    continue
-                last = first + count + WINDOW - 2
-                pieces, lengths = words.starts[first], words.ends[last] - words.starts[first]
-                to = np.cumsum(lengths)
-                at = np.arange(int(lengths.sum())) - np.repeat(to - lengths - pieces, lengths)
-                yield pa.RecordBatch.from_arrays(
-                    [*map(pa.array, ids), pa.array(start.astype(np.int32)), pa.array(key), text_array(data[at], np.append(0, to))],
-                    names=["at", "text_key", "start", "key", "words"])
-
-    return cut
-
-
-def _all_slices(texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """(row, bytes, offsets) of the slices of every chunk: more than 2 GB of strings stay in several chunks."""
-    before = 0
-    for chunk in texts.chunks if isinstance(texts, pa.ChunkedArray) else [texts]:
-        for row, _, data, offsets in slices(chunk):
-            yield before + row, data, offsets
-        before += len(chunk)
+_SENT = "key long, part int, parts int, s1 long, s2 long, at long, words string"
+_SETTLED = "s1 long, s2 long, at long, first int, count int, w1 long, w2 long"
 
 
-def repeated_windows(at: np.ndarray, texts: pa.Array | pa.ChunkedArray) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
-    """(row, first window, number of windows) for runs of windows that a smaller ``at`` has too."""
-    owners, places, first, second = [], [], [], []
-    for row, data, offsets in _all_slices(texts):
-        words = find_words(data, offsets)
-        hashes, owner = word_hashes(words), words.texts_of_words()
-        if len(hashes) < WINDOW:
+def _send(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Cut the wanted super-k-mers out of the texts. Rows: at, text_key, text, wanted, equal rows side by side."""
+    done = None
+    for batch in batches:
+        rows = list(zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()))
+        new = [r != before for r, before in zip(rows, [done, *rows])]
+        done = rows[-1] if rows else done
+        batch = batch.filter(pa.array(new, pa.bool_()))
+        for row, end, data, offsets in slices(batch.column(2)):
+            words = find_words(data, offsets)
+            wanted = batch.column(3).slice(row, end - row)
+            owner = np.repeat(np.arange(end - row), wanted.value_lengths().to_numpy())
+            fields = wanted.flatten()
+            start, count = (fields.field(i).to_numpy() for i in range(2))
+            first = words.first[owner] + start
+            pieces, lengths = words.starts[first], words.ends[first + count + WINDOW - 2] - words.starts[first]
+            ids = batch.column(0).slice(row, end - row).to_numpy()[owner]
+            turn = (np.cumsum(lengths) - lengths) // SENT_BYTES
+            cuts = [0, *(np.flatnonzero(np.diff(turn)) + 1).tolist(), len(lengths)]
+            for a, b in zip(cuts, cuts[1:]):
+                to = np.cumsum(lengths[a:b])
+                at = np.arange(int(lengths[a:b].sum())) - np.repeat(to - lengths[a:b] - pieces[a:b], lengths[a:b])
+                yield pa.RecordBatch.from_arrays(
+                    [*(fields.field(i).slice(a, b - a) for i in range(2, 7)), pa.array(ids[a:b]), text_array(data[at], np.append(0, to))],
+                    names=["key", "part", "parts", "s1", "s2", "at", "words"])
+
+
+def _runs(flags: np.ndarray, owner: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """(first entry, length) of the runs of set flags under one owner."""
+    hit = np.flatnonzero(flags)
+    begins = np.ones(len(hit), bool)
+    begins[1:] = (hit[1:] != hit[:-1] + 1) | (owner[hit][1:] != owner[hit][:-1])
+    heads = np.flatnonzero(begins)
+    return hit[heads], np.diff(np.append(heads, len(hit)))
+
+
+def _settle(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Runs of repeated windows of the strings of whole buckets, and single windows of buckets in several parts."""
+    for table in blocks(batches, "bucket", lambda b: b.column("words").nbytes, BLOCK_BYTES):
+        at, s1, s2, bucket, parts = (table.column(c).to_numpy() for c in ("at", "s1", "s2", "bucket", "parts"))
+        owners, places, first, second = [], [], [], []
+        before = 0
+        for chunk in table.column("words").chunks:
+            for row, _, data, offsets in slices(chunk):
+                words = find_words(data, offsets)
+                owner = words.texts_of_words()
+                w1, w2 = window_hashes(words)
+                start = np.flatnonzero(owner[:len(w1)] == owner[WINDOW - 1:]) if len(w1) else np.empty(0, np.int64)
+                owners.append(owner[start] + row + before)
+                places.append(start - words.first[owner[start]])
+                first.append(w1[start])
+                second.append(w2[start])
+            before += len(chunk)
+        owner, place, w1, w2 = (np.concatenate(x) for x in (owners, places, first, second))
+        if not len(owner):
             continue
-        start = np.flatnonzero(owner[:len(hashes) - WINDOW + 1] == owner[WINDOW - 1:])
-        owners.append(owner[start] + row)
-        places.append(start - words.first[owner[start]])
-        first.append(gram_hashes(hashes, WINDOW, 4)[start])
-        second.append(gram_hashes(hashes, WINDOW, 5)[start])
-    if not owners:
-        return
-    owner, place, w1, w2 = (np.concatenate(x) for x in (owners, places, first, second))
-    order = np.lexsort((w2, w1))
-    new = np.ones(len(order), bool)
-    new[1:] = (w1[order][1:] != w1[order][:-1]) | (w2[order][1:] != w2[order][:-1])
-    groups = np.flatnonzero(new)
-    smallest = np.repeat(np.minimum.reduceat(at[owner[order]], groups), np.diff(np.append(groups, len(order)))) if len(order) else order
-    gone = np.zeros(len(order), bool)
-    gone[order] = at[owner[order]] > smallest
-    hit = np.flatnonzero(gone)
-    if len(hit):
-        begins = np.ones(len(hit), bool)
-        begins[1:] = (hit[1:] != hit[:-1] + 1) | (owner[hit][1:] != owner[hit][:-1])
-        heads = np.flatnonzero(begins)
-        yield owner[hit[heads]], place[hit[heads]], np.diff(np.append(heads, len(hit)))
-
-
-def _count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for table in blocks(batches, "key", lambda b: b.column(4).nbytes, BLOCK_BYTES):
-        table = table.combine_chunks()
-        ids = [table.column(c).to_numpy() for c in ("at", "text_key", "start")]
-        for row, place, count in repeated_windows(ids[0], table.column("words")):
-            yield pa.RecordBatch.from_arrays([
-                pa.array(ids[0][row]), pa.array(ids[1][row]), pa.array((ids[2][row] + place).astype(np.int32)), pa.array(count.astype(np.int32)),
-            ], names=["at", "text_key", "start", "count"])
+        order = np.lexsort((w2, w1, bucket[owner]))
+        new = np.ones(len(order), bool)
+        new[1:] = False
+        for x in (w1, w2, bucket[owner]):
+            new[1:] |= x[order][1:] != x[order][:-1]
+        groups = np.flatnonzero(new)
+        smallest = np.repeat(np.minimum.reduceat(at[owner[order]], groups), np.diff(np.append(groups, len(order))))
+        gone = np.zeros(len(order), bool)
+        gone[order] = at[owner[order]] > smallest
+        whole = parts[owner] == 1
+        heads, counts = _runs(gone & whole, owner)
+        open_at = np.flatnonzero(~whole)
+        mine = np.concatenate([owner[heads], owner[open_at]])
+        none = np.ones(len(mine), bool)
+        none[len(heads):] = False
+        both = [np.concatenate([w[heads], w[open_at]]).view(np.int64) for w in (w1, w2)]
+        yield pa.RecordBatch.from_arrays([
+            pa.array(s1[mine]), pa.array(s2[mine]), pa.array(at[mine]), pa.array(np.concatenate([place[heads], place[open_at]]).astype(np.int32)),
+            pa.array(np.concatenate([counts, np.ones(len(open_at), np.int64)]).astype(np.int32)), *[pa.array(w, mask=none) for w in both],
+        ], names=["s1", "s2", "at", "first", "count", "w1", "w2"])
 
 
 # the joins of texts are sort-merge joins at every size: their other sides grow with the documents
 
 
+def _row_hash() -> Column:
+    return F.xxhash64("at", "text_key")
+
+
 def repeated_spans(docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, DataFrame]:
     """(copies, spans): rows whose whole text has a smaller copy, and runs of removed windows of the others.
 
@@ -213,28 +232,30 @@ def repeated_spans(docs: DataFrame, scanned: DataFrame) -> tuple[DataFrame, Data
     classes = long_enough.groupBy("h1", "h2").agg(F.min("at").alias("first"))
     settled = store(long_enough.select(*_ROW, "h1", "h2").join(classes, ["h1", "h2"]).select(*_ROW, (F.col("at") > F.col("first")).alias("copy")).distinct())
     rows = long_enough.join(settled.filter("not copy").drop("copy"), _ROW, "left_semi")
-    grams = rows.select(*_ROW, F.explode(F.arrays_zip("starts", "counts", "minima", "lengths")).alias("s"))
-    grams = grams.select(*_ROW, F.col("s.starts").alias("start"), F.col("s.counts").alias("count"), F.col("s.minima").alias("key"), F.col("s.lengths").alias("length"))
-    shared = grams.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi"), F.count(F.lit(1)).alias("n"),
-                                      F.sum("count").alias("windows"), F.sum("length").alias("bytes"))
-    hot = (F.col("n") > HOT_ROWS) | (F.col("windows") > HOT_WINDOWS) | (F.col("bytes") > HOT_BYTES)
-    shared = store(shared.filter("lo < hi").select("key", hot.alias("hot")))
-    wanted = grams.drop("length").join(shared, "key").groupBy(*_ROW, "hot").agg(F.collect_list(F.struct("start", "count", "key")).alias("wanted"))
-    wanted = store(wanted)
-    texts = _identified(docs)
-
-    def sent(hot: bool, schema: str) -> DataFrame:
-        mine = wanted.filter(F.col("hot") == F.lit(hot)).drop("hot")
-        return texts.join(mine.hint("merge"), _ROW).select(*_ROW, "text", "wanted").mapInArrow(_send(hot), schema)
-
-    strings = sent(False, "at long, text_key long, start int, key long, words string")
-    found = strings.repartition("key").sortWithinPartitions("key").mapInArrow(_count, "at long, text_key long, start int, count int")
-    if shared.filter("hot").take(1):
-        windows = store(sent(True, "at long, text_key long, start int, w1 long, w2 long"))
-        lowest = windows.groupBy("w1", "w2").agg(F.min("at").alias("lo"))
-        repeated = windows.join(lowest, ["w1", "w2"]).filter("at > lo")
-        found = found.unionByName(repeated.select(*_ROW, "start", F.lit(1).alias("count")))
-    spans = found.groupBy(*_ROW).agg(F.collect_list(F.struct("start", "count")).alias("spans"))
+    grams = rows.select(*_ROW, F.explode(F.arrays_zip("starts", "counts", "lengths", "minima", "s1", "s2")).alias("s"))
+    grams = grams.select(*_ROW, F.col("s.starts").alias("start"), F.col("s.counts").alias("count"), F.col("s.lengths").alias("length"),
+                         F.col("s.minima").alias("key"), "s.s1", "s.s2")
+    shared = store(grams.groupBy("key").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).filter("lo < hi").select("key"))
+    members = store(grams.filter(maybe_in(shared, F.xxhash64("key"), F.xxhash64("key"))).join(shared.hint("merge"), "key"))
+    # equal strings: the smallest doc_id stands for all of them
+    strings = store(members.groupBy("key", "s1", "s2").agg(F.min(F.struct("at", "text_key", "start", "count", "length")).alias("rep")).select("key", "s1", "s2", "rep.*"))
+    buckets = strings.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.ceil(F.sum("length") / PART_BYTES).cast("int").alias("parts")).filter("n > 1")
+    part = F.pmod("s1", "parts").cast("int").alias("part")
+    wanted = strings.join(buckets, "key").select(*_ROW, F.struct("start", "count", "key", part, "parts", "s1", "s2").alias("w"))
+    wanted = store(wanted.groupBy(*_ROW).agg(F.collect_list("w").alias("wanted")))
+    texts = _identified(docs).filter(maybe_in(wanted, _row_hash(), _row_hash()))
+    sent = texts.join(wanted.hint("merge"), _ROW).select(*_ROW, "text", "wanted").mapInArrow(_send, _SENT)
+    dealt = sent.withColumn("bucket", F.xxhash64("key", "part")).repartition("bucket").sortWithinPartitions("bucket")
+    found = store(dealt.mapInArrow(_settle, _SETTLED))
+    # windows of buckets in several parts meet here
+    loose = found.filter("w1 is not null")
+    lowest = loose.groupBy("w1", "w2").agg(F.min("at").alias("lo"), F.max("at").alias("hi")).filter("lo < hi").drop("hi")
+    merged = loose.join(lowest, ["w1", "w2"]).filter("at > lo").select("s1", "s2", "first", "count")
+    runs = found.filter("w1 is null").select("s1", "s2", "first", "count").unionByName(merged)
+    placed = members.select(*_ROW, "start", "count", "s1", "s2").join(strings.select("s1", "s2", F.col("at").alias("lo")), ["s1", "s2"])
+    whole = placed.filter("at > lo").select(*_ROW, "start", "count")
+    some = placed.filter("at = lo").select(*_ROW, "start", "s1", "s2").join(runs, ["s1", "s2"]).select(*_ROW, (F.col("start") + F.col("first")).alias("start"), "count")
+    spans = whole.unionByName(some).groupBy(*_ROW).agg(F.collect_set(F.struct("start", "count")).alias("spans"))
     return settled.filter("copy").drop("copy"), store(spans)
 
 
@@ -268,7 +289,8 @@ def without_repeats(docs: DataFrame) -> DataFrame:
         "at", "n_words", F.when(is_copy, F.col("n_words")).otherwise(F.lit(0)).cast("long").alias("n_removed"),
         F.when(is_copy, F.sha2(F.lit(""), 256)).otherwise(F.col("words_sha256")).alias("kept_sha256"),
     )
-    cut = _identified(docs).join(spans.hint("merge"), _ROW).select("at", _without("text", "spans").alias("w"))
+    texts = _identified(docs).filter(maybe_in(spans, _row_hash(), _row_hash()))
+    cut = texts.join(spans.hint("merge"), _ROW).select("at", _without("text", "spans").alias("w"))
     counted = cut.select("at", "w.n_removed", F.sha2("w.kept", 256).alias("kept_sha256"), F.size(F.split("w.kept", " ")).alias("left"), "w.kept")
     left = F.when(F.col("kept") == "", F.lit(0)).otherwise(F.col("left"))
     counted = counted.select("at", (F.col("n_removed") + left).alias("n_words"), "n_removed", "kept_sha256")
@@ -284,11 +306,13 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
     """
     copies, spans = repeated_spans(docs, store(_scanned(docs)))
     state = copies.select(*_ROW, F.lit(True).alias("_copy"), F.lit(None).cast("array<struct<start:int,count:int>>").alias("_spans"))
-    state = state.unionByName(spans.select(*_ROW, F.lit(False).alias("_copy"), F.col("spans").alias("_spans")))
-    state = state.withColumnsRenamed({"at": "_at", "text_key": "_text_key"})
+    state = store(state.unionByName(spans.select(*_ROW, F.lit(False).alias("_copy"), F.col("spans").alias("_spans"))))
     row = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_row")
-    keyed = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("_at"), F.xxhash64(F.col("text").cast("string")).alias("_text_key"))
-    joined = keyed.join(state.hint("merge"), ["_at", "_text_key"], "left")
+    keyed = docs.select(row, F.coalesce(F.col("doc_id").cast("long"), F.lit(_LAST)).alias("at"), F.xxhash64(F.col("text").cast("string")).alias("text_key"))
+    # only rows that may lose words are shuffled
+    probed = keyed.withColumn("_doubt", maybe_in(state, _row_hash(), _row_hash()))
+    same = probed.filter("not _doubt").select("_row.*")
+    joined = probed.filter("_doubt").join(state.hint("merge"), _ROW, "left")
     cut = F.when(F.col("_spans").isNotNull(), F.col("_row.text").cast("string"))
     text: Column = F.when(F.col("_copy"), F.lit("")).when(F.col("_spans").isNotNull(), _without(cut, "_spans")["kept"])
     after = joined.select("_row", F.coalesce(text, F.col("_row.text")).alias("_new"), F.col("_copy").isNotNull().alias("_changed"))
@@ -301,4 +325,4 @@ def cut_repeats(docs: DataFrame) -> DataFrame:
             return F.when(F.col("_changed"), F.length("_new").cast(docs.schema[name].dataType)).otherwise(old).alias(name)
         return old.alias(name)
 
-    return after.select(*[value(c) for c in docs.columns])
+    return same.unionByName(after.select(*[value(c) for c in docs.columns]))

@@ -15,7 +15,6 @@ import pyarrow as pa
 
 SLICE_BYTES = 1 << 20
 _U = np.uint64
-_FULL = (1 << 64) - 1
 
 _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -38,17 +37,17 @@ def _constants(seed: int, n: int) -> np.ndarray:
 
 
 _BYTE_VALUE = _constants(11, 256)
-_BASE = _constants(12, 1)[0] | _U(1)
-_POWERS = np.empty(0, np.uint64)
+_STEP, _OTHER = _U(0x9E3779B97F4A7C15), _U(0xD6E8FEB86659FD93)
 
 
-def _powers(n: int) -> np.ndarray:
-    global _POWERS
-    if len(_POWERS) < n:
-        steps = np.full(max(n, 256), _BASE, np.uint64)
-        steps[0] = 1
-        _POWERS = np.multiply.accumulate(steps)
-    return _POWERS
+def placed(values: np.ndarray, at: np.ndarray) -> np.ndarray:
+    """Each value scattered together with its place, so that sums over places hide no arrangement."""
+    return mix64(values + (at.astype(np.uint64) + _U(1)) * _STEP)
+
+
+def second(scattered: np.ndarray) -> np.ndarray:
+    """Other terms for a second, independent sum over the same ``placed`` values."""
+    return (scattered ^ (scattered >> _U(29))) * _OTHER
 
 
 @dataclass
@@ -103,35 +102,41 @@ def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Wo
     return Words(data, starts, ends, np.searchsorted(starts, offsets))
 
 
-def word_hashes(words: Words) -> np.ndarray:
-    """A 64-bit hash of the bytes of each word."""
-    if len(words.starts) == 0:
-        return np.empty(0, np.uint64)
+def word_hashes(words: Words, pair: bool = False) -> np.ndarray | tuple[np.ndarray, np.ndarray]:
+    """A 64-bit hash of the bytes of each word; with ``pair`` two independent ones. Long runs are worked in stretches."""
     lengths = words.ends - words.starts
-    before = np.cumsum(lengths) - lengths
-    at = np.arange(int(lengths.sum())) - np.repeat(before, lengths)
-    values = _BYTE_VALUE[words.data[at + np.repeat(words.starts, lengths)]]
-    values *= _powers(int(lengths.max()))[at]
-    return mix64(np.add.reduceat(values, before) + lengths.astype(np.uint64))
+    upto = np.cumsum(lengths)
+    out = [np.empty(len(lengths), np.uint64) for _ in range(1 + pair)]
+    a = 0
+    while a < len(lengths):
+        done = int(upto[a - 1]) if a else 0
+        b = max(a + 1, int(np.searchsorted(upto, done + SLICE_BYTES, "right")))
+        sizes = lengths[a:b]
+        before = upto[a:b] - sizes - done
+        at = np.arange(int(upto[b - 1]) - done) - np.repeat(before, sizes)
+        terms = placed(_BYTE_VALUE[words.data[at + np.repeat(words.starts[a:b], sizes)]], at)
+        out[0][a:b] = mix64(np.add.reduceat(terms, before) + sizes.astype(np.uint64))
+        if pair:
+            out[1][a:b] = mix64(np.add.reduceat(second(terms), before) + sizes.astype(np.uint64))
+        a = b
+    return (out[0], out[1]) if pair else out[0]
 
 
 def gram_hashes(words: np.ndarray, k: int, seed: int = 0) -> np.ndarray:
     """64-bit hashes of every ``k`` consecutive entries; entry ``i`` stands for ``words[i:i+k]``."""
     if len(words) < k:
         return np.empty(0, np.uint64)
-    power = int(_constants(100 + seed, 1)[0]) | 1
-    # hashes of runs of 1, 2, 4, ... entries, put together by the bits of k
-    run, size, total, done, shift = words, 1, None, 0, 1
+    factor = _constants(100 + seed, 1)[0] | _U(1)
+    # hashes of runs of 1, 2, 4, ... entries, scattered at every step, put together by the bits of k
+    run, size, total, done = words, 1, None, 0
     while True:
         if k & size:
-            part = run[done:done + len(words) - k + 1] * _U(shift)
-            total = part if total is None else total + part
+            part = run[done:done + len(words) - k + 1]
+            total = mix64(part + _U(k) if total is None else total * factor + part)
             done += size
-            shift = shift * power & _FULL
         if done == k:
-            return mix64(total ^ _U(k))
-        run = run[:-size] + run[size:] * _U(power)
-        power = power * power & _FULL
+            return total
+        run = mix64(run[:-size] * factor + run[size:])
         size *= 2
 
 
@@ -170,18 +175,16 @@ def shingle_sets(words: Words, hashes: np.ndarray, k: int = 5) -> tuple[np.ndarr
     return values, np.searchsorted(owner, np.arange(n + 1))
 
 
-def sequence_hashes(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Two independent 64-bit hashes of each text's whole word sequence."""
+def sequence_hashes(words: Words, hashes: np.ndarray, others: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Two independent 64-bit hashes of each text's whole word sequence, from the two hashes of its words."""
     counts = words.counts
-    out = []
     at = np.arange(len(hashes)) - np.repeat(words.first[:-1], counts)
-    for seed in (201, 202):
-        base, add = _constants(seed, 2)
-        power = np.multiply.accumulate(np.concatenate([[_U(1)], np.full(max(int(counts.max(initial=0)), 1), base | _U(1))]))
+    full, out = np.flatnonzero(counts), []
+    for values, seed in ((hashes, 201), (others, 202)):
+        add = _constants(seed, 1)[0]
         total = np.zeros(len(counts), np.uint64)
-        full = np.flatnonzero(counts)
         if len(full):
-            total[full] = np.add.reduceat(mix64(hashes + add) * power[at], words.first[:-1][full])
+            total[full] = np.add.reduceat(placed(values ^ add, at), words.first[:-1][full])
         out.append(mix64(total + counts.astype(np.uint64) * add))
     return out[0], out[1]
 

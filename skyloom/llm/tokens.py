@@ -2,8 +2,9 @@
 
 The tokenizer cuts a text into pieces (a word with its space, a number, a run of signs or of white space)
 and encodes each piece by itself. Most pieces are repeats, so the cuts are made on whole slices at once,
-and the library encodes only pieces that a worker has not met lately. Character classes are asked of the
-library's own cutter, so the ids equal ``Tokenizer.encode``; strings of special tokens are ordinary text.
+and the library encodes only pieces that a worker has not met lately. Pieces are told apart by two independent
+64-bit hashes; where one agrees and the other does not, the slice goes to the library as it is. Character classes are
+asked of the library's own cutter, so the ids equal ``Tokenizer.encode``; strings of special tokens are ordinary text.
 """
 
 from __future__ import annotations
@@ -13,7 +14,7 @@ from functools import lru_cache
 
 import numpy as np
 
-from skyloom.llm.text import SLICE_BYTES, _powers, mix64
+from skyloom.llm.text import SLICE_BYTES, mix64, placed, second
 
 MAX_CACHED = 3 << 18  # pieces a worker remembers
 LEARN_AT_ONCE = 4096  # the library keeps much about each piece until its ids are taken
@@ -35,7 +36,7 @@ class Encoder:
         self.forget()
 
     def forget(self) -> None:
-        self.keys, self.at = np.empty(0, np.uint64), np.empty(0, np.int64)
+        self.keys, self.checks, self.at = np.empty(0, np.uint64), np.empty(0, np.uint64), np.empty(0, np.int64)
         self.sizes, self.ids = np.empty(0, np.int64), np.empty(0, np.uint32)
 
     def _class_of(self, char: str) -> int:
@@ -88,18 +89,22 @@ class Encoder:
             begin[ends[ends < n]] = True
         return np.flatnonzero(begin)
 
-    def _learn(self, keys: np.ndarray, pieces: list[str]) -> None:
-        sizes, found = [], []
+    def _ask(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of them each piece has), by the library."""
+        sizes, found = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
         for a in range(0, len(pieces), LEARN_AT_ONCE):
             ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[a:a + LEARN_AT_ONCE], add_special_tokens=False)]
             sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
             found.append(np.fromiter((x for piece in ids for x in piece), np.uint32, int(sizes[-1].sum())))
-        sizes, flat = np.concatenate(sizes), np.concatenate(found)
+        return np.concatenate(found), np.concatenate(sizes)
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
+        flat, sizes = self._ask(pieces)
         self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(sizes) - sizes])
         self.keys, self.sizes = np.concatenate([self.keys, keys]), np.concatenate([self.sizes, sizes])
-        self.ids = np.concatenate([self.ids, flat])
+        self.checks, self.ids = np.concatenate([self.checks, checks]), np.concatenate([self.ids, flat])
         order = np.argsort(self.keys, kind="stable")
-        self.keys, self.at, self.sizes = self.keys[order], self.at[order], self.sizes[order]
+        self.keys, self.checks, self.at, self.sizes = self.keys[order], self.checks[order], self.at[order], self.sizes[order]
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.keys):
@@ -116,14 +121,18 @@ class Encoder:
         starts = self.cuts(chars, np.unique(heads[:-1][heads[:-1] < len(chars)]))
         sizes = np.diff(np.append(starts, len(chars)))
         inside = np.arange(len(chars)) - np.repeat(starts, sizes)
-        values = self.values[chars] * _powers(int(sizes.max()))[inside]
-        keys, where, inverse = np.unique(mix64(np.add.reduceat(values, starts) + sizes.astype(np.uint64)), return_index=True, return_inverse=True)
+        terms = placed(self.values[chars], inside)
+        hashes, checks = (mix64(np.add.reduceat(x, starts) + sizes.astype(np.uint64)) for x in (terms, second(terms)))
+        keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > MAX_CACHED:
             self.forget()
         at, known = self._find(keys)
+        if (checks != checks[where][inverse]).any() or (self.checks[at[known]] != checks[where[known]]).any():
+            ids, counts = self._ask([text[a:b] for a, b in zip(starts.tolist(), (starts + sizes).tolist())])
+            return ids, np.append(0, np.cumsum(counts))[np.searchsorted(starts, heads)]
         if not known.all():
             new = where[~known]
-            self._learn(keys[~known], [text[a:b] for a, b in zip(starts[new].tolist(), (starts[new] + sizes[new]).tolist())])
+            self._learn(keys[~known], checks[new], [text[a:b] for a, b in zip(starts[new].tolist(), (starts[new] + sizes[new]).tolist())])
             at, _ = self._find(keys)
         at = at[inverse]
         lengths = self.sizes[at]

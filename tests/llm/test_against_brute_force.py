@@ -97,9 +97,9 @@ def test_forest_joins_what_all_pairs_join():
     assert links and len(src) < 60 and parts(zip(src.tolist(), dst.tolist())) == parts(links)
 
 
-@pytest.mark.parametrize("hot", [substring.HOT_ROWS, 5])
-def test_substring(docs, texts, monkeypatch, hot):
-    monkeypatch.setattr(substring, "HOT_ROWS", hot)
+@pytest.mark.parametrize("part_bytes", [substring.PART_BYTES, 2000])
+def test_substring(docs, texts, monkeypatch, part_bytes):
+    monkeypatch.setattr(substring, "PART_BYTES", part_bytes)  # 2000: buckets are dealt into many parts
     first, want = {}, {}
     for i in sorted(texts):
         w = WORD.findall(texts[i])
@@ -116,37 +116,50 @@ def test_substring(docs, texts, monkeypatch, hot):
     assert cut == {i: v[3] if v[1] else t for (i, t), v in zip(texts.items(), want.values())}
 
 
-@pytest.mark.parametrize("limit", [("HOT_WINDOWS", 1000), ("HOT_BYTES", 5000)])
-def test_few_long_strings_are_hot(spark, monkeypatch, limit):
-    """Two texts that repeat a line are one string each, but with many windows: they are not sent whole to one bucket."""
+@pytest.mark.parametrize("part_bytes", [substring.PART_BYTES, 1000])
+def test_long_texts_that_repeat_a_line(spark, monkeypatch, part_bytes):
+    """Texts that repeat a line keep one minimiser: their strings are cut short, equal ones travel once."""
+    monkeypatch.setattr(substring, "PART_BYTES", part_bytes)
     line = " ".join(f"l{i}" for i in range(20))
     longs = {1: " ".join([line] * 60), 2: " ".join([line] * 50) + " tail of the second", 3: "head " + " ".join([line] * 40)}
-    sent = []
-    send = substring._send
-    monkeypatch.setattr(substring, "_send", lambda hot: sent.append(hot) or send(hot))
-    monkeypatch.setattr(substring, *limit, raising=False)
     rows = {r.doc_id: (r.n_words, r.n_removed) for r in substring.without_repeats(spark.createDataFrame(list(longs.items()), "doc_id long, text string")).collect()}
-    assert rows == {1: (1200, 0), 2: (1004, 1000), 3: (801, 800)} and True in sent
+    assert rows == {1: (1200, 0), 2: (1004, 1000), 3: (801, 800)}
 
 
-def test_every_chunk_of_a_bucket_is_counted(monkeypatch):
-    """Strings of more than 2 GB stay in several chunks, which a table of two chunks stands for."""
-    words = " ".join(f"c{i}" for i in range(60))
-    batch = lambda ids: pa.RecordBatch.from_arrays(
-        [pa.array(ids), pa.array(ids), pa.array([0] * len(ids), pa.int32()), pa.array([7] * len(ids)), pa.array([words] * len(ids))],
-        names=["at", "text_key", "start", "key", "words"])
+@pytest.mark.parametrize("copies", [2, 200])
+def test_repeated_rows_send_their_strings_once(spark, monkeypatch, tmp_path, copies):
+    ship_package(spark)
+    log, send = str(tmp_path), substring._send
+
+    def counted(batches):
+        import uuid
 
-    class Large:
-        def __init__(self, table):
-            self.table = table
+        n = 0
+        for out in send(batches):
+            n += out.num_rows
+            yield out
+        open(f"{log}/{uuid.uuid4().hex}-{n}", "w").close()
 
-        def combine_chunks(self):
-            return self.table
+    monkeypatch.setattr(substring, "_send", counted)
+    passage = " ".join(f"p{i}" for i in range(150))
+    rows = [(1, "a b c " + passage)] * copies + [(2, passage + " tail x"), (3, "front " + passage + " y z")]
+    got = {r.doc_id: (r.n_words, r.n_removed) for r in substring.without_repeats(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (153, 0), 2: (152, 150), 3: (153, 150)}
+    sent = sum(int(f.name.split("-")[1]) for f in tmp_path.iterdir())
+    assert 0 < sent < 40
 
-    table = pa.Table.from_batches([batch([1, 2]), batch([3, 4, 5])])
-    monkeypatch.setattr(substring, "blocks", lambda *a: iter([Large(table)]))
-    found = [row for b in substring._count(iter([])) for row in b.to_pylist()]
-    assert found == [{"at": i, "text_key": i, "start": 0, "count": 11} for i in (2, 3, 4, 5)]
+
+def test_every_chunk_of_a_bucket_is_settled(monkeypatch):
+    """Strings of more than 2 GB stay in several chunks, which a table of two chunks stands for."""
+    words = " ".join(f"c{i}" for i in range(60))
+    batch = lambda ids, parts: pa.RecordBatch.from_arrays(
+        [*(pa.array([x] * len(ids)) for x in (7, parts)), pa.array(ids), pa.array(ids), pa.array(ids), pa.array([words] * len(ids))],
+        names=["bucket", "parts", "s1", "s2", "at", "words"])
+    for parts, want in ((1, [(i, 0, 11) for i in (2, 3, 4, 5)]), (2, [(i, k, 1) for i in (1, 2, 3, 4, 5) for k in range(11)])):
+        table = pa.Table.from_batches([batch([1, 2], parts), batch([3, 4, 5], parts)])
+        monkeypatch.setattr(substring, "blocks", lambda *a: iter([table]))
+        found = [row for b in substring._settle(iter([])) for row in b.to_pylist()]
+        assert [(r["at"], r["first"], r["count"]) for r in found] == want and all((r["w1"] is None) == (parts == 1) for r in found)
 
 
 def test_quality_measures(docs, texts, spark):
