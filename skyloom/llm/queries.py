@@ -7,10 +7,11 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm import fingerprints, licenses, mixing, near_dedup, packing, quality, sharding, substring, token_files, toxicity
+from skyloom.llm import fingerprints, licenses, mixing, near_dedup, packing, pieces, quality, sharding, substring, token_files, toxicity
 from skyloom.session import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,5 +34,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_quality": lambda s, d: quality.quality_verdicts(table(s, d, "documents"), table(s, d, "labels")),
     "op9_near_dedup": lambda s, d: near_dedup.near_duplicates(table(s, d, "documents")),
     "op10_substring": lambda s, d: substring.without_repeats(table(s, d, "documents")),
+    "op11_sentence_pieces": lambda s, d: pieces.round_trips(table(s, d, "documents"), str(public_tokenizers.path(PIECES))),
 }
 ORACLE: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op7_licenses": licenses.ORACLE}
