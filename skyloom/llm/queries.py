@@ -7,7 +7,7 @@ from collections.abc import Callable
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from skyloom.llm import fingerprints, licenses, manifest, mixing, near_dedup, packing, pieces, quality, sharding, substring, token_files, toxicity
+from skyloom.llm import fingerprints, licenses, manifest, mixing, near_dedup, packing, phrases, pieces, quality, sharding, substring, token_files, toxicity
 from skyloom.session import ship_package
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -36,5 +36,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_substring": lambda s, d: substring.without_repeats(table(s, d, "documents")),
     "op11_sentence_pieces": lambda s, d: pieces.round_trips(table(s, d, "documents"), str(public_tokenizers.path(PIECES))),
     "op12_manifest": lambda s, d: manifest.manifest_proofs(table(s, d, "documents")),
+    "op13_phrases": lambda s, d: phrases.top_phrases(table(s, d, "documents")),
 }
-ORACLE: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op7_licenses": licenses.ORACLE, "op12_manifest": manifest.ORACLE}
+ORACLE: dict[str, str] = {"op1_mixing": mixing.ORACLE, "op7_licenses": licenses.ORACLE, "op12_manifest": manifest.ORACLE, "op13_phrases": phrases.ORACLE}
