@@ -16,7 +16,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-LOG_BITS = 26  # 8 MB
+LOG_BITS = 24  # 2 MB
 
 
 def bit_table(keys: DataFrame, key: Column, log_bits: int = LOG_BITS) -> np.ndarray:

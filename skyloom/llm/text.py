@@ -13,7 +13,8 @@ from dataclasses import dataclass
 import numpy as np
 import pyarrow as pa
 
-SLICE_BYTES = 1 << 20
+SLICE_BYTES = 1 << 19
+HASHED_BYTES = 1 << 17  # bytes of words hashed at once
 _U = np.uint64
 
 _IS_SPACE = np.zeros(256, bool)
@@ -85,10 +86,16 @@ def slices(column: pa.Array, limit: int = SLICE_BYTES) -> Iterator[tuple[int, in
         row = end
 
 
-def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False) -> Words:
+def lower_case(data: np.ndarray) -> np.ndarray:
+    """The bytes with A-Z as a-z."""
+    return _LOWER[data]
+
+
+def find_words(data: np.ndarray, offsets: np.ndarray, lower: bool = False, between: np.ndarray = _IS_SPACE) -> Words:
+    """Words of the texts; ``between`` marks the (ASCII) bytes that part them."""
     if lower:
-        data = _LOWER[data]
-    inside = ~_IS_SPACE[data]
+        data = lower_case(data)
+    inside = ~between[data]
     starts_here, ends_here = inside.copy(), inside.copy()
     if len(data):
         starts_here[1:] &= ~inside[:-1]
@@ -110,7 +117,7 @@ def word_hashes(words: Words, pair: bool = False) -> np.ndarray | tuple[np.ndarr
     a = 0
     while a < len(lengths):
         done = int(upto[a - 1]) if a else 0
-        b = max(a + 1, int(np.searchsorted(upto, done + SLICE_BYTES, "right")))
+        b = max(a + 1, int(np.searchsorted(upto, done + HASHED_BYTES, "right")))
         sizes = lengths[a:b]
         before = upto[a:b] - sizes - done
         at = np.arange(int(upto[b - 1]) - done) - np.repeat(before, sizes)

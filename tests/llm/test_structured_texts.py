@@ -49,7 +49,7 @@ def test_long_words_are_hashed_in_stretches(monkeypatch):
     data = " ".join([W1, "a", W2, "bc", X1] * 3).encode()
     words = text.find_words(np.frombuffer(data, np.uint8), np.array([0, len(data)]))
     whole = text.word_hashes(words, pair=True)
-    monkeypatch.setattr(text, "SLICE_BYTES", 1500)
+    monkeypatch.setattr(text, "HASHED_BYTES", 1500)
     assert all((a == b).all() for a, b in zip(whole, text.word_hashes(words, pair=True)))
 
 
