@@ -7,11 +7,12 @@ sketched by ``PERMUTATIONS`` MinHash values over their two-word shingles, each a
 with a probability below (1 - 0.19)^64 = 2e-6. Windows that share a band with a template are verified by the exact
 share of the template's shingles they hold.
 
-A band can only agree on a shingle that both have, so windows without any shingle of a template are
-not sketched at all; that leaves nothing out.
+A window that lacks more than m of a template's shingles cannot match, so it has to hold one of any m + 1 of them: only
+windows around the longest m + 1 (which are rare in other texts) are sketched; that leaves nothing out.
 
 Defined cases: null and empty texts and texts of one word match nothing; templates of one word are refused; rows
-that share a doc_id are matched text by text; ties take the first window. Extra columns are left alone.
+that share a doc_id are matched text by text, equal rows count once; a text of any length is searched whole, cut into
+its windows where it lies; ties take the first window; an empty table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations
@@ -56,9 +57,8 @@ def shingles(words: Column) -> Column:
     return F.array_distinct(word_pairs(words))
 
 
-def bands(pairs: Column) -> Column:
-    """The smallest value of the shingles under each permutation, with the permutation's number."""
-    hashes = F.transform(pairs, lambda p: F.xxhash64(p))
+def bands(hashes: Column) -> Column:
+    """The smallest value of the shingles' hashes under each permutation, with the permutation's number."""
 
     def lowest(number: int) -> Column:
         return F.array_min(F.transform(hashes, lambda h: F.xxhash64(h, F.lit(number))))
@@ -66,6 +66,12 @@ def bands(pairs: Column) -> Column:
     return F.array(*[F.struct(F.lit(i).alias("band"), lowest(i).alias("low")) for i in range(PERMUTATIONS)])
 
 
+def needed_shingles(held: list[str], containment: float) -> list[str]:
+    """Shingles of which a window with enough of ``held`` has one at least: the longest of them."""
+    enough = next(c for c in range(len(held) + 1) if c / len(held) >= containment)
+    return sorted(held, key=lambda pair: (-len(pair), pair))[:len(held) - enough + 1]
+
+
 def license_matches(docs: DataFrame, templates: DataFrame, containment: float = CONTAINMENT) -> DataFrame:
     """doc_id, template, containment, first_word, n_windows per text and template it holds.
 
@@ -77,31 +83,40 @@ def license_matches(docs: DataFrame, templates: DataFrame, containment: float =
     listed = known.collect()
     if any(r.n < 2 for r in listed):
         raise ValueError("a template needs two words at least")
-    reaches = sorted({r.reach for r in listed})
-    seen = sorted({pair for r in listed for pair in r.held})
+    if containment <= 0:
+        raise ValueError("containment must be above 0")
+    wanted: dict[int, set[str]] = {}
+    for r in listed:
+        wanted.setdefault(r.reach, set()).update(needed_shingles(r.held, containment))
+    seen = sorted(set().union(*wanted.values()))
 
     text = F.col("text").cast("string")
     worded = docs.select(F.col("doc_id"), F.xxhash64(text).alias("_key"), text_words(text).alias("words"))
-    # two words are put together only where the first one begins a shingle of a template
+    # two words are put together only where the first one begins a shingle that is looked for
     begins = sorted({pair.split(" ")[0] for pair in seen})
     words = F.col("words")
-    known_pair = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.when(a.isin(begins), F.concat_ws(" ", a, b).isin(seen)))
-    places = F.filter(F.transform(known_pair, lambda hit, i: F.when(hit, i)), lambda p: p.isNotNull())
+    pair = F.zip_with(words, F.slice(words, 2, F.size(words)), lambda a, b: F.when(a.isin(begins), F.concat_ws(" ", a, b)))
+    places = F.filter(F.transform(pair, lambda p, i: F.when(p.isin(seen), F.struct(p.alias("pair"), i.alias("at")))), lambda p: p.isNotNull())
     hit = worded.withColumn("places", places)
 
     def windows_around(reach: int) -> Column:
-        """Where the windows begin that hold a place: there and one step earlier."""
-        step = F.transform("places", lambda p: F.floor(p / F.lit(reach)))
-        both = F.concat(step, F.transform(step, lambda k: F.greatest(k - 1, F.lit(0))))
-        return F.transform(F.array_distinct(both), lambda k: k * reach)
-
-    starts = F.array(*[F.struct(F.lit(r).alias("reach"), windows_around(r).alias("starts")) for r in reaches])
-    windows = hit.select("doc_id", "_key", "words", F.explode(starts).alias("s")).select("doc_id", "_key", "words", "s.reach", F.explode("s.starts").alias("first_word"))
-    part = F.slice("words", (F.col("first_word") + 1).cast("int"), F.col("reach") * 2)
-    windows = windows.select("doc_id", "_key", "reach", "first_word", part.alias("part")).select("*", shingles(F.col("part")).alias("pairs")).drop("part")
-    sketched = windows.select("*", F.explode(bands(F.col("pairs"))).alias("b")).select("doc_id", "_key", "reach", "first_word", "pairs", "b.*")
-    wanted = known.select("template", "reach", F.explode(bands(F.col("held"))).alias("b")).select("template", "reach", "b.*")
-    met = sketched.join(wanted, ["reach", "band", "low"]).groupBy("doc_id", "_key", "reach", "first_word", "template").agg(F.first("pairs").alias("pairs"))
+        """The windows that hold a place: from there and from one step earlier, with their words."""
+        mine = F.filter("places", lambda p: p["pair"].isin(sorted(wanted[reach])))
+        step = F.transform(mine, lambda p: F.floor(p["at"] / F.lit(reach)))
+        both = F.array_distinct(F.concat(step, F.transform(step, lambda k: F.greatest(k - 1, F.lit(0)))))
+        return F.transform(both, lambda k: F.struct(F.lit(reach).alias("reach"), (k * reach).alias("first_word"),
+                                                    F.slice(words, (k * reach + 1).cast("int"), F.lit(reach * 2)).alias("part")))
+
+    windows = hit.select("doc_id", "_key", F.explode(F.flatten(F.array(*[windows_around(r) for r in sorted(wanted)]))).alias("w"))
+    windows = windows.select("doc_id", "_key", "w.reach", "w.first_word", shingles(F.col("w.part")).alias("pairs"))
+    windows = windows.withColumn("id", F.struct("doc_id", "_key", "reach", "first_word")).drop("doc_id", "_key", "first_word")
+    windows = store(windows.withColumn("hashes", F.transform("pairs", lambda p: F.xxhash64(p))))
+    sketched = windows.select("id", "reach", F.explode(bands(F.col("hashes"))).alias("b")).select("id", "reach", "b.*")
+    templates = known.withColumn("hashes", F.transform("held", lambda p: F.xxhash64(p)))
+    templates = templates.select("template", "reach", F.explode(bands(F.col("hashes"))).alias("b")).select("template", "reach", "b.*")
+    met = sketched.join(templates, ["reach", "band", "low"]).select("id", "template").distinct()
+    # the shingles themselves are fetched only for windows that met a template
+    met = met.join(windows.select("id", "pairs"), "id").select("id.doc_id", "id._key", "id.first_word", "template", "pairs")
     checked = met.join(known.select("template", "held"), "template")
     share = F.size(F.array_intersect("pairs", "held")) / F.size("held")
     checked = checked.withColumn("containment", share).filter(F.col("containment") >= containment)
