@@ -7,6 +7,13 @@ however many points it holds. Two cells are compared by the boxes around their
 points: farthest corners within ``eps`` means linked, nearest corners beyond it
 means not linked. What stays open is split into smaller cells and compared again,
 but only while the two sides are not already connected.
+
+With larger core sizes the core points are found first. A cell with enough points has
+only core points; the others hold fewer than the core size each. Their points count
+the cells around them by their boxes, which settles most of them, and only those still
+open count points: a cell of any size meets a bounded number of points, one by one.
+Clusters are the components of the core points; a point that is not core joins the
+nearest core point within ``eps``.
 """
 
 from __future__ import annotations
@@ -111,12 +118,21 @@ def _star(pairs: DataFrame, large: bool) -> DataFrame:
     return _canonical(_with_low(pairs).select(ends.alias("src"), F.col("low").alias("dst")))
 
 
-def _candidate_cells(cells: DataFrame) -> DataFrame:
-    """Pairs of neighbouring cells, each once; every cell has at most 62 partners on the list."""
+def _candidate_cells(cells: DataFrame, side: float) -> DataFrame:
+    """Pairs of neighbouring cells, each once; only cells that the unit sphere passes through are looked for."""
     steps = [(i, j, k) for i in range(-2, 3) for j in range(-2, 3) for k in range(-2, 3) if (i, j, k) > (0, 0, 0)]
-    offsets = F.array(*[F.struct(*[F.lit(v).alias(c) for v, c in zip(s, _CELL)]) for s in steps])
-    probe = cells.withColumn("_o", F.explode(offsets))
-    probe = probe.withColumns({f"t{c}": F.col(c) + F.col(f"_o.{c}") for c in _CELL}).drop("_o").alias("a")
+    targets = F.array(*[F.struct(*[(F.col(c) + v).alias(f"t{c}") for v, c in zip(s, _CELL)]) for s in steps])
+
+    def on_sphere(target: Column) -> Column:
+        low, high = F.lit(0.0), F.lit(0.0)
+        for c in _CELL:
+            lo, hi = target[f"t{c}"] * side, (target[f"t{c}"] + 1) * side
+            low = low + F.when(lo > 0, lo * lo).when(hi < 0, hi * hi).otherwise(0.0)
+            high = high + F.greatest(lo * lo, hi * hi)
+        return (low <= 1 + 1e-9) & (high >= 1 - 1e-9)
+
+    probe = cells.withColumn("_t", F.explode(F.filter(targets, on_sphere)))
+    probe = probe.select(*cells.columns, "_t.*").alias("a")
     cond = reduce(lambda p, q: p & q, [F.col(f"a.t{c}") == F.col(f"b.{c}") for c in _CELL])
     return probe.join(cells.alias("b"), cond)
 
@@ -129,21 +145,30 @@ def _judge(pairs: DataFrame, eps2: float, *keep: Column) -> DataFrame:
     )
 
 
-def link_positions(points: DataFrame, eps_deg: float) -> DataFrame:
-    """(id, root) for the connected components of positions ``(id, ra, dec)`` within ``eps_deg``.
-
-    Points alone in their component are left out. ``points`` is read several times:
-    store it first if it is costly to compute.
-    """
+def _reach(eps_deg: float) -> tuple[float, float]:
+    """(squared chord of ``eps_deg``, side of a cell whose diagonal is shorter than that)."""
     chord = 2 * sin(radians(eps_deg) / 2)
-    eps2 = chord * chord * (1 + 1e-12)
-    side = chord / sqrt(3.0) * (1 - 1e-9)
+    return chord * chord * (1 + 1e-12), chord / sqrt(3.0) * (1 - 1e-9)
+
+
+def _placed(points: DataFrame, side: float) -> DataFrame:
+    """id, x, y, z and the cell of each position."""
     vec = dict(zip(_AXES, unit_vector(F.col("ra"), F.col("dec"))))
     placed = points.select("id", "ra", "dec").withColumns(vec)
-    placed = placed.withColumns({c: F.floor(F.col(a) / side) for c, a in zip(_CELL, _AXES)}).drop("ra", "dec")
+    return placed.withColumns({c: F.floor(F.col(a) / side) for c, a in zip(_CELL, _AXES)}).drop("ra", "dec")
+
+
+def link_positions(points: DataFrame, eps_deg: float, singles: bool = False) -> DataFrame:
+    """(id, root) for the connected components of positions ``(id, ra, dec)`` within ``eps_deg``.
+
+    Points alone in their component are left out unless ``singles``. ``points`` is read
+    several times: store it first if it is costly to compute.
+    """
+    eps2, side = _reach(eps_deg)
+    placed = _placed(points, side)
     cells = store(_boxes(placed, list(_CELL)))
     ends = F.col("a.rep").alias("pa"), F.col("b.rep").alias("pb")
-    judged = store(_judge(_candidate_cells(cells), eps2, *ends))
+    judged = store(_judge(_candidate_cells(cells, side), eps2, *ends))
     roots = connected_components(judged.filter("linked").select(F.col("pa").alias("src"), F.col("pb").alias("dst")))
     level = _still_apart(judged.filter(~F.col("linked")).drop("linked"), roots)
     level = store(level.withColumns({"a_path": F.lit(""), "b_path": F.lit("")}))
@@ -152,6 +177,8 @@ def link_positions(points: DataFrame, eps_deg: float) -> DataFrame:
         roots = _refine(members.withColumn("path", F.lit("")), level, roots, eps2, side)
     labelled = members.select("id", "cell").join(roots.withColumnRenamed("node", "cell"), ["cell"], "left")
     labelled = labelled.select("id", F.coalesce("root", "cell").alias("root"))
+    if singles:
+        return labelled
     # a component has company if it has two cells, or one cell with two points
     sizes = cells.select(F.col("rep").alias("node"), "n").join(roots, "node", "left")
     sizes = sizes.groupBy(F.coalesce("root", "node").alias("root")).agg(F.sum("n").alias("n")).filter("n >= 2")
@@ -210,18 +237,91 @@ def _refine(members: DataFrame, level: DataFrame, roots: DataFrame, eps2: float,
     raise RuntimeError("positions could not be told apart")
 
 
+def _near_cells(cells: DataFrame, side: float, eps2: float) -> DataFrame:
+    """Cells with each cell around them that may hold a point within reach, themselves included.
+
+    Columns: the cell, and of the other one its cell ``o*``, its box and its size ``n``.
+    """
+    near, _ = _box_distances("a", "b")
+    pairs = _candidate_cells(cells, side).filter(near <= eps2)
+    box = [f"{a}{i}" for a in _AXES for i in (0, 1)]
+
+    def view(this: str, other: str) -> DataFrame:
+        return pairs.select(*[F.col(f"{this}.{c}") for c in _CELL], *[F.col(f"{other}.{c}").alias(f"o{c}") for c in _CELL],
+                            *[F.col(f"{other}.{c}") for c in (*box, "n")])
+
+    alone = cells.select(*_CELL, *[F.col(c).alias(f"o{c}") for c in _CELL], *box, "n")
+    return alone.unionByName(view("a", "b")).unionByName(view("b", "a"))
+
+
+def _point_box_distances() -> tuple[Column, Column]:
+    """Squared nearest and farthest distance of the point ``x, y, z`` to the box beside it."""
+    near, far = F.lit(0.0), F.lit(0.0)
+    for a in _AXES:
+        gap = F.greatest(F.lit(0.0), F.col(f"{a}0") - F.col(a), F.col(a) - F.col(f"{a}1"))
+        span = F.greatest(F.col(f"{a}1") - F.col(a), F.col(a) - F.col(f"{a}0"))
+        near, far = near + gap * gap, far + span * span
+    return near, far
+
+
+def _points_around(pairs: DataFrame, placed: DataFrame, eps2: float) -> DataFrame:
+    """``pairs`` (id, x, y, z, a cell ``o*``) with each point ``pid`` of that cell within reach, and the squared gap."""
+    other = placed.select(F.col("id").alias("pid"), *[F.col(a).alias(f"p{a}") for a in _AXES], *[F.col(c).alias(f"o{c}") for c in _CELL])
+    gap = sum(((F.col(a) - F.col(f"p{a}")) * (F.col(a) - F.col(f"p{a}")) for a in _AXES), F.lit(0.0))
+    return pairs.join(other, [f"o{c}" for c in _CELL]).withColumn("gap", gap).filter(F.col("gap") <= eps2)
+
+
+def core_points(placed: DataFrame, cells: DataFrame, near: DataFrame, eps2: float, min_samples: int) -> DataFrame:
+    """Ids of the points with ``min_samples`` points within reach, themselves included.
+
+    A point outside a full cell belongs to a cell of fewer than ``min_samples``, so a cell of
+    any size is compared with a bounded number of points.
+    """
+    full = placed.join(cells.filter(F.col("n") >= min_samples).select(*_CELL), list(_CELL), "left_semi").select("id")
+    sparse = placed.join(cells.filter(F.col("n") < min_samples).select(*_CELL), list(_CELL), "left_semi")
+    closest, farthest = _point_box_distances()
+    around = sparse.join(near, list(_CELL)).filter(closest <= eps2).withColumn("inside", farthest <= eps2)
+    around = store(around.select("id", *_AXES, *[f"o{c}" for c in _CELL], "n", "inside"))
+    counts = store(around.groupBy("id").agg(F.sum(F.when(F.col("inside"), F.col("n")).otherwise(0)).alias("sure"), F.sum("n").alias("most")))
+    settled = counts.filter(F.col("sure") >= min_samples).select("id")
+    open_ids = counts.filter((F.col("sure") < min_samples) & (F.col("most") >= min_samples)).select("id", "sure")
+    asked = around.filter(~F.col("inside")).join(open_ids.select("id"), "id", "left_semi")
+    found = _points_around(asked, placed, eps2).groupBy("id").agg(F.count(F.lit(1)).alias("found"))
+    counted = open_ids.join(found, "id").filter(F.col("sure") + F.col("found") >= min_samples).select("id")
+    return full.unionByName(settled).unionByName(counted)
+
+
+def _density_labels(points: DataFrame, eps_deg: float, min_samples: int) -> DataFrame:
+    """(id, root) of core points and of the points that they reach; ``root`` is the smallest core id of the cluster."""
+    eps2, side = _reach(eps_deg)
+    placed = store(_placed(points, side))
+    cells = store(_boxes(placed, list(_CELL)))
+    near = store(_near_cells(cells, side, eps2))
+    core_ids = store(core_points(placed, cells, near, eps2, min_samples))
+    core = store(link_positions(points.join(core_ids, "id", "left_semi"), eps_deg, singles=True))
+    rest = placed.join(core_ids, "id", "left_anti")
+    closest, _ = _point_box_distances()
+    asked = rest.join(near, list(_CELL)).filter(closest <= eps2).select("id", *_AXES, *[f"o{c}" for c in _CELL])
+    nearest = _points_around(asked, placed.join(core_ids, "id", "left_semi"), eps2)
+    nearest = nearest.groupBy("id").agg(F.min(F.struct("gap", "pid")).alias("m")).select(F.col("id").alias("border"), F.col("m.pid").alias("id"))
+    return core.unionByName(nearest.join(core, "id").select(F.col("border").alias("id"), "root"))
+
+
 def cluster_dbscan(points: DataFrame, eps_deg: float, min_samples: int = 2) -> DataFrame:
     """(id, cluster) of positions ``(id, ra, dec)``; noise is left out.
 
-    ``eps_deg`` is inclusive. Clusters are numbered from 0 in the order of their
-    smallest member id. ``min_samples`` counts the point itself; only 2 is used by
-    the survey, where every linked point is a core point.
+    ``eps_deg`` is inclusive; ``min_samples`` counts the point itself. Clusters are numbered
+    from 0 in the order of their smallest core point. A point within reach of the core points
+    of several clusters joins the nearest of them, the smallest id on ties. With the survey's
+    core size of 2 every linked point is a core point.
     """
-    if min_samples != 2:
-        raise ValueError("only min_samples=2 is supported: clusters are connected components")
-    linked = store(link_positions(points, eps_deg))
-    order = linked.groupBy("root").agg(F.min("id").alias("first_id"))
-    numbered = number_rows(order, "first_id", name="cluster").select("root", "cluster")
+    if min_samples < 1:
+        raise ValueError("min_samples must be at least 1")
+    if min_samples <= 2:
+        linked = store(link_positions(points, eps_deg, singles=min_samples == 1))
+    else:
+        linked = store(_density_labels(points, eps_deg, min_samples))
+    numbered = number_rows(linked.select("root").distinct(), "root", name="cluster").select("root", "cluster")
     return linked.join(numbered, ["root"]).select("id", "cluster")
 
 

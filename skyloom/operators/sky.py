@@ -8,14 +8,13 @@ skew join, which goes by the measured sizes of the shuffled partitions.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom import constants as K
 from skyloom.functions.geometry import (
     bucket_at, edge_normals, inside_edges, sky_cell, sky_distance, zone_buckets, zone_of,
 )
-from skyloom.operators.skew import rank_in_group
 
 _CELL = ["_zone", "_bucket"]
 
@@ -154,7 +153,8 @@ def neighbors_ranked(
         sep="_sep", **cone,
     )
     pairs = pairs.withColumn("sep", F.col("_sep") * 3600).withColumnRenamed("s_sid", "sid").drop("s_ra", "s_dec", "_sep")
-    return rank_in_group(pairs, ["sid"], "sep", catalog_id)
+    # the sky bounds how many neighbours a cap of this size holds
+    return pairs.withColumn("rank", F.rank().over(Window.partitionBy("sid").orderBy("sep")))
 
 
 def catalog_scan(

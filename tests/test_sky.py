@@ -167,3 +167,49 @@ def test_hot_cells_next_to_each_other_stay_apart(spark, monkeypatch):
 def test_long_chain_of_components(spark):
     edges = spark.range(400).select(F.col("id").alias("src"), (F.col("id") + 1).alias("dst"))
     assert C.connected_components(edges).filter("root <> 0").count() == 0
+
+
+def brute_dbscan(dist, eps, m):
+    """(clusters from the cores' components, borders to the nearest core), by the definition."""
+    near = dist <= eps
+    core = near.sum(axis=1) >= m
+    ids = np.flatnonzero(core)
+    roots = union_find(near[np.ix_(ids, ids)]) if len(ids) else {}
+    # union_find leaves single points out
+    label = {int(i): int(ids[roots.get(k, k)]) for k, i in enumerate(ids)}
+    for i in np.flatnonzero(~core & near[:, core].any(axis=1)):
+        reach = ids[near[i, ids]]
+        label[int(i)] = label[int(reach[np.lexsort((reach, dist[i, reach]))[0]])]
+    order = {r: k for k, r in enumerate(sorted(set(label.values())))}
+    return {i: order[r] for i, r in label.items()}
+
+
+def density_points(seed):
+    rng = np.random.default_rng(seed)
+    rows = [(rng.uniform(0, 4), rng.uniform(-2, 2)) for _ in range(150)]
+    # a crowd in one cell with thin surroundings, and a chain whose ends are border points
+    rows += [(1 + rng.normal(0, 0.004), 0.5 + rng.normal(0, 0.004)) for _ in range(80)]
+    rows += [(1 + 0.1 * np.cos(t), 0.5 + 0.1 * np.sin(t)) for t in rng.uniform(0, 6.28, 12)]
+    rows += [(3 + 0.08 * k, 89.2 + 0.0001 * k) for k in range(40)] + [(359.95 + 0.02 * k, 1.0) for k in range(8)]
+    return rows
+
+
+@pytest.mark.parametrize("m", [1, 2, 3, 4, 6, 10])
+def test_density_clusters_equal_the_definition(spark, m):
+    rows = density_points(m)
+    want = brute_dbscan(distances(rows), 0.1, m)
+    assert {r.id: r.cluster for r in C.cluster_dbscan(frame(spark, rows), 0.1, m).collect()} == want
+    assert m > 2 or C.cluster_dbscan(frame(spark, rows[:0]), 0.1, m).count() == 0
+
+
+def test_crowded_cell_is_counted_by_its_box(spark, monkeypatch):
+    """Points around a cell with a third of all points count its box; only points that its rim decides are compared."""
+    asked = []
+    around = C._points_around
+    monkeypatch.setattr(C, "_points_around", lambda pairs, *rest: asked.append(pairs.count()) or around(pairs, *rest))
+    rng = np.random.default_rng(5)
+    crowd = [(10 + rng.uniform(0, 1e-4), rng.uniform(0, 1e-4)) for _ in range(300)]
+    others = [(10 + rng.uniform(-0.05, 0.05), rng.uniform(-0.05, 0.05)) for _ in range(40)]
+    rows = crowd + others
+    got = {r.id: r.cluster for r in C.cluster_dbscan(frame(spark, rows), 0.1, 5).collect()}
+    assert got == brute_dbscan(distances(rows), 0.1, 5) and asked[0] < 40

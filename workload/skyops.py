@@ -126,6 +126,20 @@ def free_detections(spark, sf):
 add("cluster_dbscan", lambda s, d: cluster.cluster_dbscan(free_detections(s, d), 2 * ARCSEC),
     "SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM lab", CLUSTERS)
 
+# a core size of 4: core points by counting, their closure, and the nearest core point for the others
+DENSE = {
+    "wide": "SELECT id, ra, dec FROM v_det",
+    "wpairs": f"SELECT a.id AS i, b.id AS j, {hav('a.ra', 'a.dec', 'b.ra', 'b.dec')} AS sep FROM wide a JOIN wide b ON {near('a', 'b', '0.5e0')}",
+    "core": "SELECT i AS id FROM wpairs GROUP BY 1 HAVING count(*) >= 4",
+    "links": "SELECT i, j FROM wpairs WHERE i IN (SELECT id FROM core) AND j IN (SELECT id FROM core)",
+    "r_dense": "SELECT DISTINCT i, i AS r FROM links UNION SELECT p.j, t.r FROM r_dense t JOIN links p ON p.i = t.i",
+    "roots": "SELECT i AS id, min(r) AS root FROM r_dense GROUP BY 1",
+    "border": """SELECT i AS id, root FROM (SELECT i, j, row_number() OVER (PARTITION BY i ORDER BY sep, j) AS k FROM wpairs
+      WHERE i NOT IN (SELECT id FROM core) AND j IN (SELECT id FROM core)) b JOIN roots ON roots.id = b.j WHERE k = 1""",
+}
+add("cluster_dbscan_core", lambda s, d: cluster.cluster_dbscan(W.detections(s, d).select(*POS), 0.5, min_samples=4),
+    "SELECT id, dense_rank() OVER (ORDER BY root) - 1 AS cluster FROM (SELECT * FROM roots UNION ALL SELECT * FROM border) u", DENSE)
+
 
 def _components(spark, sf):
     """Suppliers and the parts they sell, as one graph."""
