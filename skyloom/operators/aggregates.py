@@ -9,7 +9,7 @@ from skyloom import constants as K
 from skyloom.functions.photometry import snr
 from skyloom.functions.times import jd_to_mjd
 from skyloom.operators.relational import KEY, interval_bins, new_bins
-from skyloom.operators.skew import collect_parts, exact_quantile, null_safe_join
+from skyloom.operators.skew import collect_parts, exact_quantile, median_and_deviation
 from skyloom.operators.sky import nearest_match
 
 
@@ -85,12 +85,9 @@ def seeing_estimate(
 def mad(
     df: DataFrame, keys: list[str], value: str, scale: float = 1.4826
 ) -> DataFrame:
-    """Median and scaled median absolute deviation per group."""
-    med = exact_quantile(df, keys, value, 0.5, "median")
-    dev = null_safe_join(df.select(*dict.fromkeys([*keys, value])), med, keys)
-    dev = dev.withColumn("_dev", F.abs(F.col(value) - F.col("median")))
-    spread = exact_quantile(dev, keys, "_dev", 0.5, "_mad")
-    return null_safe_join(med, spread, keys).withColumn("sigma", F.col("_mad") * scale).drop("_mad")
+    """Median and scaled median absolute deviation per group, from two scans."""
+    found = median_and_deviation(df, keys, value, "median", "_mad")
+    return found.withColumn("sigma", F.col("_mad") * scale).drop("_mad")
 
 
 def bit_or_flags(pixels: DataFrame, keys: list[str]) -> DataFrame:

@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 from skyloom.session import store
 
 ACCURACY = 10_000
+GRID = 2000
+GRID_ACCURACY = 20_000
 _POS_MASK = (1 << 33) - 1
 
 
@@ -151,6 +153,64 @@ def exact_quantile(df: DataFrame, keys: list[str], value: str, q: float = 0.5, n
     return picked.select(*keys, (low + (high - low) * share).alias(name))
 
 
+def median_and_deviation(df: DataFrame, keys: list[str], value: str, median: str = "median", deviation: str = "deviation") -> DataFrame:
+    """Exact median and median absolute deviation per key, ignoring null and NaN; ``df`` is read twice.
+
+    The first scan sketches each key's distribution as ``GRID`` approximate quantiles. They
+    bracket the median, and, since the deviations of the grid from the middle of that bracket
+    are a sketch of the deviations, the median deviation as well. The second scan counts the
+    values in the three brackets one by one (the median's, and the median less and plus the
+    deviation's) and each gap between them as a whole. Both medians follow from these counts.
+    """
+    data = df.select(*keys, F.col(value).cast("double").alias("_v")).filter("_v is not null and not isnan(_v)")
+    grid = F.array(*[F.lit(j / GRID) for j in range(GRID + 1)])
+    sketch = data.groupBy(*keys).agg(F.count(F.lit(1)).alias("_n"), F.percentile_approx("_v", grid, GRID_ACCURACY).alias("_q"))
+    # ranks off the grid, ranks that the sketch may be off, and whole rows
+    slack = F.lit(2.0 / GRID + 4.0 / GRID_ACCURACY) + F.lit(3.0) / F.col("_n")
+    low, high = F.floor((F.lit(0.5) - slack) * GRID).cast("int"), F.ceil((F.lit(0.5) + slack) * GRID).cast("int")
+    open_end = F.lit(float("inf"))
+
+    def bracket(values: Column) -> tuple[Column, Column]:
+        return F.when(low < 0, -open_end).otherwise(F.get(values, low)), F.when(high > GRID, open_end).otherwise(F.get(values, high))
+
+    lo, hi = bracket(F.col("_q"))
+    sketch = sketch.withColumns({"_lo": lo, "_hi": hi, "_mid": F.get(F.col("_q"), F.lit(GRID // 2))})
+    near, far = bracket(F.array_sort(F.transform("_q", lambda q: F.abs(q - F.col("_mid")))))
+    width = F.greatest(F.col("_hi") - F.col("_mid"), F.col("_mid") - F.col("_lo"))
+    sketch = sketch.withColumns({"_near": near - width, "_far": far + width})
+    # one row per key
+    brackets = store(sketch.select(*keys, "_n", "_lo", "_hi", "_near", "_far"))
+    v = F.col("_v")
+    left, right = (F.col("_lo") - F.col("_far"), F.col("_hi") - F.col("_near")), (F.col("_lo") + F.col("_near"), F.col("_hi") + F.col("_far"))
+    counted = v.between(F.col("_lo"), F.col("_hi")) | v.between(*left) | v.between(*right)
+    gap = F.when(v < left[0], -2).when(v < F.col("_lo"), -1).when(v < right[0], 1).otherwise(2)
+    placed = null_safe_join(data, brackets, keys)
+    entries = placed.groupBy(*keys, "_n", "_near", "_far", F.when(counted, 0).otherwise(gap).alias("_gap"), F.when(counted, v).alias("_inner")).agg(
+        F.count(F.lit(1)).alias("_count"), F.min("_v").alias("_least"), F.max("_v").alias("_most"))
+    whole = Window.partitionBy(*keys)
+    at = F.lit(0.5) * (F.col("_n") - 1)
+
+    def middle(upto: Column, shown: Column, over=None) -> Column:
+        """The mean of the shown values of the middle ranks, interpolated as ``percentile`` does."""
+        def held(rank: Column) -> Column:
+            found = F.max(F.when((rank <= upto) & (rank > upto - F.col("_count")), shown))
+            return found.over(over) if over is not None else found
+
+        first, last = held(F.floor(at) + 1), held(F.ceil(at) + 1)
+        return first + (last - first) * (at - F.floor(at))
+
+    upto = F.sum("_count").over(whole.orderBy("_least").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = entries.withColumn("_upto", upto)
+    ranked = ranked.withColumn(median, middle(F.col("_upto"), F.when(F.col("_gap") < 0, F.col("_most")).otherwise(F.col("_least")), whole))
+    ends = F.abs(F.col("_least") - F.col(median)), F.abs(F.col("_most") - F.col(median))
+    # the inner gaps lie below the bracket of the deviation, the outer ones above it
+    ranked = ranked.withColumn("_dev", F.when(F.abs("_gap") == 2, F.least(*ends)).otherwise(F.greatest(*ends)))
+    step = F.when(F.abs("_gap") == 1, 0).when(F.abs("_gap") == 2, 2).when(F.col("_dev") < F.col("_near"), 0).when(F.col("_dev") > F.col("_far"), 2).otherwise(1)
+    passed = F.sum("_count").over(whole.orderBy("_step", "_dev").rowsBetween(Window.unboundedPreceding, 0))
+    ranked = ranked.withColumn("_step", step).withColumn("_passed", passed)
+    return ranked.groupBy(*keys, median, "_n").agg(middle(F.col("_passed"), F.col("_dev")).alias(deviation)).drop("_n")
+
+
 def collect_parts(
     df: DataFrame, keys: list[str], order: list[str | Column], value: Column, size: int, name: str = "items"
 ) -> DataFrame:

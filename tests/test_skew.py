@@ -72,6 +72,37 @@ def test_quantiles_of_small_groups(spark, values, q):
     assert skew.exact_quantile(rows, ["k"], "v", q, "m").first().m == pytest.approx(np.quantile(values, q))
 
 
+def shapes(n, seed=0):
+    rng = np.random.default_rng(seed)
+    return {
+        "normal": rng.normal(100, 3, n), "long tail": rng.lognormal(0, 2, n), "ties": rng.integers(0, 5, n).astype(float),
+        "two heaps": np.where(rng.random(n) < 0.5, rng.normal(0, 1, n), rng.normal(1e6, 1, n)), "constant": np.full(n, 7.0),
+        "half constant": np.where(rng.random(n) < 0.55, 3.0, rng.normal(0, 50, n)), "signs": rng.choice([-1.0, 1.0], n), None: -rng.random(n),
+    }
+
+
+@pytest.mark.parametrize("n,grid", [(1, 2000), (2, 2000), (7, 2000), (500, 2000), (30_001, 2000), (3000, 20), (4000, 50)])
+def test_median_and_deviation(spark, n, grid, monkeypatch):
+    monkeypatch.setattr(skew, "GRID", grid)  # a coarse grid leaves wide gaps
+    groups = shapes(n, n)
+    rows = spark.createDataFrame([(i, k, float(v)) for k, vs in groups.items() for i, v in enumerate(vs)] + [(1, "normal", None), (2, "ties", float("nan"))], ROWS)
+    got = {r.k: (r.median, r.deviation) for r in skew.median_and_deviation(rows, ["k"], "v").collect()}
+    assert set(got) == set(groups)
+    for k, vs in groups.items():
+        m = np.median(vs)
+        assert got[k] == pytest.approx((m, np.median(np.abs(vs - m))), rel=1e-12, abs=1e-12), k
+
+
+def test_median_and_deviation_in_two_scans(spark):
+    rows = spark.range(1000).selectExpr("id", "cast(id % 3 as string) k", "cast(id * 7 % 101 as double) v")
+    rows = store(rows)
+    plan = skew.median_and_deviation(rows, ["k"], "v")._jdf.queryExecution().executedPlan().toString()
+    # the first scan has written its brackets when the plan of the second is made
+    scans = [line for line in plan.splitlines() if "FileScan" in line]
+    assert len([s for s in scans if "id#" in s or ",v#" in s or "v#" in s]) == 1 and len(scans) == 2
+    assert plan.count("Exchange hashpartitioning") <= 3
+
+
 def test_parts_are_whole_and_bounded(hot):
     parts = skew.collect_parts(hot, ["k"], ["v", "id"], F.col("id"), 16, "ids")
     assert parts.filter(F.size("ids") > 16).count() == 0
