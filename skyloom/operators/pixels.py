@@ -1,7 +1,8 @@
 """Pixel-table operators (H1-H14). Pixels are rows ``(image_id, x, y, value[, rms, mask])``, 0-based.
 
 Boxes around positions are read through strips: short runs of one image row. A
-position meets its box as a few strips instead of one row per pixel.
+position meets its box as a few strips instead of one row per pixel. Whole images
+meet as tiles: squares of pixels packed into one array each, before they are shuffled.
 """
 
 from __future__ import annotations
@@ -19,6 +20,7 @@ from skyloom.session import store
 
 STRIP = 64
 APERTURE_STRIP = 16
+TILE = 32
 
 
 def bad_pixel(mask: Column) -> Column:
@@ -57,14 +59,52 @@ def false_weight(pixels: DataFrame, border: int = K.MASK_BORDER, science: bool =
     return sized.withColumn("false_weight", (good & inside).cast("int")).drop("_mx", "_my")
 
 
+def tiles(pixels: DataFrame, keys: list[str], cols: list[str], size: int = TILE) -> DataFrame:
+    """One row per image and tile: ``keys``, ``_ty``, ``_tx`` and ``_px``, an array with a place for every pixel of the tile.
+
+    A pixel is a struct of ``cols``, a missing one is null. Pixels are packed before the
+    shuffle, which moves arrays. A pixel may be listed once per image.
+    """
+    place = F.pmod("y", F.lit(size)) * size + F.pmod("x", F.lit(size))
+    packed = pixels.groupBy(*keys, F.floor(F.col("y") / size).alias("_ty"), F.floor(F.col("x") / size).alias("_tx")).agg(
+        F.array_sort(F.collect_list(F.struct(place.cast("int").alias("at"), F.struct(*[F.col(c) for c in cols]).alias("p")))).alias("_run"))
+    kind = ", ".join(f"`{c}`: {pixels.schema[c].dataType.simpleString()}" for c in cols)
+    run, n = F.col("_run"), F.size("_run")
+
+    def gap(count: Column) -> Column:
+        return F.array_repeat(F.lit(None).cast(f"struct<{kind}>"), count.cast("int"))
+
+    following = lambda i: F.when(i + 1 < n, F.get(run, i + 1)["at"]).otherwise(F.lit(size * size))
+    spread = F.flatten(F.transform(run, lambda e, i: F.concat(F.array(e["p"]), gap(following(i) - e["at"] - 1))))
+    full = F.when(n == size * size, F.transform(run, lambda e: e["p"])).otherwise(F.concat(gap(F.get(run, F.lit(0))["at"]), spread))
+    return packed.select(*keys, "_ty", "_tx", full.alias("_px"))
+
+
+def paired_pixels(sci: DataFrame, ref: DataFrame, ref_key: str, cols: list[str], size: int = TILE) -> DataFrame:
+    """The pixels of ``sci`` with ``_ref``, a struct of ``cols`` of the same pixel of their reference; tiles are joined."""
+    keys = ["image_id", ref_key]
+    own = [c for c in sci.columns if c not in (*keys, "x", "y")]
+    a = tiles(sci, keys, own, size)
+    b = tiles(ref, ["image_id"], cols, size).select(F.col("image_id").alias(ref_key), "_ty", "_tx", F.col("_px").alias("_ref_px"))
+    both = F.zip_with("_px", "_ref_px", lambda p, q: F.when(p.isNotNull() & q.isNotNull(), F.struct(p.alias("p"), q.alias("q"))))
+    found = a.join(b, [ref_key, "_ty", "_tx"]).select(*keys, "_ty", "_tx", F.posexplode(both).alias("_at", "_pair")).filter("_pair is not null")
+    place = {"x": F.col("_tx") * size + F.col("_at") % size, "y": F.col("_ty") * size + F.floor(F.col("_at") / size)}
+
+    def column(c: str) -> Column:
+        if c in place:
+            return place[c].cast(sci.schema[c].dataType).alias(c)
+        return F.col(c) if c in keys else F.col(f"_pair.p.`{c}`").alias(c)
+
+    return found.select(*[column(c) for c in sci.columns], F.col("_pair.q").alias("_ref"))
+
+
 def mask_union(sci: DataFrame, ref: DataFrame, ref_key: str) -> DataFrame:
     """H5: OR of the science mask and the mask of its reference, pixel by pixel.
 
-    ``sci`` carries ``ref_key``, the id under which ``ref`` lists its pixels.
+    ``sci`` carries ``ref_key``, the id under which ``ref`` lists its pixels; both are joined as tiles.
     """
-    other = ref.select(F.col("image_id").alias(ref_key), "x", "y", F.col("mask").alias("_ref_mask"))
-    both = sci.join(other, [ref_key, "x", "y"])
-    return both.withColumn("mask", F.col("mask").bitwiseOR(F.col("_ref_mask"))).drop("_ref_mask")
+    both = paired_pixels(sci, ref, ref_key, ["mask"])
+    return both.withColumn("mask", F.col("mask").bitwiseOR(F.col("_ref.mask"))).drop("_ref")
 
 
 def flag_bit(mask: Column, where: Column, bit: int) -> Column:
@@ -125,16 +165,12 @@ def difference_image(sci: DataFrame, ref: DataFrame, ref_key: str, masked_value:
     """H8: aligned science minus reference; rms in quadrature, masks united.
 
     ``sci`` carries ``ref_key``. A difference equal to ``masked_value`` marks a pixel
-    that the subtraction masked.
+    that the subtraction masked. Both sides are joined as tiles.
     """
-    other = ref.select(
-        F.col("image_id").alias(ref_key), "x", "y",
-        *[F.col(c).alias(f"_ref_{c}") for c in ("value", "rms", "mask")],
-    )
-    both = sci.join(other, [ref_key, "x", "y"])
-    value = F.col("value") - F.col("_ref_value")
-    rms = F.sqrt(F.col("rms") * F.col("rms") + F.col("_ref_rms") * F.col("_ref_rms"))
-    mask = flag_bit(F.col("mask").bitwiseOR(F.col("_ref_mask")), value == masked_value, K.BIT_SUBTRACTION_MASKED)
+    both = paired_pixels(sci, ref, ref_key, ["value", "rms", "mask"])
+    value = F.col("value") - F.col("_ref.value")
+    rms = F.sqrt(F.col("rms") * F.col("rms") + F.col("_ref.rms") * F.col("_ref.rms"))
+    mask = flag_bit(F.col("mask").bitwiseOR(F.col("_ref.mask")), value == masked_value, K.BIT_SUBTRACTION_MASKED)
     return both.select(
         *[c for c in sci.columns if c not in ("value", "rms", "mask")],
         value.alias("value"), rms.alias("rms"), mask.alias("mask"),
