@@ -25,9 +25,9 @@ def bit_table(keys: DataFrame, key: Column, log_bits: int = LOG_BITS) -> np.ndar
     slots = keys.select(slot.alias("slot"))
     bit = F.expr("shiftleft(1L, cast(slot & 63 as int))")
     words = slots.groupBy(F.shiftright("slot", 6).alias("word")).agg(F.bit_or(bit).alias("bits"))
-    found = words.toPandas()  # at most one row per word of the table
+    found = words.toArrow()  # at most one row per word of the table, as columns
     table = np.zeros(1 << (log_bits - 6), np.uint64)
-    table[found["word"].to_numpy(np.int64)] = found["bits"].to_numpy(np.int64).view(np.uint64)
+    table[found.column("word").to_numpy()] = found.column("bits").to_numpy().view(np.uint64)
     return table
 
 
