@@ -19,7 +19,7 @@ from skyloom.functions.geometry import (
 _CELL = ["_zone", "_bucket"]
 
 
-def _touched_cells(df: DataFrame, ra: str, dec: str, radius: float, h: float) -> DataFrame:
+def touched_cells(df: DataFrame, ra: str, dec: str, radius: float, h: float) -> DataFrame:
     """One copy of each row per cell that a cap of ``radius`` around it touches."""
     r = F.lit(radius * (1 + 1e-9) + 1e-12)  # a hair more, so that rounding never loses a cell
     zones = F.sequence(zone_of(F.col(dec) - r, h), zone_of(F.col(dec) + r, h))
@@ -59,7 +59,7 @@ def cone_join(
     ra_b, dec_b = (f"{b_prefix}{c}" for c in b_pos)
     cell = sky_cell(F.col(ra_a), F.col(dec_a), h)
     left = a.withColumns({"_zone": cell["zone"], "_bucket": cell["bucket"]})
-    right = _touched_cells(right, ra_b, dec_b, radius_deg, h)
+    right = touched_cells(right, ra_b, dec_b, radius_deg, h)
     keys = list(_CELL)
     right = right.select([F.col(c).alias(f"_r{c}") if c in keys else F.col(c) for c in right.columns])
     distance = sky_distance(F.col(ra_a), F.col(dec_a), F.col(ra_b), F.col(dec_b))

@@ -4,9 +4,9 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from skyloom import constants as K
@@ -14,6 +14,7 @@ from skyloom.operators.filters import cut_conditions, rb_cut
 from skyloom.operators.sky import cone_join
 from skyloom.plans.association import associate
 from skyloom.session import store
+from skyloom.streaming.state import CellState, SentIds, cells_around, fold_state, last_batch, newest_rows, state_rows
 
 ALERT_SPAN = 1_000_000
 
@@ -79,74 +80,100 @@ def _run_id(spark: SparkSession, checkpoint: str) -> str:
     return spark.read.schema("id string").json(f"{checkpoint.rstrip('/')}/metadata").first()["id"]
 
 
-def _written(spark: SparkSession, folder: str) -> DataFrame | None:
-    """What is under ``folder``, or None if nothing was written yet."""
-    try:
-        return spark.read.option("basePath", folder).parquet(folder)
-    except AnalysisException as error:
-        if error.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
-            raise
-        return None
-
-
 def stream_alerts(
     alerts: DataFrame, out: str, checkpoint: str, build: Callable[[DataFrame], DataFrame] | None = None,
     span: int = ALERT_SPAN,
 ) -> StreamingQuery:
     """Every detection's alert once, across batches, restarts and new checkpoints.
 
-    ``build`` makes packets (P6) of a batch's new rows; ``candid`` is their key. Packets
-    are the sent list: they lie under the stream's id and batch number, so a repeated batch
-    replaces itself and a new checkpoint never touches what another one sent, and by
-    ranges of ``span`` ids, so a batch looks only at the ranges its own ids fall in.
+    ``build`` makes packets (P6) of a batch's new rows; ``candid`` is their key. Packets lie
+    under the stream's id and batch number, so a repeated batch replaces itself and a new
+    checkpoint never touches what another one sent. The sent ids lie beside them by ranges of
+    ``span`` ids: a batch looks only at the ranges its own ids fall in, and opens no packets.
     """
     def write(batch: DataFrame, number: int) -> None:
         spark, run = batch.sparkSession, _run_id(batch.sparkSession, checkpoint)
         part = F.floor(F.col("candid") / F.lit(span)).cast("long")
         rows = store(batch.dropDuplicates(["candid"]).withColumn("id_range", part))
-        sent = _written(spark, out)
-        if sent is not None:
-            ranges = [r[0] for r in rows.select("id_range").distinct().collect()]  # as many as a batch's ids span
-            others = sent.filter(F.col("id_range").isin(ranges) & ((F.col("run") != run) | (F.col("batch") != number)))
-            rows = rows.join(others.select("candid"), "candid", "left_anti")
+        ranges = [r[0] for r in rows.select("id_range").distinct().collect()]  # as many as a batch's ids span
+        sent = SentIds(spark, out)
+        others = sent.others(ranges, run, number)
+        if others is not None:
+            rows = store(rows.join(others, "candid", "left_anti"))
         packets = rows.drop("id_range") if build is None else build(rows.drop("id_range"))
         packets.withColumn("id_range", part).write.mode("overwrite").partitionBy("id_range").parquet(f"{out}/run={run}/batch={number}")
+        sent.add(rows, run, number)
 
     return alerts.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
 def stream_associations(
-    det: DataFrame, sources: DataFrame, out: str, checkpoint: str, lookback_days: int = 7, prefix: str = "N", **how
+    det: DataFrame, sources: DataFrame, out: str, checkpoint: str, lookback_days: int = 7, prefix: str = "N",
+    radius_deg: float = K.ASSOC_RADIUS_DEG, close_days: int | None = None, **how
 ) -> StreamingQuery:
-    """S3: P1 on every micro-batch, with sources and open detections carried on.
+    """S3: P1 on every micro-batch, with sources and open detections carried on by sky cells.
 
     A batch's detections and those still open are matched with the sources as the batch
     before left them; what is left is clustered into new sources. A source carries the signal
     to noise and id of its best detection of all batches and moves only to a better one (those
-    of the given sources may be in ``best_snr`` and ``best_id``). ``out`` gets
-    ``detections`` (those with a source), ``open`` and ``sources``, each under the stream's id
-    and batch number; a repeated batch reads the same predecessor and replaces itself.
+    of the given sources may be in ``best_snr`` and ``best_id``).
+
+    Only cells that a batch's detections reach, or that lie next to a source that changed in the
+    batch before, can see a change: two detections that are both still open are not within
+    reach of each other, else they would be a source. So only these cells are read and
+    written anew. ``out`` gets ``detections`` (those with a source) by batch, ``sources`` and
+    ``open`` by cell and batch, and an index of the newest versions; see ``associated_sources``
+    and ``open_detections``. With ``close_days`` an open detection so much older than the newest
+    one is closed when its cell is written, and goes to ``closed``. New sources are numbered on
+    behind those of the given ones that begin with ``prefix``.
     """
     def step(batch: DataFrame, number: int) -> None:
         spark, run = batch.sparkSession, _run_id(batch.sparkSession, checkpoint)
-        at = lambda kind, n: f"{out}/{kind}/run={run}/batch={n}"
-        known, todo = sources, batch
-        if number:
-            known = spark.read.parquet(at("sources", number - 1)).drop("is_new")
-            todo = batch.unionByName(spark.read.schema(batch.schema).parquet(at("open", number - 1)))
-        todo = store(todo)
-        newest = todo.agg(F.max("created_at").cast("string")).first()[0]
-        made = F.col("id").startswith(prefix)
-        taken = known.filter(made).agg(F.max(F.substring("id", len(prefix) + 1, 20).cast("long"))).first()[0] or 0
-        found, state = associate(todo, known, newest or "1970-01-01", lookback_days=lookback_days, next_number=taken + 1, prefix=prefix, **how)
-        found = store(found)
-        found.filter("source_id is not null").write.mode("overwrite").parquet(at("detections", number))
-        found.filter("source_id is null").write.mode("overwrite").parquet(at("open", number))
-        state.write.mode("overwrite").parquet(at("sources", number))
+        at = lambda kind: f"{out}/{kind}/run={run}/batch={number}"
+        state = CellState(spark, out, run, number - 1, sources)
+        batch = store(batch)
+        touched = state.around(batch, radius_deg)
+        known = store(state.known(touched, _source_schema(batch.schema, sources.schema)))
+        todo = store(batch.unionByName(state.open(touched, batch.schema)))
+        times = [t for t in (state.newest, batch.agg(F.max("created_at").cast("string")).first()[0]) if t]
+        newest = max(times) if times else None
+        taken = state.taken
+        if taken is None:
+            named = sources.filter(F.col("id").startswith(prefix))
+            taken = named.agg(F.max(F.substring("id", len(prefix) + 1, 20).try_cast("long"))).first()[0] or 0
+        found, after = associate(todo, known, newest or "1970-01-01", radius_deg=radius_deg, lookback_days=lookback_days, next_number=taken + 1, prefix=prefix, **how)
+        found, after = store(found), store(after)
+        found.filter("source_id is not null").write.mode("overwrite").parquet(at("detections"))
+        left = found.filter("source_id is null")
+        if close_days is not None:
+            late = F.col("created_at") <= F.lit(newest or "1970-01-01").cast("timestamp_ntz") - F.make_dt_interval(F.lit(close_days))
+            left.filter(late).write.mode("overwrite").parquet(at("closed"))
+            left = left.filter(~F.coalesce(late, F.lit(False)))
+        hit = after.join(found.select(F.col("source_id").alias("id")).distinct(), "id", "left_semi")
+        made = after.filter("is_new").count()
+        state.write(touched, after.drop("is_new"), left, cells_around(hit, radius_deg), newest, taken + made)
 
     return run_associate(det, step, checkpoint)
 
 
+def _source_schema(det: T.StructType, sources: T.StructType) -> T.StructType:
+    """Sources as the state keeps them."""
+    return T.StructType([*[T.StructField(c, sources[c].dataType) for c in ("id", "ra", "dec")],
+                         T.StructField("best_snr", T.DoubleType()), T.StructField("best_id", det["id"].dataType)])
+
+
+def associated_sources(spark: SparkSession, out: str, sources: DataFrame, det: T.StructType, run: str | None = None) -> DataFrame:
+    """S3: all sources after the last batch of ``stream_associations``; ``det`` is the schema of its detections."""
+    run, number = last_batch(spark, out, run)
+    return CellState(spark, out, run, number, sources).all("sources", _source_schema(det, sources.schema))
+
+
+def open_detections(spark: SparkSession, out: str, det: T.StructType, run: str | None = None) -> DataFrame:
+    """S3: the detections that are still without a source after the last batch."""
+    run, number = last_batch(spark, out, run)
+    return CellState(spark, out, run, number, spark.createDataFrame([], "id string, ra double, dec double")).all("open", det)
+
+
 def stream_sessions(det: DataFrame, event_time: str = "created_at", gap: str = "30 minutes", delay: str = "1 day") -> DataFrame:
     """Visits of a source separated by at least ``gap``."""
     timed = det.withColumn("_t", F.col(event_time).cast("timestamp")).withWatermark("_t", delay)
@@ -157,14 +184,18 @@ def stream_sessions(det: DataFrame, event_time: str = "created_at", gap: str = "
     )
 
 
-def run_updates(state: DataFrame, out: str, checkpoint: str) -> None:
+def run_updates(state: DataFrame, out: str, checkpoint: str, keys: list[str] | None = None, fold_every: int = 20) -> None:
     """Write the changed rows of an aggregated stream, each batch under the stream's id and its number.
 
-    A repeated batch replaces itself; ``latest_state`` reads the newest row per key.
+    A repeated batch replaces itself; ``latest_state`` reads the newest row per key. With
+    ``keys`` the finished batches are folded into a snapshot after every ``fold_every`` of
+    them, so that a reader opens one snapshot and the batches behind it.
     """
     def write(batch: DataFrame, number: int) -> None:
-        run = _run_id(batch.sparkSession, checkpoint)
+        spark, run = batch.sparkSession, _run_id(batch.sparkSession, checkpoint)
         batch.write.mode("overwrite").parquet(f"{out}/run={run}/batch={number}")
+        if keys and number and number % fold_every == 0:
+            fold_state(spark, out, keys, run, number - 1)
 
     state.writeStream.outputMode("update").foreachBatch(write).option("checkpointLocation", checkpoint).trigger(
         availableNow=True
@@ -173,10 +204,7 @@ def run_updates(state: DataFrame, out: str, checkpoint: str) -> None:
 
 def latest_state(spark: SparkSession, out: str, keys: list[str], run: str | None = None) -> DataFrame:
     """The state after the last batch; with several checkpoints behind ``out``, of the ``run`` given."""
-    rows = spark.read.option("basePath", out).parquet(out)
-    rows = rows if run is None else rows.filter(F.col("run") == run)
-    values = [n for n in rows.columns if n not in (*keys, "batch", "run")]
-    return rows.groupBy(*keys).agg(F.max_by(F.struct(*values), "batch").alias("_s")).select(*keys, "_s.*")
+    return newest_rows(state_rows(spark, out, run), keys).drop("run", "batch")
 
 
 def run_to_end(stream: DataFrame, out: str, checkpoint: str, mode: str = "append") -> None:

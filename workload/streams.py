@@ -88,8 +88,9 @@ add("stream_associate_batches", _associate_batches,
 def _associations(spark, sf, kind: str) -> DataFrame:
     """P1 on every micro-batch, with sources and open detections carried from the first to the second."""
     known = W.sources(spark, sf).select("id", "ra", "dec")
-    out = in_two_steps(spark, W.detections(spark, sf), HALF, lambda s, out, check: T.stream_associations(s, known, out, check).awaitTermination())
-    return spark.read.parquet(f"{out}/{kind}")
+    det = W.detections(spark, sf)
+    out = in_two_steps(spark, det, HALF, lambda s, out, check: T.stream_associations(s, known, out, check).awaitTermination())
+    return T.associated_sources(spark, out, known, det.schema) if kind == "sources" else spark.read.parquet(f"{out}/{kind}")
 
 
 def _step(n: int, det: str, src: str, taken: str) -> dict[str, str]:
@@ -120,7 +121,7 @@ ASSOCIATIONS = {
 }
 add("stream_associations", lambda s, d: _associations(s, d, "detections").select("id", "source_id", "triggers_alert"),
     "SELECT id, sid AS source_id, true AS triggers_alert FROM found WHERE sid IS NOT NULL", ASSOCIATIONS)
-add("stream_association_sources", lambda s, d: _associations(s, d, "sources").filter("batch = 1").select("id", "best_id", *r6("ra", "dec")),
+add("stream_association_sources", lambda s, d: _associations(s, d, "sources").select("id", "best_id", *r6("ra", "dec")),
     "SELECT id, best_id, round(ra, 6) AS ra, round(dec, 6) AS dec FROM src2", ASSOCIATIONS | {"src2": _STANDS.format(found="found")})
 
 
@@ -128,7 +129,7 @@ def _state(spark, sf):
     rows = timed(spark, sf).withColumn("source_id", F.concat(F.lit("S"), "user_id")).select("id", "source_id", "rb", "ra", "dec", "mjd", "flux", "fluxerr", "created_at")
 
     def run(stream, out, check):
-        T.run_updates(T.stream_source_state(stream), out, check)
+        T.run_updates(T.stream_source_state(stream), out, check, ["source_id"], fold_every=1)
 
     out = in_two_steps(spark, rows, HALF, run)
     return T.latest_state(spark, out, ["source_id"]).select("source_id", "n", *r6("sum_rb", "ra", "dec", "last_mjd"))
