@@ -73,6 +73,11 @@ def history_before(
     )
 
 
+def of_sources(rows: DataFrame, det: DataFrame) -> DataFrame:
+    """Rows of the sources that ``det`` belongs to."""
+    return rows.join(det.select("source_id").distinct(), "source_id", "left_semi")
+
+
 def candidate_rows(
     det: DataFrame, realbogus: DataFrame, images: DataFrame, single_subs: DataFrame, stack_subs: DataFrame,
     bridge: DataFrame, all_det: DataFrame, kind: str,
@@ -80,9 +85,16 @@ def candidate_rows(
     """Image, shape, score, reference and history fields of each ready detection of one kind.
 
     ``det`` are the detections to alert; ``all_det`` all detections (history).
-    ``bridge(coadd_id, image_id)`` covers references and stacks.
+    ``bridge(coadd_id, image_id)`` covers references and stacks. Only the history of the sources
+    at hand is looked at, and only the lineage of the coadds in it.
     """
     subs = single_subs if kind == "single" else stack_subs
+    all_det = of_sources(all_det.select("id", "source_id", "image_id"), det)
+    seen = subs.join(det.select(F.col("image_id").alias("id")).distinct(), "id", "left_semi")
+    past = stack_subs.join(all_det.select(F.col("image_id").alias("id")).distinct(), "id", "left_semi")
+    needed = seen.select(F.explode(F.array("reference_image_id", "target_image_id")).alias("coadd_id")).unionByName(
+        past.select(F.col("target_image_id").alias("coadd_id")))
+    bridge = bridge.join(needed.distinct(), "coadd_id", "left_semi")
     # one pass over the lineage serves reference spans, stack rows, headers and history
     head = lambda key: F.try_element_at("header", F.lit(key))
     coadds = store(stack_summary(bridge, images, {
@@ -155,7 +167,7 @@ def build_alerts(
     ready = det.withColumn("source_id", source)
     rows = store(candidate_rows(ready, realbogus, images, single_subs, stack_subs, bridge, all_det, kind))
     matches = store(matches)
-    points = light_curve_parts(phot, size)
+    points = light_curve_parts(of_sources(phot, rows), size)
     cut = F.col("epoch") + HALF_SECOND_DAYS
     curves = rows.select("id", "source_id", "epoch").join(points.withColumn("_start", F.get("points", F.lit(0))["mjd"]), ["source_id"], "left")
     missing = F.raise_error(F.concat(F.lit("no light curve for source "), F.col("source_id"))).cast("boolean")

@@ -196,6 +196,27 @@ def test_packet(spark):
     assert rows[0].cutoutTemplate == [[2.0]] and rows[1].candidate.objectidps1 == 7 and rows[1].candidate.ztfname == ""
 
 
+def test_packets_look_at_their_own_sources_only(spark, monkeypatch):
+    """Photometry, history and lineage of other sources are left out before anything is sorted or summed."""
+    d, rb, images, subs, stacks, bridge, _, phot, match, stamps = packet_inputs(spark)
+    others = spark.range(1000).select((F.col("id") + 1000).alias("id"), F.lit("other").alias("source_id"))
+    many = phot.unionByName(others.select("id", "source_id", F.lit(26.0).alias("zp"), F.lit("zr").alias("filtercode"), F.lit(5.0).alias("flux"),
+                                          F.lit(1.0).alias("fluxerr"), F.lit(0).alias("flags"), F.lit(2458000.0).alias("obsjd")))
+    history = d.select("id", "source_id", "image_id").unionByName(others.select("id", "source_id", F.lit(11).cast("long").alias("image_id")))
+    lineage = bridge.unionByName(spark.range(500).select((F.col("id") + 5000).alias("coadd_id"), F.lit(1).cast("long").alias("image_id")))
+    seen = {}
+
+    def counted(name, at):
+        inner = getattr(alerts, name)
+        monkeypatch.setattr(alerts, name, lambda *a, **k: seen.__setitem__(name, a[at].count()) or inner(*a, **k))
+
+    for name, at in (("light_curve_parts", 0), ("history_before", 1), ("stack_summary", 0)):
+        counted(name, at)
+    rows = alerts.build_alerts(d, rb, images, subs, stacks, lineage, history, many, match, stamps).collect()
+    assert [p.id for p in rows[0].light_curve] == [0, 1, 2] and rows[0].candidate.ndethist_single == 0
+    assert seen == {"light_curve_parts": 5, "history_before": 1, "stack_summary": 1}
+
+
 def test_packet_errors(spark):
     with pytest.raises(Exception, match="no light curve for source s"):
         alerts.build_alerts(*packet_inputs(spark, lc_source="other")).collect()
