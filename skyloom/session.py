@@ -49,6 +49,7 @@ def build_session(app: str = "skyloom", cores: int | str = "*", memory: str = "8
 
 _SHIPPED: set[str] = set()
 ARROW_ROWS = 2000  # whole texts go to Python: smaller batches than for numbers
+ARROW_BYTES = 4 << 20
 
 
 def ship_package(spark: SparkSession) -> None:
@@ -57,6 +58,7 @@ def ship_package(spark: SparkSession) -> None:
     Nothing is sent where the workers' ``PYTHONPATH`` already has the package.
     """
     spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(ARROW_ROWS))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(ARROW_BYTES))
     root = Path(__file__).resolve().parents[1]
     app = spark.sparkContext.applicationId
     if app in _SHIPPED or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
