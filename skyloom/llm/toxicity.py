@@ -4,17 +4,20 @@ Features are hashed into ``1 << BITS`` coordinates: words, pairs of neighbours,
 (A-Z lower-cased); a feature counts once per text. FTRL-proximal keeps a learning rate per coordinate, and its L1 term
 leaves most weights at exactly zero, so the model is a short list that every task gets.
 
-The model is fitted in one task on a bounded sample: at most ``TRAIN_ROWS`` labelled rows, the first by a hash of
-their ids. Scoring reads every text whole.
+The model is fitted in one task on a bounded sample: at most ``TRAIN_ROWS`` labelled ids, the first by a hash of the id,
+with one text each, and of them as many as have ``TRAIN_FEATURES`` distinct coordinates between them. Scoring reads every
+text whole.
 
 Defined cases: null and empty texts have no features and get the score of the bias alone; rows without an id are not
 held out and never learned from; labels of ids that are not there, null labels and repeated labels (the highest
-counts) are allowed; without any usable label all weights are zero and every score is 0.5; a text that
-repeats counts each time. Extra columns are left alone.
+counts) are allowed; of several texts of a labelled id the one whose coordinates hash lowest is learned from; without
+any usable label all weights are zero and every score is 0.5; a text of any length is scored whole; every row has its
+score, equal texts the same; an empty table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -28,9 +31,10 @@ from skyloom.session import store
 
 BITS = 20
 TRAIN_ROWS = 20_000
+TRAIN_FEATURES = 1 << 24  # coordinates of the sample that the training task holds
 EPOCHS = 4
 ALPHA, BETA, L2 = 4.0, 1.0, 0.1
-L1_ROWS, L1_LEAST, L1_MOST = 1300, 4.0, 10.0  # the L1 term grows with the sample, within bounds
+L1 = 0.14  # times the root of the number of training texts, as the noise in sums of gradients grows
 THRESHOLD = 0.7
 FOLDS, HELD_OUT = 3, 1
 _SHIFT = np.uint64(64 - BITS)
@@ -48,9 +52,9 @@ def features(words: Words, hashes: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
     return (np.concatenate(found) >> _SHIFT).astype(np.int32), np.concatenate(texts)
 
 
-def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS) -> tuple[np.ndarray, float]:
+def fit(rows: list[np.ndarray], labels: np.ndarray, epochs: int = EPOCHS, strength: float = L1) -> tuple[np.ndarray, float]:
     """(weights, bias) from the distinct coordinates of each training text."""
-    l1 = min(max(len(rows) / L1_ROWS, L1_LEAST), L1_MOST)
+    l1 = strength * math.sqrt(len(rows))
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
     bias_z = bias_n = 0.0
 
@@ -96,18 +100,25 @@ def learn(docs: DataFrame, labels: DataFrame, train_rows: int = TRAIN_ROWS) -> t
                     names=["doc_id", "toxic", "at"])
 
     def train(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        texts, labels = [], []
+        texts, labels, room = [], [], TRAIN_FEATURES
         for batch in batches:
             lists = batch.column(2)
-            values, ends = lists.flatten().to_numpy(), np.cumsum(lists.value_lengths().to_numpy())
-            texts += [x.copy() for x in np.split(values, ends[:-1])] if len(ends) else []
-            labels.append(batch.column(1).to_numpy())
+            values, sizes = lists.flatten().to_numpy(), lists.value_lengths().to_numpy()
+            fits = int(np.searchsorted(np.cumsum(sizes), room, "right"))
+            ends = np.cumsum(sizes[:fits])
+            texts += [x.copy() for x in np.split(values[:ends[-1]], ends[:-1])] if fits else []
+            labels.append(batch.column(1).to_numpy()[:fits])
+            room -= int(sizes[:fits].sum())
+            if fits < len(sizes):
+                break
         weights, bias = fit(texts, np.concatenate(labels)) if texts else (np.zeros(1), 0.0)
         at = np.flatnonzero(weights)
         yield pa.RecordBatch.from_arrays([pa.array(np.append(at, -1), pa.int64()), pa.array(np.append(weights[at], bias))], names=["at", "weight"])
 
-    examples = store(rows.mapInArrow(extract, "doc_id long, toxic int, at array<int>"))
-    ordered = examples.repartition(1).sortWithinPartitions("doc_id", F.xxhash64("at"))
+    # one text per id, chosen before the shuffle: an id may have very many rows
+    found = rows.mapInArrow(extract, "doc_id long, toxic int, at array<int>")
+    examples = store(found.groupBy("doc_id", "toxic").agg(F.min_by("at", F.xxhash64("at")).alias("at")))
+    ordered = examples.repartition(1).sortWithinPartitions(F.xxhash64("doc_id"), "doc_id")
     model = ordered.mapInArrow(train, "at long, weight double").toPandas().sort_values("at")
     bias = model.loc[model["at"] == -1, "weight"].sum()
     model = model[model["at"] >= 0]

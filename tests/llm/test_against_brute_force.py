@@ -307,7 +307,7 @@ def test_tokenizer_equals_the_library(values):
 
 
 def test_long_texts_are_worked_in_stretches(monkeypatch):
-    monkeypatch.setattr(tokens, "SLICE_BYTES", 50)
+    monkeypatch.setattr(tokens, "STRETCH", 50)
     enc = tokens.encoder(TOKENIZER)
     values = ["it's a  long \n\n text we'll   cut, " * 9, "", "x" * 400, "short one"]
     data = "".join(values).encode()
@@ -381,3 +381,40 @@ def test_training_is_sparse_and_separates():
         labels.append(int(i % 4 == 0))
     weights, _ = toxicity.fit(rows, np.array(labels))
     assert weights[9999] > 1 and (weights != 0).sum() < 2000
+
+
+def test_training_equals_plain_ftrl():
+    """The vectorised fit against FTRL-proximal written out coordinate by coordinate."""
+    rng = np.random.default_rng(11)
+    rows = [np.unique(rng.integers(0, 60, rng.integers(1, 25))) for _ in range(120)]
+    labels = np.array([int((r % 7 == 0).sum() > 1) for r in rows])
+    l1 = 0.02 * np.sqrt(len(rows))
+    z, n = Counter(), Counter()
+
+    def weight(c, term):
+        if abs(z[c]) <= term:
+            return 0.0
+        return -np.sign(z[c]) * (abs(z[c]) - term) / ((toxicity.BETA + np.sqrt(n[c])) / toxicity.ALPHA + toxicity.L2)
+
+    for epoch in range(3):
+        for i in np.random.Generator(np.random.PCG64(epoch)).permutation(len(rows)).tolist():
+            active = [*rows[i].tolist(), "bias"]
+            w = {c: weight(c, 0.0 if c == "bias" else l1) for c in active}
+            g = 1 / (1 + np.exp(-sum(w.values()))) - labels[i]
+            for c in active:
+                z[c] += g - (np.sqrt(n[c] + g * g) - np.sqrt(n[c])) / toxicity.ALPHA * w[c]
+                n[c] += g * g
+    weights, bias = toxicity.fit(rows, labels, 3, 0.02)
+    want = np.array([weight(c, l1) for c in range(60)])
+    assert np.allclose(weights[:60], want, atol=1e-9) and not weights[60:].any() and np.isclose(bias, weight("bias", 0.0)) and (want == 0).any()
+
+
+def test_training_holds_a_bounded_sample(spark, monkeypatch):
+    """A labelled id with very many rows is one training text; scores agree whatever copies there are."""
+    rows = [(i, f"bad awful text {i}" if i % 2 else f"kind gentle text {i}") for i in range(60)]
+    labels = spark.createDataFrame([(i, i % 2) for i in range(60)], "doc_id long, toxic int")
+    one = spark.createDataFrame(rows, "doc_id long, text string")
+    many = one.unionByName(spark.createDataFrame([rows[2]] * 500, "doc_id long, text string"))
+    a = toxicity.learn(one, labels)
+    b = toxicity.learn(many, labels)
+    assert (a[0] == b[0]).all() and np.allclose(a[1], b[1]) and a[2] == b[2]
