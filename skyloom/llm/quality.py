@@ -17,7 +17,6 @@ from __future__ import annotations
 import math
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -175,14 +174,14 @@ def learn_cutoffs(measured: DataFrame, labels: DataFrame, stratum: str = "lang",
     counted = store(counted.groupBy("stratum", "s.rule", "s.step").agg(F.count(F.lit(1)).alias("n")))
     tests = max(counted.select("stratum").distinct().count(), 1) * len(CUTOFFS)
 
-    def cut(rows: pd.DataFrame) -> pd.DataFrame:
-        rule = rows["rule"].iloc[0]
-        by_step = np.bincount(rows["step"], weights=rows["n"], minlength=len(CUTOFFS[rule]) + 1).astype(np.int64)
+    def cut(rows: pa.Table) -> pa.Table:
+        rule = rows.column("rule")[0].as_py()
+        by_step = np.bincount(rows.column("step").to_numpy(), weights=rows.column("n").to_numpy(), minlength=len(CUTOFFS[rule]) + 1).astype(np.int64)
         rejected = np.cumsum(by_step[::-1])[::-1][1:].tolist()
         chosen = choose_cutoff(rejected, int(by_step.sum()), CUTOFFS[rule], risk / len(CUTOFFS), delta / tests)
-        return pd.DataFrame({"stratum": rows["stratum"].iloc[:1].to_numpy(), "rule": [rule], "cutoff": [chosen]})
+        return pa.table({"stratum": rows.column("stratum").slice(0, 1), "rule": pa.array([rule]), "cutoff": pa.array([chosen], pa.float64())})
 
-    chosen = counted.groupBy("stratum", "rule").applyInPandas(cut, "stratum string, rule string, cutoff double")
+    chosen = counted.groupBy("stratum", "rule").applyInArrow(cut, "stratum string, rule string, cutoff double")
     picks = [F.max(F.when(F.col("rule") == rule, F.col("cutoff"))).alias(f"max_{rule}") for rule in CUTOFFS]
     return store(chosen.groupBy("stratum").agg(*picks))
 

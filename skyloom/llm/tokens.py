@@ -14,9 +14,10 @@ from functools import lru_cache
 
 import numpy as np
 
-from skyloom.llm.text import SLICE_BYTES, mix64, placed, second
+from skyloom.llm.text import mix64, placed, second
 
 MAX_CACHED = 3 << 18  # pieces a worker remembers
+STRETCH = 1 << 18  # bytes worked at once: each takes some sixty more meanwhile
 LEARN_AT_ONCE = 4096  # the library keeps much about each piece until its ids are taken
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: fixed values: the endings that the cutter takes off with an apostrophe
@@ -142,11 +143,11 @@ class Encoder:
 
     def encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """(ids, bounds) of the texts ``data[offsets[i]:offsets[i+1]]``; long texts are worked in stretches."""
-        if len(data) <= 2 * SLICE_BYTES:
+        if len(data) <= 2 * STRETCH:
             return self._encode(data, offsets)
         # a piece always ends between a character and a plain space after it
         safe = np.flatnonzero((data[1:] == 32) & (data[:-1] > 32) & (data[:-1] < 127)) + 1
-        wanted = np.arange(SLICE_BYTES, len(data), SLICE_BYTES)
+        wanted = np.arange(STRETCH, len(data), STRETCH)
         cuts = safe[np.minimum(np.searchsorted(safe, wanted), len(safe) - 1)] if len(safe) else safe
         edges = np.unique(np.concatenate([offsets, cuts]))
         ids, counts = [], [np.zeros(1, np.int64)]
