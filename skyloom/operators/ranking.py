@@ -126,8 +126,33 @@ def round_robin_plan(archives: DataFrame, n: int = K.RETRIEVAL_JOBS) -> DataFram
 
 
 def newest_first_limit(df: DataFrame, n: int, name: str = "basename") -> DataFrame:
-    """the ``n`` newest rows by the time in their name (compared as text), then by name."""
-    return df.orderBy(parse_basename(F.col(name))["time"].desc_nulls_last(), F.col(name).desc()).limit(n)
+    """the ``n`` newest rows by the time in their name (compared as text), then by name.
+
+    The cut is found by counting, per day and then per time of the day it falls in, so no
+    task holds ``n`` rows: newer rows are a filter, and only the rows of the very time of the
+    cut are numbered by name. The result comes sorted.
+    """
+    if n <= 0:
+        return df.limit(0)
+    timed = df.withColumn("_time", parse_basename(F.col(name))["time"])
+    order = [F.col("_time").desc_nulls_last(), F.col(name).desc_nulls_last()]
+    newest = Window.orderBy(F.col("_at").desc_nulls_last()).rowsBetween(Window.unboundedPreceding, 0)
+
+    def cut(rows: DataFrame, at: Column, wanted: int):
+        """(value, rows before it) where the count from the newest on reaches ``wanted``."""
+        counted = rows.groupBy(at.alias("_at")).agg(F.count(F.lit(1)).alias("_n")).withColumn("_upto", F.sum("_n").over(newest))
+        reached = counted.filter(F.col("_upto") >= wanted).orderBy("_upto")
+        return reached.select("_at", (F.col("_upto") - F.col("_n")).alias("_before")).first()
+
+    day = F.substring("_time", 1, 8)
+    last_day = cut(timed, day, n)
+    if last_day is None:  # there are fewer
+        return timed.orderBy(*order).drop("_time")
+    last = cut(timed.filter(day.eqNullSafe(F.lit(last_day[0]))), F.col("_time"), n - last_day[1])
+    newer = timed.filter("_time is not null" if last[0] is None else F.col("_time") > last[0])
+    ties = timed.filter(F.col("_time").eqNullSafe(F.lit(last[0]))).withColumn("_tie", F.monotonically_increasing_id())
+    ties = number_rows(ties, F.col(name).desc_nulls_last(), "_tie", name="_row").filter(F.col("_row") < n - last_day[1] - last[1])
+    return newer.unionByName(ties.drop("_tie", "_row")).orderBy(*order).drop("_time")
 
 
 def order_by_size(plan: DataFrame) -> DataFrame:

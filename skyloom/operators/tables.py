@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from skyloom.functions.naming import archive_path, archive_url, dr8_url, relname, sdss_url
 from skyloom.functions.times import jd_to_mjd, julian_day
-
+from skyloom.session import store
 
 
 def detection_times(
@@ -65,6 +66,39 @@ def upsert(base: DataFrame, updates: DataFrame, key: str, now: Column, modified:
     return both.select(*[out.get(c, F.col(c)).alias(c) for c in base.columns])
 
 
+def rewrite_ranges(rows: DataFrame, path: str, part: str) -> None:
+    """Replace the partitions ``part`` that occur in ``rows`` in the table at ``path``, and no others.
+
+    The new files lie beside the old ones until all of them are written; a job that fails
+    before leaves the table as it was.
+    """
+    rows.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(part).parquet(path)
+
+
+def _touched(path: str, updates: DataFrame, part: str, schema: T.StructType) -> DataFrame:
+    """The table's rows in the key ranges that ``updates`` falls into; other folders are not opened."""
+    ranges = [r[0] for r in updates.select(part).distinct().collect()]  # key ranges of one update
+    known = F.col(part).isin([r for r in ranges if r is not None])
+    return updates.sparkSession.read.schema(schema).parquet(path).filter(known | F.col(part).isNull() if None in ranges else known)
+
+
+def upsert_ranges(path: str, updates: DataFrame, key: str, part: str, schema: T.StructType, now: Column, modified: str = "modified") -> None:
+    """G3 on a stored table partitioned by ``part``, a function of the key: only touched partitions are read and written.
+
+    ``schema`` is that of the table, ``part`` included; ``updates`` carries ``part`` too.
+    """
+    updates = store(updates)
+    old = _touched(path, updates, part, schema)
+    # a row's range follows from its key, so it is the same on both sides
+    rewrite_ranges(store(upsert(old, updates, key, now, modified)), path, part)
+
+
+def merge_photometry_ranges(path: str, new: DataFrame, part: str, schema: T.StructType, images: DataFrame, sources: DataFrame) -> None:
+    """G4 on a stored table partitioned by ``part``, a function of (source, image): only touched partitions are read and written."""
+    new = store(new)
+    rewrite_ranges(store(merge_photometry(_touched(path, new, part, schema), new, images, sources)), path, part)
+
+
 def merge_photometry(old: DataFrame, new: DataFrame, images: DataFrame, sources: DataFrame) -> DataFrame:
     """Existing and new measurements; unique per (source, image), with both parents known.
 
