@@ -7,7 +7,8 @@ joined and the candidates verified on their full sets.
 
 Defined cases: null and empty texts, and texts without words, share one fingerprint; a text of fewer than five
 words has its word sequence as its only shingle; rows that share a doc_id follow each other by the hash of
-their text, null ids come last in that order too. Extra columns are left alone.
+their text, null ids come last in that order too; a text of any length is sketched whole, ties
+cannot occur, repeated rows have equal fingerprints; an empty table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations

@@ -8,7 +8,8 @@ fraction. The hash is of the doc_id alone, so reruns agree and copies of a text
 
 Defined cases: null and empty texts have no words (size 0) and are taken as often as their source's rate says,
 which adds nothing; a source without words has target and rate 0; a null source is a source, the last in
-the order of weights; a null doc_id draws like an empty one; rows may repeat. Extra columns are left alone.
+the order of weights; a null doc_id draws like an empty one; rows may repeat; a text
+of any length is counted whole; an empty table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations

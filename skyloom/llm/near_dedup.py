@@ -8,7 +8,8 @@ A pair of similarity 0.75 is missed by all bands with a probability of (1 - 0.75
 Defined cases: null and empty texts and texts without words have no shingles and no links; a text of fewer
 than five words is its whole sequence; copies are linked at once, however many; rows that share a doc_id
 count as one document; a row without doc_id cannot be named: it stays alone, with a null component, and is
-kept. Extra columns are left alone.
+kept; a text of any length is compared whole; a similarity of exactly 0.75 is a link; an empty table gives no
+rows. Extra columns are left alone.
 """
 
 from __future__ import annotations

@@ -11,7 +11,8 @@ by its number among the pieces of its length. Those numbers come from the counts
 no group is ever gathered.
 
 Defined cases: null and empty texts are the end id alone; repeated rows are packed as documents of their own;
-null ids are carried along. Extra columns are left alone.
+null ids are carried along; a text of any length is cut into pieces, none is left out; pieces of equal length are
+interchangeable; an empty table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations

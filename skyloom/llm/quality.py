@@ -9,7 +9,8 @@ that fails (fixed-sequence testing), so trying many of them costs no further cor
 Defined cases: null and empty texts have no words and fail the base rule; a null stratum is a stratum; rows
 may repeat (each gets its own verdict); a row without a label counts in no test; of several labels of one
 id the lowest counts; a stratum with too few good labels gets no cutoffs, so nothing is rejected there beyond
-the base rule. Extra columns are left alone.
+the base rule; a text of any length is measured whole; a score equal to a cutoff is rejected; an empty
+table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations

@@ -6,7 +6,8 @@ slot ``p // shards`` of shard ``p % shards``, and the inverse tells which row li
 ``rows``: shard sizes differ by one at most.
 
 Defined cases: a null text has no bytes; a null doc_id comes last; rows that share a doc_id are ordered by
-checksum and size (equal rows are alike). Extra columns are left alone.
+checksum and size (equal rows are alike); a text of any length counts whole; an empty table gives no
+rows. Extra columns are left alone.
 """
 
 from __future__ import annotations

@@ -10,7 +10,8 @@ named in order. A file is written under a name of its own and then renamed, so a
 files. Readers take the files as Spark's ``binaryFile`` source gives them, from any file system.
 
 Defined cases: null and empty texts have no ids but the end id; a null doc_id comes last; rows that share a
-doc_id follow each other by the hash of their text. Extra columns are left alone.
+doc_id follow each other by the hash of their text; a text of any length is encoded whole and may span
+files; an empty table gives no rows. Extra columns are left alone.
 """
 
 from __future__ import annotations
