@@ -386,6 +386,8 @@ add("round_robin_plan", lambda s, d: ranking.round_robin_plan(archives(s, d)),
     {"arch": ARCH})
 add("newest_first_limit", lambda s, d: ranking.newest_first_limit(W.images(s, d), 500).select("basename"),
     "SELECT basename FROM v_img ORDER BY CAST(filefracday AS VARCHAR) DESC, basename DESC LIMIT 500")
+add("newest_first_many", lambda s, d: ranking.newest_first_limit(W.images(s, d), 5000).select("basename"),
+    "SELECT basename FROM v_img ORDER BY CAST(filefracday AS VARCHAR) DESC, basename DESC LIMIT 5000")
 add("source_numbering", lambda s, d: source_numbering(W.detections(s, d).groupBy("user_id").agg(F.min("id").alias("cluster")), 100, prefix="N").select("user_id", "name"),
     "SELECT user_id, CONCAT('N', lpad(CAST(99 + row_number() OVER (ORDER BY m) AS VARCHAR), 8, '0')) AS name FROM (SELECT user_id, min(id) AS m FROM v_det GROUP BY 1) t")
 
@@ -418,6 +420,23 @@ add("upsert", _upsert,
        FROM v_img WHERE id % 3 <> 0 OR id % 2 = 0""")
 
 
+def _upsert_ranges(spark, sf):
+    """The same on a stored table by month, with updates of every second month only."""
+    day, month = F.lit("2020-01-01 00:00:00").cast("timestamp_ntz"), F.substring("basename", 5, 6).cast("int").alias("part")
+    base = W.images(spark, sf).filter("id % 3 <> 0").select("basename", "seeing", "maglimit", day.alias("modified"), month)
+    new = W.images(spark, sf).filter("id % 2 = 0").select("basename", F.expr("CASE WHEN id % 4 = 0 THEN seeing + 1 END AS seeing"), "maglimit", month).filter("part % 2 = 0")
+    path = _new_path(spark)
+    base.repartition("part").write.partitionBy("part").parquet(path)
+    tables.upsert_ranges(path, new, "basename", "part", base.schema, F.lit("2021-01-01 00:00:00").cast("timestamp_ntz"))
+    return spark.read.schema(base.schema).parquet(path).select("basename", "modified", *r6("seeing", "maglimit"))
+
+
+add("upsert_ranges", _upsert_ranges,
+    """SELECT basename, CASE WHEN u AND (id % 3 = 0 OR id % 4 = 0) THEN TIMESTAMP '2021-01-01' ELSE TIMESTAMP '2020-01-01' END AS modified,
+       round(CASE WHEN u AND id % 4 = 0 THEN seeing + 1 WHEN id % 3 = 0 THEN NULL ELSE seeing END, 6) AS seeing, round(maglimit, 6) AS maglimit
+       FROM (SELECT *, id % 2 = 0 AND CAST(substr(basename, 5, 6) AS INT) % 2 = 0 AS u FROM v_img) t WHERE id % 3 <> 0 OR u""")
+
+
 def _merge(spark, sf):
     phot = W.photometry(spark, sf)
     known = W.detections(spark, sf).filter("id % 7 <> 0").select("id")

@@ -2,9 +2,13 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 
 from skyloom.operators import aggregates, cluster, ranking, relational, sky
+from skyloom.session import scratch_root
+from skyloom.sources import cells
 from workload import frames as W
 from workload.frames import R1, R2, R15, R30, hav, near, r6, sql
 
@@ -37,6 +41,20 @@ add("cone_search", lambda s, d: sky.cone_search(W.detections(s, d), 359.9, -30.0
         SELECT id, 'pole' FROM v_det WHERE {hav('ra', 'dec', '10e0', '80e0')} <= 35""")
 
 
+def _search_by_cell(spark, sf):
+    """The same caps on a table whose files follow the sky."""
+    path = f"{scratch_root(spark).rstrip('/')}/query-{uuid.uuid4().hex}"
+    cells.write_by_cell(W.detections(spark, sf).select(*POS), path)
+    table = spark.read.parquet(path)
+    found = [cells.cone_search_by_cell(table, *cap).select("id", F.lit(kind).alias("kind")) for kind, cap in (("wrap", (359.9, -30.0, 25.0)), ("pole", (10.0, 80.0, 35.0)))]
+    return found[0].unionByName(found[1])
+
+
+add("cone_search_by_cell", _search_by_cell,
+    f"""SELECT id, 'wrap' AS kind FROM v_det WHERE {hav('ra', 'dec', '359.9e0', '-30e0')} <= 25 UNION ALL
+        SELECT id, 'pole' FROM v_det WHERE {hav('ra', 'dec', '10e0', '80e0')} <= 35""")
+
+
 def _unit(ra: str, dec: str) -> tuple[str, str, str]:
     return (f"cos(radians({dec})) * cos(radians({ra}))", f"cos(radians({dec})) * sin(radians({ra}))", f"sin(radians({dec}))")
 

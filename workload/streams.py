@@ -90,7 +90,9 @@ def _associations(spark, sf, kind: str) -> DataFrame:
     known = W.sources(spark, sf).select("id", "ra", "dec")
     det = W.detections(spark, sf)
     out = in_two_steps(spark, det, HALF, lambda s, out, check: T.stream_associations(s, known, out, check).awaitTermination())
-    return T.associated_sources(spark, out, known, det.schema) if kind == "sources" else spark.read.parquet(f"{out}/{kind}")
+    if kind == "sources":
+        return T.associated_sources(spark, out, known, det.schema)
+    return T.open_detections(spark, out, det.schema) if kind == "open" else spark.read.parquet(f"{out}/{kind}")
 
 
 def _step(n: int, det: str, src: str, taken: str) -> dict[str, str]:
@@ -124,6 +126,8 @@ add("stream_associations", lambda s, d: _associations(s, d, "detections").select
 add("stream_association_sources", lambda s, d: _associations(s, d, "sources").select("id", "best_id", *r6("ra", "dec")),
     "SELECT id, best_id, round(ra, 6) AS ra, round(dec, 6) AS dec FROM src2", ASSOCIATIONS | {"src2": _STANDS.format(found="found")})
 
+add("stream_open_detections", lambda s, d: _associations(s, d, "open").select("id"), "SELECT id FROM found2 WHERE sid IS NULL", ASSOCIATIONS)
+
 
 def _state(spark, sf):
     rows = timed(spark, sf).withColumn("source_id", F.concat(F.lit("S"), "user_id")).select("id", "source_id", "rb", "ra", "dec", "mjd", "flux", "fluxerr", "created_at")
