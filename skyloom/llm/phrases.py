@@ -54,7 +54,7 @@ class Runs:
 
     def __init__(self, data: np.ndarray, offsets: np.ndarray, languages: np.ndarray):
         self.words: Words = find_words(data, offsets, lower=True, between=_BETWEEN)
-        self.hashes, self.others = word_hashes(self.words, pair=True)
+        self.hashes = word_hashes(self.words)
         self.text = self.words.texts_of_words()
         self.language = languages[self.text]
         self.piece = np.cumsum(_END[self.words.data])[self.words.starts] + self.text if len(self.text) else self.text
@@ -103,21 +103,23 @@ def _all_runs(runs: Runs) -> Iterator[np.ndarray]:
         yield runs.keys(k)[runs.starts(k)]
 
 
-def _runs_with_parts(proposed, before):
-    """All words, and longer runs with both parts proposed; with ``before`` only runs that were not counted yet."""
+def _runs_with_parts(proposed, added):
+    """All words, and longer runs with both parts proposed; with ``added``, the latest bits, only runs that need one of them."""
 
     def emit(runs: Runs) -> Iterator[np.ndarray]:
         keys = runs.keys(1)
-        if before is None:
+        if added is None:
             yield keys
         for k in range(2, LONGEST + 1):
             at, longer = runs.starts(k), runs.keys(k)
-            now = probe(proposed.value, keys)
-            now = now[at] & now[at + 1]
-            if before is not None:
-                old = probe(before.value, keys)
-                now &= ~(old[at] & old[at + 1])
-            yield longer[at[now]]
+            if added is not None:
+                fresh = probe(added.value, keys)
+                at = at[fresh[at] | fresh[at + 1]]
+                at = at[probe(proposed.value, keys[at])]
+                yield longer[at[probe(proposed.value, keys[at + 1])]]
+            else:
+                now = probe(proposed.value, keys)
+                yield longer[at[now[at] & now[at + 1]]]
             keys = longer
 
     return emit
@@ -132,16 +134,15 @@ def frequent_keys(texts: DataFrame, sample: DataFrame, support: int = SUPPORT, s
         return store(found.filter(F.col("n") >= least))
 
     table = bit_table(counted(sample, _all_runs, sample_support), F.col("key"), log_bits)
-    before, frequent = None, None
+    added, frequent = None, None
     while True:
-        proposed = context.broadcast(table)
-        found = counted(texts, _runs_with_parts(proposed, before), support)
+        found = counted(texts, _runs_with_parts(context.broadcast(table), added), support)
         frequent = found if frequent is None else frequent.unionByName(found)
         # runs of the full length are part of no other run
         outside = bit_table(found.filter(F.col("key").bitwiseAND(F.lit(3)) < LONGEST - 1), F.col("key"), log_bits) & ~table
         if not outside.any():
             return frequent
-        table, before = table | outside, proposed
+        table, added = table | outside, context.broadcast(outside)
 
 
 def _strings(wanted):
@@ -154,25 +155,30 @@ def _strings(wanted):
                 runs = Runs(data, offsets, languages[row:end])
                 words = runs.words
                 lengths = words.ends - words.starts
-                # every word with one space behind it
-                places = np.cumsum(lengths + 1) - lengths - 1
-                at = np.arange(int((lengths + 1).sum())) - np.repeat(places - words.starts, lengths + 1)
-                joined = words.data[np.minimum(at, max(len(words.data) - 1, 0))] if len(at) else np.empty(0, np.uint8)
-                joined[places + lengths] = 32
+                _, others = word_hashes(words, pair=True)
                 for k in range(1, LONGEST + 1):
                     keys, start = runs.keys(k), runs.starts(k)
                     start = start[probe(wanted.value, keys[start])]
                     if not len(start):
                         continue
-                    first, second = keys[start], gram_hashes(runs.others, k, 30 + k)[start]
-                    order = np.lexsort((second, first))
+                    first, second = keys[start], gram_hashes(others, k, 30 + k)[start]
+                    order = np.argsort(first, kind="stable")
+                    if (np.diff(first[order]) == 0)[second[order][1:] != second[order][:-1]].any():
+                        order = np.lexsort((second, first))
                     new = np.ones(len(order), bool)
                     new[1:] = (first[order][1:] != first[order][:-1]) | (second[order][1:] != second[order][:-1])
                     heads = np.flatnonzero(new)
                     shown = start[order[heads]]
-                    a, sizes = places[shown], places[shown + k - 1] + lengths[shown + k - 1] - places[shown]
+                    # the words of each phrase with one space behind every word but the last
+                    each = (shown[:, None] + np.arange(k)).ravel()
+                    sizes = lengths[each] + 1
                     upto = np.cumsum(sizes)
-                    phrase = text_array(joined[np.arange(int(upto[-1])) - np.repeat(upto - sizes - a, sizes)], np.append(0, upto))
+                    at = np.arange(int(upto[-1])) + np.repeat(words.starts[each] - (upto - sizes), sizes)
+                    raw = words.data[np.minimum(at, len(words.data) - 1)]
+                    raw[upto - 1] = 32
+                    inside = np.ones(len(raw), bool)
+                    inside[upto[k - 1::k] - 1] = False
+                    phrase = text_array(raw[inside], np.append(0, upto[k - 1::k] - np.arange(1, len(shown) + 1)))
                     yield pa.RecordBatch.from_arrays([
                         names.take(pa.array(row + runs.text[shown])), pa.array(np.full(len(shown), k, np.int32)), phrase,
                         pa.array(np.diff(np.append(heads, len(order))), pa.int64()),
