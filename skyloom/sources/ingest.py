@@ -19,19 +19,21 @@ def scan_table(spark: SparkSession, path: str, name: str) -> DataFrame:
     return spark.read.schema(table_schema(name)).parquet(path)
 
 
-def ingest_metadata_incremental(new: DataFrame, existing: DataFrame, key: str = "basename") -> DataFrame:
+def ingest_metadata_incremental(new: DataFrame, existing: DataFrame, key: str | list[str] = "basename") -> DataFrame:
     """A2: metadata rows from the newest known night on that are not known yet.
 
     Names are derived when the rows do not carry one, and compared with all known
-    names. The newest night is one scalar subquery.
+    names. Where a name alone does not tell images apart, ``key`` lists it first and the
+    other columns that do behind it. The newest night is one scalar subquery.
     """
+    keys = [key] if isinstance(key, str) else list(key)
     mark = high_water(existing).select(F.coalesce("nid", F.lit(FIRST_NID))).scalar()
     rows = new.filter((F.col("nid") >= mark) & (F.col("ipac_gid") > 0)).drop(*DROPPED)
-    if key not in rows.columns:
+    if keys[0] not in rows.columns:
         name = ipac_basename(*[F.col(c) for c in ("filefracday", "field", "filtercode", "ccdid", "imgtypecode", "qid")],
                              "sciimg.fits")
-        rows = rows.withColumn(key, name)
-    return rows.dropDuplicates([key]).join(existing.select(key), key, "left_anti")
+        rows = rows.withColumn(keys[0], name)
+    return rows.dropDuplicates(keys).join(existing.select(*keys), keys, "left_anti")
 
 
 def derive_masks(images: DataFrame) -> DataFrame:
