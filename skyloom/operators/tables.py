@@ -43,16 +43,17 @@ def locate(ids: DataFrame, tape: DataFrame, http: DataFrame, key: str = "id") ->
     return out.select(key, F.coalesce("tape", "http", F.lit("remote")).alias("location"))
 
 
-def upsert(base: DataFrame, updates: DataFrame, key: str, now: Column, modified: str = "modified") -> DataFrame:
-    """Updates replace rows with the same key and add new ones.
+def upsert(base: DataFrame, updates: DataFrame, key: str | list[str], now: Column, modified: str = "modified") -> DataFrame:
+    """Updates replace rows with the same key, one column or several, and add new ones.
 
     A null in an update keeps the old value; ``modified`` becomes ``now`` for rows
     that are new or really change. ``updates`` has at most one row per key.
     """
-    values = [c for c in base.columns if c not in (key, modified)]
-    new = updates.select(key, *[F.col(c).alias(f"_new_{c}") for c in values if c in updates.columns], F.lit(True).alias("_hit"))
+    keys = [key] if isinstance(key, str) else list(key)
+    values = [c for c in base.columns if c not in (*keys, modified)]
+    new = updates.select(*keys, *[F.col(c).alias(f"_new_{c}") for c in values if c in updates.columns], F.lit(True).alias("_hit"))
     old = base.withColumn("_old", F.lit(True))
-    both = old.join(new, key, "full")
+    both = old.join(new, keys, "full")
     changed = F.col("_hit").isNotNull() & F.col("_old").isNull()
     out = {}
     for c in values:
