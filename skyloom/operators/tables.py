@@ -83,7 +83,7 @@ def _touched(path: str, updates: DataFrame, part: str, schema: T.StructType) ->
     return updates.sparkSession.read.schema(schema).parquet(path).filter(known | F.col(part).isNull() if None in ranges else known)
 
 
-def upsert_ranges(path: str, updates: DataFrame, key: str, part: str, schema: T.StructType, now: Column, modified: str = "modified") -> None:
+def upsert_ranges(path: str, updates: DataFrame, key: str | list[str], part: str, schema: T.StructType, now: Column, modified: str = "modified") -> None:
     """G3 on a stored table partitioned by ``part``, a function of the key: only touched partitions are read and written.
 
     ``schema`` is that of the table, ``part`` included; ``updates`` carries ``part`` too.
