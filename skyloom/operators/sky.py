@@ -99,17 +99,22 @@ def polygon_join(
 ) -> DataFrame:
     """C4: points inside four-cornered footprints (``ra1..dec4`` around the centre ``ra, dec``).
 
-    ``prefilter_deg`` must reach from a centre to its corners.
+    ``prefilter_deg`` must reach from a centre to its corners. Images of one footprint are looked
+    at once: points meet the different footprints, and the images join what was found.
     """
     corners = [(F.col(f"ra{i}"), F.col(f"dec{i}")) for i in (1, 2, 3, 4)]
     names = [[f"_n{i}{a}" for a in "xyz"] for i in range(4)]
     # the edges are worked out once per footprint, not once per pair
     edges = {n: value for row, normal in zip(names, edge_normals(corners)) for n, value in zip(row, normal)}
+    shape = ["ra", "dec", *[f"{a}{i}" for i in (1, 2, 3, 4) for a in ("ra", "dec")]]
     near = cone_join(
-        points, images.withColumns(edges), prefilter_deg, b_prefix=b_prefix, sep="_sep", cell_deg=2 * prefilter_deg, **cone
+        points, images.select(*shape).distinct().withColumns(edges), prefilter_deg, b_prefix=b_prefix, sep="_sep",
+        cell_deg=2 * prefilter_deg, **cone
     )
     normals = [tuple(F.col(f"{b_prefix}{n}") for n in row) for row in names]
-    return near.filter(inside_edges(F.col("ra"), F.col("dec"), normals)).drop("_sep", *[f"{b_prefix}{n}" for n in edges])
+    hits = near.filter(inside_edges(F.col("ra"), F.col("dec"), normals)).drop("_sep", *[f"{b_prefix}{n}" for n in edges])
+    of = images.select([F.col(c).alias(f"{b_prefix}{c}") for c in images.columns])
+    return hits.join(of, [f"{b_prefix}{c}" for c in shape]).select(*points.columns, *of.columns)
 
 
 def polygon_contains_catalog(images: DataFrame, catalog: DataFrame, cols: list[str], **kwargs) -> DataFrame:

@@ -132,6 +132,21 @@ def test_polygon_seam_pole_and_todo(spark):
     assert [(r.image_id, r.source_id) for r in photometry_todo(images, src, done).collect()] == [(2, "c")]
 
 
+def test_points_meet_each_footprint_once(spark, monkeypatch):
+    from skyloom.operators import sky
+
+    seen = []
+    whole = sky.cone_join
+    monkeypatch.setattr(sky, "cone_join", lambda a, b, *args, **kw: seen.append(b) or whole(a, b, *args, **kw))
+    corners = [f"{a} + {v} AS {a}{k}" for k, xy in enumerate([(-0.3, -0.3), (0.3, -0.3), (0.3, 0.3), (-0.3, 0.3)], 1) for a, v in zip(("ra", "dec"), xy)]
+    images = spark.range(300).selectExpr("id", "CAST(10 + id % 2 AS DOUBLE) AS ra", "0e0 AS dec").selectExpr("*", *corners)
+    stars = spark.createDataFrame([(1, 10.1, 0.1), (2, 11.0, -0.2), (3, 10.5, 0.0)], "objid long, ra double, dec double")
+    got = {(r.image_id, r.objid) for r in sky.polygon_contains_catalog(images, stars, ["objid"]).collect()}
+    assert got == {(i, 1 + i % 2) for i in range(300)}
+    assert seen[0].count() == 2
+
+
+
 def test_chain_is_one_cluster_and_loner_is_noise(spark):
     step = 1.5 / 3600
     rows = frame(spark, [(10, 0), (10, step), (10, 2 * step), (10, 1)])
