@@ -28,19 +28,33 @@ def detection_times(
     return own.join(epochs, ["image_id"]).select("id", "source_id", "mjd")
 
 
+def _listed(ids: DataFrame, lists: dict[str, DataFrame], key: str) -> DataFrame:
+    """Each wanted id once, with a flag for each of ``lists`` that has it; a null id is on no list.
+
+    One grouping, combined before the shuffle, instead of a join with each list: a task holds one
+    small row per id and sorts nothing.
+    """
+    marks = lambda name: [F.lit(n == name).alias(n) for n in ("_wanted", *lists)]
+    rows = ids.select(key, *marks("_wanted"))
+    for name, part in lists.items():
+        rows = rows.unionByName(part.filter(F.col(key).isNotNull()).select(key, *marks(name)))
+    out = rows.groupBy(key).agg(*[F.max(n).alias(n) for n in ("_wanted", *lists)]).filter("_wanted")
+    return out.select(F.col(key).cast(ids.schema[key].dataType).alias(key), *lists)
+
+
 def remaining_ids(ids: DataFrame, *found: DataFrame, key: str = "id") -> DataFrame:
     """Wanted ids that none of the ``found`` lists has."""
-    out = ids.select(key).distinct()
-    for part in found:
-        out = out.join(part.select(key), key, "left_anti")
-    return out
+    lists = {f"_found{i}": part for i, part in enumerate(found)}
+    out = _listed(ids, lists, key)
+    for name in lists:
+        out = out.filter(~F.col(name))
+    return out.select(key)
 
 
 def locate(ids: DataFrame, tape: DataFrame, http: DataFrame, key: str = "id") -> DataFrame:
     """Where to fetch each id from: tape before disk before the remote archive."""
-    flag = lambda df, name: df.select(key).distinct().withColumn(name, F.lit(name))
-    out = ids.select(key).distinct().join(flag(tape, "tape"), key, "left").join(flag(http, "http"), key, "left")
-    return out.select(key, F.coalesce("tape", "http", F.lit("remote")).alias("location"))
+    out = _listed(ids, {"_tape": tape, "_http": http}, key)
+    return out.select(key, F.when(F.col("_tape"), "tape").when(F.col("_http"), "http").otherwise("remote").alias("location"))
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str | list[str], now: Column, modified: str = "modified") -> DataFrame:
