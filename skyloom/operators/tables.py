@@ -28,18 +28,22 @@ def detection_times(
     return own.join(epochs, ["image_id"]).select("id", "source_id", "mjd")
 
 
-def _listed(ids: DataFrame, lists: dict[str, DataFrame], key: str) -> DataFrame:
+def _listed(ids: DataFrame, lists: dict[str, DataFrame], key: str, carry: list[str] | None = None) -> DataFrame:
     """Each wanted id once, with a flag for each of ``lists`` that has it; a null id is on no list.
 
     One grouping, combined before the shuffle, instead of a join with each list: a task holds one
-    small row per id and sorts nothing.
+    small row per id and sorts nothing. ``carry`` are columns of the first list, the smallest value
+    of each id.
     """
-    marks = lambda name: [F.lit(n == name).alias(n) for n in ("_wanted", *lists)]
+    first, carry = next(iter(lists), None), carry or []
+    marks = lambda name: [F.lit(n == name).alias(n) for n in ("_wanted", *lists)] + [
+        (F.col(c) if name == first else F.lit(None).cast(lists[first].schema[c].dataType)).alias(c) for c in carry]
     rows = ids.select(key, *marks("_wanted"))
     for name, part in lists.items():
         rows = rows.unionByName(part.filter(F.col(key).isNotNull()).select(key, *marks(name)))
-    out = rows.groupBy(key).agg(*[F.max(n).alias(n) for n in ("_wanted", *lists)]).filter("_wanted")
-    return out.select(F.col(key).cast(ids.schema[key].dataType).alias(key), *lists)
+    flags = [F.max(n).alias(n) for n in ("_wanted", *lists)]
+    out = rows.groupBy(key).agg(*flags, *[F.min(c).alias(c) for c in carry]).filter("_wanted")
+    return out.select(F.col(key).cast(ids.schema[key].dataType).alias(key), *lists, *carry)
 
 
 def remaining_ids(ids: DataFrame, *found: DataFrame, key: str = "id") -> DataFrame:
@@ -51,10 +55,14 @@ def remaining_ids(ids: DataFrame, *found: DataFrame, key: str = "id") -> DataFra
     return out.select(key)
 
 
-def locate(ids: DataFrame, tape: DataFrame, http: DataFrame, key: str = "id") -> DataFrame:
-    """Where to fetch each id from: tape before disk before the remote archive."""
-    out = _listed(ids, {"_tape": tape, "_http": http}, key)
-    return out.select(key, F.when(F.col("_tape"), "tape").when(F.col("_http"), "http").otherwise("remote").alias("location"))
+def locate(ids: DataFrame, tape: DataFrame, http: DataFrame, key: str = "id", carry: list[str] | None = None) -> DataFrame:
+    """Where to fetch each id from: tape before disk before the remote archive.
+
+    ``carry`` adds columns of ``tape``, the smallest value of each id.
+    """
+    out = _listed(ids, {"_tape": tape, "_http": http}, key, carry)
+    where = F.when(F.col("_tape"), "tape").when(F.col("_http"), "http").otherwise("remote").alias("location")
+    return out.select(key, where, *(carry or []))
 
 
 def upsert(base: DataFrame, updates: DataFrame, key: str | list[str], now: Column, modified: str = "modified") -> DataFrame:

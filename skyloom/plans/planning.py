@@ -53,8 +53,8 @@ def plan_retrieval(ids: DataFrame, files: DataFrame, tape: DataFrame, http: Data
     on_tape = tape_only_copies(wanted, tape, http).select("id", F.col("archive_id").alias("path"))
     jobs = ranking.round_robin_plan(archives.join(on_tape.select("path"), "path", "left_semi"), n_jobs)
     on_disk = http.select(F.col("product_id").alias("id"))
-    where = locate(ids, on_tape, on_disk)
-    return where.join(on_tape.join(jobs.select("path", "job"), "path").groupBy("id").agg(F.min("job").alias("job")), "id", "left")
+    # a file's job comes along in the grouping that locates it
+    return locate(ids, on_tape.join(jobs.select("path", "job"), "path", "left"), on_disk, carry=["job"])
 
 
 def download_list(ids: DataFrame, tape: DataFrame, http: DataFrame) -> DataFrame:
