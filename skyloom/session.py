@@ -20,6 +20,8 @@ SQL_SETTINGS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     # split a hot key even when the split costs one more exchange further down
     "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
+    # the JVM never compiles a method of more bytes: wide projections are generated in parts instead
+    "spark.sql.codegen.hugeMethodLimit": "8000",
 }
 
 
