@@ -65,11 +65,19 @@ class CellState:
 
     def _read(self, kind: str, cells: list, schema: T.StructType) -> DataFrame:
         """Rows of the newest versions of ``cells``, rows of the index; only their folders are opened."""
-        base = f"{self.out}/{kind}/run={self.run}"
-        paths = [f"{base}/cell={r.cell}/batch={r.version}" for r in cells if r.version is not None and r[f"n_{kind}"]]
-        if not paths:
+        wanted: dict[int, list[int]] = {}
+        for r in cells:
+            if r.version is not None and r[f"n_{kind}"]:
+                wanted.setdefault(r.version, []).append(r.cell)
+        if not wanted:
             return self.spark.createDataFrame([], schema)
-        return self.spark.read.schema(schema).parquet(*paths)
+        # at most one row per cell of the sky; files of a batch lie in cell order, so the range skips most of the others
+        newest = F.broadcast(self.spark.createDataFrame([(v, c) for v, held in wanted.items() for c in held], "batch int, cell long"))
+        held = [c for group in wanted.values() for c in group]
+        rows = self.spark.read.schema(T.StructType([*schema, T.StructField("cell", T.LongType())])).option(
+            "basePath", f"{self.out}/{kind}/run={self.run}").parquet(*[self._at(kind, v) for v in sorted(wanted)])
+        rows = rows.filter(F.col("cell").between(min(held), max(held)))
+        return rows.join(newest, ["batch", "cell"], "left_semi").select(*schema.names)
 
     def around(self, batch: DataFrame, radius_deg: float) -> DataFrame:
         """Index rows of the cells that a batch touches, with those of open detections around sources that changed last."""
@@ -103,10 +111,9 @@ class CellState:
         """The next version of the touched cells. ``changed``: cells next to sources that may have moved."""
         number, counts = self.number + 1, []
         for kind, rows in (("sources", sources), ("open", open_rows)):
-            rows = store(rows.withColumns({"cell": cell_of(F.col("ra"), F.col("dec")), "batch": F.lit(number)}))
-            # a crowded cell spans several files
-            rows.repartitionByRange("cell", "id").write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy(
-                "cell", "batch").parquet(f"{self.out}/{kind}/run={self.run}")
+            rows = store(rows.withColumn("cell", cell_of(F.col("ra"), F.col("dec"))))
+            # a few files in cell order, whatever the number of cells; a crowded cell spans several
+            rows.repartitionByRange("cell", "id").sortWithinPartitions("cell").write.mode("overwrite").parquet(self._at(kind, number))
             counts.append(rows.groupBy("cell").agg(F.count(F.lit(1)).alias(f"n_{kind}")))
         fresh = touched.select("cell", F.lit(number).alias("version")).join(counts[0], "cell", "left").join(counts[1], "cell", "left")
         kept = self.index.select("cell", "version", "n_sources", "n_open").join(touched.select("cell"), "cell", "left_anti")
