@@ -16,6 +16,7 @@ from skyloom import constants as K
 from skyloom.functions.geometry import circle_pixel_overlap
 from skyloom.operators.aggregates import mad
 from skyloom.operators.filters import is_bad
+from skyloom.operators.skew import null_safe_join
 from skyloom.session import store
 
 STRIP = 64
@@ -313,14 +314,14 @@ def cutout(pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, f
     """(id, image_id, stamp): ``size`` rows of ``size`` values around the nearest pixel, filled outside."""
     half = size // 2
     x, y = F.floor(F.col("x") + 0.5).cast("int"), F.floor(F.col("y") + 0.5).cast("int")
-    boxes = positions.select(
-        "id", "image_id", (x - half).alias("x0"), (x - half + size - 1).alias("x1"),
-        (y - half).alias("y0"), (y - half + size - 1).alias("y1"),
-    )
+    place = ["image_id", "x0", "y0"]
+    placed = positions.select("id", "image_id", (x - half).alias("x0"), (y - half).alias("y0"))
+    # positions on one pixel share their stamp: each different box is cut once
+    boxes = placed.select(*place).distinct().withColumns({"x1": F.col("x0") + size - 1, "y1": F.col("y0") + size - 1})
     # each row of a box is one piece per tile, padded on its own, so that every piece is there
     lo, hi = F.greatest("x0", F.col("_tile") * STRIP), F.least(F.col("x1"), F.col("_tile") * STRIP + (STRIP - 1))
     cut = box_strips(pixels, boxes, ["value"], how="left").select(
-        "id", (F.col("y") - F.col("y0")).alias("dy"), "_tile", lo.alias("lo"), hi.alias("hi"),
+        *place, (F.col("y") - F.col("y0")).alias("dy"), "_tile", lo.alias("lo"), hi.alias("hi"),
         F.filter("_run", lambda p: p["x"].between(F.col("x0"), F.col("x1"))).alias("_cut"),
     )
     padded = F.transform(
@@ -333,12 +334,12 @@ def cutout(pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, f
         .when(F.size("_cut") == length, F.transform("_cut", lambda p: p["value"].cast("double")))
         .otherwise(padded)
     )
-    pieces = cut.select("id", F.struct("dy", "_tile", piece.alias("v")).alias("_piece"))
-    rows = pieces.groupBy("id").agg(F.sort_array(F.collect_list("_piece")).alias("_rows"))
+    pieces = cut.select(*place, F.struct("dy", "_tile", piece.alias("v")).alias("_piece"))
+    rows = pieces.groupBy(*place).agg(F.sort_array(F.collect_list("_piece")).alias("_rows"))
     per_line = (F.size("_rows") / size).cast("int")
     line = lambda dy: F.flatten(F.transform(F.slice("_rows", dy * per_line + 1, per_line), lambda p: p["v"]))
-    stamps = rows.select("id", F.transform(F.sequence(F.lit(0), F.lit(size - 1)), line).alias("stamp"))
-    return positions.select("id", "image_id").join(stamps, "id")
+    stamps = rows.select(*place, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), line).alias("stamp"))
+    return null_safe_join(placed, stamps, place).select("id", "image_id", "stamp")
 
 
 def triplet_normalize(stamps: DataFrame) -> DataFrame:
