@@ -4,12 +4,14 @@ The tokenizer cuts a text into pieces (a word with its space, a number, a run of
 and encodes each piece by itself. Most pieces are repeats, so the cuts are made on whole slices at once,
 and the library encodes only pieces that a worker has not met lately. Pieces are told apart by two independent
 64-bit hashes; where one agrees and the other does not, the slice goes to the library as it is. Character classes are
-asked of the library's own cutter, so the ids equal ``Tokenizer.encode``; strings of special tokens are ordinary text.
+asked of the library's own cutter and ids of its model, which takes a piece in the byte-level alphabet, so the ids equal
+``Tokenizer.encode``; strings of special tokens are ordinary text.
 """
 
 from __future__ import annotations
 
 import os
+from array import array
 from functools import lru_cache
 
 import numpy as np
@@ -18,11 +20,15 @@ from skyloom.llm.text import mix64, placed, second
 
 MAX_CACHED = 3 << 18  # pieces a worker remembers
 STRETCH = 1 << 18  # bytes worked at once: each takes some sixty more meanwhile
-LEARN_AT_ONCE = 4096  # the library keeps much about each piece until its ids are taken
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: fixed values: the endings that the cutter takes off with an apostrophe
 _ONE_LETTER = "stmd"
 _TWO_LETTERS = ("re", "ve", "ll")
+#: fixed values: the byte-level alphabet; printable bytes of Latin-1 stand for themselves, the others follow from 256 on
+_SELF = [*range(0x21, 0x7F), *range(0xA1, 0xAD), *range(0xAE, 0x100)]
+_ALPHABET = np.empty(256, np.uint16)
+_ALPHABET[_SELF] = _SELF
+_ALPHABET[np.setdiff1d(np.arange(256), _SELF)] = np.arange(256, 512 - len(_SELF))
 
 
 class Encoder:
@@ -32,6 +38,7 @@ class Encoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True
+        self.model = self.tokenizer.model
         self.classes = np.full(0x110000, _UNKNOWN, np.uint8)
         self.values = mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(77))
         self.forget()
@@ -90,17 +97,16 @@ class Encoder:
             begin[ends[ends < n]] = True
         return np.flatnonzero(begin)
 
-    def _ask(self, pieces: list[str]) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, how many of them each piece has), by the library."""
-        sizes, found = [np.empty(0, np.int64)], [np.empty(0, np.uint32)]
-        for a in range(0, len(pieces), LEARN_AT_ONCE):
-            ids = [e.ids for e in self.tokenizer.encode_batch_fast(pieces[a:a + LEARN_AT_ONCE], add_special_tokens=False)]
-            sizes.append(np.fromiter(map(len, ids), np.int64, len(ids)))
-            found.append(np.fromiter((x for piece in ids for x in piece), np.uint32, int(sizes[-1].sum())))
-        return np.concatenate(found), np.concatenate(sizes)
-
-    def _learn(self, keys: np.ndarray, checks: np.ndarray, pieces: list[str]) -> None:
-        flat, sizes = self._ask(pieces)
+    def _ask(self, data: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, how many of them each piece ``data[starts[i]:ends[i]]`` has), by the library's model."""
+        letters = _ALPHABET[data].astype("<u2").tobytes().decode("utf-16-le")
+        ids, upto, tokenize = array("I"), array("q", [0]), self.model.tokenize
+        for a, b in zip(starts.tolist(), ends.tolist()):
+            ids.extend([token.id for token in tokenize(letters[a:b])])
+            upto.append(len(ids))
+        return np.array(ids, np.uint32), np.diff(np.array(upto, np.int64))
+
+    def _learn(self, keys: np.ndarray, checks: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
         self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(sizes) - sizes])
         self.keys, self.sizes = np.concatenate([self.keys, keys]), np.concatenate([self.sizes, sizes])
         self.checks, self.ids = np.concatenate([self.checks, checks]), np.concatenate([self.ids, flat])
@@ -116,10 +122,11 @@ class Encoder:
     def _encode(self, data: np.ndarray, offsets: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(data):
             return np.empty(0, np.uint32), np.zeros(len(offsets), np.int64)
-        text = data.tobytes().decode("utf-8")
-        chars = np.frombuffer(text.encode("utf-32-le"), np.uint32)
-        heads = np.concatenate([[0], np.cumsum((data & 0xC0) != 0x80)])[offsets]
+        chars = np.frombuffer(data.tobytes().decode("utf-8").encode("utf-32-le"), np.uint32)
+        leads = (data & 0xC0) != 0x80  # first bytes of characters
+        heads = np.concatenate([[0], np.cumsum(leads)])[offsets]
         starts = self.cuts(chars, np.unique(heads[:-1][heads[:-1] < len(chars)]))
+        first = np.flatnonzero(leads)[starts]  # first bytes of the pieces
         sizes = np.diff(np.append(starts, len(chars)))
         inside = np.arange(len(chars)) - np.repeat(starts, sizes)
         terms = placed(self.values[chars], inside)
@@ -129,11 +136,11 @@ class Encoder:
             self.forget()
         at, known = self._find(keys)
         if (checks != checks[where][inverse]).any() or (self.checks[at[known]] != checks[where[known]]).any():
-            ids, counts = self._ask([text[a:b] for a, b in zip(starts.tolist(), (starts + sizes).tolist())])
+            ids, counts = self._ask(data, first, np.append(first[1:], len(data)))
             return ids, np.append(0, np.cumsum(counts))[np.searchsorted(starts, heads)]
         if not known.all():
             new = where[~known]
-            self._learn(keys[~known], checks[new], [text[a:b] for a, b in zip(starts[new].tolist(), (starts[new] + sizes[new]).tolist())])
+            self._learn(keys[~known], checks[new], *self._ask(data, first[new], np.append(first, len(data))[new + 1]))
             at, _ = self._find(keys)
         at = at[inverse]
         lengths = self.sizes[at]

@@ -107,3 +107,17 @@ def test_bit_tables_never_miss(spark):
     assert sum(r.hit for r in rows) < 5000 / 7 * 1.1
     empty = keys.filter("id < 0")
     assert spark.range(10).filter(bits.maybe_in(empty, F.col("h"), F.xxhash64("id"))).count() == 0
+
+
+def test_new_pieces_go_to_the_model_alone():
+    """The library's whole encoding of a piece costs several times the model's part and keeps its records meanwhile."""
+    encoder = tokens.Encoder(TOKENIZER)
+    plain, values = encoder.tokenizer, ["it's <|endoftext|> \x00\xad\xa0 näïve 東京  2024!\n\n", "", "\U0001f600" * 3 + " x" * 400, "y" * 3000]
+
+    class OnlyCuts:
+        pre_tokenizer = plain.pre_tokenizer
+
+    encoder.tokenizer = OnlyCuts()
+    parts = [v.encode() for v in values]
+    ids, bounds = encoder.encode(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
+    assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [plain.encode(v, add_special_tokens=False).ids for v in values]
