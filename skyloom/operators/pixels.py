@@ -310,8 +310,15 @@ def aperture_mean_rms(
     return aperture_photometry(pixels, positions, r, method, sums=sums)
 
 
-def cutout(pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, fill: float = 0.0) -> DataFrame:
-    """(id, image_id, stamp): ``size`` rows of ``size`` values around the nearest pixel, filled outside."""
+def cutout(
+    pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, fill: float = 0.0, stamps: dict[str, str] | None = None
+) -> DataFrame:
+    """(id, image_id, stamp): ``size`` rows of ``size`` values around the nearest pixel, filled outside.
+
+    ``stamps`` names several stamps of one box and the column each is cut from, e.g. aligned images as columns
+    of one pixel row; pixels and boxes are then gone through once for all of them.
+    """
+    stamps = {"stamp": "value"} if stamps is None else stamps
     half = size // 2
     x, y = F.floor(F.col("x") + 0.5).cast("int"), F.floor(F.col("y") + 0.5).cast("int")
     place = ["image_id", "x0", "y0"]
@@ -320,26 +327,33 @@ def cutout(pixels: DataFrame, positions: DataFrame, size: int = K.CUTOUT_SIZE, f
     boxes = placed.select(*place).distinct().withColumns({"x1": F.col("x0") + size - 1, "y1": F.col("y0") + size - 1})
     # each row of a box is one piece per tile, padded on its own, so that every piece is there
     lo, hi = F.greatest("x0", F.col("_tile") * STRIP), F.least(F.col("x1"), F.col("_tile") * STRIP + (STRIP - 1))
-    cut = box_strips(pixels, boxes, ["value"], how="left").select(
+    cut = box_strips(pixels, boxes, list(dict.fromkeys(stamps.values())), how="left").select(
         *place, (F.col("y") - F.col("y0")).alias("dy"), "_tile", lo.alias("lo"), hi.alias("hi"),
         F.filter("_run", lambda p: p["x"].between(F.col("x0"), F.col("x1"))).alias("_cut"),
     )
-    padded = F.transform(
-        F.sequence("lo", "hi"),
-        lambda at: F.coalesce(F.get(F.filter("_cut", lambda p: p["x"] == at), F.lit(0))["value"].cast("double"), F.lit(fill)),
-    )
     length = F.col("hi") - F.col("lo") + 1
-    piece = (
-        F.when(F.col("_cut").isNull(), F.array_repeat(F.lit(fill), length))
-        .when(F.size("_cut") == length, F.transform("_cut", lambda p: p["value"].cast("double")))
-        .otherwise(padded)
-    )
-    pieces = cut.select(*place, F.struct("dy", "_tile", piece.alias("v")).alias("_piece"))
+
+    def piece(value: str) -> Column:
+        padded = F.transform(
+            F.sequence("lo", "hi"),
+            lambda at: F.coalesce(F.get(F.filter("_cut", lambda p: p["x"] == at), F.lit(0))[value].cast("double"), F.lit(fill)),
+        )
+        return (
+            F.when(F.col("_cut").isNull(), F.array_repeat(F.lit(fill), length))
+            .when(F.size("_cut") == length, F.transform("_cut", lambda p: p[value].cast("double")))
+            .otherwise(padded)
+        )
+
+    pieces = cut.select(*place, F.struct("dy", "_tile", *[piece(value).alias(f"v{i}") for i, value in enumerate(stamps.values())]).alias("_piece"))
     rows = pieces.groupBy(*place).agg(F.sort_array(F.collect_list("_piece")).alias("_rows"))
     per_line = (F.size("_rows") / size).cast("int")
-    line = lambda dy: F.flatten(F.transform(F.slice("_rows", dy * per_line + 1, per_line), lambda p: p["v"]))
-    stamps = rows.select(*place, F.transform(F.sequence(F.lit(0), F.lit(size - 1)), line).alias("stamp"))
-    return null_safe_join(placed, stamps, place).select("id", "image_id", "stamp")
+
+    def stamp(i: int) -> Column:
+        line = lambda dy: F.flatten(F.transform(F.slice("_rows", dy * per_line + 1, per_line), lambda p: p[f"v{i}"]))
+        return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), line)
+
+    done = rows.select(*place, *[stamp(i).alias(name) for i, name in enumerate(stamps)])
+    return null_safe_join(placed, done, place).select("id", "image_id", *stamps)
 
 
 def triplet_normalize(stamps: DataFrame) -> DataFrame:
