@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.text import slices
-from skyloom.llm.tokens import encoder, with_end
+from skyloom.llm.tokens import STRETCH, encoder, with_end
 from skyloom.session import store
 
 CAPACITY = 1024
@@ -45,7 +45,7 @@ def token_pieces(docs: DataFrame, tokenizer: str, capacity: int = CAPACITY, end_
         part = TaskContext.get().partitionId()
         seen = np.zeros(capacity + 1, np.int64)
         for batch in batches:
-            for row, end, data, offsets in slices(batch.column(1)):
+            for row, end, data, offsets in slices(batch.column(1), 2 * STRETCH):
                 ids, bounds = with_end(*encoder(tokenizer).encode(data, offsets), end_id)
                 sizes = np.diff(bounds)
                 n_pieces = -(-sizes // capacity)

@@ -28,7 +28,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from skyloom.llm.text import slices
-from skyloom.llm.tokens import encoder, with_end
+from skyloom.llm.tokens import STRETCH, encoder, with_end
 from skyloom.session import scratch_root, store
 
 END_ID = 2
@@ -195,7 +195,7 @@ def write_token_files(docs: DataFrame, folder: str, tokenizer: str, end_id: int
             return row
 
         for batch in batches:
-            for row, end, data, offsets in slices(batch.column(1)):
+            for row, end, data, offsets in slices(batch.column(1), 2 * STRETCH):
                 ids, bounds = with_end(*encoder(tokenizer).encode(data, offsets), end_id)
                 if held and size + len(ids) > FILE_IDS:
                     yield flush()

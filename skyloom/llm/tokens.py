@@ -18,8 +18,9 @@ import numpy as np
 
 from skyloom.llm.text import mix64, placed, second
 
-MAX_CACHED = 3 << 18  # pieces a worker remembers
-STRETCH = 1 << 18  # bytes worked at once: each takes some sixty more meanwhile
+MAX_CACHED = 1 << 18  # pieces a worker remembers: some 45 bytes each, and as many again while new ones are put in
+STRETCH = 1 << 16  # up to twice as many bytes are worked at once: each takes some sixty more meanwhile
+LOW_CHARS = 0x3000  # characters with their hashed values at hand
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: fixed values: the endings that the cutter takes off with an apostrophe
 _ONE_LETTER = "stmd"
@@ -40,7 +41,7 @@ class Encoder:
         self.tokenizer.encode_special_tokens = True
         self.model = self.tokenizer.model
         self.classes = np.full(0x110000, _UNKNOWN, np.uint8)
-        self.values = mix64(np.arange(0x110000, dtype=np.uint64) + np.uint64(77))
+        self.values = self._hashed(np.arange(LOW_CHARS))
         self.forget()
 
     def forget(self) -> None:
@@ -62,6 +63,13 @@ class Encoder:
             kinds = self.classes[chars]
         return kinds
 
+    @staticmethod
+    def _hashed(chars: np.ndarray) -> np.ndarray:
+        return mix64(chars.astype(np.uint64) + np.uint64(77))
+
+    def _values(self, chars: np.ndarray) -> np.ndarray:
+        return self.values[chars] if chars.max() < LOW_CHARS else self._hashed(chars)
+
     def cuts(self, chars: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """Where pieces start. ``firsts``: positions of the first characters of the texts."""
         n = len(chars)
@@ -129,7 +137,7 @@ class Encoder:
         first = np.flatnonzero(leads)[starts]  # first bytes of the pieces
         sizes = np.diff(np.append(starts, len(chars)))
         inside = np.arange(len(chars)) - np.repeat(starts, sizes)
-        terms = placed(self.values[chars], inside)
+        terms = placed(self._values(chars), inside)
         hashes, checks = (mix64(np.add.reduceat(x, starts) + sizes.astype(np.uint64)) for x in (terms, second(terms)))
         keys, where, inverse = np.unique(hashes, return_index=True, return_inverse=True)
         if len(self.keys) > MAX_CACHED:

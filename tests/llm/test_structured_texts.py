@@ -1,10 +1,12 @@
 """Texts whose structure fools polynomial hashes: Thue-Morse words and word sequences and their complements."""
 
 import hashlib
+import tracemalloc
 import zlib
 
 import numpy as np
 import public_tokenizers
+import pyarrow as pa
 import pytest
 from tokenizers import Tokenizer
 
@@ -121,3 +123,19 @@ def test_new_pieces_go_to_the_model_alone():
     parts = [v.encode() for v in values]
     ids, bounds = encoder.encode(np.frombuffer(b"".join(parts), np.uint8), np.cumsum([0, *map(len, parts)]))
     assert [ids[a:b].tolist() for a, b in zip(bounds, bounds[1:])] == [plain.encode(v, add_special_tokens=False).ids for v in values]
+
+
+def test_the_encoder_stays_small():
+    """Two workers of an executor hold an encoder each beside the JVM: what it holds and takes meanwhile is bounded."""
+    letters = str.maketrans("0123456789", "ghijklmnop")
+    words = [f"{i * 2654435761 % 2**32:08x}".translate(letters) for i in range(500_000)]
+    values = [" ".join(words[i:i + 5000]) + " 東京\U0001f600" for i in range(0, len(words), 5000)]
+    tracemalloc.start()
+    encoder, sizes = tokens.Encoder(TOKENIZER), []
+    for _, _, data, offsets in text.slices(pa.array(values)):
+        ids, bounds = encoder.encode(data, offsets)
+        sizes += np.diff(bounds).tolist()
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert sizes == [len(e.ids) for e in encoder.tokenizer.encode_batch(values, add_special_tokens=False)]
+    assert peak < 40e6, peak
