@@ -1,8 +1,8 @@
 """Pixel-table operators (H1-H14). Pixels are rows ``(image_id, x, y, value[, rms, mask])``, 0-based.
 
-Boxes around positions are read through strips: short runs of one image row. A
-position meets its box as a few strips instead of one row per pixel. Whole images
-meet as tiles: squares of pixels packed into one array each, before they are shuffled.
+Stamps around positions are read through strips: short runs of one image row. A
+position meets its box as a few strips instead of one row per pixel. Apertures and whole
+images meet as tiles: squares of pixels packed into one array each, before they are shuffled.
 """
 
 from __future__ import annotations
@@ -20,7 +20,7 @@ from skyloom.operators.skew import null_safe_join
 from skyloom.session import store
 
 STRIP = 64
-APERTURE_STRIP = 16
+APERTURE_TILE = 16
 TILE = 32
 
 
@@ -250,6 +250,26 @@ def box_strips(pixels: DataFrame, boxes: DataFrame, cols: list[str], width: int
     return rows.join(strips(near, cols, width), at, how)
 
 
+def box_pixels(pixels: DataFrame, boxes: DataFrame, cols: list[str], size: int = APERTURE_TILE) -> DataFrame:
+    """The pixels ``x, y`` and ``cols`` in each box ``(id, image_id, x0, x1, y0, y1)``, next to the box's other columns.
+
+    Only a box's part among the pixels, which are 0-based, is looked at. It meets them by square tiles: a box smaller
+    than a tile is sent four times at most, and once where it lies within one.
+    """
+    at = ["image_id", "_ty", "_tx"]
+    first, tile = (lambda c: F.greatest(c, F.lit(0))), (lambda c: F.floor(c / size).cast("int"))
+    met = boxes.filter("x1 >= 0 and y1 >= 0").withColumn("_ty", F.explode(F.sequence(tile(first("y0")), tile(F.col("y1")))))
+    met = met.withColumn("_tx", F.explode(F.sequence(tile(first("x0")), tile(F.col("x1")))))
+    near = pixels.select("image_id", F.col("x").cast("int").alias("x"), F.col("y").cast("int").alias("y"), *cols)
+    near = near.withColumns({"_ty": tile(F.col("y")), "_tx": tile(F.col("x"))})
+    # only pixels of tiles that a box touches are packed
+    near = near.join(met.select(*at).distinct(), at, "left_semi")
+    packed = near.groupBy(*at).agg(F.sort_array(F.collect_list(F.struct("y", "x", *cols))).alias("_run"))
+    found = met.join(packed, at).select(*boxes.columns, F.explode("_run").alias("_p"))
+    found = found.filter(F.col("_p.x").between(F.col("x0"), F.col("x1")) & F.col("_p.y").between(F.col("y0"), F.col("y1")))
+    return found.select(*boxes.columns, "_p.*")
+
+
 def _circle_box(positions: DataFrame, r: float) -> DataFrame:
     edge = lambda c, s: (F.floor(F.col(c) - r + 0.5) if s < 0 else F.ceil(F.col(c) + r + 0.5) - 1).cast("int")
     return positions.select(
@@ -286,10 +306,7 @@ def aperture_photometry(
     box. ``sums`` replaces the summed columns. Positions without any pixel are left out.
     """
     weight = _aperture_weight(r, method, subpixels, edge)
-    boxes = box_strips(pixels, _circle_box(positions, r), ["value", "rms", "mask"], APERTURE_STRIP)
-    cells = boxes.select("id", "cx", "cy", "x0", "x1", "y", F.explode("_run").alias("_p"))
-    cells = cells.filter(F.col("_p.x").between(F.col("x0"), F.col("x1")))
-    cells = cells.select("id", "cx", "cy", "y", "_p.*").withColumn("w", weight)
+    cells = box_pixels(pixels, _circle_box(positions, r), ["value", "rms", "mask"]).withColumn("w", weight)
     w = F.col("w")
     aggs = sums or {
         "flux": F.sum(F.col("value") * w),

@@ -32,6 +32,7 @@ def filter_detections(
     after each cut in the documented order use ``with_pixel_quality`` and ``cut_funnel``.
     """
     good = rb_cut(detection_cuts(kill_flagged(catalog), with_pixels=False).filter("goodcut"))
-    good = detection_cuts(with_pixel_quality(good, pixels)).filter("goodcut")
+    # both are read for the images wanted, the boxes and the rows themselves
+    good = store(detection_cuts(with_pixel_quality(store(good), pixels)).filter("goodcut"))
     # read for the counts, the kept rows and the failures
     return too_many_detections(store(negative_pixel_cut(good, pixels)), max_rows)
