@@ -19,7 +19,7 @@ import numpy as np
 from skyloom.llm.text import mix64, placed, second
 
 MAX_CACHED = 1 << 18  # pieces a worker remembers: some 45 bytes each, and as many again while new ones are put in
-STRETCH = 1 << 16  # up to twice as many bytes are worked at once: each takes some sixty more meanwhile
+STRETCH = 1 << 17  # up to twice as many bytes are worked at once: each takes some sixty more meanwhile
 LOW_CHARS = 0x3000  # characters with their hashed values at hand
 _LETTER, _NUMBER, _SPACE, _OTHER, _UNKNOWN = 1, 2, 3, 0, 9
 #: fixed values: the endings that the cutter takes off with an apostrophe
@@ -68,7 +68,10 @@ class Encoder:
         return mix64(chars.astype(np.uint64) + np.uint64(77))
 
     def _values(self, chars: np.ndarray) -> np.ndarray:
-        return self.values[chars] if chars.max() < LOW_CHARS else self._hashed(chars)
+        values = self.values[np.minimum(chars, LOW_CHARS - 1)]
+        high = np.flatnonzero(chars >= LOW_CHARS)
+        values[high] = self._hashed(chars[high])
+        return values
 
     def cuts(self, chars: np.ndarray, firsts: np.ndarray) -> np.ndarray:
         """Where pieces start. ``firsts``: positions of the first characters of the texts."""
@@ -115,11 +118,11 @@ class Encoder:
         return np.array(ids, np.uint32), np.diff(np.array(upto, np.int64))
 
     def _learn(self, keys: np.ndarray, checks: np.ndarray, flat: np.ndarray, sizes: np.ndarray) -> None:
-        self.at = np.concatenate([self.at, len(self.ids) + np.cumsum(sizes) - sizes])
-        self.keys, self.sizes = np.concatenate([self.keys, keys]), np.concatenate([self.sizes, sizes])
-        self.checks, self.ids = np.concatenate([self.checks, checks]), np.concatenate([self.ids, flat])
-        order = np.argsort(self.keys, kind="stable")
-        self.keys, self.checks, self.at, self.sizes = self.keys[order], self.checks[order], self.at[order], self.sizes[order]
+        """Put in pieces with sorted ``keys``."""
+        place = np.searchsorted(self.keys, keys)
+        self.at = np.insert(self.at, place, len(self.ids) + np.cumsum(sizes) - sizes)
+        self.keys, self.checks = np.insert(self.keys, place, keys), np.insert(self.checks, place, checks)
+        self.sizes, self.ids = np.insert(self.sizes, place, sizes), np.concatenate([self.ids, flat])
 
     def _find(self, keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         if not len(self.keys):
